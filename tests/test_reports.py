@@ -1,0 +1,77 @@
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from obsmart.plans import reports
+
+
+@pytest.fixture
+def daily(spark):
+    """Two places, 2024-12-01 .. 2025-01-29 (60 days), london without 2025-01-10."""
+    rows = []
+    for i in range(60):
+        d = date(2024, 12, 1) + timedelta(days=i)
+        rows.append((d, "moscow", "Москва", "RU", -5.0 + i * 0.1, -8.0 + i * 0.1, -2.0 + i * 0.1,
+                     1.5 if i % 3 == 0 else 0.0, (i % 7) - 3.0))
+        if d != date(2025, 1, 10):
+            rows.append((d, "london", "Лондон", "GB", 6.0, 4.0, 8.0, 2.0, 6.0 if i == 41 else -0.5))
+    return spark.createDataFrame(
+        rows, "dt date, city string, city_name string, country string, temp_avg double, "
+              "temp_min double, temp_max double, precip_sum double, temp_anomaly double"
+    ).withColumn("temp_norm_30d", F.col("temp_avg") - F.col("temp_anomaly"))
+
+
+def test_overview(daily):
+    r = reports.overview(daily).first()
+    assert (r.rows, r.entities, r.first_day, r.last_day) == (119, 2, date(2024, 12, 1), date(2025, 1, 29))
+
+
+def test_climate(daily):
+    rows = {r.city_name: r for r in reports.climate(daily, exact_scale=2).collect()}
+    lon = rows["Лондон"]
+    assert (lon.avg_temp, lon.abs_min, lon.abs_max, lon.rainy_days) == (6.0, 4.0, 8.0, 59)
+    assert lon.coldest_day == date(2024, 12, 1) and lon.hottest_day == date(2024, 12, 1)
+    assert lon.precip_per_year_mm == 731.0                       # 2 mm per day
+    msk = rows["Москва"]
+    assert msk.coldest_day == date(2024, 12, 1) and msk.hottest_day == date(2025, 1, 29)
+    assert reports.climate(daily).first().city_name == "Лондон"   # ordered by avg_temp desc
+
+
+def test_monthly_pivot(daily):
+    rows = reports.monthly_pivot(daily, entities={"moscow": "moscow", "london": "london"},
+                                 exact_scale=2).collect()
+    assert [r.month for r in rows] == [date(2024, 12, 1), date(2025, 1, 1)]
+    assert rows[0].london == 6.0 and rows[0].moscow == -3.5      # mean of -5.0..-2.0
+
+
+def test_year_over_year_previous_available_year(spark):
+    rows = [(date(y, 1, 15), "moscow", t) for y, t in ((2023, -10.0), (2025, -6.0), (2026, -7.25))]
+    df = spark.createDataFrame(rows, "dt date, city string, temp_avg double")
+    out = [(r.year, r.avg_temp, r.diff_vs_prev_year) for r in
+           reports.year_over_year(df, entity_value="moscow", exact_scale=2).collect()]
+    assert out == [(2023, -10.0, None), (2025, -6.0, 4.0), (2026, -7.3, -1.3)]
+    plain = [(r.year, r.avg_temp, r.diff_vs_prev_year) for r in
+             reports.year_over_year(df, entity_value="moscow").collect()]
+    assert plain == out
+
+
+def test_top_anomalies(daily):
+    rows = reports.top_anomalies(daily, n=3).collect()
+    assert rows[0].temp_anomaly == 6.0 and rows[0].kind == "тепло"
+    assert len(rows) == 3 and all(abs(r.temp_anomaly) >= 3.0 for r in rows)
+    cold = reports.top_anomalies(daily.where("temp_anomaly <= 0"), n=1, labels=("warm", "cold")).first()
+    assert cold.kind == "cold"
+
+
+def test_anomaly_counts(daily):
+    rows = {r.city_name: r for r in reports.anomaly_counts(daily, years=(2024, 2025), threshold=2.5).collect()}
+    assert rows["Лондон"].total == 1 and rows["Лондон"].y2025 == 1 and rows["Лондон"].y2024 == 0
+    assert rows["Москва"].total == sum(1 for i in range(60) if abs((i % 7) - 3.0) > 2.5)
+    import statistics
+    assert rows["Москва"].anomaly_stddev == round(statistics.pstdev([(i % 7) - 3.0 for i in range(60)]), 2)
+
+
+def test_top_k_is_not_a_global_sort(daily):
+    plan = reports.top_anomalies(daily)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
