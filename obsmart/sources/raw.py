@@ -30,8 +30,7 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: st
     overlaps the period; overlapping hours are then resolved newest range first (see
     ``keep_last`` ordering on ``range_end``).
     """
-    df = (spark.read.option("basePath", path).option("wholetext", True)
-          .option("recursiveFileLookup", False).text(path))
+    df = spark.read.option("basePath", path).text(path, wholetext=True)
     df = df.withColumnRenamed("value", "body")
     if entity not in df.columns:  # payload files named <key>.json directly under range=
         df = df.withColumn(entity, F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1))

@@ -1,0 +1,85 @@
+import json
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from obsmart.plans.runs import extract_range
+from obsmart.schemas import WEATHER_VARIABLES
+from obsmart.sources.dimension import read_dimension
+from obsmart.sources.lake import partition_inventory
+from obsmart.sources.raw import fetch_plan, read_raw, triage
+
+
+def landed(spark, sample_payload):
+    rows = [(200, "moscow", json.dumps(sample_payload)), (429, "london", "Too many requests"),
+            (503, "berlin", ""), (400, "rome", "bad request"),
+            (200, "cairo", json.dumps({"error": True, "reason": "Out of range"}))]
+    return spark.createDataFrame(rows, "status int, city string, body string")
+
+
+def test_triage_classes(spark, sample_payload):
+    got = {r.city: (r.outcome, r.reason) for r in triage(landed(spark, sample_payload)).collect()}
+    assert got["moscow"] == ("good", None)
+    assert got["london"][0] == "retry" and got["london"][1].startswith("429")
+    assert got["berlin"][0] == "retry"
+    assert got["rome"] == ("fatal", "400: bad request")
+    assert got["cairo"] == ("fatal", "Out of range")
+
+
+def test_fetch_plan_parameters(spark, places):
+    plan = fetch_plan(places, date(2025, 1, 15), date(2025, 3, 10), WEATHER_VARIABLES)
+    rows = plan.where("slug = 'moscow'").orderBy("chunk_start").collect()
+    assert [(r.chunk_start, r.chunk_end) for r in rows][0] == (date(2025, 1, 15), date(2025, 1, 31))
+    assert len(rows) == 3 and rows[0].lat == 55.7558 and rows[0].timezone == "UTC"
+    assert "temperature_2m" in rows[0].variables.split(",")
+    assert plan.count() == 6
+
+
+def test_raw_layout_round_trip_and_exact_period(spark, sample_payload, scratch):
+    out = extract_range(landed(spark, sample_payload), scratch, "2026-10-07", "2026-10-07")
+    assert out["written"] == 1 and out["rejected"].count() == 4
+    other = spark.createDataFrame([("2026-10-01_2026-10-31", "moscow", "{}")], "range string, city string, body string")
+    from obsmart.sinks.lake import write_raw
+    write_raw(other, scratch)
+    got = read_raw(spark, scratch, "2026-10-07", "2026-10-07").collect()
+    assert len(got) == 1 and got[0].city == "moscow" and json.loads(got[0].body) == sample_payload
+    assert got[0].range_end == date(2026, 10, 7)
+    assert read_raw(spark, scratch, "2026-10-07", "2026-10-07", all_ranges=True).count() == 2
+    # re-run of the same period replaces its folder (no duplicates)
+    extract_range(landed(spark, sample_payload), scratch, "2026-10-07", "2026-10-07")
+    assert read_raw(spark, scratch, "2026-10-07", "2026-10-07").count() == 1
+
+
+def test_raw_files_named_by_entity(spark, sample_payload, scratch):
+    import os
+    d = os.path.join(scratch, "range=2026-10-07_2026-10-07")
+    os.makedirs(d)
+    with open(os.path.join(d, "moscow.json"), "w", encoding="utf-8") as f:
+        json.dump(sample_payload, f, ensure_ascii=False, indent=2)     # pretty-printed file
+    got = read_raw(spark, scratch, "2026-10-07", "2026-10-07").collect()
+    assert [r.city for r in got] == ["moscow"]
+
+
+def test_read_dimension_yaml_and_csv(spark, scratch):
+    y = f"{scratch}/places.yaml"
+    with open(y, "w", encoding="utf-8") as f:
+        f.write("places:\n  - {slug: moscow, name: Москва, country: RU, lat: 55.7558, lon: 37.6173}\n"
+                "  - {slug: london, name: Лондон, country: GB, lat: 51.5074, lon: -0.1278}\n")
+    dim = read_dimension(spark, y)
+    assert dim.count() == 2 and dim.where("slug = 'london'").first().lon == -0.1278
+    c = f"{scratch}/places.csv"
+    with open(c, "w", encoding="utf-8") as f:
+        f.write("slug,name,country,lat,lon\nmoscow,Москва,RU,55.7558,37.6173\n")
+    assert read_dimension(spark, c).first().lat == 55.7558
+
+
+def test_partition_inventory(spark, scratch):
+    df = spark.range(1000).select((F.col("id") % 3 + 202501).cast("int").alias("month"), "id")
+    scratch = f"{scratch}/serving"
+    df.repartition(2).write.partitionBy("month").parquet(scratch)
+    rows = {r.partition: r for r in partition_inventory(spark, scratch).collect()}
+    assert set(rows) == {"202501", "202502", "202503"}
+    assert sum(r.rows for r in rows.values()) == 1000
+    assert all(r.parts >= 1 and r.compressed_bytes > 0 and r.uncompressed_bytes > 0 for r in rows.values())
+    assert rows["202501"].compressed.endswith(("B", "KiB"))
+    assert [r.partition for r in partition_inventory(spark, scratch, newest=2).collect()] == ["202503", "202502"]
