@@ -1,0 +1,36 @@
+from datetime import date, datetime
+
+from obsmart.plans.runs import Layers
+from obsmart.plans.serving import current
+from obsmart.sinks.lake import write_raw
+from obsmart.sources.lake import read_days
+from obsmart.streaming.incremental import run_available
+from tests.test_chain import payload
+
+
+def land(spark, raw, start, end, items):
+    rows = [(f"{start}_{end}", c, b) for c, b in items]
+    write_raw(spark.createDataFrame(rows, "range string, city string, body string"), raw)
+
+
+def test_available_now_processes_new_periods_once(spark, places, scratch):
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    ck = f"{scratch}/stream-checkpoint"
+    jan = (date(2025, 1, 1), date(2025, 1, 31))
+    feb = (date(2025, 2, 1), date(2025, 2, 10))
+    land(spark, layers.raw, *jan, [(c, payload(s, *jan)) for c, s in (("moscow", 0.0), ("london", 8.0))])
+    log = run_available(spark, layers, places, ck, load_ts=datetime(2026, 1, 1))
+    assert [x["period"] for x in log] == [jan] and log[0]["staging"] == 2 * 31 * 24
+    assert run_available(spark, layers, places, ck, load_ts=datetime(2026, 1, 1)) == []
+    land(spark, layers.raw, *feb, [(c, payload(s, *feb)) for c, s in (("moscow", 0.0), ("london", 8.0))])
+    log = run_available(spark, layers, places, ck, load_ts=datetime(2026, 1, 2))
+    assert [x["period"] for x in log] == [feb] and log[0]["mart"] == 20
+    served = current(spark, layers.serving)
+    assert served.count() == 2 * 41
+    # norms of February use January's history
+    assert served.where("dt = '2025-02-10' AND temp_norm_30d IS NOT NULL").count() == 2
+    # a corrected payload for one place (late data) re-runs its period; other places stay
+    land(spark, layers.raw, *feb, [("moscow", payload(1.0, *feb))])
+    log = run_available(spark, layers, places, ck, load_ts=datetime(2026, 1, 3))
+    assert [x["period"] for x in log] == [feb]
+    assert read_days(spark, layers.staging, *feb).count() == 2 * 10 * 24
