@@ -8,7 +8,7 @@ previous layers intact. Lineage never spans layers: each step starts from writte
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -92,8 +92,15 @@ def staging_gate(spark: SparkSession, layers: Layers, dim: DataFrame, start, end
 
 
 def aggregate_range(spark: SparkSession, layers: Layers, start, end, *,
-                    processed_at=True) -> int:
-    """staging -> mart for ``[start, end]``, with ``NORM_WINDOW_DAYS`` of history read."""
+                    processed_at=True, propagate: bool = False) -> int:
+    """staging -> mart for ``[start, end]``, with ``NORM_WINDOW_DAYS`` of history read.
+
+    ``propagate=True`` also rewrites the ``NORM_WINDOW_DAYS`` days after ``end`` whose norms
+    depend on the re-run days (only days that have staging rows produce mart rows).
+    """
+    start, end = check_period(start, end)
+    if propagate:
+        end = end + timedelta(days=NORM_WINDOW_DAYS)
     hourly = read_days(spark, layers.staging, start, end, lookback=NORM_WINDOW_DAYS)
     mart = build_mart(hourly, start=start, end=end, processed_at=processed_at)
     return overwrite_days(mart, layers.mart, sort_within=("city",))

@@ -58,15 +58,15 @@ def partition_inventory(spark: SparkSession, path: str, *, partition: str = "mon
     """Per partition: rows, parts (files), compressed and uncompressed bytes, readable sizes;
     newest ``newest`` partitions first.
 
-    The file list comes from the scan's ``_metadata`` (distributed, data columns pruned);
-    uncompressed sizes are read from the Parquet footers of those files by a pandas function
-    on the executors. Paths must be readable by pyarrow on the executors (local or mounted).
+    The file list is a ``binaryFile`` listing with the content column pruned (one row per
+    file, no data read; partitions from the folder names); row counts and uncompressed sizes
+    come from the Parquet footers, read by a pandas function on the executors. Paths must be
+    readable by pyarrow on the executors (local or mounted).
     """
-    files = (spark.read.option("basePath", path).parquet(path)
-             .select(F.col(partition).cast("string").alias("partition"),
-                     F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_size").alias("compressed"))
-             .distinct())
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+             .option("basePath", path).load(path)
+             .select(F.col(partition).cast("string").alias("partition"), F.col("path").alias("file"),
+                     F.col("length").alias("compressed")))
     return _inventory(files, newest)
 
 
@@ -75,9 +75,9 @@ def partition_inventory_of(spark: SparkSession, paths, *, newest: int = 12) -> D
     files = None
     for path in paths:
         name = path.rstrip("/").rsplit("/", 1)[-1]
-        f = (spark.read.parquet(path)
-             .select(F.lit(name).alias("partition"), F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_size").alias("compressed")).distinct())
+        f = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+             .select(F.lit(name).alias("partition"), F.col("path").alias("file"),
+                     F.col("length").alias("compressed")))
         files = f if files is None else files.unionByName(f)
     return _inventory(files, newest)
 

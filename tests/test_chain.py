@@ -68,3 +68,17 @@ def test_staging_gate_stops_the_chain(spark, places, scratch):
     assert "missing_entity" in str(e.value) and "incomplete_hours" in str(e.value)
     import os
     assert not os.path.exists(layers.mart)
+
+
+def test_propagate_rewrites_dependent_norms(spark, places, scratch):
+    from obsmart.plans.runs import aggregate_range, transform_range
+    from obsmart.sources.lake import read_days
+
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    land(spark, layers.raw, [("moscow", payload(0.0, START, END)), ("london", payload(8.0, START, END))])
+    transform_range(spark, layers, places, START, END)
+    assert aggregate_range(spark, layers, START, END) == 80
+    # re-running one day with propagation rewrites the following 30 days as well
+    day = date(2025, 1, 5)
+    assert aggregate_range(spark, layers, day, day, propagate=True) == 2 * 31
+    assert read_days(spark, layers.mart).count() == 80
