@@ -71,11 +71,14 @@ def enrich(facts: DataFrame, dim: DataFrame, *, fact_key: str, dim_key: str,
     side = dim.select(F.col(dim_key).alias("_dim_key"),
                       *[F.col(src).alias(dst) for src, dst in attrs.items()],
                       F.lit(True).alias("_dim_hit"))
-    side, n = bounded_broadcast(side, max_broadcast_rows)
+    # One small job over at most max_broadcast_rows + 1 rows: size bound and key uniqueness.
+    probe = (side.select("_dim_key").limit(max_broadcast_rows + 1).groupBy("_dim_key").count()
+             .agg(F.sum("count").alias("n"), F.max("count").alias("most")).first())
+    n, most = (probe.n or 0), (probe.most or 0)
     if n <= max_broadcast_rows:
-        dup = side.groupBy("_dim_key").count().where("count > 1").limit(1).count()
-        if dup:
+        if most > 1:
             raise ValueError(f"dimension key {dim_key!r} is not unique")
+        side = F.broadcast(side)
     facts = facts.drop(*[a for a in attrs.values() if a in facts.columns])
     joined = facts.join(side, facts[fact_key] == side["_dim_key"], "left")
     if observation is not None:

@@ -145,3 +145,21 @@ def test_utc_day_independent_of_session_zone(spark):
 
 def test_variables_map_is_the_documented_one():
     assert list(WEATHER_VARIABLES.values()) == STAGING_COLUMNS[6:]
+
+
+def test_enrich_bounded_broadcast_and_unique_key(spark):
+    from obsmart.operators.normalize import enrich
+
+    facts = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 30.0)], "k long, v double")
+    dim = spark.createDataFrame([(1, "a"), (2, "b")], "k long, name string")
+    obs = Observation("e")
+    out = enrich(facts, dim, fact_key="k", dim_key="k", attrs={"name": "name"}, observation=obs)
+    assert sorted((r.k, r.name) for r in out.collect()) == [(1, "a"), (2, "b")]
+    assert obs.get["unmatched"] == 1
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" in plan
+    big = enrich(facts, dim, fact_key="k", dim_key="k", attrs={"name": "name"}, how="left",
+                 max_broadcast_rows=1)
+    assert big.count() == 3
+    with pytest.raises(ValueError):
+        enrich(facts, dim.unionByName(dim), fact_key="k", dim_key="k", attrs={"name": "name"})
