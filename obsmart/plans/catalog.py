@@ -484,8 +484,7 @@ FROM mart GROUP BY l_returnflag"""
         for k, a in PIVOT_FLAGS.items())
     sql["monthly_pivot"] = _li_mart() + f"""
 SELECT CAST(date_trunc('month', dt) AS DATE) AS month, {pivot}
-FROM mart WHERE l_returnflag IN ({", ".join(f"'{k}'" for k in PIVOT_FLAGS)})
-GROUP BY CAST(date_trunc('month', dt) AS DATE)"""
+FROM mart GROUP BY CAST(date_trunc('month', dt) AS DATE)"""
     units = _hu(f"sum({_units('qty_avg')})", f"count(qty_avg) * {10 ** (SCALE - 1)}")
     sql["year_over_year"] = _li_mart() + f""",
 m AS (SELECT CAST(month(dt) AS INTEGER) AS month_num, CAST(year(dt) AS INTEGER) AS year, {units} AS u

@@ -57,7 +57,8 @@ def monthly_pivot(daily: DataFrame, *, entities: dict[str, str], entity: str = "
                   day: str = "dt", value: str = "temp_avg", scale: int = 1,
                   exact_scale: int | None = None, mode: str = "half_up") -> DataFrame:
     """Month x listed entities: the monthly average of ``value`` per entity, one column each.
-    ``entities`` maps entity value -> output column (always listed: no discovery pass)."""
+    ``entities`` maps entity value -> output column (always listed: no discovery pass). Every
+    month with data is a row; a listed entity without data in it gives NULL."""
     e, v = F.col(entity), F.col(value)
 
     def monthly_avg(x):
@@ -66,8 +67,7 @@ def monthly_pivot(daily: DataFrame, *, entities: dict[str, str], entity: str = "
         return round_to(aggregate("avg", x, exact_scale), scale, mode)
 
     cols = [monthly_avg(F.when(e == F.lit(key), v)).alias(alias) for key, alias in entities.items()]
-    return (daily.where(e.isin(list(entities)))
-            .groupBy(month_start(day).alias("month")).agg(*cols).orderBy("month"))
+    return daily.groupBy(month_start(day).alias("month")).agg(*cols).orderBy("month")
 
 
 def year_over_year(daily: DataFrame, *, entity_value, entity: str = "city", day: str = "dt",

@@ -57,3 +57,28 @@ def test_dynamic_overwrite_replaces_only_written_days(spark, scratch):
     df = read_days(spark, scratch)
     assert df.count() == 20
     assert df.where("temp_avg = 2.0").count() == 6
+
+
+def test_bucketed_table_resolves_without_shuffle(spark, scratch):
+    from obsmart.operators.versions import conform
+    from obsmart.plans.serving import compact_table, create_table, current_table, load_table
+
+    m = f"{scratch}/mart"
+    overwrite_days(mart(spark), m)
+    schema = conform(mart(spark), load_ts=datetime(2026, 3, 1)).schema
+    create_table(spark, "served_test", f"{scratch}/served_tbl", schema, buckets=4)
+    try:
+        assert load_table(spark, m, "served_test", "2026-01-01", "2026-02-09",
+                          load_ts=datetime(2026, 3, 1)) == 80
+        overwrite_days(mart(spark, value=2.0), m)
+        load_table(spark, m, "served_test", "2026-01-10", "2026-01-20", load_ts=datetime(2026, 3, 2))
+        cur = current_table(spark, "served_test")
+        assert cur.count() == 80 and cur.where("temp_avg = 2.0").count() == 22
+        plan = cur._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan.split("SortAggregate")[-1]     # nothing below the aggregate
+        before = sorted(tuple(r) for r in cur.collect())
+        assert compact_table(spark, "served_test", "2026-01-01", "2026-02-28") == 80
+        assert spark.table("served_test").count() == 80
+        assert sorted(tuple(r) for r in current_table(spark, "served_test").collect()) == before
+    finally:
+        spark.sql("DROP TABLE IF EXISTS served_test")
