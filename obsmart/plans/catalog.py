@@ -233,6 +233,11 @@ def q_mart_stats(spark, sf_dir):
     return _events_stats(spark, sf_dir)
 
 
+def q_lineitem_mart_stats(spark, sf_dir):
+    return mart_stats(lineitem_mart(spark, sf_dir), entity="l_returnflag", count_col="rows_count",
+                      expected_count=8, low="qty_min", mid="qty_avg", high="qty_max")
+
+
 def q_mart_checks(spark, sf_dir):
     n_days = (EVENTS_PERIOD[1] - EVENTS_PERIOD[0]).days + 1
     return mart_violations(_events_stats(spark, sf_dir), n_entities=EVENTS_N_TYPES, n_days=n_days)
@@ -286,6 +291,7 @@ def queries():
         "parsed_checks": q_parsed_checks,
         "mart_stats": q_mart_stats,
         "mart_checks": q_mart_checks,
+        "lineitem_mart_stats": q_lineitem_mart_stats,
         "expected_grid": q_expected_grid,
         "month_chunks": q_month_chunks,
         "fetch_plan": q_fetch_plan,
@@ -522,6 +528,12 @@ SELECT 'mart' AS layer, CAST(NULL AS DATE) AS dt, rule, CAST(NULL AS VARCHAR) AS
        CAST(NULL AS VARCHAR) AS entity, CAST(observed AS DOUBLE) AS observed,
        CAST(lo AS DOUBLE) AS limit_low, CAST(hi AS DOUBLE) AS limit_high
 FROM c WHERE observed < lo OR observed > hi"""
+    sql["lineitem_mart_stats"] = _li_mart() + """
+SELECT count(*) AS rows, count(DISTINCT l_returnflag) AS entities, count(DISTINCT dt) AS days,
+       count(*) FILTER (WHERE rows_count <> 8) AS incomplete_days,
+       count(*) FILTER (WHERE NOT (qty_min <= qty_avg AND qty_avg <= qty_max)) AS bad_order,
+       count(*) FILTER (WHERE qty_avg IS NULL OR isnan(qty_avg)) AS nan_avg
+FROM mart"""
     sql["expected_grid"] = f"""
 SELECT t.event_type, CAST(d AS DATE) AS dt
 FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL) t,
