@@ -16,7 +16,7 @@ from the same tables without the library.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 # Parameters of the registered queries.
-EVENTS_PERIOD = (date(2024, 1, 1), date(2024, 2, 2))       # three days past the data: empty days
+EMPTY_TAIL_DAYS = 3          # the checked period runs this many days past the data: empty days
 EVENTS_RANGES = {"value": (0.0, 400.0)}
 EVENTS_N_TYPES = 5
 RELOAD_PERIOD = (date(1997, 1, 1), date(1997, 12, 31))     # a re-run of one year
@@ -74,6 +74,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Shared Spark building blocks
 # --------------------------------------------------------------------------------------------
 
+def events_period(spark, sf_dir) -> tuple[date, date]:
+    """The checked period: first day of the events to ``EMPTY_TAIL_DAYS`` past the last day
+    (one-row statistic, so the checks cover the whole table at any scale)."""
+    r = table(spark, sf_dir, "events").agg(F.min(F.to_date("ts")).alias("s"),
+                                           F.max(F.to_date("ts")).alias("e")).first()
+    return r.s, r.e + timedelta(days=EMPTY_TAIL_DAYS)
+
+
 def events_hourly(spark, sf_dir) -> DataFrame:
     """Events as hourly observations (time truncated to the hour, duplicates kept)."""
     ev = table(spark, sf_dir, "events")
@@ -210,7 +218,8 @@ def q_latest_version(spark, sf_dir):
 def q_staging_checks(spark, sf_dir):
     h = events_hourly(spark, sf_dir)
     types = table(spark, sf_dir, "events").select("event_type")
-    return staging_violations(h, start=EVENTS_PERIOD[0], end=EVENTS_PERIOD[1], expected=types,
+    start, end = events_period(spark, sf_dir)
+    return staging_violations(h, start=start, end=end, expected=types,
                               entity="event_type", ts="ts", day="dt", metrics=["value"],
                               ranges=EVENTS_RANGES)
 
@@ -218,13 +227,15 @@ def q_staging_checks(spark, sf_dir):
 def q_parsed_checks(spark, sf_dir):
     s = events_staging(spark, sf_dir)
     types = table(spark, sf_dir, "events").select("event_type")
-    return staging_violations(s, start=EVENTS_PERIOD[0], end=EVENTS_PERIOD[1], expected=types,
+    start, end = events_period(spark, sf_dir)
+    return staging_violations(s, start=start, end=end, expected=types,
                               entity="event_type", ts="ts", day="dt", metrics=["value"],
                               ranges=EVENTS_RANGES)
 
 
 def _events_stats(spark, sf_dir):
-    return mart_stats(events_mart(spark, sf_dir), start=EVENTS_PERIOD[0], end=EVENTS_PERIOD[1],
+    start, end = events_period(spark, sf_dir)
+    return mart_stats(events_mart(spark, sf_dir), start=start, end=end,
                       entity="event_type", count_col="hours_count", expected_count=24,
                       low="value_min", mid="value_avg", high="value_max")
 
@@ -239,13 +250,14 @@ def q_lineitem_mart_stats(spark, sf_dir):
 
 
 def q_mart_checks(spark, sf_dir):
-    n_days = (EVENTS_PERIOD[1] - EVENTS_PERIOD[0]).days + 1
+    start, end = events_period(spark, sf_dir)
+    n_days = (end - start).days + 1
     return mart_violations(_events_stats(spark, sf_dir), n_entities=EVENTS_N_TYPES, n_days=n_days)
 
 
 def q_expected_grid(spark, sf_dir):
     types = table(spark, sf_dir, "events").select("event_type")
-    return expected_grid(types, "event_type", *EVENTS_PERIOD)
+    return expected_grid(types, "event_type", *events_period(spark, sf_dir))
 
 
 def q_month_chunks(spark, sf_dir):
@@ -388,11 +400,14 @@ def _li_mart(where: str = "", src: str = "li") -> str:
         "qty_anomaly", where)
 
 
+_SPAN = f"""span AS (SELECT min(CAST(ts AS DATE)) AS s, max(CAST(ts AS DATE)) + {EMPTY_TAIL_DAYS} AS e
+          FROM events)"""
+
+
 def _checks_sql(src_cte: str, src: str) -> str:
-    s, e = EVENTS_PERIOD
     lo, hi = EVENTS_RANGES["value"]
-    return f"""WITH {src_cte.strip()},
-s AS (SELECT * FROM {src} WHERE dt BETWEEN DATE '{s}' AND DATE '{e}'),
+    return f"""WITH {src_cte.strip()}, {_SPAN},
+s AS (SELECT * FROM {src} WHERE dt BETWEEN (SELECT s FROM span) AND (SELECT e FROM span)),
 l1 AS (SELECT dt, event_type, ts, count(*) AS n,
               count(*) FILTER (WHERE value IS NULL OR isnan(value)) AS nn,
               count(*) FILTER (WHERE NOT isnan(value) AND (value < {lo} OR value > {hi})) AS oor
@@ -403,7 +418,7 @@ l2 AS (SELECT dt, event_type, sum(n) AS nrows, sum(n - 1) AS dups, count(ts) AS
 l3 AS (SELECT dt, sum(nrows) AS nrows, sum(dups) AS dups,
               sum(nrows) FILTER (WHERE event_type IS NULL) AS null_entity, sum(null_ts) AS null_ts,
               sum(nn) AS nn, sum(oor) AS oor FROM l2 GROUP BY dt),
-days AS (SELECT CAST(unnest(generate_series(DATE '{s}', DATE '{e}', INTERVAL 1 DAY)) AS DATE) AS dt),
+days AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS dt FROM span),
 types AS (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL),
 v AS (
   SELECT dt, 'empty' AS rule, NULL AS field, NULL AS entity, 0.0 AS observed, 1.0 AS limit_low,
@@ -424,18 +439,15 @@ SELECT 'staging' AS layer, CAST(dt AS DATE) AS dt, rule, CAST(field AS VARCHAR)
 
 
 def _ev_stats() -> str:
-    s, e = EVENTS_PERIOD
-    return _ev_mart() + f""",
+    return _ev_mart() + f""", {_SPAN},
 st AS (SELECT count(*) AS rows, count(DISTINCT event_type) AS entities, count(DISTINCT dt) AS days,
               count(*) FILTER (WHERE hours_count <> 24) AS incomplete_days,
               count(*) FILTER (WHERE NOT (value_min <= value_avg AND value_avg <= value_max)) AS bad_order,
               count(*) FILTER (WHERE value_avg IS NULL OR isnan(value_avg)) AS nan_avg
-       FROM mart WHERE dt BETWEEN DATE '{s}' AND DATE '{e}')"""
+       FROM mart WHERE dt BETWEEN (SELECT s FROM span) AND (SELECT e FROM span))"""
 
 
 def oracle_sql() -> dict[str, str]:
-    s, e = EVENTS_PERIOD
-    n_days = (e - s).days + 1
     rs, re_ = RELOAD_PERIOD
     sql = {}
     sql["unpivot_arrays"] = "WITH " + _EV_HOURS.strip() + "\nSELECT event_type, ts, value FROM ev_rows"
@@ -517,10 +529,12 @@ SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
     sql["parsed_checks"] = _checks_sql(_EV_HOURS, "ev_rows")
     sql["mart_stats"] = _ev_stats() + "\nSELECT * FROM st"
     sql["mart_checks"] = _ev_stats() + f""",
+n AS (SELECT CAST(e - s + 1 AS DOUBLE) AS n_days FROM span),
 c AS (
-  SELECT 'rows' AS rule, rows AS observed, {5 * n_days}.0 AS lo, {5 * n_days}.0 AS hi FROM st
+  SELECT 'rows' AS rule, rows AS observed, {EVENTS_N_TYPES} * n_days AS lo,
+         {EVENTS_N_TYPES} * n_days AS hi FROM st, n
   UNION ALL SELECT 'entities', entities, {EVENTS_N_TYPES}.0, {EVENTS_N_TYPES}.0 FROM st
-  UNION ALL SELECT 'days', days, {n_days}.0, {n_days}.0 FROM st
+  UNION ALL SELECT 'days', days, n_days, n_days FROM st, n
   UNION ALL SELECT 'incomplete_days', incomplete_days, 0.0, 0.0 FROM st
   UNION ALL SELECT 'bad_order', bad_order, 0.0, 0.0 FROM st
   UNION ALL SELECT 'nan_avg', nan_avg, 0.0, 0.0 FROM st)
@@ -534,10 +548,10 @@ SELECT count(*) AS rows, count(DISTINCT l_returnflag) AS entities, count(DISTINC
        count(*) FILTER (WHERE NOT (qty_min <= qty_avg AND qty_avg <= qty_max)) AS bad_order,
        count(*) FILTER (WHERE qty_avg IS NULL OR isnan(qty_avg)) AS nan_avg
 FROM mart"""
-    sql["expected_grid"] = f"""
-SELECT t.event_type, CAST(d AS DATE) AS dt
-FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL) t,
-     unnest(generate_series(DATE '{s}', DATE '{e}', INTERVAL 1 DAY)) AS g(d)"""
+    sql["expected_grid"] = f"""WITH {_SPAN},
+d AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS dt FROM span)
+SELECT t.event_type, d.dt
+FROM (SELECT DISTINCT event_type FROM events WHERE event_type IS NOT NULL) t, d"""
     chunks = """
 SELECT CAST(greatest(m, s) AS DATE) AS chunk_start, CAST(least(last_day(m), e) AS DATE) AS chunk_end{extra}
 FROM (SELECT *, CAST(unnest(generate_series(CAST(date_trunc('month', s) AS DATE),
