@@ -91,7 +91,9 @@ def land_payloads(obs: DataFrame, *, entity: str, ts: str, metrics: dict[str, st
 
     ``metrics`` maps table column -> payload variable. Two aggregation steps: the last value
     per (entity, hour) combines map-side, so the payload step only gathers at most one value
-    per hour of the period (24 per day, 744 per month) whatever the input skew.
+    per hour of the period (24 per day, 744 per month) whatever the input skew. The dense
+    arrays are built in linear time from the hours sorted once: each observed value is
+    preceded by nulls for the hours missing before it, and the tail is padded.
     """
     if period not in ("day", "month"):
         raise ValueError("period must be 'day' or 'month'")
@@ -103,21 +105,33 @@ def land_payloads(obs: DataFrame, *, entity: str, ts: str, metrics: dict[str, st
     hourly = keep_last(hourly.where(F.col("_e").isNotNull() & F.col("_h").isNotNull()),
                        ["_e", "_h"], order_cols)
     first = F.to_date("_h") if period == "day" else F.trunc(F.to_date("_h"), "MM")
+    idx = F.datediff(F.to_date("_h"), F.col("_ps")) * 24 + F.hour("_h")
     grouped = (hourly.withColumn("_ps", first)
                .groupBy("_e", "_ps")
-               .agg(F.map_from_entries(F.collect_list(F.struct(
-                   "_h", F.struct(*[f"_m{i}" for i in range(len(metrics))])))).alias("_vals")))
+               .agg(F.array_sort(F.collect_list(F.struct(
+                   idx.alias("i"), *[F.col(f"_m{i}").alias(f"v{i}") for i in range(len(metrics))])))
+                   .alias("_s")))
     last_day = F.col("_ps") if period == "day" else F.last_day("_ps")
-    start_ts = F.col("_ps").cast(hourly.schema["_h"].dataType)
-    end_ts = F.date_add(last_day, 1).cast(hourly.schema["_h"].dataType) - F.expr("INTERVAL 1 HOUR")
-    hours = F.sequence(start_ts, end_ts, F.expr("INTERVAL 1 HOUR"))
+    n_hours = F.datediff(F.date_add(last_day, 1), F.col("_ps")) * 24
+    ts_type = hourly.schema["_h"].dataType
+    start_ts = F.col("_ps").cast(ts_type)
+    hours = F.sequence(start_ts, F.date_add(last_day, 1).cast(ts_type) - F.expr("INTERVAL 1 HOUR"),
+                       F.expr("INTERVAL 1 HOUR"))
     arrays = [F.transform(hours, lambda t: F.date_format(t, time_format)).alias("time")]
 
-    def value_at(i):
-        return lambda t: F.element_at(F.col("_vals"), t).getField(f"_m{i}")
+    def dense(i):
+        s = F.col("_s")
+        nothing = F.lit(None).cast(hourly.schema[f"_m{i}"].dataType)
+
+        def piece(x, j):
+            prev_end = F.when(j == 0, F.lit(0)).otherwise(F.get(s, j - 1).getField("i") + 1)
+            return F.concat(F.array_repeat(nothing, x.getField("i") - prev_end),
+                            F.array(x.getField(f"v{i}")))
+        tail = n_hours - (F.element_at(s, -1).getField("i") + 1)
+        return F.concat(F.flatten(F.transform(s, piece)), F.array_repeat(nothing, tail))
 
     for i, var in enumerate(metrics.values()):
-        arrays.append(F.transform(hours, value_at(i)).alias(var))
+        arrays.append(dense(i).alias(var))
     body = F.to_json(F.struct(F.struct(*arrays).alias("hourly")))
     return grouped.select(
         F.concat_ws("_", F.date_format("_ps", "yyyy-MM-dd"), F.date_format(last_day, "yyyy-MM-dd")).alias("range"),
