@@ -514,7 +514,7 @@ FROM m"""
 SELECT count(*) AS rows, count(DISTINCT l_returnflag) AS entities, min(dt) AS first_day,
        max(dt) AS last_day FROM mart"""
     sql["serving_reload"] = _li_mart() + f"""
-SELECT *, CASE WHEN dt BETWEEN DATE '{rs}' AND DATE '{re_}'
+SELECT * REPLACE (CAST(rows_count AS INTEGER) AS rows_count), CASE WHEN dt BETWEEN DATE '{rs}' AND DATE '{re_}'
                THEN TIMESTAMP '{LOAD_TS_2:%Y-%m-%d %H:%M:%S}'
                ELSE TIMESTAMP '{LOAD_TS_1:%Y-%m-%d %H:%M:%S}' END AS loaded_at,
        CAST(year(dt) * 100 + month(dt) AS INTEGER) AS month
