@@ -42,9 +42,17 @@ def test_every_query_has_an_oracle_or_is_listed():
     assert set(E.queries()) - set(E.oracle_sql()) == {"partition_inventory"}
 
 
+# Spark type -> DuckDB type of the same values.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
 def test_query_matches_oracle(spark, con, key):
     sdf = E.queries()[key](spark, SF)
+    rel = con.sql(E.oracle_sql()[key])
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert spark_types == dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = con.execute(E.oracle_sql()[key])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
