@@ -32,8 +32,9 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: st
     """
     df = spark.read.option("basePath", path).text(path, wholetext=True)
     df = df.withColumnRenamed("value", "body")
-    if entity not in df.columns:  # payload files named <key>.json directly under range=
-        df = df.withColumn(entity, F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.json$", 1))
+    if entity not in df.columns:  # files named <key>.json or <entity>=<key>.json under range=
+        pattern = rf"^(?:{entity}=)?(.*)\.json$"
+        df = df.withColumn(entity, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
     df = df.withColumn("range", F.col("range").cast("string"))
     df = df.select(
         "range",

@@ -56,14 +56,16 @@ def test_raw_files_named_by_entity(spark, sample_payload, scratch):
     os.makedirs(d)
     with open(os.path.join(d, "moscow.json"), "w", encoding="utf-8") as f:
         json.dump(sample_payload, f, ensure_ascii=False, indent=2)     # pretty-printed file
+    with open(os.path.join(d, "city=london.json"), "w", encoding="utf-8") as f:
+        json.dump(sample_payload, f, ensure_ascii=False)               # the original layout
     got = read_raw(spark, scratch, "2026-10-07", "2026-10-07").collect()
-    assert [r.city for r in got] == ["moscow"]
+    assert sorted(r.city for r in got) == ["london", "moscow"]
 
 
 def test_read_dimension_yaml_and_csv(spark, scratch):
     y = f"{scratch}/places.yaml"
     with open(y, "w", encoding="utf-8") as f:
-        f.write("places:\n  - {slug: moscow, name: Москва, country: RU, lat: 55.7558, lon: 37.6173}\n"
+        f.write("cities:\n  - {slug: moscow, name: Москва, country: RU, lat: 55.7558, lon: 37.6173}\n"
                 "  - {slug: london, name: Лондон, country: GB, lat: 51.5074, lon: -0.1278}\n")
     dim = read_dimension(spark, y)
     assert dim.count() == 2 and dim.where("slug = 'london'").first().lon == -0.1278
