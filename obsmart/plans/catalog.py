@@ -66,6 +66,13 @@ LI_SPEC = DailySpec(
     count_col="rows_count", value="qty_avg", norm="qty_norm_30d", anomaly="qty_anomaly")
 
 
+OR_ROLES = Roles(entity="o_orderpriority", ts="o_orderdate", day="dt", metrics=("o_totalprice",))
+OR_SPEC = DailySpec(
+    aggs=(("price_min", "min", "o_totalprice"), ("price_max", "max", "o_totalprice"),
+          ("price_avg", "avg", "o_totalprice"), ("price_sum", "sum", "o_totalprice")),
+    count_col="orders_count", value="price_avg", norm="price_norm_30d", anomaly="price_anomaly")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -161,6 +168,13 @@ def q_lineitem_mart(spark, sf_dir):
     return lineitem_mart(spark, sf_dir)
 
 
+def q_orders_mart(spark, sf_dir):
+    """A sparse daily series (days without orders leave gaps in the calendar window)."""
+    obs = assign_day(table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderdate", "o_totalprice"),
+                     "o_orderdate", "dt")
+    return build_mart(obs, roles=OR_ROLES, spec=OR_SPEC, exact_scale=SCALE, processed_at=None)
+
+
 def q_events_mart(spark, sf_dir):
     return events_mart(spark, sf_dir)
 
@@ -290,6 +304,7 @@ def queries():
         "daily_rollup": q_daily_rollup,
         "lineitem_mart": q_lineitem_mart,
         "events_mart": q_events_mart,
+        "orders_mart": q_orders_mart,
         "top_anomalies": q_top_anomalies,
         "events_top_anomalies": q_events_top_anomalies,
         "anomaly_counts": q_anomaly_counts,
@@ -471,6 +486,10 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
                            "FROM li GROUP BY dt, l_returnflag")
     sql["lineitem_mart"] = _li_mart() + "\nSELECT * FROM mart"
     sql["events_mart"] = _ev_mart() + "\nSELECT * FROM mart"
+    sql["orders_mart"] = ("WITH ord AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS dt, "
+                          "o_totalprice FROM orders)," + _mart_sql(
+                              "ord", "o_orderpriority", "orders_count", OR_SPEC.aggs, "price_avg",
+                              "price_norm_30d", "price_anomaly") + "\nSELECT * FROM mart")
     sql["top_anomalies"] = _li_mart() + """
 SELECT dt, l_returnflag, qty_avg, qty_norm_30d, qty_anomaly,
        CASE WHEN qty_anomaly > 0 THEN 'тепло' ELSE 'холод' END AS kind
