@@ -37,16 +37,30 @@ def read_months(spark: SparkSession, path: str, start=None, end=None, *, day: st
     return df.where(F.col(month).between(lo, hi) & F.col(day).between(F.lit(start), F.lit(end)))
 
 
+def _parquet_file(path: str):
+    """Open a Parquet file by the path Spark reports: local, or a remote filesystem pyarrow
+    knows (``s3a://`` is read as ``s3://``; credentials come from the executor environment)."""
+    import pyarrow.parquet as pq
+
+    if path.startswith("file:"):
+        return pq.ParquetFile(path[len("file:"):])
+    if "://" not in path:
+        return pq.ParquetFile(path)
+    from pyarrow import fs as pafs
+
+    uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
+    filesystem, inner = pafs.FileSystem.from_uri(uri)
+    return pq.ParquetFile(filesystem.open_input_file(inner))
+
+
 def _footer_sizes(batches):
     """Per file: rows and uncompressed bytes from the Parquet footer (pyarrow, no data read)."""
     import pandas as pd
-    import pyarrow.parquet as pq
 
     for pdf in batches:
         rows, sizes = [], []
         for path in pdf["file"]:
-            local = path[len("file:"):] if path.startswith("file:") else path
-            meta = pq.ParquetFile(local).metadata
+            meta = _parquet_file(path).metadata
             rows.append(meta.num_rows)
             sizes.append(sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)))
         yield pd.DataFrame({"file": pdf["file"], "partition": pdf["partition"],
@@ -60,8 +74,8 @@ def partition_inventory(spark: SparkSession, path: str, *, partition: str = "mon
 
     The file list is a ``binaryFile`` listing with the content column pruned (one row per
     file, no data read; partitions from the folder names); row counts and uncompressed sizes
-    come from the Parquet footers, read by a pandas function on the executors. Paths must be
-    readable by pyarrow on the executors (local or mounted).
+    come from the Parquet footers, read by a pandas function on the executors (local paths
+    and the remote filesystems pyarrow supports).
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
              .option("basePath", path).load(path)
