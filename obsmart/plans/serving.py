@@ -110,3 +110,12 @@ def compact_table(spark: SparkSession, name: str, start, end, *, keys=("city", "
     df, obs = _observed_rows(df, "compact_table")
     df.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
     return int(obs.get["rows"])
+
+
+def register_view(spark: SparkSession, serving_path: str, name: str = "daily_city", *,
+                  keys=("city", "dt"), start=None, end=None) -> DataFrame:
+    """Expose the latest versions as a temporary view, so reports can also be written in
+    ``spark.sql`` (the view plays the role of the versioned table read with FINAL)."""
+    df = current(spark, serving_path, start, end, keys=keys)
+    df.createOrReplaceTempView(name)
+    return df

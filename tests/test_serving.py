@@ -82,3 +82,17 @@ def test_bucketed_table_resolves_without_shuffle(spark, scratch):
         assert sorted(tuple(r) for r in current_table(spark, "served_test").collect()) == before
     finally:
         spark.sql("DROP TABLE IF EXISTS served_test")
+
+
+def test_sql_view_of_latest_versions(spark, scratch):
+    from obsmart.plans import reports
+    from obsmart.plans.serving import register_view
+
+    m, s = f"{scratch}/mart", f"{scratch}/serving"
+    overwrite_days(mart(spark), m)
+    load_range(spark, m, s, "2026-01-01", "2026-02-09", load_ts=datetime(2026, 3, 1))
+    load_range(spark, m, s, "2026-01-01", "2026-01-05", load_ts=datetime(2026, 3, 2))
+    daily = register_view(spark, s, "daily_city_test")
+    got = spark.sql("SELECT count(*) AS rows, count(DISTINCT city) AS entities, min(dt) AS first_day, "
+                    "max(dt) AS last_day FROM daily_city_test").first()
+    assert tuple(got) == tuple(reports.overview(daily).first()) == (80, 2, date(2026, 1, 1), date(2026, 2, 9))
