@@ -95,19 +95,43 @@ def drop_null_keys(df: DataFrame, keys) -> DataFrame:
     return df.dropna(subset=list(keys))
 
 
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+
+
 def keep_last(df: DataFrame, keys, order) -> DataFrame:
     """One row per key: the one with the greatest ``order`` (a list of columns, compared left
     to right). Expressed as an aggregate, so rows are combined map-side before the shuffle and
-    a key with very many duplicates never lands whole in one task."""
+    a key with very many duplicates never lands whole in one task.
+
+    With a single fixed-width ``order`` and fixed-width other columns, every column is its
+    own ``max_by`` over that same ordering: all columns take their value from the same row
+    (the decisions are the same comparisons, ties included), and the fixed-width buffers let
+    Spark use the code-generated hash aggregate. Otherwise the row is one struct (sort-based
+    aggregate).
+    """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     others = [c for c in df.columns if c not in keys]
+    if len(order_cols) == 1:
+        with_order = df.select("*", order_cols[0].alias("_keep_order"))
+        types = {f.name: f.dataType for f in with_order.schema.fields}
+        if all(isinstance(types[c], _FIXED_WIDTH) for c in [*others, "_keep_order"]):
+            o = F.col("_keep_order")
+            picked = with_order.groupBy(*keys).agg(*[F.max_by(F.col(c), o).alias(c) for c in others])
+            return picked.select(*df.columns)
     picked = (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_r"))
               .select(*keys, "_r.*"))
     return picked.select(*df.columns)
 
 
+def payload_order(range_end: str = "range_end", pos: str = "_pos") -> Column:
+    """Keep-last order of unpacked rows as one LONG: newer range first, then later array
+    position (positions below 2^20, i.e. payloads of up to ~119 years of hours)."""
+    return F.unix_date(F.col(range_end)).cast("long") * F.lit(1 << 20) + F.col(pos).cast("long")
+
+
 def clip_columns(df: DataFrame, columns, low: float = 0.0, high: float = 100.0,
                  observation: Observation | None = None) -> DataFrame:
     """Clip ``columns`` to [low, high]; other columns untouched. The number of repaired
@@ -128,9 +152,12 @@ def assign_day(df: DataFrame, ts: str = "ts", day: str = "dt", start=None, end=N
     return df
 
 
-def clean(df: DataFrame, *, keys=("city", "ts"), order=("_pos",), percent_columns=(),
+def clean(df: DataFrame, *, keys=("city", "ts"), order=None, percent_columns=(),
           observation: Observation | None = None) -> DataFrame:
-    """Drop rows with a NULL key, keep the last row per key, clip percentages."""
+    """Drop rows with a NULL key, keep the last row per key, clip percentages. The default
+    order is the payload order (newest range, then last array position)."""
+    if order is None:
+        order = [payload_order()] if "range_end" in df.columns else ["_pos"]
     df = drop_null_keys(df, keys)
     df = keep_last(df, keys, order)
     return clip_columns(df, percent_columns, 0.0, 100.0, observation)

@@ -111,7 +111,7 @@ def events_rows(spark, sf_dir) -> DataFrame:
 
 def events_staging(spark, sf_dir) -> DataFrame:
     rows = assign_day(events_rows(spark, sf_dir), "ts", "dt")
-    return clean(rows, keys=("event_type", "ts"), order=("range_end", "_pos")).drop("range_end", "_pos")
+    return clean(rows, keys=("event_type", "ts")).drop("range_end", "_pos")
 
 
 def events_mart(spark, sf_dir) -> DataFrame:

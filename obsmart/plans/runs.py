@@ -64,8 +64,7 @@ def transform_payloads(payloads: DataFrame, dim: DataFrame, start, end, *,
     """Payload rows -> clean hourly staging rows of ``[start, end]`` (with ``dt``)."""
     rows = unpivot_arrays(payloads, variables, keep=("range_end", entity), ts="ts")
     rows = assign_day(rows, "ts", "dt", start, end)
-    rows = clean(rows, keys=(entity, "ts"), order=("range_end", "_pos"),
-                 percent_columns=percent_columns, observation=repairs)
+    rows = clean(rows, keys=(entity, "ts"), percent_columns=percent_columns, observation=repairs)
     rows = enrich(rows, dim, fact_key=entity, dim_key="slug", attrs=DIM_ATTRS)
     cols = [c for c in STAGING_COLUMNS if c in rows.columns] if entity == "city" else rows.columns
     return rows.select(*[c for c in cols if c not in ("range_end", "_pos", "dt")], "dt")

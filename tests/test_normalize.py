@@ -163,3 +163,19 @@ def test_enrich_bounded_broadcast_and_unique_key(spark):
     assert big.count() == 3
     with pytest.raises(ValueError):
         enrich(facts, dim.unionByName(dim), fact_key="k", dim_key="k", attrs={"name": "name"})
+
+
+def test_keep_last_fast_path_takes_whole_rows(spark):
+    from obsmart.operators.normalize import keep_last
+
+    rows = [("a", 1, 10, 1.0, 100), ("a", 1, 30, 3.0, 300), ("a", 1, 20, 2.0, 200),
+            ("a", 1, 30, 4.0, 400), ("b", 1, 5, None, 7)]          # a tie on the order for "a"
+    df = spark.createDataFrame(rows, "k string, t int, o long, v double, w long").repartition(3)
+    out = keep_last(df, ["k", "t"], ["o"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    got = {r.k: (r.o, r.v, r.w) for r in out.collect()}
+    assert got["b"] == (5, None, 7)
+    assert got["a"] in {(30, 3.0, 300), (30, 4.0, 400)}            # one whole row, never mixed
+    both = keep_last(df, ["k", "t"], ["o", "v"]).where("k = 'a'").first()
+    assert (both.o, both.v, both.w) == (30, 4.0, 400)                # struct order breaks the tie
