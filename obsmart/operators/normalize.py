@@ -27,19 +27,21 @@ def unpivot_arrays(payloads: DataFrame, variables: dict[str, str], *, body: str
     length of ``time``; an empty or missing ``hourly`` gives no rows. Numbers are read from
     text (junk -> NULL, NaN -> NULL). Times are UTC; junk -> NULL unless ``strict``.
 
-    The arrays are zipped by position inside one expression per payload (``transform`` over
-    ``time``), so each output row carries only its own values.
+    The arrays are zipped by position in one code-generated expression per payload
+    (``arrays_zip`` with an explicit position array), so each output row carries only its
+    own values.
     """
     parsed = payloads.select(*keep, F.from_json(F.col(body), payload_schema(variables)).alias("_p"))
     hourly = F.col("_p.hourly")
-    zipped = F.transform(
-        hourly.getField("time"),
-        lambda t, i: F.struct(
-            t.alias("_time"), i.alias("_i"),
-            *[F.get(hourly.getField(api), i).alias(f"_v{n}") for n, api in enumerate(variables)],
-        ),
-    )
-    rows = parsed.select(*keep, F.inline(zipped))
+    time = hourly.getField("time")
+    empty = F.array().cast("array<string>")
+    # Positions 0..len(time)-1 bound the zip: longer arrays are cut, shorter ones padded with
+    # NULL, an absent variable is an empty array (all NULL); no time -> no rows.
+    positions = F.when(F.size(time) > 0, F.sequence(F.lit(0), F.size(time) - 1))
+    zipped = F.arrays_zip(
+        time.alias("_time"), positions.alias("_i"),
+        *[F.coalesce(hourly.getField(api), empty).alias(f"_v{n}") for n, api in enumerate(variables)])
+    rows = parsed.select(*keep, F.inline(zipped)).where(F.col("_i").isNotNull())
     ts_expr = to_utc("_time", strict=strict)
     out = [F.col(k) for k in keep] + [ts_expr.alias(ts)]
     out += [to_number(f"_v{n}").alias(column) for n, column in enumerate(variables.values())]
