@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsmart.functions.numeric import clip, to_number
-from obsmart.functions.temporal import to_utc, utc_day
+from obsmart.functions.numeric import clip, to_number  # noqa: F401  (P3, re-exported)
+from obsmart.functions.temporal import to_utc, utc_day  # noqa: F401  (P4, re-exported)
 from obsmart.operators.calendar import check_period
 from obsmart.schemas import payload_schema
 

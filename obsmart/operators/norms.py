@@ -31,5 +31,11 @@ def trailing_norm(daily: DataFrame, *, entity, day: str = "dt", value: str = "te
         F.when(F.count(F.col(value)).over(w) >= min_periods, F.avg(F.col(value)).over(w)).alias(norm),
     )
     if anomaly:
-        with_norm = with_norm.withColumn(anomaly, F.col(value) - F.col(norm))
+        with_norm = with_anomaly(with_norm, value=value, norm=norm, out=anomaly)
     return with_norm
+
+
+def with_anomaly(daily: DataFrame, *, value: str = "temp_avg", norm: str = "temp_norm_30d",
+                 out: str = "temp_anomaly") -> DataFrame:
+    """``out`` = value - norm (NULL when the norm is NULL)."""
+    return daily.withColumn(out, F.col(value) - F.col(norm))

@@ -16,6 +16,7 @@ from obsmart.functions.numeric import (
 from obsmart.functions.temporal import month_start
 from obsmart.operators.rollup import aggregate
 from obsmart.schemas import ANOMALY_LABELS
+from obsmart.sources.lake import partition_inventory  # noqa: F401  (R2, listed with the reports)
 
 
 def overview(daily: DataFrame, *, entity: str = "city", day: str = "dt") -> DataFrame:
