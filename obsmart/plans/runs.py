@@ -70,10 +70,11 @@ def transform_payloads(payloads: DataFrame, dim: DataFrame, start, end, *,
     return rows.select(*[c for c in cols if c not in ("range_end", "_pos", "dt")], "dt")
 
 
-def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, **kw) -> dict:
+def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
+                    layout: str = "folders", **kw) -> dict:
     """raw -> staging for ``[start, end]``: every touched day is replaced whole."""
     repairs = Observation("repairs")
-    payloads = read_raw(spark, layers.raw, start, end)
+    payloads = read_raw(spark, layers.raw, start, end, layout=layout)
     rows = transform_payloads(payloads, dim, start, end, repairs=repairs, **kw)
     n = overwrite_days(rows, layers.staging, sort_within=("city", "ts"))
     return {"rows": n, "repaired": dict(repairs.get) if n else {}}

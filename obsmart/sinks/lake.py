@@ -13,15 +13,30 @@ def _observed_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def write_raw(payloads: DataFrame, path: str, *, entity: str = "city") -> int:
-    """Payloads ``(range, <entity>, body)`` -> ``range=<s>_<e>/<entity>=<key>/`` text files.
+def write_raw(payloads: DataFrame, path: str, *, entity: str = "city", layout: str = "folders") -> int:
+    """Payloads ``(range, <entity>, body)`` -> the raw layer. Returns payloads written
+    (counted while writing). Dynamic overwrite: a re-run replaces its own folders only.
 
-    Dynamic overwrite: a re-run of a period replaces its own folders, others stay. Returns the
-    number of payloads written (counted while writing).
+    ``layout="folders"``: ``range=<s>_<e>/<entity>=<key>/`` with one payload file each (the
+    original layout; a re-run of one entity replaces just that entity).
+    ``layout="lines"``: ``range=<s>_<e>/`` with JSON lines ``{"<entity>": key, "payload": {..}}``
+    in files sized by AQE; a re-run replaces the whole range. For very many entities this
+    avoids one file per payload.
     """
-    out, obs = _observed_rows(payloads.select("range", entity, "body"), "write_raw")
-    (out.repartition("range", entity).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("range", entity).text(path))
+    if layout == "folders":
+        out, obs = _observed_rows(payloads.select("range", entity, "body"), "write_raw")
+        (out.repartition("range", entity).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("range", entity).text(path))
+        return int(obs.get["rows"])
+    if layout != "lines":
+        raise ValueError("layout must be 'folders' or 'lines'")
+    head = F.to_json(F.struct(F.col(entity).cast("string").alias(entity)))
+    line = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(', "payload": '),
+                    F.col("body"), F.lit("}"))
+    out = payloads.select("range", head.alias("_head"), "body").select("range", line.alias("value"))
+    out, obs = _observed_rows(out, "write_raw")
+    (out.hint("rebalance", "range").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("range").text(path))
     return int(obs.get["rows"])
 
 

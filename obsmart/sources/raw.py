@@ -22,16 +22,21 @@ def range_key(start, end) -> str:
 
 
 def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: str = "city",
-             all_ranges: bool = False) -> DataFrame:
+             all_ranges: bool = False, layout: str = "folders") -> DataFrame:
     """Payload rows ``(range, range_start, range_end, <entity>, body)``.
 
     By default only the folder of exactly ``[start, end]`` is read (the filter on the
     ``range`` partition column prunes folders). ``all_ranges=True`` reads every range that
     overlaps the period; overlapping hours are then resolved newest range first (see
-    ``keep_last`` ordering on ``range_end``).
+    ``keep_last`` ordering on ``range_end``). ``layout`` as in ``sinks.lake.write_raw``.
     """
-    df = spark.read.option("basePath", path).text(path, wholetext=True)
-    df = df.withColumnRenamed("value", "body")
+    if layout == "lines":
+        df = spark.read.option("basePath", path).text(path)
+        df = df.select("range", F.get_json_object("value", f"$.{entity}").alias(entity),
+                       F.get_json_object("value", "$.payload").alias("body"))
+    else:
+        df = spark.read.option("basePath", path).text(path, wholetext=True)
+        df = df.withColumnRenamed("value", "body")
     if entity not in df.columns:  # files named <key>.json or <entity>=<key>.json under range=
         pattern = rf"^(?:{entity}=)?(.*)\.json$"
         df = df.withColumn(entity, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))

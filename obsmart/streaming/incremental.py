@@ -28,7 +28,8 @@ def raw_stream(spark: SparkSession, raw_path: str, *, max_files: int | None = No
     """Streaming frame of newly landed payload files: ``(range, range_start, range_end)``.
 
     The range comes from the file path, so the stream does not depend on partition
-    discovery of a folder that may still be empty when the query starts.
+    discovery of a folder that may still be empty when the query starts. Files are read
+    whole (only their path matters), so both raw layouts work.
     """
     reader = spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
     if max_files:
@@ -43,12 +44,12 @@ def raw_stream(spark: SparkSession, raw_path: str, *, max_files: int | None = No
 
 
 def rerun_periods(spark: SparkSession, layers: Layers, dim: DataFrame, periods, *,
-                  load_ts: datetime | None = None) -> list[dict]:
+                  load_ts: datetime | None = None, layout: str = "folders") -> list[dict]:
     """Re-run transform -> aggregate -> load for each ``(start, end)`` period."""
     done = []
     for start, end in sorted(set(periods)):
         step = {"period": (start, end)}
-        step["staging"] = transform_range(spark, layers, dim, start, end)["rows"]
+        step["staging"] = transform_range(spark, layers, dim, start, end, layout=layout)["rows"]
         step["mart"] = aggregate_range(spark, layers, start, end)
         if load_ts is not None:
             step["served"] = load_range(spark, layers.mart, layers.serving, start, end, load_ts=load_ts)
@@ -57,7 +58,8 @@ def rerun_periods(spark: SparkSession, layers: Layers, dim: DataFrame, periods,
 
 
 def run_available(spark: SparkSession, layers: Layers, dim: DataFrame, checkpoint: str, *,
-                  load_ts: datetime | None = None, max_files: int | None = None) -> list[dict]:
+                  load_ts: datetime | None = None, max_files: int | None = None,
+                  layout: str = "folders") -> list[dict]:
     """Process every raw file that arrived since the last call, then stop.
 
     ``checkpoint`` is the streaming query's own folder (on shared storage). Returns what was
@@ -68,7 +70,8 @@ def run_available(spark: SparkSession, layers: Layers, dim: DataFrame, checkpoin
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         periods = [(r.range_start, r.range_end)
                    for r in batch.select("range_start", "range_end").distinct().collect()]
-        log.extend(rerun_periods(batch.sparkSession, layers, dim, periods, load_ts=load_ts))
+        log.extend(rerun_periods(batch.sparkSession, layers, dim, periods, load_ts=load_ts,
+                                 layout=layout))
 
     query = (raw_stream(spark, layers.raw, max_files=max_files).writeStream
              .foreachBatch(on_batch)
