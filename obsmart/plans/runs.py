@@ -43,7 +43,8 @@ class RunReport:
     steps: dict = field(default_factory=dict)
 
 
-def extract_range(landed: DataFrame, raw_path: str, start, end, *, entity: str = "city") -> dict:
+def extract_range(landed: DataFrame, raw_path: str, start, end, *, entity: str = "city",
+                  layout: str = "folders") -> dict:
     """Landed responses ``(status, <entity>, body)`` of one period -> raw layer.
 
     Good payloads are written under the period's folder; retryable and fatal responses are
@@ -52,7 +53,7 @@ def extract_range(landed: DataFrame, raw_path: str, start, end, *, entity: str =
     t = triage(landed)
     good = t.where(F.col("outcome") == "good").select(
         F.lit(f"{start:%Y-%m-%d}_{end:%Y-%m-%d}").alias("range"), entity, "body")
-    written = write_raw(good, raw_path, entity=entity)
+    written = write_raw(good, raw_path, entity=entity, layout=layout)
     rejected = t.where(F.col("outcome") != "good").select(entity, "status", "outcome", "reason")
     return {"written": written, "rejected": rejected}
 
@@ -118,13 +119,15 @@ def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int)
 
 
 def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
-              load_ts: datetime, landed: DataFrame | None = None) -> RunReport:
-    """The whole chain for a period; the first failing step stops the rest."""
+              load_ts: datetime, landed: DataFrame | None = None,
+              layout: str = "folders") -> RunReport:
+    """The whole chain for a period; the first failing step stops the rest. ``layout`` is
+    the raw layer's layout (see ``sinks.lake.write_raw``)."""
     start, end = check_period(start, end)
     report = RunReport()
     if landed is not None:
-        report.steps["extract"] = extract_range(landed, layers.raw, start, end)["written"]
-    report.steps["transform"] = transform_range(spark, layers, dim, start, end)
+        report.steps["extract"] = extract_range(landed, layers.raw, start, end, layout=layout)["written"]
+    report.steps["transform"] = transform_range(spark, layers, dim, start, end, layout=layout)
     report.steps["staging_dq"] = staging_gate(spark, layers, dim, start, end)
     report.steps["aggregate"] = aggregate_range(spark, layers, start, end)
     report.steps["load"] = load_range(spark, layers.mart, layers.serving, start, end, load_ts=load_ts)

@@ -82,3 +82,13 @@ def test_propagate_rewrites_dependent_norms(spark, places, scratch):
     day = date(2025, 1, 5)
     assert aggregate_range(spark, layers, day, day, propagate=True) == 2 * 31
     assert read_days(spark, layers.mart).count() == 80
+
+
+def test_run_range_from_landed_responses_in_lines_layout(spark, places, scratch):
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    landed = spark.createDataFrame(
+        [(200, "moscow", payload(0.0, START, END)), (200, "london", payload(8.0, START, END)),
+         (429, "berlin", "Too many requests")], "status int, city string, body string")
+    rep = run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1),
+                    landed=landed, layout="lines")
+    assert rep.steps["extract"] == 2 and rep.steps["load"] == 80
