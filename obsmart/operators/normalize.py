@@ -99,28 +99,44 @@ def drop_null_keys(df: DataFrame, keys) -> DataFrame:
 
 _FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                 T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
+_LONG_MIN = -(1 << 63)
+
+
+def _order_as_long(c: Column, dtype) -> Column | None:
+    """An order column as a non-NULL LONG with the same ordering (NULL lowest), or None."""
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        v = c.cast("long")
+    elif isinstance(dtype, T.DateType):
+        v = F.unix_date(c).cast("long")
+    elif isinstance(dtype, T.TimestampType):
+        v = F.unix_micros(c)
+    else:
+        return None
+    return F.coalesce(v, F.lit(_LONG_MIN))
 
 
 def keep_last(df: DataFrame, keys, order) -> DataFrame:
     """One row per key: the one with the greatest ``order`` (a list of columns, compared left
-    to right). Expressed as an aggregate, so rows are combined map-side before the shuffle and
-    a key with very many duplicates never lands whole in one task.
-
-    With a single fixed-width ``order`` and fixed-width other columns, every column is its
-    own ``max_by`` over that same ordering: all columns take their value from the same row
-    (the decisions are the same comparisons, ties included), and the fixed-width buffers let
-    Spark use the code-generated hash aggregate. Otherwise the row is one struct (sort-based
-    aggregate).
+    to right; NULL lowest). Expressed as an aggregate, so rows are combined map-side before
+    the shuffle and a key with very many duplicates never lands whole in one task.
+
+    With a single integral, date or timestamp ``order`` and fixed-width other columns, every
+    column is its own ``max_by`` over that same ordering (as a non-NULL LONG): all columns
+    take their value from the same row (the decisions are the same comparisons, ties
+    included), and the fixed-width buffers let Spark use the code-generated hash aggregate.
+    Otherwise the row is one struct (sort-based aggregate).
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     others = [c for c in df.columns if c not in keys]
     if len(order_cols) == 1:
-        with_order = df.select("*", order_cols[0].alias("_keep_order"))
-        types = {f.name: f.dataType for f in with_order.schema.fields}
-        if all(isinstance(types[c], _FIXED_WIDTH) for c in [*others, "_keep_order"]):
+        probe = df.select(order_cols[0].alias("_keep_order"))
+        as_long = _order_as_long(order_cols[0], probe.schema["_keep_order"].dataType)
+        types = {f.name: f.dataType for f in df.schema.fields}
+        if as_long is not None and all(isinstance(types[c], _FIXED_WIDTH) for c in others):
             o = F.col("_keep_order")
-            picked = with_order.groupBy(*keys).agg(*[F.max_by(F.col(c), o).alias(c) for c in others])
+            picked = (df.select("*", as_long.alias("_keep_order")).groupBy(*keys)
+                      .agg(*[F.max_by(F.col(c), o).alias(c) for c in others]))
             return picked.select(*df.columns)
     picked = (df.groupBy(*keys)
               .agg(F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_r"))
@@ -131,7 +147,8 @@ def keep_last(df: DataFrame, keys, order) -> DataFrame:
 def payload_order(range_end: str = "range_end", pos: str = "_pos") -> Column:
     """Keep-last order of unpacked rows as one LONG: newer range first, then later array
     position (positions below 2^20, i.e. payloads of up to ~119 years of hours)."""
-    return F.unix_date(F.col(range_end)).cast("long") * F.lit(1 << 20) + F.col(pos).cast("long")
+    day = F.coalesce(F.unix_date(F.col(range_end)).cast("long"), F.lit(-(1 << 40)))
+    return day * F.lit(1 << 20) + F.coalesce(F.col(pos).cast("long"), F.lit(-1))
 
 
 def clip_columns(df: DataFrame, columns, low: float = 0.0, high: float = 100.0,

@@ -179,3 +179,13 @@ def test_keep_last_fast_path_takes_whole_rows(spark):
     assert got["a"] in {(30, 3.0, 300), (30, 4.0, 400)}            # one whole row, never mixed
     both = keep_last(df, ["k", "t"], ["o", "v"]).where("k = 'a'").first()
     assert (both.o, both.v, both.w) == (30, 4.0, 400)                # struct order breaks the tie
+
+
+def test_keep_last_null_order_loses_but_keeps_values(spark):
+    from obsmart.operators.normalize import keep_last
+
+    df = spark.createDataFrame([("a", None, 1.0), ("b", None, 2.0), ("b", 3, 3.0)],
+                               "k string, o long, v double")
+    fast = {r.k: r.v for r in keep_last(df, ["k"], ["o"]).collect()}
+    wide = {r.k: r.v for r in keep_last(df, ["k"], ["o", "v"]).collect()}
+    assert fast == wide == {"a": 1.0, "b": 3.0}
