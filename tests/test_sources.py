@@ -13,7 +13,8 @@ from obsmart.sources.raw import fetch_plan, read_raw, triage
 def landed(spark, sample_payload):
     rows = [(200, "moscow", json.dumps(sample_payload)), (429, "london", "Too many requests"),
             (503, "berlin", ""), (400, "rome", "bad request"),
-            (200, "cairo", json.dumps({"error": True, "reason": "Out of range"}))]
+            (200, "cairo", json.dumps({"error": True, "reason": "Out of range"})),
+            (None, "tokyo", None)]
     return spark.createDataFrame(rows, "status int, city string, body string")
 
 
@@ -24,6 +25,7 @@ def test_triage_classes(spark, sample_payload):
     assert got["berlin"][0] == "retry"
     assert got["rome"] == ("fatal", "400: bad request")
     assert got["cairo"] == ("fatal", "Out of range")
+    assert got["tokyo"] == ("retry", "no response")
 
 
 def test_fetch_plan_parameters(spark, places):
@@ -37,7 +39,7 @@ def test_fetch_plan_parameters(spark, places):
 
 def test_raw_layout_round_trip_and_exact_period(spark, sample_payload, scratch):
     out = extract_range(landed(spark, sample_payload), scratch, "2026-10-07", "2026-10-07")
-    assert out["written"] == 1 and out["rejected"].count() == 4
+    assert out["written"] == 1 and out["rejected"].count() == 5
     other = spark.createDataFrame([("2026-10-01_2026-10-31", "moscow", "{}")], "range string, city string, body string")
     from obsmart.sinks.lake import write_raw
     write_raw(other, scratch)
