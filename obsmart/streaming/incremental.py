@@ -12,13 +12,14 @@ checkpoint, so a restarted job continues where it stopped.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmart.plans.runs import Layers, aggregate_range, transform_range
 from obsmart.plans.serving import load_range
+from obsmart.schemas import NORM_WINDOW_DAYS
 from obsmart.sources.raw import RANGE_PATTERN
 
 RANGE_IN_PATH = r"range=(\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2})"
@@ -44,22 +45,25 @@ def raw_stream(spark: SparkSession, raw_path: str, *, max_files: int | None = No
 
 
 def rerun_periods(spark: SparkSession, layers: Layers, dim: DataFrame, periods, *,
-                  load_ts: datetime | None = None, layout: str = "folders") -> list[dict]:
-    """Re-run transform -> aggregate -> load for each ``(start, end)`` period."""
+                  load_ts: datetime | None = None, layout: str = "folders",
+                  propagate: bool = False) -> list[dict]:
+    """Re-run transform -> aggregate -> load for each ``(start, end)`` period.
+    ``propagate=True`` also rebuilds (and reloads) the days whose norms depend on it."""
     done = []
     for start, end in sorted(set(periods)):
         step = {"period": (start, end)}
         step["staging"] = transform_range(spark, layers, dim, start, end, layout=layout)["rows"]
-        step["mart"] = aggregate_range(spark, layers, start, end)
+        step["mart"] = aggregate_range(spark, layers, start, end, propagate=propagate)
         if load_ts is not None:
-            step["served"] = load_range(spark, layers.mart, layers.serving, start, end, load_ts=load_ts)
+            last = end + timedelta(days=NORM_WINDOW_DAYS) if propagate else end
+            step["served"] = load_range(spark, layers.mart, layers.serving, start, last, load_ts=load_ts)
         done.append(step)
     return done
 
 
 def run_available(spark: SparkSession, layers: Layers, dim: DataFrame, checkpoint: str, *,
                   load_ts: datetime | None = None, max_files: int | None = None,
-                  layout: str = "folders") -> list[dict]:
+                  layout: str = "folders", propagate: bool = False) -> list[dict]:
     """Process every raw file that arrived since the last call, then stop.
 
     ``checkpoint`` is the streaming query's own folder (on shared storage). Returns what was
@@ -71,7 +75,7 @@ def run_available(spark: SparkSession, layers: Layers, dim: DataFrame, checkpoin
         periods = [(r.range_start, r.range_end)
                    for r in batch.select("range_start", "range_end").distinct().collect()]
         log.extend(rerun_periods(batch.sparkSession, layers, dim, periods, load_ts=load_ts,
-                                 layout=layout))
+                                 layout=layout, propagate=propagate))
 
     query = (raw_stream(spark, layers.raw, max_files=max_files).writeStream
              .foreachBatch(on_batch)

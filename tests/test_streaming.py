@@ -34,3 +34,20 @@ def test_available_now_processes_new_periods_once(spark, places, scratch):
     log = run_available(spark, layers, places, ck, load_ts=datetime(2026, 1, 3))
     assert [x["period"] for x in log] == [feb]
     assert read_days(spark, layers.staging, *feb).count() == 2 * 10 * 24
+
+
+def test_late_data_propagates_to_dependent_norms(spark, places, scratch):
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    ck = f"{scratch}/stream-checkpoint"
+    jan = (date(2025, 1, 1), date(2025, 1, 31))
+    feb = (date(2025, 2, 1), date(2025, 2, 20))
+    for period in (jan, feb):
+        land(spark, layers.raw, *period, [(c, payload(s, *period)) for c, s in (("moscow", 0.0), ("london", 8.0))])
+    run_available(spark, layers, places, ck, load_ts=datetime(2026, 1, 1))
+    before = {r.dt: r.temp_norm_30d for r in current(spark, layers.serving).where("city = 'moscow'").collect()}
+    # a warmer January arrives late: February's norms depend on it
+    land(spark, layers.raw, *jan, [("moscow", payload(5.0, *jan))])
+    log = run_available(spark, layers, places, ck, load_ts=datetime(2026, 1, 2), propagate=True)
+    assert [x["period"] for x in log] == [jan] and log[0]["mart"] == 2 * (31 + 20)
+    after = {r.dt: r.temp_norm_30d for r in current(spark, layers.serving).where("city = 'moscow'").collect()}
+    assert after[date(2025, 2, 20)] > before[date(2025, 2, 20)]
