@@ -162,6 +162,12 @@ def clip_columns(df: DataFrame, columns, low: float = 0.0, high: float = 100.0,
     return df.withColumns({c: clip(c, low, high) for c in columns})
 
 
+def repair_counts(df: DataFrame, columns, low: float = 0.0, high: float = 100.0) -> DataFrame:
+    """One row: per column, how many values clipping to [low, high] would repair."""
+    return df.agg(*[F.count_if((F.col(c) < low) | (F.col(c) > high)).alias(c)
+                    for c in columns if c in df.columns])
+
+
 def assign_day(df: DataFrame, ts: str = "ts", day: str = "dt", start=None, end=None) -> DataFrame:
     """UTC day of ``ts`` as ``day``; with a period, rows outside ``[start, end]`` are dropped."""
     df = df.withColumn(day, utc_day(ts, df.schema[ts].dataType))

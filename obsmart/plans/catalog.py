@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 
 from obsmart.operators.calendar import expected_grid, month_chunks_between
 from obsmart.operators.normalize import (
-    assign_day, clean, clip_columns, enrich, keep_last, to_ntz, unpivot_arrays,
+    assign_day, clean, clip_columns, enrich, keep_last, repair_counts, to_ntz, unpivot_arrays,
+)
+from obsmart.operators.quality import (
+    first_violations, mart_stats, mart_violations, staging_violations,
 )
-from obsmart.operators.quality import mart_stats, mart_violations, staging_violations
 from obsmart.operators.rollup import daily
 from obsmart.operators.versions import conform
 from obsmart.plans import reports
@@ -151,6 +153,11 @@ def q_clip_columns(spark, sf_dir):
     return clip_columns(ev, ["value"], 0.0, 100.0)
 
 
+def q_repair_counts(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return repair_counts(ev, ["value"], 0.0, 100.0)
+
+
 def q_enrich(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     customer = table(spark, sf_dir, "customer")
@@ -247,6 +254,10 @@ def q_parsed_checks(spark, sf_dir):
                               ranges=EVENTS_RANGES)
 
 
+def q_gate_preview(spark, sf_dir):
+    return first_violations(q_staging_checks(spark, sf_dir), 50)
+
+
 def _events_stats(spark, sf_dir):
     start, end = events_period(spark, sf_dir)
     return mart_stats(events_mart(spark, sf_dir), start=start, end=end,
@@ -300,6 +311,7 @@ def queries():
         "unpivot_arrays": q_unpivot_arrays,
         "keep_last": q_keep_last,
         "clip_columns": q_clip_columns,
+        "repair_counts": q_repair_counts,
         "enrich": q_enrich,
         "daily_rollup": q_daily_rollup,
         "lineitem_mart": q_lineitem_mart,
@@ -316,6 +328,7 @@ def queries():
         "latest_version": q_latest_version,
         "staging_checks": q_staging_checks,
         "parsed_checks": q_parsed_checks,
+        "gate_preview": q_gate_preview,
         "mart_stats": q_mart_stats,
         "mart_checks": q_mart_checks,
         "lineitem_mart_stats": q_lineitem_mart_stats,
@@ -474,6 +487,7 @@ SELECT event_type, ts, event_id, value FROM (
     sql["clip_columns"] = """
 SELECT event_id, event_type,
        CASE WHEN value < 0 THEN 0.0 WHEN value > 100 THEN 100.0 ELSE value END AS value FROM events"""
+    sql["repair_counts"] = "SELECT count(*) FILTER (WHERE value < 0 OR value > 100) AS value FROM events"
     sql["enrich"] = """
 SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderdate, c.c_name, c.c_nationkey, c.c_mktsegment
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
@@ -546,6 +560,8 @@ SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
         "h AS (SELECT event_type, date_trunc('hour', ts) AS ts, CAST(ts AS DATE) AS dt, value FROM events)",
         "h")
     sql["parsed_checks"] = _checks_sql(_EV_HOURS, "ev_rows")
+    sql["gate_preview"] = f"""SELECT * FROM ({sql["staging_checks"]})
+ORDER BY dt NULLS FIRST, rule NULLS FIRST, field NULLS FIRST, entity NULLS FIRST LIMIT 50"""
     sql["mart_stats"] = _ev_stats() + "\nSELECT * FROM st"
     sql["mart_checks"] = _ev_stats() + f""",
 n AS (SELECT CAST(e - s + 1 AS DOUBLE) AS n_days FROM span),
