@@ -19,9 +19,10 @@ from obsmart.schemas import ANOMALY_LABELS
 from obsmart.sources.lake import partition_inventory  # noqa: F401  (R2, listed with the reports)
 
 
-def overview(daily: DataFrame, *, entity: str = "city", day: str = "dt") -> DataFrame:
-    """rows, entities, first_day, last_day."""
-    return daily.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(entity).alias("entities"),
+def overview(daily: DataFrame, *, entity: str = "city", day: str = "dt",
+             entities_as: str = "entities") -> DataFrame:
+    """rows, entities (named ``entities_as``, e.g. ``cities``), first_day, last_day."""
+    return daily.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(entity).alias(entities_as),
                      F.min(day).alias("first_day"), F.max(day).alias("last_day"))
 
 

@@ -25,6 +25,7 @@ def daily(spark):
 def test_overview(daily):
     r = reports.overview(daily).first()
     assert (r.rows, r.entities, r.first_day, r.last_day) == (119, 2, date(2024, 12, 1), date(2025, 1, 29))
+    assert reports.overview(daily, entities_as="cities").columns == ["rows", "cities", "first_day", "last_day"]
 
 
 def test_climate(daily):
