@@ -81,3 +81,16 @@ def test_period_filter_reaches_the_scan(spark):
     df = catalog.table(spark, SF, "events").where(F.to_date("ts") >= F.lit("2024-01-10"))
     plan = plan_of(df)
     assert "DataFilters" in plan and "ts" in plan
+
+
+def test_serving_read_prunes_month_folders(spark, tmp_path):
+    from obsmart.sources.lake import read_months
+
+    path = str(tmp_path / "serving")
+    (spark.range(0, 90).select(F.date_add(F.lit("2026-01-01").cast("date"), F.col("id").cast("int")).alias("dt"))
+     .withColumn("month", (F.year("dt") * 100 + F.month("dt")).cast("int"))
+     .write.partitionBy("month").parquet(path))
+    df = read_months(spark, path, "2026-02-03", "2026-02-10")
+    plan = plan_of(df)
+    assert "PartitionFilters" in plan and "202602" in plan
+    assert df.count() == 8
