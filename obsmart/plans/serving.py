@@ -75,6 +75,20 @@ def create_table(spark: SparkSession, name: str, path: str, schema, *, entity: s
         f"INTO {buckets} BUCKETS LOCATION '{path}'")
 
 
+def _bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]]:
+    """Bucket count and bucket columns of a catalog table (from its description)."""
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    cols = [c.strip(" `[]") for c in info.get("Bucket Columns", "").split(",") if c.strip(" `[]")]
+    return int(info.get("Num Buckets", "0") or 0), cols
+
+
+def _by_bucket(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """Cluster rows by the table's bucket id (same hash and modulus as the table's bucketing),
+    so each task writes one file per bucket and month instead of one per bucket per task."""
+    n, cols = _bucketing(spark, name)
+    return df.repartition(n, *cols) if n and cols else df
+
+
 def load_table(spark: SparkSession, mart_path: str, name: str, start, end, *,
                load_ts: datetime, day: str = "dt", count_col: str = "hours_count") -> int:
     """Mart ``[start, end]`` -> new versions in the bucketed table. Returns rows appended."""
@@ -82,7 +96,8 @@ def load_table(spark: SparkSession, mart_path: str, name: str, start, end, *,
 
     rows = conform(read_days(spark, mart_path, start, end, day=day), day=day,
                    count_col=count_col, load_ts=load_ts)
-    rows, obs = _observed_rows(rows.select(*spark.table(name).columns), "load_table")
+    rows = _by_bucket(spark, name, rows.select(*spark.table(name).columns))
+    rows, obs = _observed_rows(rows, "load_table")
     rows.write.insertInto(name)
     return int(obs.get["rows"])
 
@@ -107,7 +122,7 @@ def compact_table(spark: SparkSession, name: str, start, end, *, keys=("city", "
     lo, hi = int(f"{_d(start):%Y%m}"), int(f"{_d(end):%Y%m}")
     df = resolve(spark.table(name).where(F.col(month).between(lo, hi)), keys=keys)
     df = cut_lineage(df.select(*spark.table(name).columns), required=True)
-    df, obs = _observed_rows(df, "compact_table")
+    df, obs = _observed_rows(_by_bucket(spark, name, df), "compact_table")
     df.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
     return int(obs.get["rows"])
 

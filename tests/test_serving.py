@@ -79,6 +79,9 @@ def test_bucketed_table_resolves_without_shuffle(spark, scratch):
         before = sorted(tuple(r) for r in cur.collect())
         assert compact_table(spark, "served_test", "2026-01-01", "2026-02-28") == 80
         assert spark.table("served_test").count() == 80
+        import glob
+        files = glob.glob(f"{scratch}/served_tbl/month=*/*.parquet")
+        assert len(files) <= 4 * 2                                   # one per bucket and month
         assert sorted(tuple(r) for r in current_table(spark, "served_test").collect()) == before
     finally:
         spark.sql("DROP TABLE IF EXISTS served_test")
