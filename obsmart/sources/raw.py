@@ -59,7 +59,8 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: st
 
 def triage(landed: DataFrame, *, status: str = "status", body: str = "body") -> DataFrame:
     """Classify landed responses: ``retry`` (no status, 429 or >= 500), ``fatal`` (other
-    >= 400, or a 200 body with ``error: true``), else ``good``; ``reason`` says why."""
+    >= 400, or a 200 body with ``error: true``), else ``good``; ``reason`` says why (status and
+    the whole body, or the payload's own reason)."""
     s = F.col(status)
     b = F.col(body)
     is_error_body = F.lower(F.get_json_object(b, "$.error")) == F.lit("true")
@@ -69,8 +70,7 @@ def triage(landed: DataFrame, *, status: str = "status", body: str = "body") ->
                .when(is_error_body, F.lit("fatal"))
                .otherwise(F.lit("good")))
     reason = (F.when(s.isNull(), F.lit("no response"))
-              .when((s == 429) | (s >= 500), F.concat_ws(": ", s.cast("string"), F.substring(b, 1, 200)))
-              .when(s >= 400, F.concat_ws(": ", s.cast("string"), F.substring(b, 1, 500)))
+              .when(s >= 400, F.concat_ws(": ", s.cast("string"), b))
               .when(is_error_body, F.get_json_object(b, "$.reason")))
     return landed.withColumns({"outcome": outcome, "reason": reason})
 
