@@ -30,6 +30,8 @@ def write_raw(payloads: DataFrame, path: str, *, entity: str = "city", layout: s
         return int(obs.get["rows"])
     if layout != "lines":
         raise ValueError("layout must be 'folders' or 'lines'")
+    # {"<entity>": "<key>"} with JSON escaping, reopened (its closing brace dropped) so the
+    # payload object can follow as a second member.
     head = F.to_json(F.struct(F.col(entity).cast("string").alias(entity)))
     line = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(', "payload": '),
                     F.col("body"), F.lit("}"))
