@@ -44,3 +44,61 @@ def test_exact_average_rounding_matches_decimal(spark, cents, digits):
     exact = (Decimal(sum(cents)) / Decimal(100) / Decimal(len(cents)))
     want = float(exact.quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))
     assert got == want
+
+
+# --- staging checks against a brute-force per-day implementation (pandas) -----------------
+
+import pandas as pd  # noqa: E402
+
+from obsmart.operators.quality import staging_violations  # noqa: E402
+
+DAYS = [date(2026, 3, 1), date(2026, 3, 2), date(2026, 3, 3)]      # the last one stays empty
+EXPECTED = {"a", "b"}
+LOW, HIGH = 0.0, 10.0
+
+row = st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from(DAYS[:2]),
+                st.one_of(st.none(), st.integers(min_value=0, max_value=23)),
+                st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 5.0, 10.0, 11.0])))
+
+
+def brute_checks(pdf: pd.DataFrame) -> set:
+    out = set()
+    for day in DAYS:
+        d = pdf[pdf.dt == day]
+        if d.empty:
+            out.add((day, "empty", None, None, 0.0))
+            continue
+        for col in ("city", "ts"):
+            n = int(d[col].isna().sum())
+            if n:
+                out.add((day, "null_key", col, None, float(n)))
+        dups = int(d.duplicated(subset=["city", "ts"]).sum())
+        if dups:
+            out.add((day, "duplicates", None, None, float(dups)))
+        for e in sorted(EXPECTED - set(d.city.dropna())):
+            out.add((day, "missing_entity", "city", e, 0.0))
+        for e, n in d.groupby("city")["ts"].nunique().items():
+            if n != 24:
+                out.add((day, "incomplete_hours", "ts", e, float(n)))
+        share = float(d.v.isna().mean())
+        if share > 0.05:
+            out.add((day, "null_share", "v", None, round(share, 9)))
+        oor = int(((d.v < LOW) | (d.v > HIGH)).sum())
+        if oor:
+            out.add((day, "out_of_range", "v", None, float(oor)))
+    return out
+
+
+@SETTINGS
+@given(rows=st.lists(row, min_size=1, max_size=60))
+def test_staging_checks_match_brute_force(spark, rows):
+    from datetime import datetime
+    data = [(c, d, None if h is None else datetime(d.year, d.month, d.day, h), v) for c, d, h, v in rows]
+    sdf = spark.createDataFrame(data, "city string, dt date, ts timestamp_ntz, v double")
+    exp = spark.createDataFrame([(e,) for e in sorted(EXPECTED)], "city string")
+    got = {(r.dt, r.rule, r.field, r.entity,
+            round(r.observed, 9) if r.rule == "null_share" else r.observed)
+           for r in staging_violations(sdf, start=DAYS[0], end=DAYS[-1], expected=exp, metrics=["v"],
+                                       ranges={"v": (LOW, HIGH)}).collect()}
+    pdf = pd.DataFrame(data, columns=["city", "dt", "ts", "v"])
+    assert got == brute_checks(pdf)
