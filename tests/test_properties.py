@@ -102,3 +102,30 @@ def test_staging_checks_match_brute_force(spark, rows):
                                        ranges={"v": (LOW, HIGH)}).collect()}
     pdf = pd.DataFrame(data, columns=["city", "dt", "ts", "v"])
     assert got == brute_checks(pdf)
+
+
+# --- trailing calendar norm against pandas' time-based rolling window -----------------------
+
+from obsmart.operators.norms import trailing_norm  # noqa: E402
+
+
+@SETTINGS
+@given(present=st.lists(st.booleans(), min_size=40, max_size=90),
+       values=st.lists(st.one_of(st.none(), st.floats(min_value=-50, max_value=50, allow_nan=False)),
+                       min_size=90, max_size=90))
+def test_trailing_norm_matches_pandas_rolling(spark, present, values):
+    start = date(2025, 1, 1)
+    rows = [(start + timedelta(days=i), "a", values[i]) for i, p in enumerate(present) if p]
+    if not rows:
+        return
+    sdf = spark.createDataFrame(rows, "dt date, city string, temp_avg double")
+    got = {r.dt: r.temp_norm_30d for r in trailing_norm(sdf, entity="city").collect()}
+    s = pd.Series([v if v is not None else float("nan") for _, _, v in rows],
+                  index=pd.to_datetime([d for d, _, _ in rows]), dtype="float64")
+    want = s.rolling("30D", closed="left", min_periods=25).mean()
+    for (d, _, _), w in zip(rows, want):
+        g = got[d]
+        if pd.isna(w):
+            assert g is None
+        else:
+            assert g is not None and abs(g - w) < 1e-9
