@@ -129,3 +129,21 @@ def test_trailing_norm_matches_pandas_rolling(spark, present, values):
             assert g is None
         else:
             assert g is not None and abs(g - w) < 1e-9
+
+
+# --- keep-last against pandas drop_duplicates(keep="last") in concatenation order ------------
+
+from obsmart.operators.normalize import keep_last  # noqa: E402
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(min_value=0, max_value=5),
+                               st.one_of(st.none(), st.floats(min_value=-5, max_value=5, allow_nan=False))),
+                     min_size=1, max_size=50))
+def test_keep_last_matches_pandas(spark, rows):
+    data = [(c, h, v, pos) for pos, (c, h, v) in enumerate(rows)]
+    sdf = spark.createDataFrame(data, "city string, h int, v double, pos long").repartition(4)
+    got = sorted((r.city, r.h, r.v) for r in keep_last(sdf, ["city", "h"], ["pos"]).collect())
+    pdf = pd.DataFrame(data, columns=["city", "h", "v", "pos"]).drop_duplicates(["city", "h"], keep="last")
+    want = sorted((c, h, None if pd.isna(v) else v) for c, h, v in zip(pdf.city, pdf.h, pdf.v))
+    assert got == want
