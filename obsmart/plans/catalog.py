@@ -345,6 +345,7 @@ def queries():
 # --------------------------------------------------------------------------------------------
 
 def _units(x: str, scale: int = SCALE) -> str:
+    """A value with ``scale`` decimals as an integer count of 10^-scale units."""
     return f"CAST(round(({x}) * {10 ** scale}) AS BIGINT)"
 
 
@@ -355,14 +356,17 @@ def _hu(num: str, den: str) -> str:
 
 
 def _exact_avg(x: str) -> str:
+    """Exact sum (integer units) as a double, divided by the count: the unrounded average."""
     return f"(CAST(sum({_units(x)}) AS DOUBLE) / {10 ** SCALE}.0 / CAST(count({x}) AS DOUBLE))"
 
 
 def _exact_sum(x: str) -> str:
+    """Exact sum of values with ``SCALE`` decimals, as a double."""
     return f"(CAST(sum({_units(x)}) AS DOUBLE) / {10 ** SCALE}.0)"
 
 
 def _avg_rounded(x: str, digits: int) -> str:
+    """HALF_UP of the true average to ``digits`` decimals, in integer arithmetic."""
     s = f"sum({_units(x)})"
     if digits >= SCALE:
         num, den = f"{s} * {10 ** (digits - SCALE)}", f"count({x})"
@@ -372,6 +376,7 @@ def _avg_rounded(x: str, digits: int) -> str:
 
 
 def _r(x: str, digits: int = 2) -> str:
+    """Rounding of an inexact double (no exact ties); + 0.0 turns -0.0 into 0.0."""
     return f"(round({x}, {digits}) + 0.0)"
 
 
