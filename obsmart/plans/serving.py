@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from obsmart.operators.versions import conform, latest
 from obsmart.sinks.lake import append_months, rewrite_months
+from obsmart.sinks.tables import create_bucketed, write_bucketed
 from obsmart.sources.lake import read_days, read_months
 
 VERSION_COLUMNS = ("loaded_at", "processed_at")
@@ -67,39 +68,16 @@ def create_table(spark: SparkSession, name: str, path: str, schema, *, entity: s
                  day: str = "dt", month: str = "month", buckets: int = 64) -> None:
     """Register the serving table at ``path``: month partitions, bucketed by ``entity`` and
     sorted by (entity, day) within buckets. Idempotent (existing files are kept)."""
-    fields = [f for f in schema.fields if f.name != month]
-    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({cols}, `{month}` int) USING parquet "
-        f"PARTITIONED BY (`{month}`) CLUSTERED BY (`{entity}`) SORTED BY (`{entity}`, `{day}`) "
-        f"INTO {buckets} BUCKETS LOCATION '{path}'")
-
-
-def _bucketing(spark: SparkSession, name: str) -> tuple[int, list[str]]:
-    """Bucket count and bucket columns of a catalog table (from its description)."""
-    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
-    cols = [c.strip(" `[]") for c in info.get("Bucket Columns", "").split(",") if c.strip(" `[]")]
-    return int(info.get("Num Buckets", "0") or 0), cols
-
-
-def _by_bucket(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
-    """Cluster rows by the table's bucket id (same hash and modulus as the table's bucketing),
-    so each task writes one file per bucket and month instead of one per bucket per task."""
-    n, cols = _bucketing(spark, name)
-    return df.repartition(n, *cols) if n and cols else df
+    create_bucketed(spark, name, path, schema, partition=month, bucket=entity, sort=(entity, day),
+                    buckets=buckets, partition_type="int")
 
 
 def load_table(spark: SparkSession, mart_path: str, name: str, start, end, *,
                load_ts: datetime, day: str = "dt", count_col: str = "hours_count") -> int:
     """Mart ``[start, end]`` -> new versions in the bucketed table. Returns rows appended."""
-    from obsmart.sinks.lake import _observed_rows
-
     rows = conform(read_days(spark, mart_path, start, end, day=day), day=day,
                    count_col=count_col, load_ts=load_ts)
-    rows = _by_bucket(spark, name, rows.select(*spark.table(name).columns))
-    rows, obs = _observed_rows(rows, "load_table")
-    rows.write.insertInto(name)
-    return int(obs.get["rows"])
+    return write_bucketed(rows, name)
 
 
 def current_table(spark: SparkSession, name: str, start=None, end=None, *,
@@ -117,14 +95,10 @@ def compact_table(spark: SparkSession, name: str, start, end, *, keys=("city", "
                   month: str = "month") -> int:
     """Rewrite the months touching ``[start, end]`` of the bucketed table to latest rows."""
     from obsmart.session import cut_lineage
-    from obsmart.sinks.lake import _observed_rows
 
     lo, hi = int(f"{_d(start):%Y%m}"), int(f"{_d(end):%Y%m}")
     df = resolve(spark.table(name).where(F.col(month).between(lo, hi)), keys=keys)
-    df = cut_lineage(df.select(*spark.table(name).columns), required=True)
-    df, obs = _observed_rows(_by_bucket(spark, name, df), "compact_table")
-    df.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
-    return int(obs.get["rows"])
+    return write_bucketed(cut_lineage(df, required=True), name, overwrite=True)
 
 
 def register_view(spark: SparkSession, serving_path: str, name: str = "daily_city", *,

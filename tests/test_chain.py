@@ -92,3 +92,34 @@ def test_run_range_from_landed_responses_in_lines_layout(spark, places, scratch)
     rep = run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1),
                     landed=landed, layout="lines")
     assert rep.steps["extract"] == 2 and rep.steps["load"] == 80
+
+
+def test_bucketed_staging_mart_without_shuffle(spark, places, scratch):
+    from obsmart.plans.mart import build_mart
+    from obsmart.plans.runs import create_staging_table, read_staging
+    from obsmart.sources.lake import read_days
+
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")),
+                    staging_table="staging_chain_test")
+    create_staging_table(spark, layers, buckets=4)
+    try:
+        land(spark, layers.raw, [("moscow", payload(0.0, START, END)), ("london", payload(8.0, START, END))])
+        rep = run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1))
+        assert rep.steps["transform"]["rows"] == 2 * 40 * 24 and rep.steps["aggregate"] == 80
+        mart = build_mart(read_staging(spark, layers, START, END, lookback=30), start=START, end=END,
+                          processed_at=None)
+        mart.collect()
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        from obsmart.operators.quality import staging_profile
+        from obsmart.schemas import WEATHER_RANGES, WEATHER_VARIABLES
+        profile, _ = staging_profile(read_staging(spark, layers, START, END), entity="city", ts="ts",
+                                     day="dt", metrics=list(WEATHER_VARIABLES.values()),
+                                     ranges=WEATHER_RANGES)
+        profile.collect()
+        assert "Exchange" not in profile._jdf.queryExecution().executedPlan().toString()
+        written = read_days(spark, layers.mart).drop("processed_at")
+        assert sorted(map(tuple, written.select(*mart.columns).collect())) == \
+            sorted(map(tuple, mart.collect()))
+    finally:
+        spark.sql("DROP TABLE IF EXISTS staging_chain_test")
