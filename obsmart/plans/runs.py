@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsmart.operators.calendar import check_period
+from obsmart.operators.calendar import check_period, month_chunk_bounds
 from obsmart.operators.normalize import assign_day, clean, enrich, unpivot_arrays
 from obsmart.operators.quality import (
     DataQualityError, check_mart_stats, gate, mart_stats, staging_violations,
@@ -102,13 +102,21 @@ def transform_payloads(payloads: DataFrame, dim: DataFrame, start, end, *,
 
 
 def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
-                    layout: str = "folders", **kw) -> dict:
-    """raw -> staging for ``[start, end]``: every touched day is replaced whole."""
+                    layout: str = "folders", chunks: bool = False, **kw) -> dict:
+    """raw -> staging for ``[start, end]``: every touched day is replaced whole.
+
+    The raw range read is exactly ``[start, end]``; with ``chunks=True`` it is the
+    calendar-month chunks of the period (the ranges a backfill extracts), read in one job.
+    """
     repairs = Observation("repairs")
-    payloads = read_raw(spark, layers.raw, start, end, layout=layout)
+    ranges = month_chunk_bounds(start, end) if chunks else None
+    payloads = read_raw(spark, layers.raw, start, end, layout=layout, ranges=ranges)
     rows = transform_payloads(payloads, dim, start, end, repairs=repairs, **kw)
     n = write_staging(rows, layers)
-    return {"rows": n, "repaired": dict(repairs.get) if n else {}}
+    if n == 0:   # no raw payload (or only empty ones) for the period: stop the chain here
+        raise DataQualityError(f"staging: no rows from raw for {start}..{end}"
+                               + (" (month chunks)" if chunks else ""))
+    return {"rows": n, "repaired": dict(repairs.get)}
 
 
 def staging_gate(spark: SparkSession, layers: Layers, dim: DataFrame, start, end) -> int:
@@ -150,14 +158,16 @@ def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int)
 
 def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
               load_ts: datetime, landed: DataFrame | None = None,
-              layout: str = "folders") -> RunReport:
+              layout: str = "folders", chunks: bool = False) -> RunReport:
     """The whole chain for a period; the first failing step stops the rest. ``layout`` is
-    the raw layer's layout (see ``sinks.lake.write_raw``)."""
+    the raw layer's layout (see ``sinks.lake.write_raw``); ``chunks=True`` reads the raw
+    month chunks of the period (a backfill) instead of one range."""
     start, end = check_period(start, end)
     report = RunReport()
     if landed is not None:
         report.steps["extract"] = extract_range(landed, layers.raw, start, end, layout=layout)["written"]
-    report.steps["transform"] = transform_range(spark, layers, dim, start, end, layout=layout)
+    report.steps["transform"] = transform_range(spark, layers, dim, start, end, layout=layout,
+                                                chunks=chunks)
     report.steps["staging_dq"] = staging_gate(spark, layers, dim, start, end)
     report.steps["aggregate"] = aggregate_range(spark, layers, start, end)
     report.steps["load"] = load_range(spark, layers.mart, layers.serving, start, end, load_ts=load_ts)

@@ -22,13 +22,15 @@ def range_key(start, end) -> str:
 
 
 def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: str = "city",
-             all_ranges: bool = False, layout: str = "folders") -> DataFrame:
+             all_ranges: bool = False, layout: str = "folders", ranges=None) -> DataFrame:
     """Payload rows ``(range, range_start, range_end, <entity>, body)``.
 
     By default only the folder of exactly ``[start, end]`` is read (the filter on the
     ``range`` partition column prunes folders). ``all_ranges=True`` reads every range that
     overlaps the period; overlapping hours are then resolved newest range first (see
-    ``keep_last`` ordering on ``range_end``). ``layout`` as in ``sinks.lake.write_raw``.
+    ``keep_last`` ordering on ``range_end``). ``ranges``: read exactly these ``(start, end)``
+    ranges (e.g. the month chunks of a backfill), all in one scan. ``layout`` as in
+    ``sinks.lake.write_raw``.
     """
     if layout == "lines":
         df = spark.read.option("basePath", path).text(path)
@@ -48,7 +50,9 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: st
         F.col(entity).cast("string").alias(entity),
         "body",
     )
-    if start is not None or end is not None:
+    if ranges is not None:
+        df = df.where(F.col("range").isin([range_key(s, e) for s, e in ranges]))
+    elif start is not None or end is not None:
         s, e = check_period(start, end)
         if all_ranges:
             df = df.where((F.col("range_start") <= F.lit(e)) & (F.col("range_end") >= F.lit(s)))

@@ -123,3 +123,14 @@ def test_bucketed_staging_mart_without_shuffle(spark, places, scratch):
             sorted(map(tuple, mart.collect()))
     finally:
         spark.sql("DROP TABLE IF EXISTS staging_chain_test")
+
+
+def test_backfill_reads_month_chunks_in_one_job(spark, places, scratch):
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    for a, b in ((START, date(2025, 1, 31)), (date(2025, 2, 1), END)):     # extracted per month
+        rows = [(f"{a}_{b}", c, payload(sh, a, b)) for c, sh in (("moscow", 0.0), ("london", 8.0))]
+        write_raw(spark.createDataFrame(rows, "range string, city string, body string"), layers.raw)
+    with pytest.raises(DataQualityError):                                  # no range = the period
+        run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1))
+    rep = run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1), chunks=True)
+    assert rep.steps["transform"]["rows"] == 2 * 40 * 24 and rep.steps["load"] == 80
