@@ -75,14 +75,19 @@ class RunReport:
 
 def extract_range(landed: DataFrame, raw_path: str, start, end, *, entity: str = "city",
                   layout: str = "folders") -> dict:
-    """Landed responses ``(status, <entity>, body)`` of one period -> raw layer.
+    """Landed responses ``(status, <entity>, body[, range_start, range_end])`` -> raw layer.
 
-    Good payloads are written under the period's folder; retryable and fatal responses are
-    counted (and returned as a frame for the caller to re-request or report)."""
+    Good payloads are written under their request's range (the chunk columns, e.g. joined
+    from ``sources.raw.fetch_plan``), else under the period's range; retryable and fatal
+    responses are returned as a frame for the caller to re-request or report."""
     start, end = check_period(start, end)
     t = triage(landed)
-    good = t.where(F.col("outcome") == "good").select(
-        F.lit(f"{start:%Y-%m-%d}_{end:%Y-%m-%d}").alias("range"), entity, "body")
+    if "range_start" in landed.columns and "range_end" in landed.columns:   # per request chunk
+        rng = F.concat_ws("_", F.date_format("range_start", "yyyy-MM-dd"),
+                          F.date_format("range_end", "yyyy-MM-dd"))
+    else:
+        rng = F.lit(f"{start:%Y-%m-%d}_{end:%Y-%m-%d}")
+    good = t.where(F.col("outcome") == "good").select(rng.alias("range"), entity, "body")
     written = write_raw(good, raw_path, entity=entity, layout=layout)
     rejected = t.where(F.col("outcome") != "good").select(entity, "status", "outcome", "reason")
     return {"written": written, "rejected": rejected}
@@ -102,14 +107,21 @@ def transform_payloads(payloads: DataFrame, dim: DataFrame, start, end, *,
 
 
 def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
-                    layout: str = "folders", chunks: bool = False, **kw) -> dict:
+                    layout: str = "folders", chunks: bool = True, **kw) -> dict:
     """raw -> staging for ``[start, end]``: every touched day is replaced whole.
 
-    The raw range read is exactly ``[start, end]``; with ``chunks=True`` it is the
-    calendar-month chunks of the period (the ranges a backfill extracts), read in one job.
+    Raw ranges read (all in one job): the calendar-month chunks of the period -- the ranges
+    the chain extracts, one request per place and chunk -- and the period itself as one
+    range. For a period within one month both are the period. ``chunks=False``: only the
+    period's own range.
     """
     repairs = Observation("repairs")
-    ranges = month_chunk_bounds(start, end) if chunks else None
+    ranges = None
+    if chunks:
+        ranges = month_chunk_bounds(start, end)
+        whole = check_period(start, end)
+        if whole not in ranges:
+            ranges.append(whole)
     payloads = read_raw(spark, layers.raw, start, end, layout=layout, ranges=ranges)
     rows = transform_payloads(payloads, dim, start, end, repairs=repairs, **kw)
     n = write_staging(rows, layers)
@@ -158,10 +170,10 @@ def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int)
 
 def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
               load_ts: datetime, landed: DataFrame | None = None,
-              layout: str = "folders", chunks: bool = False) -> RunReport:
+              layout: str = "folders", chunks: bool = True) -> RunReport:
     """The whole chain for a period; the first failing step stops the rest. ``layout`` is
-    the raw layer's layout (see ``sinks.lake.write_raw``); ``chunks=True`` reads the raw
-    month chunks of the period (a backfill) instead of one range."""
+    the raw layer's layout (see ``sinks.lake.write_raw``); ``chunks`` as in
+    ``transform_range``."""
     start, end = check_period(start, end)
     report = RunReport()
     if landed is not None:

@@ -131,6 +131,22 @@ def test_backfill_reads_month_chunks_in_one_job(spark, places, scratch):
         rows = [(f"{a}_{b}", c, payload(sh, a, b)) for c, sh in (("moscow", 0.0), ("london", 8.0))]
         write_raw(spark.createDataFrame(rows, "range string, city string, body string"), layers.raw)
     with pytest.raises(DataQualityError):                                  # no range = the period
-        run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1))
-    rep = run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1), chunks=True)
+        run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1), chunks=False)
+    rep = run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1))
     assert rep.steps["transform"]["rows"] == 2 * 40 * 24 and rep.steps["load"] == 80
+
+
+def test_extract_writes_one_range_per_request_chunk(spark, places, scratch):
+    from pyspark.sql import functions as F
+    from obsmart.plans.runs import extract_range
+    from obsmart.sources.raw import fetch_plan, read_raw
+
+    plan = fetch_plan(places, START, END, ["temperature_2m"])               # 2 places x 2 chunks
+    landed = (plan.withColumn("status", F.lit(200))
+              .withColumn("body", F.lit(json.dumps({"hourly": {"time": []}})))
+              .select(F.col("slug").alias("city"), "status", "body",
+                      F.col("chunk_start").alias("range_start"), F.col("chunk_end").alias("range_end")))
+    out = extract_range(landed, f"{scratch}/raw", START, END)
+    assert out["written"] == 4
+    got = sorted(r.range for r in read_raw(spark, f"{scratch}/raw", START, END, all_ranges=True).collect())
+    assert got == ["2025-01-01_2025-01-31"] * 2 + ["2025-02-01_2025-02-09"] * 2
