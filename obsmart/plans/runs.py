@@ -20,7 +20,7 @@ from obsmart.operators.quality import (
     DataQualityError, check_mart_stats, gate, mart_stats, staging_violations,
 )
 from obsmart.plans.mart import build_mart
-from obsmart.plans.serving import current, load_range
+from obsmart.plans.serving import current, current_table, load_range, load_table
 from obsmart.schemas import (
     NORM_WINDOW_DAYS, STAGING_COLUMNS, STAGING_SCHEMA, WEATHER_PERCENT_COLUMNS, WEATHER_RANGES,
     WEATHER_VARIABLES,
@@ -40,6 +40,7 @@ class Layers:
     mart: str
     serving: str
     staging_table: str | None = None    # a bucketed catalog table instead of the staging path
+    serving_table: str | None = None    # a bucketed catalog table instead of the serving path
 
 
 def create_staging_table(spark: SparkSession, layers: Layers, *, buckets: int = 64) -> None:
@@ -160,7 +161,10 @@ def aggregate_range(spark: SparkSession, layers: Layers, start, end, *,
 def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int) -> dict:
     """Raise when the served mart of ``[start, end]`` is incomplete or inconsistent."""
     start, end = check_period(start, end)
-    served = current(spark, layers.serving, start, end)
+    if layers.serving_table:
+        served = current_table(spark, layers.serving_table, start, end)
+    else:
+        served = current(spark, layers.serving, start, end)
     stats = mart_stats(served, start=start, end=end).first().asDict()
     errors = check_mart_stats(stats, n_entities, (end - start).days + 1)
     if errors:
@@ -182,7 +186,12 @@ def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *
                                                 chunks=chunks)
     report.steps["staging_dq"] = staging_gate(spark, layers, dim, start, end)
     report.steps["aggregate"] = aggregate_range(spark, layers, start, end)
-    report.steps["load"] = load_range(spark, layers.mart, layers.serving, start, end, load_ts=load_ts)
+    if layers.serving_table:
+        report.steps["load"] = load_table(spark, layers.mart, layers.serving_table, start, end,
+                                          load_ts=load_ts)
+    else:
+        report.steps["load"] = load_range(spark, layers.mart, layers.serving, start, end,
+                                          load_ts=load_ts)
     n_entities = dim.count()
     report.steps["mart_dq"] = mart_gate(spark, layers, start, end, n_entities)
     return report

@@ -96,16 +96,24 @@ def test_run_range_from_landed_responses_in_lines_layout(spark, places, scratch)
 
 def test_bucketed_staging_mart_without_shuffle(spark, places, scratch):
     from obsmart.plans.mart import build_mart
-    from obsmart.plans.runs import create_staging_table, read_staging
+    from obsmart.plans.runs import aggregate_range, create_staging_table, read_staging, transform_range
     from obsmart.sources.lake import read_days
 
+    from obsmart.operators.versions import conform
+    from obsmart.plans.serving import create_table, current_table
+
     layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")),
-                    staging_table="staging_chain_test")
+                    staging_table="staging_chain_test", serving_table="serving_chain_test")
     create_staging_table(spark, layers, buckets=4)
     try:
         land(spark, layers.raw, [("moscow", payload(0.0, START, END)), ("london", payload(8.0, START, END))])
+        transform_range(spark, layers, places, START, END)
+        aggregate_range(spark, layers, START, END)
+        schema = conform(read_days(spark, layers.mart), load_ts=datetime(2026, 1, 1)).schema
+        create_table(spark, layers.serving_table, layers.serving, schema, buckets=4)
         rep = run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1))
         assert rep.steps["transform"]["rows"] == 2 * 40 * 24 and rep.steps["aggregate"] == 80
+        assert rep.steps["load"] == 80 and current_table(spark, layers.serving_table).count() == 80
         mart = build_mart(read_staging(spark, layers, START, END, lookback=30), start=START, end=END,
                           processed_at=None)
         mart.collect()
@@ -123,6 +131,7 @@ def test_bucketed_staging_mart_without_shuffle(spark, places, scratch):
             sorted(map(tuple, mart.collect()))
     finally:
         spark.sql("DROP TABLE IF EXISTS staging_chain_test")
+        spark.sql("DROP TABLE IF EXISTS serving_chain_test")
 
 
 def test_backfill_reads_month_chunks_in_one_job(spark, places, scratch):
