@@ -7,7 +7,7 @@ instance of it (``WEATHER``).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -131,7 +131,6 @@ class DailySpec:
     value: str = "temp_avg"                 # column the trailing norm is computed on
     norm: str = "temp_norm_30d"
     anomaly: str = "temp_anomaly"
-    extra: dict = field(default_factory=dict)
 
     @property
     def outputs(self) -> list[str]:
