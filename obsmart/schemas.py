@@ -22,10 +22,6 @@ class Roles:
     metrics: tuple[str, ...] = ()          # numeric observation columns
     attrs: tuple[str, ...] = ()            # entity attributes carried along (from the dimension)
 
-    @property
-    def keys(self) -> list[str]:
-        return [self.entity, self.ts]
-
 
 # ---------------------------------------------------------------------------------------------
 # Fixed values of the weather pipeline (they must equal the original's for equal results).
@@ -90,12 +86,6 @@ STAGING_SCHEMA = T.StructType(
     + [T.StructField(m, T.DoubleType()) for m in WEATHER_METRICS]
 )
 
-LANDED_SCHEMA = T.StructType([
-    T.StructField("status", T.IntegerType()),
-    T.StructField("entity", T.StringType()),
-    T.StructField("body", T.StringType()),
-])
-
 VIOLATION_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType(), False),
     T.StructField("dt", T.DateType(), True),

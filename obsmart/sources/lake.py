@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmart.functions.temporal import year_month
 from obsmart.functions.text import readable_size
 from obsmart.operators.calendar import check_period, lookback_start
 
@@ -106,7 +105,3 @@ def _inventory(files: DataFrame, newest: int) -> DataFrame:
     return (per_part.orderBy(F.col("partition").desc()).limit(newest)
             .withColumn("compressed", readable_size("compressed_bytes"))
             .withColumn("uncompressed", readable_size("uncompressed_bytes")))
-
-
-def month_of(day_col: str = "dt"):
-    return year_month(day_col)

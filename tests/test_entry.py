@@ -1,6 +1,5 @@
 """Driver contract: entry smoke, and every registered query against its SQL oracle."""
 
-import hashlib
 import math
 
 import duckdb

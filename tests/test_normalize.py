@@ -1,4 +1,3 @@
-import io
 from datetime import date, datetime, timezone
 
 import pyarrow.parquet as pq
