@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import SparkSession
 
 # Settings the library expects. They are applied only when the session has no value of its
@@ -46,15 +48,25 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+_warned_no_checkpoint = False
+
+
 def cut_lineage(df, *, required: bool = False):
     """Reliable checkpoint of ``df`` into the shared checkpoint folder.
 
     Survives executor loss (unlike a local checkpoint). Without a configured folder the frame
-    is returned unchanged (Spark recomputes from lineage), unless ``required``.
+    is returned unchanged (Spark recomputes from lineage; a warning is logged once), unless
+    ``required``.
     """
+    global _warned_no_checkpoint
     if checkpoint_dir(df.sparkSession) is None:
         if required:
             raise RuntimeError("spark.checkpoint.dir is not set; a shared folder is required")
+        if not _warned_no_checkpoint:
+            logging.getLogger("obsmart").warning(
+                "spark.checkpoint.dir is not set: intermediate results are recomputed instead "
+                "of being read back from a checkpoint")
+            _warned_no_checkpoint = True
         return df
     return df.checkpoint(eager=True)
 
