@@ -26,7 +26,8 @@ def build_mart(hourly: DataFrame, *, start=None, end=None, roles: Roles = WEATHE
     exact (integer accumulation) and averages are rounded exactly.
 
     Plan: partial aggregate -> shuffle on (day, entity) -> final aggregate -> shuffle on
-    entity (daily rows only, ~1/24 of the hourly input) -> one Window -> period filter.
+    entity (daily rows only, ~1/24 of the hourly input) -> one Window -> period filter. On a
+    staging table bucketed by the entity both shuffles disappear.
     """
     if roles.day not in hourly.columns:
         hourly = assign_day(hourly, roles.ts, roles.day)
