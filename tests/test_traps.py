@@ -86,3 +86,10 @@ def test_n14_nulls_last_in_reports(spark):
     assert [r.city_name for r in reports.climate(m).collect()] == ["B", "A"]
     m2 = m.withColumn("temp_anomaly", F.col("temp_avg")).withColumn("temp_norm_30d", F.lit(0.0))
     assert [r.city_name for r in reports.top_anomalies(m2).collect()] == ["B"]
+
+
+def test_readable_size(spark):
+    from obsmart.functions import readable_size
+    df = spark.createDataFrame([(0,), (1023,), (1536,), (5 * 2**30,), (None,)], "b long")
+    got = [r.s for r in df.select(readable_size("b").alias("s")).collect()]
+    assert got == ["0.00 B", "1023.00 B", "1.50 KiB", "5.00 GiB", None]
