@@ -51,3 +51,15 @@ def test_late_data_propagates_to_dependent_norms(spark, places, scratch):
     assert [x["period"] for x in log] == [jan] and log[0]["mart"] == 2 * (31 + 20)
     after = {r.dt: r.temp_norm_30d for r in current(spark, layers.serving).where("city = 'moscow'").collect()}
     assert after[date(2025, 2, 20)] > before[date(2025, 2, 20)]
+
+
+def test_available_now_with_lines_layout(spark, places, scratch):
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    jan = (date(2025, 1, 1), date(2025, 1, 31))
+    rows = [(f"{jan[0]}_{jan[1]}", c, payload(s, *jan)) for c, s in (("moscow", 0.0), ("london", 8.0))]
+    write_raw(spark.createDataFrame(rows, "range string, city string, body string"), layers.raw,
+              layout="lines")
+    log = run_available(spark, layers, places, f"{scratch}/ck", load_ts=datetime(2026, 1, 1),
+                        layout="lines")
+    assert [x["period"] for x in log] == [jan] and log[0]["staging"] == 2 * 31 * 24
+    assert current(spark, layers.serving).count() == 62
