@@ -1,7 +1,8 @@
 """Raw layer: column-oriented JSON payloads, one per entity and period.
 
-Layout ``<root>/range=<start>_<end>/<entity>=<key>/<file>``; one payload per folder, so a
-re-run of a period replaces exactly its own folders.
+Layouts: ``<root>/range=<start>_<end>/<entity>=<key>/<file>`` (one payload per folder; also
+``range=.../<entity>=<key>.json`` files as the original writes them), or JSON lines per
+range (``layout="lines"``). Re-runs replace exactly their own folders.
 """
 
 from __future__ import annotations
