@@ -95,3 +95,14 @@ def test_lookback_read_prunes_partitions(spark, scratch):
     r = read_days(spark, scratch, "2026-02-10", "2026-02-20", lookback=30)
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and r.count() == 41
+
+
+def test_exact_rollup_is_identical_under_any_partitioning(spark):
+    from obsmart.plans import catalog
+    obs = catalog.lineitem_obs(spark, "/root/testdata/sf0.001")
+    results = []
+    for parts in (1, 7, 23):
+        d = daily(obs.repartition(parts), entity="l_returnflag", aggs=catalog.LI_SPEC.aggs,
+                  count_col="rows_count", exact_scale=2)
+        results.append(sorted(map(tuple, d.collect())))
+    assert results[0] == results[1] == results[2]
