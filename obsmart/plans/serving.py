@@ -108,3 +108,13 @@ def register_view(spark: SparkSession, serving_path: str, name: str = "daily_cit
     df = current(spark, serving_path, start, end, keys=keys)
     df.createOrReplaceTempView(name)
     return df
+
+
+def snapshot(spark: SparkSession, serving_path: str, start=None, end=None, *,
+             keys=("city", "dt"), day: str = "dt") -> DataFrame:
+    """The latest versions, resolved once and kept in the shared checkpoint folder, for
+    running several reports: each report then reads the snapshot instead of resolving the
+    versions (a shuffle of the served period) again."""
+    from obsmart.session import cut_lineage
+
+    return cut_lineage(current(spark, serving_path, start, end, keys=keys, day=day))

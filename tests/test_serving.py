@@ -99,3 +99,19 @@ def test_sql_view_of_latest_versions(spark, scratch):
     got = spark.sql("SELECT count(*) AS rows, count(DISTINCT city) AS entities, min(dt) AS first_day, "
                     "max(dt) AS last_day FROM daily_city_test").first()
     assert tuple(got) == tuple(reports.overview(daily).first()) == (80, 2, date(2026, 1, 1), date(2026, 2, 9))
+
+
+def test_snapshot_serves_several_reports_without_resolving_again(spark, scratch):
+    from obsmart.plans import reports
+    from obsmart.plans.serving import snapshot
+
+    m, s = f"{scratch}/mart", f"{scratch}/serving"
+    overwrite_days(mart(spark), m)
+    load_range(spark, m, s, "2026-01-01", "2026-02-09", load_ts=datetime(2026, 3, 1))
+    load_range(spark, m, s, "2026-01-01", "2026-01-05", load_ts=datetime(2026, 3, 2))
+    snap = snapshot(spark, s)
+    r = reports.overview(snap)
+    r.collect()
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "max_by" not in plan          # versions not resolved again
+    assert tuple(r.first()) == (80, 2, date(2026, 1, 1), date(2026, 2, 9))
