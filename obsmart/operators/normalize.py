@@ -129,6 +129,8 @@ def keep_last(df: DataFrame, keys, order) -> DataFrame:
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     others = [c for c in df.columns if c not in keys]
+    if not others:                      # nothing but keys: one row per key
+        return df.select(*keys).distinct()
     if len(order_cols) == 1:
         probe = df.select(order_cols[0].alias("_keep_order"))
         as_long = _order_as_long(order_cols[0], probe.schema["_keep_order"].dataType)
