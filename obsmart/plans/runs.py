@@ -174,10 +174,12 @@ def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int)
 
 def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
               load_ts: datetime, landed: DataFrame | None = None,
-              layout: str = "folders", chunks: bool = True) -> RunReport:
+              layout: str = "folders", chunks: bool = True,
+              propagate: bool = False) -> RunReport:
     """The whole chain for a period; the first failing step stops the rest. ``layout`` is
     the raw layer's layout (see ``sinks.lake.write_raw``); ``chunks`` as in
-    ``transform_range``."""
+    ``transform_range``; ``propagate=True`` also rebuilds and reloads the days after the
+    period whose norms depend on it."""
     start, end = check_period(start, end)
     report = RunReport()
     if landed is not None:
@@ -185,12 +187,13 @@ def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *
     report.steps["transform"] = transform_range(spark, layers, dim, start, end, layout=layout,
                                                 chunks=chunks)
     report.steps["staging_dq"] = staging_gate(spark, layers, dim, start, end)
-    report.steps["aggregate"] = aggregate_range(spark, layers, start, end)
+    report.steps["aggregate"] = aggregate_range(spark, layers, start, end, propagate=propagate)
+    last = end + timedelta(days=NORM_WINDOW_DAYS) if propagate else end
     if layers.serving_table:
-        report.steps["load"] = load_table(spark, layers.mart, layers.serving_table, start, end,
+        report.steps["load"] = load_table(spark, layers.mart, layers.serving_table, start, last,
                                           load_ts=load_ts)
     else:
-        report.steps["load"] = load_range(spark, layers.mart, layers.serving, start, end,
+        report.steps["load"] = load_range(spark, layers.mart, layers.serving, start, last,
                                           load_ts=load_ts)
     n_entities = dim.count()
     report.steps["mart_dq"] = mart_gate(spark, layers, start, end, n_entities)

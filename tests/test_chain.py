@@ -159,3 +159,14 @@ def test_extract_writes_one_range_per_request_chunk(spark, places, scratch):
     assert out["written"] == 4
     got = sorted(r.range for r in read_raw(spark, f"{scratch}/raw", START, END, all_ranges=True).collect())
     assert got == ["2025-01-01_2025-01-31"] * 2 + ["2025-02-01_2025-02-09"] * 2
+
+
+def test_run_range_propagates_to_following_days(spark, places, scratch):
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    land(spark, layers.raw, [("moscow", payload(0.0, START, END)), ("london", payload(8.0, START, END))])
+    run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1))
+    day = date(2025, 1, 20)
+    rows = [(f"{day}_{day}", c, payload(sh, day, day)) for c, sh in (("moscow", 3.0), ("london", 8.0))]
+    write_raw(spark.createDataFrame(rows, "range string, city string, body string"), layers.raw)
+    rep = run_range(spark, layers, places, day, day, load_ts=datetime(2026, 1, 2), propagate=True)
+    assert rep.steps["aggregate"] == 2 * (1 + 20) and rep.steps["load"] == 2 * 21   # to Feb 9
