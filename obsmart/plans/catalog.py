@@ -223,6 +223,13 @@ def q_overview(spark, sf_dir):
     return reports.overview(lineitem_mart(spark, sf_dir), entity="l_returnflag")
 
 
+def q_sql_overview(spark, sf_dir):
+    """The overview written in Spark SQL over a temporary view of the mart (SQL entry point)."""
+    lineitem_mart(spark, sf_dir).createOrReplaceTempView("obsmart_lineitem_daily")
+    return spark.sql("SELECT count(*) AS rows, count(DISTINCT l_returnflag) AS entities, "
+                     "min(dt) AS first_day, max(dt) AS last_day FROM obsmart_lineitem_daily")
+
+
 def q_serving_reload(spark, sf_dir):
     first = conform(lineitem_mart(spark, sf_dir), count_col="rows_count", load_ts=LOAD_TS_1)
     again = conform(lineitem_mart(spark, sf_dir, *RELOAD_PERIOD), count_col="rows_count",
@@ -324,6 +331,7 @@ def queries():
         "monthly_pivot": q_monthly_pivot,
         "year_over_year": q_year_over_year,
         "overview": q_overview,
+        "sql_overview": q_sql_overview,
         "serving_reload": q_serving_reload,
         "latest_version": q_latest_version,
         "staging_checks": q_staging_checks,
@@ -551,6 +559,7 @@ FROM m"""
     sql["overview"] = _li_mart() + """
 SELECT count(*) AS rows, count(DISTINCT l_returnflag) AS entities, min(dt) AS first_day,
        max(dt) AS last_day FROM mart"""
+    sql["sql_overview"] = sql["overview"]
     sql["serving_reload"] = _li_mart() + f"""
 SELECT * REPLACE (CAST(rows_count AS INTEGER) AS rows_count), CASE WHEN dt BETWEEN DATE '{rs}' AND DATE '{re_}'
                THEN TIMESTAMP '{LOAD_TS_2:%Y-%m-%d %H:%M:%S}'
