@@ -1,5 +1,6 @@
 """Property tests against brute-force Python references on small random inputs."""
 
+import os
 from datetime import date, timedelta
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from obsmart.functions import exact_avg_rounded
 from obsmart.operators.calendar import month_chunks_between
 
-SETTINGS = settings(max_examples=25, deadline=None,
+SETTINGS = settings(max_examples=int(os.environ.get("OBSMART_EXAMPLES", "25")), deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 days = st.dates(min_value=date(1999, 1, 1), max_value=date(2031, 12, 31))
 
