@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmart.llm.curriculum import plan_mix
+from obsmart.llm.dartminhash import near_duplicates
 from obsmart.llm.linededup import dedup_lines
+from obsmart.llm.packing import pack
 from obsmart.llm.quality import judge
 from obsmart.llm.redirects import judge_urls, page_links
 
@@ -17,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, with its place in a packed sequence."""
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and Jensen-Shannon verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -41,12 +48,19 @@ def op9_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages.select("page_id", "url"), links=page_links(pages)).drop("url")
 
 
+def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text class and near-duplicate class of every document."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_best_fit": op1_best_fit,
         "op3_divergence": op3_divergence,
         "op5_curriculum": op5_curriculum,
         "op7_line_runs": op7_line_runs,
         "op9_redirects": op9_redirects,
+        "op10_dart_minhash": op10_dart_minhash,
     }
 
 
