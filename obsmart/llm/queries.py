@@ -13,6 +13,7 @@ from obsmart.llm.linededup import dedup_lines
 from obsmart.llm.packing import pack
 from obsmart.llm.quality import judge
 from obsmart.llm.redirects import judge_urls, page_links
+from obsmart.llm.syncmers import edited_fingerprints
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +31,11 @@ def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(docs).drop("text", "lang")
 
 
+def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return edited_fingerprints(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, and when it is first trained."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -57,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit": op1_best_fit,
         "op3_divergence": op3_divergence,
+        "op4_syncmers": op4_syncmers,
         "op5_curriculum": op5_curriculum,
         "op7_line_runs": op7_line_runs,
         "op9_redirects": op9_redirects,
