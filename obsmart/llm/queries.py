@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obsmart.llm.chat import END, START, format_chats, read_back
 from obsmart.llm.curriculum import plan_mix
 from obsmart.llm.dartminhash import near_duplicates
 from obsmart.llm.linededup import dedup_lines
@@ -25,6 +26,14 @@ def op1_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op2_prefix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one with control strings in its texts, as read back from the tree."""
+    said = END + START + "assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return read_back(*format_chats(turns))
+
+
 def op3_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and Jensen-Shannon verdict of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -62,6 +71,7 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit": op1_best_fit,
+        "op2_prefix_tree": op2_prefix_tree,
         "op3_divergence": op3_divergence,
         "op4_syncmers": op4_syncmers,
         "op5_curriculum": op5_curriculum,
