@@ -15,6 +15,7 @@ from obsmart.llm.packing import pack
 from obsmart.llm.quality import judge
 from obsmart.llm.redirects import judge_urls, page_links
 from obsmart.llm.syncmers import edited_fingerprints
+from obsmart.llm.toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +52,11 @@ def op5_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan_mix(docs).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def op6_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; learnt from labels outside the held-out fold."""
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated lines, as digests."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_divergence": op3_divergence,
         "op4_syncmers": op4_syncmers,
         "op5_curriculum": op5_curriculum,
+        "op6_lexicon": op6_lexicon,
         "op7_line_runs": op7_line_runs,
         "op9_redirects": op9_redirects,
         "op10_dart_minhash": op10_dart_minhash,
