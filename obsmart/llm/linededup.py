@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsmart.llm.storage import stored
-from obsmart.llm.text import ascii_lower, hash128, stripped, whole
+from obsmart.llm.text import ascii_lower, hash128, held, stripped, whole
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -109,10 +109,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     kept = docs.select(*own, "text", F.xxhash64("text").alias("__text"))
     kept = kept.join(drops, kept["doc_id"].eqNullSafe(drops["__doc"])
                      & (kept["__text"] == drops["__hash"]), "left")
-    cut = kept.select(*own, lines_of(F.col("text")).alias("__lines"), "__pos")
+    cut = kept.select(*own, held(lines_of(F.col("text"))).alias("__lines"), "__pos")
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__pos"))
-    cut = cut.withColumn("__kept", F.when(F.col("__pos").isNull(), F.col("__lines")).otherwise(
-        F.transform(left, lambda i: F.get(F.col("__lines"), i))))
+    cut = cut.withColumn("__kept", held(F.when(F.col("__pos").isNull(), F.col("__lines")).otherwise(
+        F.transform(left, lambda i: F.get(F.col("__lines"), i)))))
     return cut.select(*own, F.array_join("__kept", "\n").alias("text"),
                       F.size("__lines").cast("long").alias("n_lines"),
                       (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"))

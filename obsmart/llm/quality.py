@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsmart.llm.storage import stored
-from obsmart.llm.text import SPACE, WORD, chars_of, whole, words
+from obsmart.llm.text import SPACE, WORD, chars_of, held, whole, words
 
 MIN_WORDS = 50                 # base rule
 MAX_REPEAT_PERCENT = 50        # base rule: share of words inside repeated 3-word windows
@@ -75,15 +75,15 @@ def counted(docs: DataFrame) -> DataFrame:
     """``docs`` with the base counts, the words (``__words``) and character classes (``__chars``)."""
     own = [c for c in docs.columns if c not in OUT]
     text = whole(F.col("text"))
-    d = docs.select(*own, words(text).alias("__words"))
+    d = docs.select(*own, held(words(text)).alias("__words"))
     w = F.col("__words")
     hashes = F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW),
                          lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
-    d = d.withColumn("__hashes", F.when(F.size(w) >= WINDOW, hashes))
+    d = d.withColumn("__hashes", held(F.when(F.size(w) >= WINDOW, hashes)))
     h = F.col("__hashes")
-    d = d.withColumn("__windows", F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(
-        F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))))
-    d = d.withColumn("__at", _repeat_words(F.col("__windows")))
+    d = d.withColumn("__windows", held(F.when(F.size(F.array_distinct(h)) < F.size(h), F.sort_array(
+        F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p")))))))
+    d = d.withColumn("__at", held(_repeat_words(F.col("__windows"))))
     d = d.withColumns({"n_symbols": chars_of(text, SYMBOLS),
                        "word_chars": F.length(F.array_join("__words", "")).cast("long")})
     return d.select(
@@ -158,7 +158,7 @@ def judge(docs: DataFrame, refs: DataFrame | None = None, max_char: float = MAX_
     common = F.col("__common")
     # a null common (no reference) leaves __hits null
     hits = F.filter(F.transform("__words", lambda w: F.array_position(common, F.lower(w))), lambda i: i > 0)
-    d = d.withColumn("__hits", F.when(F.col("n_words") >= min_words_judged, hits))
+    d = d.withColumn("__hits", held(F.when(F.col("n_words") >= min_words_judged, hits)))
     h = F.col("__hits")
     per_word = F.transform(common, lambda w, i: (F.size(h) - F.size(F.array_remove(h, (i + 1).cast("long")))).cast("long"))
     d = d.withColumn("__word_p", F.when(h.isNotNull(), _histogram(per_word, F.col("n_words"))))

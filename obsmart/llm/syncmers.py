@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsmart.llm.storage import stored
-from obsmart.llm.text import whole, words
+from obsmart.llm.text import held, whole, words
 
 K, S = 8, 2
 EDIT = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -38,10 +38,10 @@ def _short_hash(values: list[Column]) -> Column:
 def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) -> DataFrame:
     """``df`` with the anchors of column ``text`` as an array of hashes, in text order."""
     w, pieces = f"__w_{out}", f"__s_{out}"
-    df = df.withColumn(w, F.transform(words(whole(F.col(text))), lambda x: F.xxhash64(x)))
+    df = df.withColumn(w, held(F.transform(words(whole(F.col(text))), lambda x: F.xxhash64(x))))
     n = F.size(w)
-    df = df.withColumn(pieces, F.when(n >= k, F.transform(
-        F.sequence(F.lit(0), n - s), lambda i: F.xxhash64(*[F.get(F.col(w), i + j) for j in range(s)]))))
+    df = df.withColumn(pieces, held(F.when(n >= k, F.transform(
+        F.sequence(F.lit(0), n - s), lambda i: F.xxhash64(*[F.get(F.col(w), i + j) for j in range(s)])))))
     first, last = 0, k - s
 
     def chosen(i: Column) -> Column:
@@ -53,7 +53,7 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) ->
     short = F.array(F.aggregate(w, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x))
                     .bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"))
     none = F.array().cast("array<int>")
-    return df.withColumn(out, F.when(n >= k, anchors).when(n > 0, short).otherwise(none)).drop(w, pieces)
+    return df.withColumn(out, held(F.when(n >= k, anchors).when(n > 0, short).otherwise(none))).drop(w, pieces)
 
 
 def fingerprint(anchors: Column) -> Column:

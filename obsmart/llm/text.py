@@ -11,6 +11,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def held(value: Column) -> Column:
+    """``value``, made once per row in its own projection. Arrays that lambdas look into need this:
+    a filter above would otherwise be moved below the projection and bring the array's whole
+    expression into the lambda, to be evaluated again for every element."""
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def whole(text: Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(text, F.lit(""))
