@@ -11,6 +11,7 @@ from obsmart.llm.chat import END, START, format_chats, read_back
 from obsmart.llm.curriculum import plan_mix
 from obsmart.llm.dartminhash import near_duplicates
 from obsmart.llm.linededup import dedup_lines
+from obsmart.llm.mixing_lm import score_documents
 from obsmart.llm.packing import pack
 from obsmart.llm.quality import judge
 from obsmart.llm.redirects import judge_urls, page_links
@@ -63,6 +64,11 @@ def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of every document, by unigram counts and by the mixed model."""
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_redirects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of every page's url."""
     pages = _table(spark, sf_dir, "pages")
@@ -83,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_curriculum": op5_curriculum,
         "op6_lexicon": op6_lexicon,
         "op7_line_runs": op7_line_runs,
+        "op8_context_mixing": op8_context_mixing,
         "op9_redirects": op9_redirects,
         "op10_dart_minhash": op10_dart_minhash,
     }
