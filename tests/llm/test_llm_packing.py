@@ -1,0 +1,66 @@
+"""Packing against the tokenizer itself and an exhaustive best fit."""
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from llm_cases import ROWS, awkward
+from tokenizers import Tokenizer
+
+from obsmart.llm.packing import END_ID, TOKENIZER, WINDOW, BestFit, pack, sequences
+from obsmart.llm.tokens import ChunkEncoder, public_tokenizer
+
+
+def ids_of(text):
+    t = Tokenizer.from_file(public_tokenizer(TOKENIZER))
+    return t.encode(text or "", add_special_tokens=False).ids + [END_ID]
+
+
+@pytest.mark.parametrize("window", [1, 7, 64, 100])
+def test_best_fit_takes_the_tightest_window(window):
+    rng, best, room = random.Random(window), BestFit(window), {}
+    for length in sorted((rng.randint(1, window) for _ in range(800)), reverse=True):
+        number, offset = best.place(length)
+        fits = [r for r in room.values() if r >= length]
+        assert window - offset == (min(fits) if fits else window)
+        room[number] = window - offset - length
+
+
+def test_chunks_give_the_ids_of_the_whole_text():
+    texts = ["Don't  stop\tNOW ok <|endoftext|>x\n\né a ́b 12 3,4", "", " ", "中文 \U0001F600!", "a" * 500]
+    got = ChunkEncoder(public_tokenizer(TOKENIZER), cache=2).encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t)[:-1] for t in texts]
+
+
+def test_pieces_cover_documents_and_sequences_are_gapless(spark):
+    docs = awkward(spark)
+    packed = pack(docs, rows_per_group=5)
+    rows = packed.collect()
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        by_doc[r.doc_id].append(r)
+        by_sequence[r.sequence_id].append(r)
+    for doc, text, *_ in ROWS:
+        if doc is None or doc == 9:
+            continue
+        ids, at = ids_of(text), 0
+        for r in sorted(by_doc[doc], key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids)
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[at:at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(ids)
+    assert len(by_doc[None]) == 2 and len(by_doc[9]) == 2
+    for parts in by_sequence.values():
+        at = 0
+        for r in sorted(parts, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= WINDOW
+    whole = {r.sequence_id: r.ids for r in sequences(docs, packed).collect()}
+    assert {k: len(v) // 4 for k, v in whole.items()} == {k: sum(r.length for r in v) for k, v in by_sequence.items()}
+
+
+def test_empty_table(spark):
+    assert pack(awkward(spark, [])).count() == 0

@@ -1,0 +1,56 @@
+"""Anchors against a plain definition; edited texts; order of documents."""
+
+import hashlib
+import random
+
+from llm_cases import awkward
+from pyspark.sql import functions as F
+
+from obsmart.llm.syncmers import EDIT, K, S, edited_fingerprints, fingerprints, following
+
+
+def test_windows_are_closed_syncmers(spark):
+    """Two texts around one passage: windows inside the passage are chosen alike."""
+    rng = random.Random(2)
+    passage = [f"p{rng.randint(0, 10**6)}" for _ in range(300)]
+    a = " ".join([f"a{i}" for i in range(37)] + passage)
+    b = " ".join([f"b{i}" for i in range(91)] + passage + ["tail"])
+    rows = fingerprints(spark.createDataFrame([(1, a, "x"), (2, b, "y")], "doc_id bigint, text string, fingerprint string")).collect()
+    cut = [[r.fingerprint[i:i + 8] for i in range(0, len(r.fingerprint), 8)] for r in rows]
+    common = [x for x in cut[0] if x in set(cut[1])]
+    share = 2 / (K - S + 1)
+    assert abs(len(common) / (300 - K + 1) - share) < 0.12
+    assert common == [x for x in cut[1] if x in set(cut[0])]          # same order
+
+
+def test_edited_texts_and_likeness(spark):
+    rng = random.Random(4)
+    texts = {i: " ".join(f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(0, 200))) + rng.choice(["", "é中", "\n"]) for i in range(60)}
+    texts[60] = texts[59]
+    df = spark.createDataFrame([(i, t, "z") for i, t in texts.items()], "doc_id bigint, text string, near_next string")
+    got = {r.doc_id: r for r in edited_fingerprints(df).collect()}
+    order = sorted(texts, reverse=True)
+    for i, d in enumerate(order):
+        t, nxt = texts[d], texts[order[(i + 1) % len(order)]]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + nxt[:half]
+        r = got[d]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        if edited == t:
+            assert r.near_edited == 1 and r.fingerprint == r.edited_fingerprint
+        if len(t) > 400 and t != nxt:
+            assert 0.2 < r.near_edited < 0.8 and r.near_next < 0.1
+    assert got[60].fingerprint == got[59].fingerprint and got[60].near_next == 1
+
+
+def test_awkward_rows(spark):
+    df = awkward(spark)
+    out = edited_fingerprints(df).collect()
+    assert len(out) == 13 and sorted(r.near_next for r in out)[0] >= 0
+    assert len({r.fingerprint for r in out if r.doc_id == 9}) == 1
+    assert following(df).count() == 12                               # the repeated row is one place
+    assert edited_fingerprints(awkward(spark, [])).count() == 0
+    one = edited_fingerprints(awkward(spark, [(5, "a b c d", "en", "s")])).first()
+    assert one.near_next == 1 and set(EDIT) <= set(one.asDict())
+    assert df.select(F.count("doc_id")).first()[0] == 11
