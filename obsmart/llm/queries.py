@@ -95,5 +95,25 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+_LINES = """
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT doc_id, u.pos AS pos, lines[u.pos] AS line,
+         translate(regexp_replace(lines[u.pos], '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM split, unnest(range(1, len(lines) + 1)) AS u(pos)),
+hot AS (
+  SELECT key, max(doc_id) AS holder FROM line WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT doc_id, pos, line, hot.key IS NOT NULL AND doc_id <> holder AS dropped FROM line LEFT JOIN hot USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The other queries have no SQL form (iteration, models, Spark's hashes): tests/llm holds them
+    against brute force."""
+    return {"op7_line_runs": _LINES}
