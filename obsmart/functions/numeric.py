@@ -51,7 +51,11 @@ def round_to(c, scale: int = 2, mode: str = "half_up") -> Column:
 
 
 def _scaled_long(c: Column, scale: int) -> Column:
-    return F.rint(c * F.lit(float(10 ** scale))).cast("long")
+    """Integer units of 10^-scale; a value with more decimals fails the job (it would lose them)."""
+    x = c * F.lit(float(10 ** scale))
+    units = F.rint(x)
+    finer = F.abs(x - units) > F.greatest(F.lit(1e-6), F.abs(x) * 1e-12)
+    return F.when(finer, F.raise_error(F.lit(f"a value has more than {scale} decimals"))).otherwise(units).cast("long")
 
 
 def exact_sum(c, scale: int) -> Column:

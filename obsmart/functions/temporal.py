@@ -11,22 +11,29 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_ISO_MINUTES = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?$"
+# day, then optionally a clock of minutes, seconds or fractions, then optionally a zone
+_ISO = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(:\d{2}(?:\.\d+)?)? ?(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
 
 
 def to_utc(c, strict: bool = False) -> Column:
-    """Zone-less text ``YYYY-MM-DDTHH:MM[:SS]`` read as a UTC instant (TIMESTAMP).
+    """ISO text -> instant (TIMESTAMP): ``YYYY-MM-DD[THH:MM[:SS[.f]][Z|+HH|+HHMM|+HH:MM]]``.
 
-    Junk gives NULL (``strict=True``: the job fails instead). A 'Z' suffix makes the result
-    independent of the session time zone (Spark needs seconds before a zone, so ':00' is
-    added to minute-precision text).
+    Text without a zone is read as UTC, whatever the session's time zone; a day without a clock
+    is its midnight. Junk gives NULL (``strict=True``: the job fails instead).
     """
     s = F.trim(_col(c).cast("string"))
-    with_seconds = F.when(s.rlike(r"[T ]\d{2}:\d{2}$"), F.concat(s, F.lit(":00"))).otherwise(s)
-    text = F.concat(with_seconds, F.lit("Z"))
+
+    def part(n: int, otherwise: str) -> Column:
+        found = F.regexp_extract(s, _ISO, n)
+        return F.when(found == "", F.lit(otherwise)).otherwise(found)
+
+    zone = F.regexp_replace(part(4, "Z"), r"^([+-]\d{2}):?(\d{2})?$", "$1:$2")
+    zone = F.when(zone.endswith(":"), F.concat(zone, F.lit("00"))).otherwise(zone)
+    text = F.concat(F.regexp_extract(s, _ISO, 1), F.lit("T"), part(2, "00:00"), part(3, ":00"), zone)
     if strict:
-        return text.cast("timestamp")
-    return F.when(s.rlike(_ISO_MINUTES), text.try_cast("timestamp"))
+        junk = F.raise_error(F.concat(F.lit("no ISO time: "), s)).cast("timestamp")
+        return F.when(s.rlike(_ISO), text.cast("timestamp")).when(s.isNotNull(), junk)
+    return F.when(s.rlike(_ISO), text.try_cast("timestamp"))
 
 
 def utc_day(c, dtype: T.DataType | None = None) -> Column:

@@ -50,37 +50,23 @@ def unpivot_arrays(payloads: DataFrame, variables: dict[str, str], *, body: str
     return rows.select(*out)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, int]:
-    """Broadcast hint only when the frame is proven to hold at most ``max_rows`` rows.
-
-    The count stops after ``max_rows + 1`` rows. Above the bound the frame is returned
-    unhinted and Spark (with AQE runtime statistics) picks the join strategy.
-    """
-    n = df.limit(max_rows + 1).count()
-    return (F.broadcast(df) if n <= max_rows else df), n
-
-
 def enrich(facts: DataFrame, dim: DataFrame, *, fact_key: str, dim_key: str,
-           attrs: dict[str, str], how: str = "inner", max_broadcast_rows: int = 1_000_000,
+           attrs: dict[str, str], how: str = "inner",
            observation: Observation | None = None) -> DataFrame:
     """Attach entity attributes from the dimension (N:1 equi join).
 
     Attributes always come from the dimension, never from the payload. The dimension key
-    must be unique (checked when the dimension is within the broadcast bound). Facts without
+    must be unique (checked at any size, by a distributed count per key; NULL keys match
+    nothing). The join strategy is Spark's: it broadcasts the dimension if its bytes are few. Facts without
     a dimension row are counted in ``observation`` as ``unmatched``; ``how='inner'`` drops
     them, ``how='left'`` keeps them with NULL attributes.
     """
     side = dim.select(F.col(dim_key).alias("_dim_key"),
                       *[F.col(src).alias(dst) for src, dst in attrs.items()],
                       F.lit(True).alias("_dim_hit"))
-    # One small job over at most max_broadcast_rows + 1 rows: size bound and key uniqueness.
-    probe = (side.select("_dim_key").limit(max_broadcast_rows + 1).groupBy("_dim_key").count()
-             .agg(F.sum("count").alias("n"), F.max("count").alias("most")).first())
-    n, most = (probe.n or 0), (probe.most or 0)
-    if n <= max_broadcast_rows:
-        if most > 1:
-            raise ValueError(f"dimension key {dim_key!r} is not unique")
-        side = F.broadcast(side)
+    twice = side.where(F.col("_dim_key").isNotNull()).groupBy("_dim_key").count().where("count > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"dimension key {dim_key!r} is not unique")
     facts = facts.drop(*[a for a in attrs.values() if a in facts.columns])
     joined = facts.join(side, facts[fact_key] == side["_dim_key"], "left")
     if observation is not None:
@@ -146,11 +132,10 @@ def keep_last(df: DataFrame, keys, order) -> DataFrame:
     return picked.select(*df.columns)
 
 
-def payload_order(range_end: str = "range_end", pos: str = "_pos") -> Column:
-    """Keep-last order of unpacked rows as one LONG: newer range first, then later array
-    position (positions below 2^20, i.e. payloads of up to ~119 years of hours)."""
-    day = F.coalesce(F.unix_date(F.col(range_end)).cast("long"), F.lit(-(1 << 40)))
-    return day * F.lit(1 << 20) + F.coalesce(F.col(pos).cast("long"), F.lit(-1))
+def payload_order(columns) -> list[str]:
+    """Keep-last order of unpacked rows, of the columns that are there: the payload that landed
+    last wins, then the newer range, then the later array position."""
+    return [c for c in ("landed_at", "range_end", "_pos") if c in columns]
 
 
 def clip_columns(df: DataFrame, columns, low: float = 0.0, high: float = 100.0,
@@ -182,9 +167,9 @@ def assign_day(df: DataFrame, ts: str = "ts", day: str = "dt", start=None, end=N
 def clean(df: DataFrame, *, keys=("city", "ts"), order=None, percent_columns=(),
           observation: Observation | None = None) -> DataFrame:
     """Drop rows with a NULL key, keep the last row per key, clip percentages. The default
-    order is the payload order (newest range, then last array position)."""
+    order is ``payload_order``."""
     if order is None:
-        order = [payload_order()] if "range_end" in df.columns else ["_pos"]
+        order = payload_order(df.columns)
     df = drop_null_keys(df, keys)
     df = keep_last(df, keys, order)
     return clip_columns(df, percent_columns, 0.0, 100.0, observation)

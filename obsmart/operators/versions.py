@@ -26,15 +26,14 @@ def conform(df: DataFrame, *, day: str = "dt", count_col: str = "hours_count",
             loaded_at: str = "loaded_at", month: str = "month") -> DataFrame:
     """Casts of a mart frame to the serving types.
 
-    ``day`` -> DATE; ``count_col`` -> INT after a 0..255 check (the serving type is an
-    unsigned byte; a value outside fails the job); time stamps -> millisecond precision;
+    ``day`` -> DATE; ``count_col`` -> INT (the number of rows of an entity-day grows with the
+    data, so no narrower type; a value beyond INT fails the job); time stamps -> millisecond precision;
     ``loaded_at`` = ``load_ts`` (given, so that runs are reproducible); ``month`` = YYYYMM.
     """
     out = {day: F.col(day).cast("date")}
     if count_col in df.columns:
         c = F.col(count_col)
-        out[count_col] = F.when((c < 0) | (c > 255),
-                                F.raise_error(F.lit(f"{count_col} outside 0..255"))
+        out[count_col] = F.when(c > F.lit(2**31 - 1), F.raise_error(F.lit(f"{count_col} is beyond INT"))
                                 ).otherwise(c).cast("int")
     for s in stamp_cols:
         if s in df.columns:

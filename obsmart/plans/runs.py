@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from obsmart.operators.calendar import check_period, month_chunk_bounds
 from obsmart.operators.normalize import assign_day, clean, enrich, unpivot_arrays
 from obsmart.operators.quality import (
-    DataQualityError, check_mart_stats, gate, mart_stats, staging_violations,
+    DataQualityError, gate, mart_stats, mart_violations, profile_of, staging_violations,
 )
 from obsmart.plans.mart import build_mart
 from obsmart.plans.serving import current, current_table, load_range, load_table
@@ -80,7 +80,8 @@ def extract_range(landed: DataFrame, raw_path: str, start, end, *, entity: str =
 
     Good payloads are written under their request's range (the chunk columns, e.g. joined
     from ``sources.raw.fetch_plan``), else under the period's range; retryable and fatal
-    responses are returned as a frame for the caller to re-request or report."""
+    responses are returned as a frame for the caller to re-request or report, and the number of
+    fatal ones (``run_range`` stops on them)."""
     start, end = check_period(start, end)
     t = triage(landed)
     if "range_start" in landed.columns and "range_end" in landed.columns:   # per request chunk
@@ -91,20 +92,29 @@ def extract_range(landed: DataFrame, raw_path: str, start, end, *, entity: str =
     good = t.where(F.col("outcome") == "good").select(rng.alias("range"), entity, "body")
     written = write_raw(good, raw_path, entity=entity, layout=layout)
     rejected = t.where(F.col("outcome") != "good").select(entity, "status", "outcome", "reason")
-    return {"written": written, "rejected": rejected}
+    return {"written": written, "rejected": rejected, "fatal": rejected.where(F.col("outcome") == "fatal").count()}
 
 
 def transform_payloads(payloads: DataFrame, dim: DataFrame, start, end, *,
                        variables=WEATHER_VARIABLES, entity: str = "city",
-                       percent_columns=WEATHER_PERCENT_COLUMNS,
-                       repairs: Observation | None = None) -> DataFrame:
-    """Payload rows -> clean hourly staging rows of ``[start, end]`` (with ``dt``)."""
-    rows = unpivot_arrays(payloads, variables, keep=("range_end", entity), ts="ts")
+                       percent_columns=WEATHER_PERCENT_COLUMNS, strict: bool = False,
+                       repairs: Observation | None = None, dropped: Observation | None = None,
+                       unmatched: Observation | None = None) -> DataFrame:
+    """Payload rows -> clean hourly staging rows of ``[start, end]`` (with ``dt``).
+
+    Observations: ``repairs`` per clipped column; ``dropped``: rows without a readable time
+    (no_time; an error if ``strict``) or without an entity (no_entity); ``unmatched``: rows
+    without a dimension entry."""
+    keep = tuple(c for c in ("landed_at", "range_end", entity) if c in payloads.columns)
+    rows = unpivot_arrays(payloads, variables, keep=keep, ts="ts", strict=strict)
+    if dropped is not None:
+        rows = rows.observe(dropped, F.count_if(F.col("ts").isNull()).alias("no_time"),
+                            F.count_if(F.col(entity).isNull()).alias("no_entity"))
     rows = assign_day(rows, "ts", "dt", start, end)
     rows = clean(rows, keys=(entity, "ts"), percent_columns=percent_columns, observation=repairs)
-    rows = enrich(rows, dim, fact_key=entity, dim_key="slug", attrs=DIM_ATTRS)
+    rows = enrich(rows, dim, fact_key=entity, dim_key="slug", attrs=DIM_ATTRS, observation=unmatched)
     cols = [c for c in STAGING_COLUMNS if c in rows.columns] if entity == "city" else rows.columns
-    return rows.select(*[c for c in cols if c not in ("range_end", "_pos", "dt")], "dt")
+    return rows.select(*[c for c in cols if c not in ("landed_at", "range_end", "_pos", "dt")], "dt")
 
 
 def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
@@ -116,7 +126,7 @@ def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start,
     range. For a period within one month both are the period. ``chunks=False``: only the
     period's own range.
     """
-    repairs = Observation("repairs")
+    repairs, dropped, unmatched = Observation("repairs"), Observation("dropped"), Observation("unmatched")
     ranges = None
     if chunks:
         ranges = month_chunk_bounds(start, end)
@@ -124,23 +134,23 @@ def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start,
         if whole not in ranges:
             ranges.append(whole)
     payloads = read_raw(spark, layers.raw, start, end, layout=layout, ranges=ranges)
-    rows = transform_payloads(payloads, dim, start, end, repairs=repairs, **kw)
+    rows = transform_payloads(payloads, dim, start, end, repairs=repairs, dropped=dropped,
+                              unmatched=unmatched, **kw)
     n = write_staging(rows, layers)
     if n == 0:   # no raw payload (or only empty ones) for the period: stop the chain here
         raise DataQualityError(f"staging: no rows from raw for {start}..{end}"
                                + (" (month chunks)" if chunks else ""))
-    return {"rows": n, "repaired": dict(repairs.get)}
+    return {"rows": n, "repaired": dict(repairs.get), "dropped": dict(dropped.get) | dict(unmatched.get)}
 
 
 def staging_gate(spark: SparkSession, layers: Layers, dim: DataFrame, start, end) -> int:
     """Raise on any staging violation in ``[start, end]``; else return the rows checked."""
     staging = read_staging(spark, layers, start, end)
-    v = staging_violations(staging, start=start, end=end,
-                           expected=dim.select(F.col("slug").alias("city")),
-                           entity="city", ts="ts", day="dt",
-                           metrics=list(WEATHER_VARIABLES.values()), ranges=WEATHER_RANGES)
-    gate(v, name="staging")
-    return staging.count()
+    how = dict(start=start, end=end, entity="city", ts="ts", day="dt",
+               metrics=list(WEATHER_VARIABLES.values()), ranges=WEATHER_RANGES)
+    profile = profile_of(staging, **how)
+    gate(staging_violations(staging, expected=dim.select(F.col("slug").alias("city")), profile=profile, **how), name="staging")
+    return profile.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
 def aggregate_range(spark: SparkSession, layers: Layers, start, end, *,
@@ -165,11 +175,10 @@ def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int)
         served = current_table(spark, layers.serving_table, start, end)
     else:
         served = current(spark, layers.serving, start, end)
-    stats = mart_stats(served, start=start, end=end).first().asDict()
-    errors = check_mart_stats(stats, n_entities, (end - start).days + 1)
-    if errors:
-        raise DataQualityError("mart DQ: " + "; ".join(errors))
-    return stats
+    row = mart_stats(served, start=start, end=end).first()
+    stats = spark.createDataFrame([row])
+    gate(mart_violations(stats, n_entities=n_entities, n_days=(end - start).days + 1), name="mart")
+    return row.asDict()
 
 
 def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
@@ -183,18 +192,30 @@ def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *
     start, end = check_period(start, end)
     report = RunReport()
     if landed is not None:
-        report.steps["extract"] = extract_range(landed, layers.raw, start, end, layout=layout)["written"]
-    report.steps["transform"] = transform_range(spark, layers, dim, start, end, layout=layout,
-                                                chunks=chunks)
-    report.steps["staging_dq"] = staging_gate(spark, layers, dim, start, end)
-    report.steps["aggregate"] = aggregate_range(spark, layers, start, end, propagate=propagate)
+        got = extract_range(landed, layers.raw, start, end, layout=layout)
+        report.steps["extract"] = got["written"]
+        if got["fatal"]:
+            first = got["rejected"].where(F.col("outcome") == "fatal").limit(10).collect()
+            raise DataQualityError(f"extract: {got['fatal']} fatal responses, e.g. "
+                                   + "; ".join(f"{r[0]}: {r['reason']}" for r in first))
+    report.steps |= run_steps(spark, layers, dim, start, end, load_ts=load_ts, layout=layout,
+                              chunks=chunks, propagate=propagate)
+    return report
+
+
+def run_steps(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
+              load_ts: datetime | None, layout: str = "folders", chunks: bool = True,
+              propagate: bool = False) -> dict:
+    """Everything after the landing, with both gates; ``load_ts=None`` stops before the load."""
+    steps = {"transform": transform_range(spark, layers, dim, start, end, layout=layout, chunks=chunks)}
+    steps["staging_dq"] = staging_gate(spark, layers, dim, start, end)
+    steps["aggregate"] = aggregate_range(spark, layers, start, end, propagate=propagate)
+    if load_ts is None:
+        return steps
     last = end + timedelta(days=NORM_WINDOW_DAYS) if propagate else end
     if layers.serving_table:
-        report.steps["load"] = load_table(spark, layers.mart, layers.serving_table, start, last,
-                                          load_ts=load_ts)
+        steps["load"] = load_table(spark, layers.mart, layers.serving_table, start, last, load_ts=load_ts)
     else:
-        report.steps["load"] = load_range(spark, layers.mart, layers.serving, start, last,
-                                          load_ts=load_ts)
-    n_entities = dim.count()
-    report.steps["mart_dq"] = mart_gate(spark, layers, start, end, n_entities)
-    return report
+        steps["load"] = load_range(spark, layers.mart, layers.serving, start, last, load_ts=load_ts)
+    steps["mart_dq"] = mart_gate(spark, layers, start, end, dim.count())
+    return steps

@@ -54,9 +54,9 @@ def compact(spark: SparkSession, serving_path: str, start, end, *, keys=("city",
 
 
 def _d(value):
-    from obsmart.operators.calendar import parse_date
+    from obsmart.operators.calendar import as_day
 
-    return parse_date(value)
+    return as_day(value)
 
 
 # --------------------------------------------------------------------------------------------

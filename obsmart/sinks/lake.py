@@ -13,6 +13,16 @@ def _observed_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def one_payload_each(payloads: DataFrame, entity: str) -> DataFrame:
+    """(range, <entity>, body), one per range and entity: the one that landed last (by ``landed_at``
+    if there is one, then by row order). Line breaks, which JSON text holds between tokens only,
+    become spaces."""
+    order = [c for c in ("landed_at",) if c in payloads.columns] + ["_row"]
+    rows = payloads.withColumn("_row", F.monotonically_increasing_id())
+    last = rows.groupBy("range", entity).agg(F.max_by("body", F.struct(*order)).alias("body"))
+    return last.withColumn("body", F.translate("body", "\r\n", "  "))
+
+
 def write_raw(payloads: DataFrame, path: str, *, entity: str = "city", layout: str = "folders") -> int:
     """Payloads ``(range, <entity>, body)`` -> the raw layer. Returns payloads written
     (counted while writing). Dynamic overwrite: a re-run replaces its own folders only.
@@ -20,9 +30,12 @@ def write_raw(payloads: DataFrame, path: str, *, entity: str = "city", layout: s
     ``layout="folders"``: ``range=<s>_<e>/<entity>=<key>/`` with one payload file each (the
     original layout; a re-run of one entity replaces just that entity).
     ``layout="lines"``: ``range=<s>_<e>/`` with JSON lines ``{"<entity>": key, "payload": {..}}``
-    in files sized by AQE; a re-run replaces the whole range. For very many entities this
-    avoids one file per payload.
+    in files sized by AQE; a re-run replaces the payloads that it brings and keeps the range's
+    others. For very many entities this avoids one file per payload.
+
+    Of several payloads of one (range, entity) the last is written and counted.
     """
+    payloads = one_payload_each(payloads, entity)
     if layout == "folders":
         out, obs = _observed_rows(payloads.select("range", entity, "body"), "write_raw")
         (out.repartition("range", entity).write.mode("overwrite")
@@ -32,14 +45,30 @@ def write_raw(payloads: DataFrame, path: str, *, entity: str = "city", layout: s
         raise ValueError("layout must be 'folders' or 'lines'")
     # {"<entity>": "<key>"} with JSON escaping, reopened (its closing brace dropped) so the
     # payload object can follow as a second member.
+    payloads, n = _with_stored(payloads, path, entity)
     head = F.to_json(F.struct(F.col(entity).cast("string").alias(entity)))
     line = F.concat(F.expr("substring(_head, 1, length(_head) - 1)"), F.lit(', "payload": '),
                     F.col("body"), F.lit("}"))
     out = payloads.select("range", head.alias("_head"), "body").select("range", line.alias("value"))
-    out, obs = _observed_rows(out, "write_raw")
     (out.hint("rebalance", "range").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("range").text(path))
-    return int(obs.get["rows"])
+    return n
+
+
+def _with_stored(payloads: DataFrame, path: str, entity: str) -> tuple[DataFrame, int]:
+    """The payloads with the stored ones of their ranges that they do not replace (cut from the
+    files that are about to be rewritten), and how many are new."""
+    from obsmart.sources.raw import read_raw
+
+    spark = payloads.sparkSession
+    payloads = cut_lineage(payloads.withColumn(entity, F.col(entity).cast("string")), required=True)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target) and fs.listStatus(target):
+        old = read_raw(spark, path, entity=entity, layout="lines").select("range", entity, "body")
+        old = old.join(payloads.select("range").distinct(), "range", "left_semi").join(payloads, ["range", entity], "left_anti")
+        return cut_lineage(payloads.unionByName(old), required=True), payloads.count()
+    return payloads, payloads.count()
 
 
 def overwrite_days(df: DataFrame, path: str, *, day: str = "dt", sort_within=(),

@@ -7,6 +7,8 @@ range (``layout="lines"``). Re-runs replace exactly their own folders.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,34 +24,50 @@ def range_key(start, end) -> str:
     return f"{start:%Y-%m-%d}_{end:%Y-%m-%d}"
 
 
+@contextmanager
+def _text_partitions(spark: SparkSession):
+    """While a reader is made: partition values are text (inference would turn 007 into 7)."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: str = "city",
              all_ranges: bool = False, layout: str = "folders", ranges=None) -> DataFrame:
-    """Payload rows ``(range, range_start, range_end, <entity>, body)``.
+    """Payload rows ``(range, range_start, range_end, <entity>, landed_at, body)``; range and entity
+    are text as in the folder names (``007`` stays ``007``), landed_at is the file's time.
 
     By default only the folder of exactly ``[start, end]`` is read (the filter on the
     ``range`` partition column prunes folders). ``all_ranges=True`` reads every range that
-    overlaps the period; overlapping hours are then resolved newest range first (see
-    ``keep_last`` ordering on ``range_end``). ``ranges``: read exactly these ``(start, end)``
+    overlaps the period; overlapping hours are then resolved by ``payload_order`` (the payload
+    that landed last wins). ``ranges``: read exactly these ``(start, end)``
     ranges (e.g. the month chunks of a backfill), all in one scan. ``layout`` as in
     ``sinks.lake.write_raw``.
     """
     if layout == "lines":
-        df = spark.read.option("basePath", path).text(path)
-        df = df.select("range", F.get_json_object("value", f"$.{entity}").alias(entity),
+        with _text_partitions(spark):
+            df = spark.read.option("basePath", path).text(path)
+        df = df.select("range", F.col("_metadata.file_modification_time").alias("landed_at"), F.get_json_object("value", f"$.{entity}").alias(entity),
                        F.get_json_object("value", "$.payload").alias("body"))
     else:
-        df = spark.read.option("basePath", path).text(path, wholetext=True)
-        df = df.withColumnRenamed("value", "body")
+        with _text_partitions(spark):
+            df = spark.read.option("basePath", path).text(path, wholetext=True)
+        df = df.select("*", F.col("_metadata.file_modification_time").alias("landed_at"),
+                       F.col("_metadata.file_name").alias("_file")).withColumnRenamed("value", "body")
     if entity not in df.columns:  # files named <key>.json or <entity>=<key>.json under range=
         pattern = rf"^(?:{entity}=)?(.*)\.json$"
-        df = df.withColumn(entity, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1))
+        df = df.withColumn(entity, F.regexp_extract("_file", pattern, 1))
     df = df.withColumn("range", F.col("range").cast("string"))
     df = df.select(
         "range",
         F.to_date(F.regexp_extract("range", RANGE_PATTERN, 1)).alias("range_start"),
         F.to_date(F.regexp_extract("range", RANGE_PATTERN, 2)).alias("range_end"),
         F.col(entity).cast("string").alias(entity),
-        "body",
+        "landed_at", "body",
     )
     if ranges is not None:
         df = df.where(F.col("range").isin([range_key(s, e) for s, e in ranges]))
@@ -64,19 +82,23 @@ def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: st
 
 def triage(landed: DataFrame, *, status: str = "status", body: str = "body") -> DataFrame:
     """Classify landed responses: ``retry`` (no status, 429 or >= 500), ``fatal`` (other
-    >= 400, or a 200 body with ``error: true``), else ``good``; ``reason`` says why (status and
-    the whole body, or the payload's own reason)."""
+    >= 400, no JSON object in the body, or a body whose ``error`` is set), else ``good``;
+    ``reason`` says why (status and the whole body, or the payload's own reason)."""
     s = F.col(status)
     b = F.col(body)
-    is_error_body = F.lower(F.get_json_object(b, "$.error")) == F.lit("true")
+    error = F.lower(F.trim(F.get_json_object(b, "$.error")))
+    is_error_body = F.coalesce(~error.isin("false", "0", "", "null", "no"), F.lit(False))
+    # a body must be one whole JSON object: cut-off text does not parse
+    malformed = b.isNull() | ~F.trim(b).startswith("{") | F.try_parse_json(b).isNull()
     outcome = (F.when(s.isNull(), F.lit("retry"))
                .when((s == 429) | (s >= 500), F.lit("retry"))
                .when(s >= 400, F.lit("fatal"))
-               .when(is_error_body, F.lit("fatal"))
+               .when(malformed | is_error_body, F.lit("fatal"))
                .otherwise(F.lit("good")))
     reason = (F.when(s.isNull(), F.lit("no response"))
               .when(s >= 400, F.concat_ws(": ", s.cast("string"), b))
-              .when(is_error_body, F.get_json_object(b, "$.reason")))
+              .when(malformed, F.lit("malformed body"))
+              .when(is_error_body, F.coalesce(F.get_json_object(b, "$.reason"), error)))
     return landed.withColumns({"outcome": outcome, "reason": reason})
 
 

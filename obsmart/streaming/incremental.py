@@ -12,14 +12,12 @@ checkpoint, so a restarted job continues where it stopped.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmart.plans.runs import Layers, aggregate_range, transform_range
-from obsmart.plans.serving import load_range
-from obsmart.schemas import NORM_WINDOW_DAYS
+from obsmart.plans.runs import Layers, run_steps
 from obsmart.sources.raw import RANGE_PATTERN
 
 RANGE_IN_PATH = r"range=(\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2})"
@@ -47,16 +45,14 @@ def raw_stream(spark: SparkSession, raw_path: str, *, max_files: int | None = No
 def rerun_periods(spark: SparkSession, layers: Layers, dim: DataFrame, periods, *,
                   load_ts: datetime | None = None, layout: str = "folders",
                   propagate: bool = False) -> list[dict]:
-    """Re-run transform -> aggregate -> load for each ``(start, end)`` period.
-    ``propagate=True`` also rebuilds (and reloads) the days whose norms depend on it."""
+    """Re-run the chain after the landing, gates included (``plans.runs.run_steps``), for each
+    ``(start, end)`` period; a period that fails a gate raises and is not served. ``propagate=True`` also rebuilds (and reloads) the days whose norms depend on it."""
     done = []
     for start, end in sorted(set(periods)):
-        step = {"period": (start, end)}
-        step["staging"] = transform_range(spark, layers, dim, start, end, layout=layout)["rows"]
-        step["mart"] = aggregate_range(spark, layers, start, end, propagate=propagate)
-        if load_ts is not None:
-            last = end + timedelta(days=NORM_WINDOW_DAYS) if propagate else end
-            step["served"] = load_range(spark, layers.mart, layers.serving, start, last, load_ts=load_ts)
+        steps = run_steps(spark, layers, dim, start, end, load_ts=load_ts, layout=layout, propagate=propagate)
+        step = {"period": (start, end), "staging": steps["transform"]["rows"], "mart": steps["aggregate"]}
+        if "load" in steps:
+            step["served"] = steps["load"]
         done.append(step)
     return done
 

@@ -170,3 +170,33 @@ def test_run_range_propagates_to_following_days(spark, places, scratch):
     write_raw(spark.createDataFrame(rows, "range string, city string, body string"), layers.raw)
     rep = run_range(spark, layers, places, day, day, load_ts=datetime(2026, 1, 2), propagate=True)
     assert rep.steps["aggregate"] == 2 * (1 + 20) and rep.steps["load"] == 2 * 21   # to Feb 9
+
+
+def test_fatal_responses_stop_the_chain(spark, places, scratch):
+    from obsmart.operators.quality import DataQualityError
+
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    landed = spark.createDataFrame(
+        [(200, "moscow", payload(0.0, START, END)), (400, "london", "bad request")], "status int, city string, body string")
+    with pytest.raises(DataQualityError, match="1 fatal responses.*london: 400: bad request"):
+        run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1), landed=landed)
+
+
+def test_late_chunks_beat_an_earlier_whole_range(spark, places, scratch):
+    """The whole period lands first, then both of its months with other values: the months win."""
+    import time
+
+    from obsmart.plans.runs import transform_range
+    from obsmart.sources.lake import read_days
+
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    months = [(START, date(2025, 1, 31)), (date(2025, 2, 1), END)]
+    for period in [(START, END), *months]:
+        shift = 0.0 if period == (START, END) else 2.0
+        rows = [(f"{period[0]}_{period[1]}", c, payload(shift, *period)) for c in ("moscow", "london")]
+        write_raw(spark.createDataFrame(rows, "range string, city string, body string"), layers.raw)
+        time.sleep(1.1)
+    transform_range(spark, layers, places, START, END)
+    late = read_days(spark, layers.staging).agg({"temperature_c": "avg"}).first()[0]
+    temps = [t for m in months for t in json.loads(payload(2.0, *m))["hourly"]["temperature_2m"]]
+    assert abs(late - sum(temps) / len(temps)) < 1e-9

@@ -1,4 +1,7 @@
-from datetime import date, datetime, timezone
+"""Payloads to staging rows: made-up payloads whose every value names its place and hour."""
+
+import glob
+from datetime import date, datetime, timedelta, timezone
 
 import pyarrow.parquet as pq
 import pytest
@@ -13,98 +16,102 @@ from obsmart.sinks.lake import overwrite_days
 from tests.conftest import payload_frame
 
 DAY = date(2026, 10, 7)
+EVE = date(2024, 2, 28)
+NAMES = list(WEATHER_VARIABLES)
 
 
-def parse(spark, places, items, start=DAY, end=DAY):
-    payloads = payload_frame(spark, items, str(start), str(end))
-    return transform_payloads(payloads, places, start, end)
-
-
-def test_parse_shape_columns_and_dimension_attributes(spark, places, sample_payload):
-    df = parse(spark, places, [("moscow", sample_payload)])
-    rows = df.collect()
-    assert len(rows) == 24
-    assert df.columns == STAGING_COLUMNS + ["dt"]
-    assert {r.city for r in rows} == {"moscow"}
-    assert rows[0].latitude == 55.7558          # from the dimension, not the payload's 55.7817
-
-
-def test_parse_types(spark, places, sample_payload):
-    df = parse(spark, places, [("moscow", sample_payload)])
-    assert df.schema["ts"].dataType.typeName() == "timestamp"
-    assert df.schema["temperature_c"].dataType.typeName() == "double"
-    first = df.orderBy("ts").first()
-    assert first.ts.astimezone(timezone.utc) == datetime(2026, 10, 7, tzinfo=timezone.utc)
-    assert first.temperature_c == 11.0
+def made(hours, start=EVE, **changed):
+    """A payload of ``hours`` hours: variable number v is 10 v + hour / 100 at each hour."""
+    begin = datetime(start.year, start.month, start.day)
+    hourly = {"time": [f"{begin + timedelta(hours=h):%Y-%m-%dT%H:%M}" for h in range(hours)]}
+    hourly |= {name: [10 * v + h / 100 for h in range(hours)] for v, name in enumerate(NAMES)}
+    return {"latitude": -1.0, "hourly": {k: x for k, x in (hourly | changed).items() if x is not ...}}
 
 
-def test_nulls_and_missing_variable(spark, places, sample_payload):
-    sample_payload["hourly"]["temperature_2m"][0] = None
-    del sample_payload["hourly"]["cloud_cover"]
-    df = parse(spark, places, [("moscow", sample_payload)]).orderBy("ts")
-    rows = df.collect()
-    assert rows[0].temperature_c is None
-    assert all(r.cloud_cover_pct is None for r in rows)
+def staged(spark, places, *items, start=EVE, end=EVE + timedelta(2), **kw):
+    return transform_payloads(payload_frame(spark, items, str(start), str(end)), places, start, end, **kw)
 
 
-def test_empty_payload(spark, places):
-    df = parse(spark, places, [("moscow", {"hourly": {"time": []}})])
-    assert df.count() == 0
+def test_every_value_arrives_in_its_row(spark, places):
+    df = staged(spark, places, ("london", made(60)))
     assert df.columns == STAGING_COLUMNS + ["dt"]
-    assert parse(spark, places, [("moscow", {})]).count() == 0
-
-
-def test_clean_removes_duplicates_and_null_keys(spark, places, sample_payload, scratch):
-    dup = {"hourly": {k: v[:3] for k, v in sample_payload["hourly"].items()}}
-    broken = {"hourly": {k: v[:1] for k, v in sample_payload["hourly"].items()}}
-    broken["hourly"]["time"] = [None]
-    df = parse(spark, places, [("moscow", sample_payload), ("moscow", dup), ("london", sample_payload),
-                               ("moscow", broken)])
-    rows = df.collect()
-    assert len(rows) == 48
-    assert len({(r.city, r.ts) for r in rows}) == 48
-    assert all(r.ts is not None for r in rows)
-    # files are sorted by (city, ts): london first
-    overwrite_days(df, scratch, sort_within=("city", "ts"))
-    files = [f for f in __import__("glob").glob(f"{scratch}/dt=2026-10-07/*.parquet")]
-    table = pq.read_table(files[0])
-    assert table.column("city")[0].as_py() == "london"
-
-
-def test_keep_last_takes_last_position_and_newest_range(spark):
-    body = '{"hourly": {"time": ["2026-10-07T00:00", "2026-10-07T00:00"], "t": [1, 2]}}'
-    newer = '{"hourly": {"time": ["2026-10-07T00:00"], "t": [3]}}'
-    rows = [("r1", date(2026, 10, 7), "x", body), ("r2", date(2026, 10, 8), "x", newer),
-            ("r1", date(2026, 10, 7), "y", body)]
-    p = spark.createDataFrame(rows, "range string, range_end date, city string, body string")
-    out = unpivot_arrays(p, {"t": "t"}, keep=("range_end", "city"))
-    got = {r.city: r.t for r in clean(out, keys=("city", "ts"), order=("range_end", "_pos")).collect()}
-    assert got == {"x": 3.0, "y": 2.0}
-
-
-def test_clip_percent_artefacts_only(spark, places, sample_payload):
-    sample_payload["hourly"]["relative_humidity_2m"][0] = 102
-    sample_payload["hourly"]["cloud_cover"][1] = -1
-    sample_payload["hourly"]["temperature_2m"][2] = 75.0
-    repairs = Observation("r")
-    payloads = payload_frame(spark, [("moscow", sample_payload)])
-    df = transform_payloads(payloads, places, DAY, DAY, repairs=repairs)
-    agg = df.agg(F.max("humidity_pct"), F.min("cloud_cover_pct"), F.max("temperature_c")).first()
-    assert tuple(agg) == (100.0, 0.0, 75.0)
+    rows = df.orderBy("ts").collect()
+    assert len(rows) == 60 and {r.dt for r in rows} == {EVE, date(2024, 2, 29), date(2024, 3, 1)}
+    for h, r in enumerate(rows):
+        assert r.ts.astimezone(timezone.utc) == datetime(2024, 2, 28, tzinfo=timezone.utc) + timedelta(hours=h)
+        assert [r[c] for c in WEATHER_VARIABLES.values()] == [10 * v + h / 100 for v in range(len(NAMES))]
+        assert (r.city, r.country, r.latitude) == ("london", "GB", 51.5074)       # the dimension's
+
+
+def test_absent_variables_and_values(spark, places):
+    first, second = list(WEATHER_VARIABLES.values())[:2]
+    rows = staged(spark, places, ("london", made(5, **{NAMES[0]: ..., NAMES[1]: [1, None, 3, None, 5]}))).orderBy("ts").collect()
+    assert [r[first] for r in rows] == [None] * 5 and [r[second] for r in rows] == [1, None, 3, None, 5]
+
+
+@pytest.mark.parametrize("body", [{}, {"hourly": None}, {"hourly": {"time": []}}, {"hourly": {NAMES[0]: [1]}}])
+def test_payloads_without_hours_give_no_rows(spark, places, body):
+    df = staged(spark, places, ("london", body))
+    assert df.isEmpty() and df.columns == STAGING_COLUMNS + ["dt"]
+
+
+def test_one_row_per_key_and_a_count_of_the_rest(spark, places, scratch):
+    shorter, no_time = made(2), made(1, time=[None])
+    dropped, unmatched = Observation("dropped"), Observation("unmatched")
+    df = staged(spark, places, ("moscow", made(30)), ("london", made(30)), ("moscow", shorter), ("london", no_time),
+                ("atlantis", made(3)), dropped=dropped, unmatched=unmatched)
+    assert overwrite_days(df, scratch, sort_within=("city", "ts")) == 60
+    assert dropped.get == {"no_time": 1, "no_entity": 0} and unmatched.get == {"unmatched": 3}
+    for name in glob.glob(f"{scratch}/dt=*/*.parquet"):
+        t = pq.read_table(name)
+        keys = list(zip(t.column("city").to_pylist(), t.column("ts").to_pylist()))
+        assert keys == sorted(set(keys))
+        assert str(t.schema.field("ts").type) == "timestamp[us, tz=UTC]"
+
+
+def test_later_landing_then_newer_range_then_last_position_wins(spark):
+    at = lambda n: datetime(2026, 1, 1, 0, 0, n)
+    hour = "2024-02-28T00:00"
+    rows = [("a", at(2), EVE, [1, 2]), ("a", at(1), EVE + timedelta(9), [8]), ("b", at(1), EVE, [3]), ("b", at(1), EVE + timedelta(1), [4]), ("c", None, EVE, [5, 6])]
+    bodies = [(c, t, e, '{"hourly": {"time": [%s], "x": %s}}' % (", ".join([f'"{hour}"'] * len(v)), v)) for c, t, e, v in rows]
+    p = spark.createDataFrame(bodies, "city string, landed_at timestamp, range_end date, body string")
+    out = clean(unpivot_arrays(p, {"x": "x"}, keep=("landed_at", "range_end", "city")))
+    assert {r.city: r.x for r in out.collect()} == {"a": 2.0, "b": 4.0, "c": 6.0}
+
+
+def test_positions_beyond_a_million_keep_their_order(spark):
+    df = spark.createDataFrame([("a", 1, EVE, 2**21, 1.0), ("a", 1, EVE + timedelta(1), 0, 2.0)], "city string, ts int, range_end date, _pos int, x double")
+    assert clean(df).first().x == 2.0
+
+
+def test_only_percentages_are_clipped(spark, places):
+    variables = {v: k for k, v in WEATHER_VARIABLES.items()}
+    high, low = [101.5, 99.0], [-3.0, 0.0]
+    repairs = Observation("repairs")
+    df = staged(spark, places, ("london", made(2, **{variables["humidity_pct"]: high, variables["cloud_cover_pct"]: low, variables["temperature_c"]: [200, -200]})), repairs=repairs)
+    rows = sorted(df.collect(), key=lambda r: r.ts)
+    assert [(r.humidity_pct, r.cloud_cover_pct, r.temperature_c) for r in rows] == [(100.0, 0.0, 200.0), (99.0, 0.0, -200.0)]
     assert repairs.get == {"humidity_pct": 1, "cloud_cover_pct": 1}
 
 
-def test_period_filter(spark, places, sample_payload):
-    assert parse(spark, places, [("moscow", sample_payload)]).select("dt").distinct().collect()[0].dt == DAY
-    assert parse(spark, places, [("moscow", sample_payload)], date(2026, 10, 8), date(2026, 10, 9)).count() == 0
+def test_rows_outside_the_period_are_left_out(spark, places):
+    assert staged(spark, places, ("london", made(49)), end=EVE).count() == 24
+    assert staged(spark, places, ("london", made(49)), start=EVE + timedelta(5), end=EVE + timedelta(6)).isEmpty()
 
 
-def test_parquet_round_trip_microseconds_utc(spark, places, sample_payload, scratch):
-    n = overwrite_days(parse(spark, places, [("moscow", sample_payload)]), scratch)
-    assert n == 24
-    table = pq.read_table(__import__("glob").glob(f"{scratch}/dt=2026-10-07/*.parquet")[0])
-    assert str(table.schema.field("ts").type) == "timestamp[us, tz=UTC]"
-    assert table.num_rows == 24
+def test_times_with_zones_and_bare_days(spark):
+    from obsmart.functions.temporal import to_utc
+
+    want = {"2024-02-29": (2024, 2, 29, 0, 0, 0), "2024-02-29T12:30": (2024, 2, 29, 12, 30, 0), "2024-02-29 12:30:15.5": (2024, 2, 29, 12, 30, 15),
+            "2024-02-29T12:30Z": (2024, 2, 29, 12, 30, 0), "2024-02-29T12:30+02:00": (2024, 2, 29, 10, 30, 0), "2024-02-29T12:30:00-0530": (2024, 2, 29, 18, 0, 0),
+            "2024-02-29T23:59:59+01": (2024, 2, 29, 22, 59, 59), "junk": None, "2024-02-29T": None, "2024-02-29T25:00": None, "": None, None: None}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = {r.t: r.u for r in spark.createDataFrame([(t,) for t in want], "t string").select("t", F.unix_seconds(to_utc("t")).alias("u")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {t: w and int(datetime(*w, tzinfo=timezone.utc).timestamp()) for t, w in want.items()}
 
 
 def test_parallel_arrays_shorter_padded_longer_cut(spark):
@@ -146,23 +153,21 @@ def test_variables_map_is_the_documented_one():
     assert list(WEATHER_VARIABLES.values()) == STAGING_COLUMNS[6:]
 
 
-def test_enrich_bounded_broadcast_and_unique_key(spark):
+def test_enrich_counts_the_unmatched_and_wants_a_unique_key(spark):
     from obsmart.operators.normalize import enrich
 
     facts = spark.createDataFrame([(1, 10.0), (2, 20.0), (3, 30.0)], "k long, v double")
-    dim = spark.createDataFrame([(1, "a"), (2, "b")], "k long, name string")
+    dim = spark.createDataFrame([(1, "a"), (2, "b"), (None, "x"), (None, "y")], "k long, name string")
+    how = dict(fact_key="k", dim_key="k", attrs={"name": "name"})
     obs = Observation("e")
-    out = enrich(facts, dim, fact_key="k", dim_key="k", attrs={"name": "name"}, observation=obs)
-    assert sorted((r.k, r.name) for r in out.collect()) == [(1, "a"), (2, "b")]
-    assert obs.get["unmatched"] == 1
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-    big = enrich(facts, dim, fact_key="k", dim_key="k", attrs={"name": "name"}, how="left",
-                 max_broadcast_rows=1)
-    assert big.count() == 3
-    with pytest.raises(ValueError):
-        enrich(facts, dim.unionByName(dim), fact_key="k", dim_key="k", attrs={"name": "name"})
-
+    out = enrich(facts, dim, observation=obs, **how)
+    assert sorted((r.k, r.name) for r in out.collect()) == [(1, "a"), (2, "b")] and obs.get["unmatched"] == 1
+    assert enrich(facts, dim, how="left", **how).count() == 3
+    # at any size, with no broadcast bound to hide behind
+    large = spark.range(1_200_000).select(F.col("id").alias("k"), F.lit("n").alias("name"))
+    assert enrich(facts, large, **how).count() == 3
+    with pytest.raises(ValueError, match="not unique"):
+        enrich(facts, large.unionByName(large.limit(1)), **how)
 
 def test_keep_last_fast_path_takes_whole_rows(spark):
     from obsmart.operators.normalize import keep_last

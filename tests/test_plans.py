@@ -55,18 +55,15 @@ def test_landing_reduces_per_hour_before_gathering(spark):
     assert "partial_max_by" in plan and "partial_collect_list" in plan
 
 
-def test_enrich_broadcast_only_under_the_bound(spark):
+def test_enrich_leaves_the_strategy_to_spark(spark):
     from obsmart.operators.normalize import enrich
     orders = catalog.table(spark, SF, "orders")
     customer = catalog.table(spark, SF, "customer")
-    small = plan_of(enrich(orders, customer, fact_key="o_custkey", dim_key="c_custkey",
-                           attrs={"c_name": "c_name"}))
-    assert "BroadcastHashJoin" in small
+    how = dict(fact_key="o_custkey", dim_key="c_custkey", attrs={"c_name": "c_name"})
+    assert "BroadcastHashJoin" in plan_of(enrich(orders, customer, **how))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = plan_of(enrich(orders, customer, fact_key="o_custkey", dim_key="c_custkey",
-                             attrs={"c_name": "c_name"}, max_broadcast_rows=10))
-        assert "BroadcastHashJoin" not in big
+        assert "BroadcastHashJoin" not in plan_of(enrich(orders, customer, **how))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -62,31 +62,25 @@ row = st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from(DAYS[:2]
                 st.one_of(st.none(), st.sampled_from([-1.0, 0.0, 5.0, 10.0, 11.0])))
 
 
-def brute_checks(pdf: pd.DataFrame) -> set:
-    out = set()
-    for day in DAYS:
-        d = pdf[pdf.dt == day]
-        if d.empty:
-            out.add((day, "empty", None, None, 0.0))
-            continue
-        for col in ("city", "ts"):
-            n = int(d[col].isna().sum())
-            if n:
-                out.add((day, "null_key", col, None, float(n)))
-        dups = int(d.duplicated(subset=["city", "ts"]).sum())
-        if dups:
-            out.add((day, "duplicates", None, None, float(dups)))
-        for e in sorted(EXPECTED - set(d.city.dropna())):
-            out.add((day, "missing_entity", "city", e, 0.0))
-        for e, n in d.groupby("city")["ts"].nunique().items():
-            if n != 24:
-                out.add((day, "incomplete_hours", "ts", e, float(n)))
-        share = float(d.v.isna().mean())
-        if share > 0.05:
-            out.add((day, "null_share", "v", None, round(share, 9)))
-        oor = int(((d.v < LOW) | (d.v > HIGH)).sum())
-        if oor:
-            out.add((day, "out_of_range", "v", None, float(oor)))
+def brute_checks(rows) -> set:
+    """Each rule from its definition, over plain (place, day, hour, value) tuples."""
+    by_day = {d: [r for r in rows if r[1] == d] for d in DAYS}
+    out = {(d, "empty", None, None, 0.0) for d, rs in by_day.items() if not rs}
+    for d, rs in by_day.items():
+        if rs:
+            count = len(rs)
+            numbers = {
+                ("null_key", "city"): sum(r[0] is None for r in rs), ("null_key", "ts"): sum(r[2] is None for r in rs),
+                ("duplicates", None): count - len({(r[0], r[2]) for r in rs}),
+                ("out_of_range", "v"): sum(r[3] is not None and not LOW <= r[3] <= HIGH for r in rs)}
+            out |= {(d, rule, field, None, float(n)) for (rule, field), n in numbers.items() if n}
+            absent = sum(r[3] is None for r in rs)
+            if absent * 20 > count:
+                out.add((d, "null_share", "v", None, round(absent / count, 9)))
+            places = {r[0] for r in rs} - {None}
+            out |= {(d, "missing_entity", "city", p, 0.0) for p in EXPECTED - places}
+            hours = {p: len({r[2] for r in rs if r[0] == p and r[2] is not None}) for p in places}
+            out |= {(d, "incomplete_hours", "ts", p, float(n)) for p, n in hours.items() if n != 24}
     return out
 
 
@@ -101,8 +95,7 @@ def test_staging_checks_match_brute_force(spark, rows):
             round(r.observed, 9) if r.rule == "null_share" else r.observed)
            for r in staging_violations(sdf, start=DAYS[0], end=DAYS[-1], expected=exp, metrics=["v"],
                                        ranges={"v": (LOW, HIGH)}).collect()}
-    pdf = pd.DataFrame(data, columns=["city", "dt", "ts", "v"])
-    assert got == brute_checks(pdf)
+    assert got == brute_checks(rows)
 
 
 # --- trailing calendar norm against pandas' time-based rolling window -----------------------

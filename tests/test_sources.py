@@ -3,6 +3,8 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from obsmart.plans.runs import extract_range
 from obsmart.schemas import WEATHER_VARIABLES
 from obsmart.sources.dimension import read_dimension
@@ -97,6 +99,27 @@ def test_raw_lines_layout_round_trip(spark, sample_payload, scratch):
     got = read_raw(spark, scratch, "2026-10-07", "2026-10-07", layout="lines").collect()
     assert sorted(r.city for r in got) == ["london", "moscow"]
     assert all(json.loads(r.body) == sample_payload for r in got)
-    # a re-run replaces the whole range
-    write_raw(p.limit(1), scratch, layout="lines")
-    assert read_raw(spark, scratch, "2026-10-07", "2026-10-07", layout="lines").count() == 1
+    # a corrected payload replaces its own and leaves the range's others
+    write_raw(spark.createDataFrame([(rows[0][0], "moscow", '{"new": 1}')], "range string, city string, body string"), scratch, layout="lines")
+    got = {r.city: r.body for r in read_raw(spark, scratch, "2026-10-07", "2026-10-07", layout="lines").collect()}
+    assert json.loads(got["moscow"]) == {"new": 1} and json.loads(got["london"]) == sample_payload
+
+
+@pytest.mark.parametrize("layout", ["folders", "lines"])
+def test_raw_layer_loses_and_changes_nothing(spark, scratch, layout):
+    from obsmart.sinks.lake import write_raw
+
+    key = "2024-01-01_2024-01-31"
+    rows = [(key, "007", '{"a":\n 1,\r\n"b": "x"}'), (key, "012", '{"a": 2}'), (key, "012", '{"a": 3}'), (key, "1e3", "{}")]
+    written = write_raw(spark.createDataFrame(rows, "range string, city string, body string").coalesce(1), scratch, layout=layout)
+    got = {r.city: json.loads(r.body) for r in read_raw(spark, scratch, "2024-01-01", "2024-01-31", layout=layout).collect()}
+    assert written == 3 and got == {"007": {"a": 1, "b": "x"}, "012": {"a": 3}, "1e3": {}}
+
+
+def test_triage_of_bodies(spark):
+    bodies = {"null": None, "cut off": '{"hourly": {"time": ["2024', "text": "hello", "array": "[1]", "flag": '{"error": 1, "reason": "why"}',
+              "no": '{"error": false}', "fine": '{"hourly": {}}'}
+    df = spark.createDataFrame([(k, 200, b) for k, b in bodies.items()], "city string, status int, body string")
+    got = {r.city: (r.outcome, r.reason) for r in triage(df).collect()}
+    bad = ("fatal", "malformed body")
+    assert got == {"null": bad, "cut off": bad, "text": bad, "array": bad, "flag": ("fatal", "why"), "no": ("good", None), "fine": ("good", None)}

@@ -63,3 +63,19 @@ def test_available_now_with_lines_layout(spark, places, scratch):
                         layout="lines")
     assert [x["period"] for x in log] == [jan] and log[0]["staging"] == 2 * 31 * 24
     assert current(spark, layers.serving).count() == 62
+
+
+def test_bad_payload_is_not_served(spark, places, scratch):
+    """A period that fails the staging gate stops the incremental run before the load."""
+    import pytest
+
+    from obsmart.operators.quality import DataQualityError
+    from obsmart.streaming.incremental import rerun_periods
+
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    jan = (date(2025, 1, 1), date(2025, 1, 31))
+    land(spark, layers.raw, *jan, [("moscow", payload(0.0, *jan))])          # london never came
+    with pytest.raises(DataQualityError, match="missing_entity"):
+        rerun_periods(spark, layers, places, [jan], load_ts=datetime(2026, 1, 1))
+    import os
+    assert not os.path.exists(layers.serving)
