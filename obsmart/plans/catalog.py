@@ -305,7 +305,13 @@ def q_fetch_plan(spark, sf_dir):
 
 
 def q_triage(spark, sf_dir):
-    landed = events_payloads(spark, sf_dir).withColumn("status", F.lit(200))
+    """Responses of every kind: by day of the month modulo 7 there is none, a busy or broken server, a
+    refusal, a cut-off body, an error body, or the payload itself."""
+    n = F.dayofmonth("range_start") % 7
+    status = F.when(n == 0, None).when(n == 1, 429).when(n == 2, 503).when(n == 3, 404).otherwise(200).cast("int")
+    body = (F.when(n.isin(1, 2, 3), F.lit("no payload")).when(n == 4, F.expr("substring(body, 1, 20)"))
+            .when(n == 5, F.lit('{"error": true, "reason": "closed"}')).otherwise(F.col("body")))
+    landed = events_payloads(spark, sf_dir).withColumns({"status": status, "body": body})
     return triage(landed).select("event_type", "range", "status", "outcome", "reason")
 
 
@@ -612,6 +618,10 @@ FROM (SELECT *, CAST(unnest(generate_series(CAST(date_trunc('month', s) AS DATE)
                          "max(CAST(o_orderdate AS DATE)) AS e FROM orders GROUP BY o_custkey)"
                          + chunks.format(extra=", o_custkey, 'o_totalprice' AS variables, 'UTC' AS timezone"))
     sql["triage"] = "WITH " + _EV_HOURS.strip() + """
-SELECT DISTINCT event_type, strftime(dt, '%Y-%m-%d') || '_' || strftime(dt, '%Y-%m-%d') AS range,
-       200 AS status, 'good' AS outcome, CAST(NULL AS VARCHAR) AS reason FROM ev_days"""
+SELECT event_type, strftime(dt, '%Y-%m-%d') || '_' || strftime(dt, '%Y-%m-%d') AS range,
+       CAST(CASE n WHEN 0 THEN NULL WHEN 1 THEN 429 WHEN 2 THEN 503 WHEN 3 THEN 404 ELSE 200 END AS INTEGER) AS status,
+       CASE WHEN n <= 2 THEN 'retry' WHEN n <= 5 THEN 'fatal' ELSE 'good' END AS outcome,
+       CASE n WHEN 0 THEN 'no response' WHEN 1 THEN '429: no payload' WHEN 2 THEN '503: no payload'
+              WHEN 3 THEN '404: no payload' WHEN 4 THEN 'malformed body' WHEN 5 THEN 'closed' END AS reason
+FROM (SELECT DISTINCT event_type, dt, extract(day FROM dt) % 7 AS n FROM ev_days)"""
     return sql
