@@ -43,7 +43,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 COORDS = BANDS * ROWS
 LOWEST = 12                # ranks below 2 ** -LOWEST are one cell
-ROUNDS = 3                 # rounds of neighbours and pivots after the first
+ROUNDS = 1                 # rounds of neighbours and pivots after the first
+SIFT_BITS = 26
 _WORDS_KEPT = 300_000      # word hashes kept per Python worker
 
 
@@ -227,11 +228,25 @@ def _elements(docs: DataFrame) -> DataFrame:
     return docs.select("node", "text").mapInArrow(spread, "node bigint, elements array<bigint>")
 
 
+def _sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose node is not wanted, before they are shuffled: a bitmap
+    of 2 ** SIFT_BITS bits (8 MB at most, in pieces of 4 KB) over the hashes of the wanted nodes.
+    With very many wanted nodes it fills up and lets all rows pass; the join after it decides."""
+    spot = F.pmod(F.xxhash64("node"), F.lit(1 << SIFT_BITS))
+    piece, bit = F.floor(spot / 32768), F.pmod(spot, F.lit(32768))
+    pieces = (wanted.select(piece.alias("__piece"), bit.alias("__bit")).groupBy("__piece")
+              .agg(F.bitmap_construct_agg("__bit").alias("__map")))
+    rows = rows.withColumns({"__piece": piece, "__bit": bit}).join(F.broadcast(pieces), "__piece")
+    byte = F.conv(F.hex(F.substring("__map", (F.floor(F.col("__bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return rows.where(F.getbit(byte.cast("long"), (F.col("__bit") % 8).cast("int")) == 1).drop("__piece", "__bit", "__map")
+
+
 def _checked(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (u > v, distinct) whose weighted Jaccard similarity reaches the threshold."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    wanted = stored(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
     text = whole(F.col("text"))
-    own = docs.select(_identity(F.col("doc_id"), text).alias("node"), text.alias("text")).join(wanted, "node", "left_semi")
+    own = docs.select(_identity(F.col("doc_id"), text).alias("node"), text.alias("text"))
+    own = _sifted(own, wanted).join(wanted, "node", "left_semi")
     sets = stored(_elements(own).dropDuplicates(["node"]))
     both = (pairs.join(sets.select(F.col("node").alias("u"), F.col("elements").alias("a")), "u")
             .join(sets.select(F.col("node").alias("v"), F.col("elements").alias("b")), "v")
@@ -266,14 +281,13 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUN
     """(members: node, class_id, n_rows - one row per document and text;
     groups: class_id, group_id - for classes that have a link)."""
     signed = stored(signatures(docs))
-    text = signed.groupBy("h1", "h2").agg(F.min("node").alias("class_id"))
-    members = stored(signed.groupBy("node", "h1", "h2").agg(F.count(F.lit(1)).alias("n_rows")).join(text, ["h1", "h2"])
-                     .select("node", "class_id", "n_rows"))
-    heads = signed.join(text.select("h1", "h2", "class_id"), ["h1", "h2"]).where("node = class_id")
-    banded = (heads.select("node", "bands", F.posexplode("bands").alias("band", "key"))
+    # a text's bands are the same in all of its rows
+    heads = stored(signed.groupBy("h1", "h2").agg(F.min("node").alias("class_id"), F.first("bands").alias("bands")))
+    members = stored(signed.groupBy("node", "h1", "h2").agg(F.count(F.lit(1)).alias("n_rows"))
+                     .join(heads.select("h1", "h2", "class_id"), ["h1", "h2"]).select("node", "class_id", "n_rows"))
+    banded = (heads.select(F.col("class_id").alias("node"), "bands", F.posexplode("bands").alias("band", "key"))
               .select("key", "node", F.get("bands", F.pmod(F.col("band") + 1, F.lit(BANDS))).alias("next1"),
-                      F.get("bands", F.pmod(F.col("band") + 2, F.lit(BANDS))).alias("next2")).distinct())
-    banded = stored(banded)
+                      F.get("bands", F.pmod(F.col("band") + 2, F.lit(BANDS))).alias("next2")))
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot"),
                                        F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("other")).where("n > 1")
     rows = stored(banded.join(shared, "key"))
