@@ -84,6 +84,11 @@ def following(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "h", "n", F.col("next.doc_id").alias("next_doc"), F.col("next.h").alias("next_h"))
 
 
+def _key(doc_id: str, h: str) -> Column:
+    """A document's place as one column that is never null."""
+    return F.concat_ws(":", F.coalesce(F.col(doc_id).cast("string"), F.lit("~")), F.col(h).cast("string"))
+
+
 def fingerprints(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
     """``docs`` with its fingerprint (all columns kept): the operator by itself."""
     d = with_anchors(docs.drop("fingerprint"), "text", "__anchors", k, s)
@@ -93,20 +98,19 @@ def fingerprints(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
 def edited_fingerprints(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
     """``docs`` without text, with the columns of ``EDIT``: every text against its edited text (its
     second half replaced by the beginning of the next document's) and against the next document."""
-    order = stored(following(docs))
+    order = stored(following(docs).select(_key("next_doc", "next_h").alias("__k"), _key("doc_id", "h").alias("__for"),
+                                          F.floor(F.col("n") / 2).cast("int").alias("__half")))
     own = [c for c in docs.columns if c not in ("text", *EDIT)]
-    d = docs.select(*own, whole(F.col("text")).alias("__text"), F.xxhash64(whole(F.col("text"))).alias("__h"))
-    d = d.withColumn("__id", F.col("doc_id"))
-    asked = order.select(F.col("next_doc").alias("__by_doc"), F.col("next_h").alias("__by_h"),
-                         F.col("doc_id").alias("__for_doc"), F.col("h").alias("__for_h"), F.floor(F.col("n") / 2).cast("int").alias("__half"))
-    given = (d.select("__id", "__h", "__text")
-             .join(asked, F.col("__id").eqNullSafe(F.col("__by_doc")) & (F.col("__h") == F.col("__by_h"))))
-    given = with_anchors(given, "__text", "__next_anchors", k, s)
-    given = given.select("__for_doc", "__for_h", F.substring("__text", F.lit(1), F.col("__half")).alias("__given"), "__next_anchors")
+    text = whole(F.col("text"))
+    d = docs.select(*own, text.alias("__text"), F.xxhash64(text).alias("__h"))
+    # both uses of the texts come from this one join, so their shuffle is made once
+    d = d.withColumn("__k", _key("doc_id", "__h")).drop("__h").join(order, "__k")
+    given = with_anchors(d.select("__for", "__half", "__text"), "__text", "__next_anchors", k, s)
+    given = given.select(F.col("__for").alias("__k"), F.substring("__text", F.lit(1), F.col("__half")).alias("__given"), "__next_anchors")
     # a repeated row gives once
-    given = given.groupBy("__for_doc", "__for_h").agg(F.first("__given").alias("__given"), F.first("__next_anchors").alias("__next_anchors"))
+    given = given.groupBy("__k").agg(F.first("__given").alias("__given"), F.first("__next_anchors").alias("__next_anchors"))
+    d = d.select(*own, "__k", "__text").join(given, "__k")
     d = with_anchors(d, "__text", "__anchors", k, s)
-    d = d.join(given, F.col("__id").eqNullSafe(F.col("__for_doc")) & (F.col("__h") == F.col("__for_h")))
     n = F.length("__text")
     d = d.withColumn("__edited", F.concat(F.substring("__text", F.lit(1), (n - F.floor(n / 2)).cast("int")), F.col("__given")))
     d = with_anchors(d, "__edited", "__edited_anchors", k, s)
