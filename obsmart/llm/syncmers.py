@@ -28,7 +28,7 @@ from obsmart.llm.storage import stored
 from obsmart.llm.text import held, whole, words
 
 K, S = 8, 2
-EDIT = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+EDIT = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "next_doc_id"]
 
 
 def _short_hash(values: list[Column]) -> Column:
@@ -103,12 +103,14 @@ def edited_fingerprints(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
     own = [c for c in docs.columns if c not in ("text", *EDIT)]
     text = whole(F.col("text"))
     d = docs.select(*own, text.alias("__text"), F.xxhash64(text).alias("__h"))
-    # both uses of the texts come from this one join, so their shuffle is made once
+    # both uses of the texts come from this one join and read the same columns, so that their
+    # shuffle is made once
     d = d.withColumn("__k", _key("doc_id", "__h")).drop("__h").join(order, "__k")
-    given = with_anchors(d.select("__for", "__half", "__text"), "__text", "__next_anchors", k, s)
-    given = given.select(F.col("__for").alias("__k"), F.substring("__text", F.lit(1), F.col("__half")).alias("__given"), "__next_anchors")
+    given = with_anchors(d.select("__for", "__half", "__text", "doc_id"), "__text", "__next_anchors", k, s)
+    given = given.select(F.col("__for").alias("__k"), F.substring("__text", F.lit(1), F.col("__half")).alias("__given"), "__next_anchors", F.col("doc_id").alias("next_doc_id"))
     # a repeated row gives once
-    given = given.groupBy("__k").agg(F.first("__given").alias("__given"), F.first("__next_anchors").alias("__next_anchors"))
+    given = given.groupBy("__k").agg(F.first("__given").alias("__given"), F.first("__next_anchors").alias("__next_anchors"),
+                                     F.first("next_doc_id").alias("next_doc_id"))
     d = d.select(*own, "__k", "__text").join(given, "__k")
     d = with_anchors(d, "__text", "__anchors", k, s)
     n = F.length("__text")
@@ -118,4 +120,4 @@ def edited_fingerprints(docs: DataFrame, k: int = K, s: int = S) -> DataFrame:
                     fingerprint(F.col("__anchors")).alias("fingerprint"),
                     fingerprint(F.col("__edited_anchors")).alias("edited_fingerprint"),
                     likeness(F.col("__anchors"), F.col("__edited_anchors")).alias("near_edited"),
-                    likeness(F.col("__anchors"), F.col("__next_anchors")).alias("near_next"))
+                    likeness(F.col("__anchors"), F.col("__next_anchors")).alias("near_next"), "next_doc_id")
