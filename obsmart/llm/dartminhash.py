@@ -8,11 +8,16 @@ agree in a coordinate with probability sum(min weight) / sum(max weight). Only a
 k ln k + 2 k darts are thrown for a document of any length, because the ranks looked at shrink as
 its total weight grows; while a coordinate is still empty, further ranks are looked at.
 
-Coordinates are joined in bands of ``ROWS``. Nothing emits all pairs of a bucket: every member is
-first paired with the bucket's least member, then members that still lie in different groups are
-paired with their neighbours in the order of the next bands (range-sorted over the cluster, so a
-large bucket is spread) and with a pivot that differs by band. Every pair is checked exactly on
-whole shingle sets, and the links' connected components are the groups.
+Coordinates are joined in bands of ``ROWS``. Every member of a bucket is first paired with the
+bucket's least member; in buckets of more than ``SMALL`` members, those that still lie in different
+groups are paired with their neighbours in the order of the next bands (range-sorted over the
+cluster) and with a pivot that differs by band. These steps only merge what is easily merged. An
+exact step then settles every bucket that still holds several groups: up to ``SMALL`` members all
+pairs of different groups are looked at, and the members of larger buckets are joined by the rarest
+shingles of their sets (prefix filter: two sets of the wanted similarity share one of their first
+n - ceil(threshold n) + 1 elements in any common order). So each pair that shares a band is checked
+on whole shingle sets, lies in one group already, or cannot reach the threshold; the result does not
+depend on the number of merging rounds. The links' connected components are the groups.
 
 Equal texts form one class first; its least doc_id stands for it. With 24 bands of 4, a pair of
 similarity 0.8 misses all bands with probability 3e-6.
@@ -35,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsmart.llm.components import components
-from obsmart.llm.storage import stored
+from obsmart.llm.storage import alone, stored
 from obsmart.llm.text import hash128, whole
 
 SHINGLE = 5
@@ -43,8 +48,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 COORDS = BANDS * ROWS
 LOWEST = 12                # ranks below 2 ** -LOWEST are one cell
-ROUNDS = 1                 # rounds of neighbours and pivots after the first
+ROUNDS = 1                 # merging rounds of neighbours and pivots; the exact step follows
+SMALL = 16                 # members of a bucket up to which all pairs of different groups are made
 SIFT_BITS = 26
+ORDER_BITS = 18            # counters by which shingles are put in order (any order gives the same pairs)
 _WORDS_KEPT = 300_000      # word hashes kept per Python worker
 
 
@@ -190,23 +197,25 @@ def _identity(doc_id: Column, text: Column) -> Column:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """node, h1, h2 (hash of the text), bands: one row per document; no band without a word."""
+    """node, h1, h2 (hash of the text), bands, size (number of shingles): one row per document; no
+    band without a word."""
     def sign(batches: Iterator) -> Iterator:
         import numpy as np
 
         shingles, darts = Shingles(), Darts()
         for batch in batches:
-            out = []
+            out, sizes = [], []
             for text in batch["text"]:
                 elements, weights = shingles.of(text.as_py())
+                sizes.append(int(weights.sum()))
                 out.append(darts.bands(darts.signature(elements, weights)).view(np.int64) if len(elements) else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch["node"], batch["h1"], batch["h2"], pa.array(out, pa.list_(pa.int64()))],
-                                             ["node", "h1", "h2", "bands"])
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["h1"], batch["h2"], pa.array(out, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
+                                             ["node", "h1", "h2", "bands", "size"])
 
     text = whole(F.col("text"))
     h1, h2 = hash128(text)
     return (docs.select(_identity(F.col("doc_id"), text).alias("node"), h1.alias("h1"), h2.alias("h2"), text.alias("text"))
-            .mapInArrow(sign, "node bigint, h1 bigint, h2 bigint, bands array<bigint>"))
+            .mapInArrow(sign, "node bigint, h1 bigint, h2 bigint, bands array<bigint>, size bigint"))
 
 
 def _elements(docs: DataFrame) -> DataFrame:
@@ -241,79 +250,171 @@ def _sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.where(F.getbit(byte.cast("long"), (F.col("__bit") % 8).cast("int")) == 1).drop("__piece", "__bit", "__map")
 
 
-def _checked(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (u > v, distinct) whose weighted Jaccard similarity reaches the threshold."""
-    wanted = stored(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, elements of the wanted nodes (distinct)."""
     text = whole(F.col("text"))
     own = docs.select(_identity(F.col("doc_id"), text).alias("node"), text.alias("text"))
-    own = _sifted(own, wanted).join(wanted, "node", "left_semi")
-    sets = stored(_elements(own).dropDuplicates(["node"]))
+    own = _sifted(own, wanted).join(wanted, "node", "left_semi").dropDuplicates(["node"])
+    return _elements(own)
+
+
+def _agree(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (u > v, distinct) whose weighted Jaccard similarity reaches the threshold."""
     both = (pairs.join(sets.select(F.col("node").alias("u"), F.col("elements").alias("a")), "u")
             .join(sets.select(F.col("node").alias("v"), F.col("elements").alias("b")), "v")
             .select("u", "v", F.size("a").alias("na"), F.size("b").alias("nb"), F.size(F.array_intersect("a", "b")).alias("same")))
     return both.where(F.col("same") >= threshold * (F.col("na") + F.col("nb") - F.col("same"))).select("u", "v")
 
 
+def _nodes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+
+
+def _checked(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    return _agree(pairs, stored(_sets(stored(_nodes(pairs)), docs)), threshold)
+
+
 def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
 
-def _neighbours(rows: DataFrame) -> DataFrame:
+def _fits(a: Column, b: Column, threshold: float) -> Column:
+    """Whether sets of these sizes can reach the threshold at all."""
+    return F.least(a, b) >= threshold * F.greatest(a, b)
+
+
+def _neighbours(rows: DataFrame, threshold: float) -> DataFrame:
     """Pairs of members of a bucket that follow each other when sorted by the next bands, and lie in
-    different groups. Range partitions: a bucket may go over several."""
+    different groups. Range partitions: a bucket may go over several (the exact step has the pair
+    that meets at their border)."""
     def follow(batches: Iterator) -> Iterator:
-        key = node = comp = None
+        key = node = comp = size = None
         for batch in batches:
             u, v = [], []
-            for k, n, c in zip(batch["key"].to_pylist(), batch["node"].to_pylist(), batch["comp"].to_pylist()):
-                if k == key and c != comp:
+            for k, n, c, z in zip(*(batch[x].to_pylist() for x in ("key", "node", "comp", "size"))):
+                if k == key and c != comp and min(z, size) >= threshold * max(z, size):
                     u.append(max(n, node))
                     v.append(min(n, node))
-                key, node, comp = k, n, c
+                key, node, comp, size = k, n, c, z
             yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
     order = ["key", "next1", "next2", "node"]
-    return (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "node", "comp")
+    return (rows.repartitionByRange(*order).sortWithinPartitions(*order).select("key", "node", "comp", "size")
             .mapInArrow(follow, "u bigint, v bigint"))
 
 
+def _slot(np, elements):
+    return (elements.view(np.uint64) >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+
+
+def _by_rare_elements(sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of nodes of different groups that can reach the threshold: of all pairs of ``sets``
+    (node, comp, elements), those that share one of their rarest elements and whose sizes and places
+    of that element allow it. Rare is what hashed counters say; the order alone does not lose pairs."""
+    def count(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        seen = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            elements = batch["elements"].flatten().to_numpy(zero_copy_only=False)
+            seen += np.bincount(_slot(np, elements), minlength=1 << ORDER_BITS)
+        slot = np.nonzero(seen)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])], ["slot", "n"])
+
+    import numpy as np
+
+    often = np.zeros(1 << ORDER_BITS, np.int64)
+    for batch in (sets.select("elements").mapInArrow(count, "slot bigint, n bigint")
+                  .groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_batches()):
+        often[batch["slot"].to_numpy()] = batch["n"].to_numpy()
+
+    def rarest(batches: Iterator) -> Iterator:
+        import numpy as np
+
+        for batch in batches:
+            out = []
+            for node, comp, elements in zip(batch["node"].to_pylist(), batch["comp"].to_pylist(), batch["elements"]):
+                e = elements.values.to_numpy(zero_copy_only=False)
+                n, c = len(e), often[_slot(np, e)]
+                first = np.lexsort((e, c))[:n - math.ceil(threshold * n - 1e-9) + 1]
+                at = np.nonzero(c[first] > 1)[0]            # the others are in one set only
+                out.append((np.full(len(at), node), np.full(len(at), comp), np.full(len(at), n), at, e[first[at]]))
+            cols = [np.concatenate(x).astype(np.int64) for x in zip(*out)] if out else [np.empty(0, np.int64)] * 5
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["node", "comp", "n", "at", "e"])
+
+    posted = stored(sets.select("node", "comp", "elements").mapInArrow(rarest, "node bigint, comp bigint, n bigint, at bigint, e bigint"))
+    mixed = stored(posted.groupBy("e").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("e"))
+    posted = stored(posted.join(mixed, "e", "left_semi"))
+    a, b = (posted.select("e", *[F.col(x).alias(x + side) for x in ("node", "comp", "n", "at")]) for side in "ab")
+    most = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))    # at the first element in common
+    return (a.join(b, "e").where("nodea > nodeb and compa <> compb").where(_fits(F.col("na"), F.col("nb"), threshold))
+            .where(most >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6)
+            .select(F.col("nodea").alias("u"), F.col("nodeb").alias("v")).distinct())
+
+
 def near_links(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(members: node, class_id, n_rows - one row per document and text;
     groups: class_id, group_id - for classes that have a link)."""
     signed = stored(signatures(docs))
     # a text's bands are the same in all of its rows
-    heads = stored(signed.groupBy("h1", "h2").agg(F.min("node").alias("class_id"), F.first("bands").alias("bands")))
+    heads = stored(signed.groupBy("h1", "h2").agg(F.min("node").alias("class_id"), F.first("bands").alias("bands"), F.first("size").alias("size")))
     members = stored(signed.groupBy("node", "h1", "h2").agg(F.count(F.lit(1)).alias("n_rows"))
                      .join(heads.select("h1", "h2", "class_id"), ["h1", "h2"]).select("node", "class_id", "n_rows"))
-    banded = (heads.select(F.col("class_id").alias("node"), "bands", F.posexplode("bands").alias("band", "key"))
-              .select("key", "node", F.get("bands", F.pmod(F.col("band") + 1, F.lit(BANDS))).alias("next1"),
-                      F.get("bands", F.pmod(F.col("band") + 2, F.lit(BANDS))).alias("next2")))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot"),
-                                       F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("other")).where("n > 1")
-    rows = stored(banded.join(shared, "key"))
-    pairs = rows.where("node <> pivot").select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
+
+    def bucket_rows() -> DataFrame:
+        banded = (heads.select(F.col("class_id").alias("node"), "size", "bands", F.posexplode("bands").alias("band", "key"))
+                  .select("key", "node", "size", F.get("bands", F.pmod(F.col("band") + 1, F.lit(BANDS))).alias("next1"),
+                          F.get("bands", F.pmod(F.col("band") + 2, F.lit(BANDS))).alias("next2")))
+        shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("pivot"),
+                                           F.min(F.struct(F.col("node").bitwiseXOR(F.col("key")).alias("mixed"), "size")).alias("other"))
+        return banded.join(stored(shared.where("n > 1")), "key")
+
+    rows = alone(bucket_rows)
+    pairs = (rows.where("node <> pivot.node").where(_fits(F.col("size"), F.col("pivot.size"), threshold))
+             .select(*_ordered(F.col("node"), F.col("pivot.node"))).distinct())
     seen = stored(pairs)
-    links = stored(_checked(seen, docs, threshold))
-    for _ in range(rounds):
-        groups = stored(components(links))
+    links = alone(lambda: _checked(seen, docs, threshold))
+    groups = alone(lambda: components(links))
+
+    def still_open(large_only: bool) -> DataFrame:
+        """The rows of buckets that hold several groups; buckets of two are settled by their pivot."""
         g = groups.select("node", F.col("component").alias("comp"))
-        now = rows.join(g, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        # buckets that lie in one group are settled
-        open_keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-        now = stored(now.join(open_keys, "key"))
-        pivot = now.select("node", "comp", F.col("other").bitwiseXOR(F.col("key")).alias("p"))
-        pg = g.select(F.col("node").alias("p"), F.col("comp").alias("p_comp"))
-        pivot = (pivot.join(pg, "p", "left").where(F.col("comp") != F.coalesce("p_comp", "p"))
-                 .select(*_ordered(F.col("node"), F.col("p"))))
-        new = stored(_neighbours(now).unionByName(pivot).distinct().join(seen, ["u", "v"], "left_anti"))
+        now = rows.where(F.col("n") > (SMALL if large_only else 2)).join(g, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        now = stored(now)
+        keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        return now.join(stored(keys), "key", "left_semi")
+
+    for _ in range(rounds):
+        now = alone(lambda: still_open(True))
+        g = groups.select(F.col("node").alias("p"), F.col("component").alias("p_comp"))
+        pivot = (now.where(_fits(F.col("size"), F.col("other.size"), threshold))
+                 .select("node", "comp", F.col("other.mixed").bitwiseXOR(F.col("key")).alias("p")).join(g, "p", "left")
+                 .where(F.col("comp") != F.coalesce("p_comp", "p")).select(*_ordered(F.col("node"), F.col("p"))))
+        new = stored(_neighbours(now, threshold).unionByName(pivot).distinct().join(seen, ["u", "v"], "left_anti"))
         if new.isEmpty():
             break
-        more = stored(_checked(new, docs, threshold))
+        more = alone(lambda: _checked(new, docs, threshold))
         seen, links = seen.unionByName(new), links.unionByName(more)
         if more.isEmpty():
             break
-    else:
-        groups = stored(components(links))
+        groups = alone(lambda: components(links))
+
+    now = alone(lambda: still_open(False))
+
+    def exactly() -> DataFrame:
+        few = now.where(F.col("n") <= SMALL).select("key", "node", "comp", "size")
+        a, b = (few.select("key", *[F.col(x).alias(x + side) for x in ("node", "comp", "size")]) for side in "ab")
+        few = (a.join(b, "key").where("nodea > nodeb and compa <> compb").where(_fits(F.col("sizea"), F.col("sizeb"), threshold))
+               .select(F.col("nodea").alias("u"), F.col("nodeb").alias("v")).distinct().join(seen, ["u", "v"], "left_anti"))
+        few = stored(few)
+        many = stored(now.where(F.col("n") > SMALL).select("node", "comp").distinct())
+        sets = stored(_sets(stored(_nodes(few).union(many.select("node")).distinct()), docs))
+        rare = _by_rare_elements(sets.join(many, "node"), threshold).join(seen, ["u", "v"], "left_anti")
+        return _agree(stored(few.union(rare).distinct()), sets, threshold)
+
+    more = alone(exactly)
+    if not more.isEmpty():
+        groups = alone(lambda: components(links.unionByName(more)))
     return members, groups.select(F.col("node").alias("class_id"), F.col("component").alias("group_id"))
 
 

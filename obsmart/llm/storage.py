@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,3 +44,13 @@ def stored(df: DataFrame) -> DataFrame:
     _open[path] = spark
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def alone(make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` returns, stored; the tables that were stored on the way are deleted at once."""
+    before = set(_open)
+    out = stored(make())
+    last = next(reversed(_open))
+    for path in [p for p in _open if p not in before and p != last]:
+        _remove(path, _open.pop(path))
+    return out

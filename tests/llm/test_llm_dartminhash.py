@@ -5,7 +5,7 @@ import random
 import numpy as np
 from llm_cases import awkward
 
-from obsmart.llm.dartminhash import Darts, Shingles, keep_first, near_duplicates
+from obsmart.llm.dartminhash import Darts, Shingles, _by_rare_elements, keep_first, near_duplicates
 
 
 def test_agreement_is_weighted_similarity():
@@ -75,3 +75,36 @@ def test_awkward_rows(spark):
     kept = keep_first(df)
     assert kept.columns == df.columns and [r.doc_id for r in kept.collect()].count(9) == 1
     assert near_duplicates(awkward(spark, [])).count() == 0 and keep_first(awkward(spark, [])).count() == 0
+
+
+def template_pairs():
+    """Variants of one template, all just under the threshold to each other, each with one partner
+    over it that stands far off in doc_id: every bucket is large and mixed."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    template = [word() for _ in range(200)]
+    first, second = [], []
+    for _ in range(250):
+        own = [word() for _ in range(26)]
+        first.append(" ".join(template + own))
+        second.append(" ".join(template + own[:5] + [word() for _ in own[5:]]))
+    return list(enumerate(first + second))
+
+
+def test_pairs_in_large_mixed_buckets(spark):
+    df = spark.createDataFrame(template_pairs(), "doc_id bigint, text string")
+    for rounds in (1, 0):                                         # merging rounds do not matter
+        assert {r.doc_id: r.class_id for r in near_duplicates(df, rounds=rounds).collect()} == {i: i % 250 for i in range(500)}
+
+
+def test_rare_elements_have_every_pair(spark):
+    """The prefix join against all pairs, on sets with many common elements."""
+    rng = random.Random(6)
+    sets = [rng.sample(range(60), rng.randint(1, 50)) for _ in range(60)]
+    for i in range(0, 60, 2):                                     # a near copy of each second one
+        sets[i + 1] = sorted({*sets[i][1:], rng.randint(0, 59)}) or [0]
+    spread = [[(e * 0x9E3779B97F4A7C15) % 2**64 - 2**63 for e in x] for x in sets]
+    df = spark.createDataFrame([(i, i, x) for i, x in enumerate(spread)], "node bigint, comp bigint, elements array<bigint>")
+    got = {(r.u, r.v) for r in _by_rare_elements(df, 0.8).collect()}
+    want = {(i, j) for i, a in enumerate(map(set, sets)) for j, b in enumerate(map(set, sets[:i])) if len(a & b) >= 0.8 * len(a | b)}
+    assert len(want) > 10 and want <= got
