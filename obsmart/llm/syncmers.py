@@ -11,8 +11,9 @@ partitions whose heads are linked; then texts are shuffled once, and again only
 next text that an edited text takes, with the next document's anchors.
 
 Defined results
-    null text counts as empty and has an empty fingerprint, as a text without words. Texts of fewer
-    than K words have one anchor, their whole word sequence. Two empty fingerprints are alike (1),
+    null text counts as empty and has an empty fingerprint, as a text without words. A text with
+    words of which no window is chosen (also one of fewer than K words) has one anchor, its whole
+    word sequence. Two empty fingerprints are alike (1),
     an empty one is unlike any other (0). Ties in doc_id go by a hash of the text, null ids last;
     fully equal rows are one place in the order and get equal results. A single document is its own
     next. An empty table gives an empty result. Further columns are passed through, except those
@@ -53,7 +54,9 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = K, s: int = S) ->
     short = F.array(F.aggregate(w, F.lit(0).cast("long"), lambda a, x: F.xxhash64(a, x))
                     .bitwiseAND(F.lit(0x7FFFFFFF).cast("long")).cast("int"))
     none = F.array().cast("array<int>")
-    return df.withColumn(out, held(F.when(n >= k, anchors).when(n > 0, short).otherwise(none))).drop(w, pieces)
+    df = df.withColumn(out, held(F.when(n >= k, anchors)))
+    chosen_none = F.coalesce(F.size(out), F.lit(0)) <= 0
+    return df.withColumn(out, held(F.when(n == 0, none).when(chosen_none, short).otherwise(F.col(out)))).drop(w, pieces)
 
 
 def fingerprint(anchors: Column) -> Column:

@@ -54,3 +54,16 @@ def test_awkward_rows(spark):
     one = edited_fingerprints(awkward(spark, [(5, "a b c d", "en", "s")])).first()
     assert one.near_next == 1 and set(EDIT) <= set(one.asDict())
     assert df.select(F.count("doc_id")).first()[0] == 11
+
+
+def test_every_text_with_a_word_has_an_anchor(spark):
+    """Texts of 1 to 20 words, many of which choose no window: never empty, alike only if equal."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n)) for n in range(1, 21) for _ in range(20)]
+    texts += ["", " \n "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    rows = {r.doc_id: r.fingerprint for r in fingerprints(df).collect()}
+    assert all((rows[i] == "") == (not t.split()) for i, t in enumerate(texts))
+    assert len(set(rows.values())) == len(texts) - 1
+    out = {r.doc_id: r for r in edited_fingerprints(df).collect()}
+    assert all(out[i].near_next == (1 if i == len(texts) - 1 else 0) for i in out)
