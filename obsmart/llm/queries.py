@@ -13,6 +13,7 @@ from obsmart.llm.dartminhash import near_duplicates
 from obsmart.llm.linededup import dedup_lines
 from obsmart.llm.mixing_lm import score_documents
 from obsmart.llm.packing import pack
+from obsmart.llm.periodic import best_run, periodic_runs, with_planted_runs
 from obsmart.llm.quality import judge
 from obsmart.llm.redirects import judge_urls, page_links
 from obsmart.llm.syncmers import edited_fingerprints
@@ -80,6 +81,17 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_sync_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document (every tenth made to repeat itself), as digests."""
+    docs = periodic_runs(with_planted_runs(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = docs.withColumn("best", best_run(F.col("runs")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit": op1_best_fit,
@@ -92,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_context_mixing": op8_context_mixing,
         "op9_redirects": op9_redirects,
         "op10_dart_minhash": op10_dart_minhash,
+        "op11_sync_runs": op11_sync_runs,
     }
 
 
