@@ -16,6 +16,7 @@ from obsmart.llm.packing import pack
 from obsmart.llm.periodic import best_run, periodic_runs, with_planted_runs
 from obsmart.llm.quality import judge
 from obsmart.llm.redirects import judge_urls, page_links
+from obsmart.llm.spelling import MIN_CHARS, group_variants, letter_runs, with_slips, word_counts
 from obsmart.llm.syncmers import edited_fingerprints
 from obsmart.llm.toxicity import toxicity
 
@@ -92,6 +93,12 @@ def op11_sync_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
 
 
+def op12_chunk_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word of the documents (some runs with a letter lost) with its form and root."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return group_variants(word_counts(with_slips(letter_runs(docs, MIN_CHARS))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit": op1_best_fit,
@@ -105,6 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_redirects": op9_redirects,
         "op10_dart_minhash": op10_dart_minhash,
         "op11_sync_runs": op11_sync_runs,
+        "op12_chunk_variants": op12_chunk_variants,
     }
 
 
