@@ -19,6 +19,7 @@ from obsmart.llm.redirects import judge_urls, page_links
 from obsmart.llm.spelling import MIN_CHARS, group_variants, letter_runs, with_slips, word_counts
 from obsmart.llm.syncmers import edited_fingerprints
 from obsmart.llm.toxicity import toxicity
+from obsmart.llm.vectorjoin import link_vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +100,12 @@ def op12_chunk_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(word_counts(with_slips(letter_runs(docs, MIN_CHARS))))
 
 
+def op13_pivot_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its number of near vectors and the least vector of its component."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return link_vectors(vectors).drop("embedding")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit": op1_best_fit,
@@ -113,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_dart_minhash": op10_dart_minhash,
         "op11_sync_runs": op11_sync_runs,
         "op12_chunk_variants": op12_chunk_variants,
+        "op13_pivot_join": op13_pivot_join,
     }
 
 
