@@ -135,7 +135,7 @@ def keep_last(df: DataFrame, keys, order) -> DataFrame:
 def payload_order(columns) -> list[str]:
     """Keep-last order of unpacked rows, of the columns that are there: the payload that landed
     last wins, then the newer range, then the later array position."""
-    return [c for c in ("landed_at", "range_end", "_pos") if c in columns]
+    return [c for c in ("landing", "landed_at", "range_end", "_pos") if c in columns]
 
 
 def clip_columns(df: DataFrame, columns, low: float = 0.0, high: float = 100.0,

@@ -62,11 +62,12 @@ def read_staging(spark: SparkSession, layers: Layers, start, end, *, lookback: i
         F.col("dt").between(F.lit(start - timedelta(days=lookback)), F.lit(end)))
 
 
-def write_staging(rows: DataFrame, layers: Layers) -> int:
-    """Replace the staging days present in ``rows``."""
+def write_staging(rows: DataFrame, layers: Layers, period=None) -> int:
+    """Replace the staging days present in ``rows``; with ``period``, also remove its days that no
+    longer have rows (unless there are none at all)."""
     if layers.staging_table:
-        return write_bucketed(rows, layers.staging_table, overwrite=True)
-    return overwrite_days(rows, layers.staging, sort_within=("city", "ts"))
+        return write_bucketed(rows, layers.staging_table, overwrite=True, period=period)
+    return overwrite_days(rows, layers.staging, sort_within=("city", "ts"), period=period)
 
 
 @dataclass
@@ -105,7 +106,7 @@ def transform_payloads(payloads: DataFrame, dim: DataFrame, start, end, *,
     Observations: ``repairs`` per clipped column; ``dropped``: rows without a readable time
     (no_time; an error if ``strict``) or without an entity (no_entity); ``unmatched``: rows
     without a dimension entry."""
-    keep = tuple(c for c in ("landed_at", "range_end", entity) if c in payloads.columns)
+    keep = tuple(c for c in ("landing", "landed_at", "range_end", entity) if c in payloads.columns)
     rows = unpivot_arrays(payloads, variables, keep=keep, ts="ts", strict=strict)
     if dropped is not None:
         rows = rows.observe(dropped, F.count_if(F.col("ts").isNull()).alias("no_time"),
@@ -114,7 +115,7 @@ def transform_payloads(payloads: DataFrame, dim: DataFrame, start, end, *,
     rows = clean(rows, keys=(entity, "ts"), percent_columns=percent_columns, observation=repairs)
     rows = enrich(rows, dim, fact_key=entity, dim_key="slug", attrs=DIM_ATTRS, observation=unmatched)
     cols = [c for c in STAGING_COLUMNS if c in rows.columns] if entity == "city" else rows.columns
-    return rows.select(*[c for c in cols if c not in ("landed_at", "range_end", "_pos", "dt")], "dt")
+    return rows.select(*[c for c in cols if c not in ("landing", "landed_at", "range_end", "_pos", "dt")], "dt")
 
 
 def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
@@ -136,7 +137,7 @@ def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start,
     payloads = read_raw(spark, layers.raw, start, end, layout=layout, ranges=ranges)
     rows = transform_payloads(payloads, dim, start, end, repairs=repairs, dropped=dropped,
                               unmatched=unmatched, **kw)
-    n = write_staging(rows, layers)
+    n = write_staging(rows, layers, period=(start, end))
     if n == 0:   # no raw payload (or only empty ones) for the period: stop the chain here
         raise DataQualityError(f"staging: no rows from raw for {start}..{end}"
                                + (" (month chunks)" if chunks else ""))
@@ -165,7 +166,7 @@ def aggregate_range(spark: SparkSession, layers: Layers, start, end, *,
         end = end + timedelta(days=NORM_WINDOW_DAYS)
     hourly = read_staging(spark, layers, start, end, lookback=NORM_WINDOW_DAYS)
     mart = build_mart(hourly, start=start, end=end, processed_at=processed_at)
-    return overwrite_days(mart, layers.mart, sort_within=("city",))
+    return overwrite_days(mart, layers.mart, sort_within=("city",), period=(start, end))
 
 
 def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int) -> dict:

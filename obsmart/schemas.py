@@ -47,6 +47,7 @@ WEATHER_RANGES: dict[str, tuple[float, float]] = {
 WEATHER_PERCENT_COLUMNS: tuple[str, ...] = ("humidity_pct", "cloud_cover_pct")
 MAX_NULL_SHARE = 0.05          # strict: a share above this is a violation
 HOURS_PER_DAY = 24
+REQUEST_ATTEMPTS = 5           # tries of one request before it is given up
 NORM_WINDOW_DAYS = 30          # trailing calendar days of the norm, today excluded
 NORM_MIN_DAYS = 25             # fewer filled days in the window -> no norm
 # Labels of the anomaly kind in the top-anomalies report (warm, cold).

@@ -10,9 +10,11 @@ the layer's size and use it for layers with many entities.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from obsmart.sinks.lake import _observed_rows
+from obsmart.operators.calendar import day_list
+from obsmart.sinks.folders import drop_partitions
 
 
 def create_bucketed(spark: SparkSession, name: str, path: str, schema, *, partition: str,
@@ -44,14 +46,32 @@ def by_bucket(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     return df.repartition(n, *cols) if n and cols else df
 
 
-def write_bucketed(df: DataFrame, name: str, *, overwrite: bool = False) -> int:
+def write_bucketed(df: DataFrame, name: str, *, overwrite: bool = False, period=None,
+                   partition: str = "dt") -> int:
     """Append to ``name`` or, with ``overwrite``, replace the partitions present in ``df``
-    (dynamic overwrite). Columns are matched by name. Returns rows written."""
+    (dynamic overwrite). Columns are matched by name. Returns rows written. ``period``: the days that
+    ``df`` stands for; those without rows are removed (see :func:`drop_days`) unless all are."""
     spark = df.sparkSession
     out = by_bucket(spark, name, df.select(*spark.table(name).columns))
-    out, obs = _observed_rows(out, f"write_{name}")
+    obs = Observation(f"write_{name}")
+    days = [F.collect_set(partition).alias("days")] if period else []
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"), *days)
     writer = out.write
     if overwrite:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.insertInto(name, overwrite=overwrite)
-    return int(obs.get["rows"])
+    n = int(obs.get["rows"])
+    if period and n:
+        drop_days(spark, name, partition, sorted(set(day_list(*period)) - set(obs.get["days"])))
+    return n
+
+
+def drop_days(spark: SparkSession, name: str, partition: str, days) -> list[str]:
+    """Remove the partitions of ``days`` from a catalog table, in one statement, and their folders
+    (an external table keeps them otherwise). Returns the folders that were there."""
+    if not days:
+        return []
+    parts = ", ".join(f"PARTITION (`{partition}`='{d}')" for d in days)
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
+    info = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    return drop_partitions(spark, info["Location"], partition, days)

@@ -1,22 +1,31 @@
-"""Raw layer: column-oriented JSON payloads, one per entity and period.
+"""Raw layer: column-oriented JSON payloads, one per entity and period, numbered as they land.
 
-Layouts: ``<root>/range=<start>_<end>/<entity>=<key>/<file>`` (one payload per folder; also
-``range=.../<entity>=<key>.json`` files as the original writes them), or JSON lines per
-range (``layout="lines"``). Re-runs replace exactly their own folders.
+Every write is a *landing* with a sequence number. Payloads are stored under their number, and
+``<root>/_landings`` (the landing log) lists which landing brought which range and entity:
+
+* ``layout="folders"``: ``range=<start>_<end>/<entity>=<key>/landing=<n>/``, one payload a file;
+* ``layout="lines"``: ``range=<start>_<end>/landing=<n>/``, JSON lines.
+
+Nothing that has landed is rewritten: a corrected payload is a later landing, and readers leave out
+the payloads that a later landing of the same range and entity has replaced. The numbers are part
+of the layer, so a copied, merged or compacted lake keeps its order, which file times do not. Layers
+of the original pipeline (``range=.../<entity>=<key>.json``, no numbers) are read as they are: the
+file time orders them, below every numbered landing.
 """
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmart.functions.text import join_values
-from obsmart.operators.calendar import check_period, month_chunks_between
+from obsmart.operators.calendar import as_day, check_period, month_chunks_between
 from obsmart.operators.normalize import keep_last
+from obsmart.schemas import REQUEST_ATTEMPTS
+from obsmart.sinks.folders import folders, is_empty
 
 RANGE_PATTERN = r"^(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})$"
+LOG = "_landings"
 
 
 def range_key(start, end) -> str:
@@ -24,60 +33,93 @@ def range_key(start, end) -> str:
     return f"{start:%Y-%m-%d}_{end:%Y-%m-%d}"
 
 
-@contextmanager
-def _text_partitions(spark: SparkSession):
-    """While a reader is made: partition values are text (inference would turn 007 into 7)."""
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def read_landings(spark: SparkSession, path: str, entity: str = "city") -> DataFrame:
+    """The landing log: (landing, range, <entity>); payloads without a number are landing 0 once
+    the layer has been adopted (``sinks.lake.adopt_raw``)."""
+    schema = f"range string, `{entity}` string, landing bigint"
+    if is_empty(spark, f"{path}/{LOG}"):
+        return spark.createDataFrame([], schema).select("landing", "range", entity)
+    return spark.read.schema(schema).parquet(f"{path}/{LOG}").select("landing", "range", entity)
+
+
+def superseded(landings: DataFrame, entity: str = "city") -> DataFrame:
+    """(range, <entity>, landing) of the payloads that a later landing has replaced."""
+    last = landings.groupBy("range", entity).agg(F.max("landing").alias("_last"), F.min("landing").alias("_first"))
+    again = last.where("_first < _last").select("range", entity, "_last")
+    return landings.join(again, ["range", entity]).where("landing < _last").select("range", entity, "landing")
+
+
+def _unescaped(c: Column) -> Column:
+    return F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def _wanted_ranges(spark: SparkSession, path: str, start, end, all_ranges: bool, ranges) -> list[str]:
+    """Paths of the range folders to read: those that are there and asked for, by their names."""
+    there = folders(spark, path, "range")
+    if ranges is not None:
+        keys = [range_key(s, e) for s, e in ranges]
+    elif start is None and end is None:
+        keys = sorted(there)
+    elif all_ranges:
+        s, e = check_period(start, end)
+        bounds = {k: k.split("_") for k in sorted(there) if k.count("_") == 1}
+        keys = [k for k, (a, b) in bounds.items() if as_day(a) <= e and as_day(b) >= s]
+    else:
+        keys = [range_key(start, end)]
+    return [there[k] for k in dict.fromkeys(keys) if k in there]
+
+
+def raw_files(spark: SparkSession, paths: list[str], *, entity: str = "city", layout: str = "folders") -> DataFrame:
+    """All payloads below ``paths``: (range, <entity>, landing, body, _file_time). What a path says
+    is text (``007`` stays ``007``); a file without a number has landing 0."""
+    if not paths:
+        return spark.createDataFrame([], f"range string, `{entity}` string, landing bigint, body string, _file_time timestamp")
+    lines = layout == "lines"
+    df = spark.read.option("recursiveFileLookup", True).text(paths, wholetext=not lines)
+    where = F.col("_metadata.file_path")
+
+    def said(name: str) -> Column:
+        return F.regexp_extract(where, f"/{name}=([^/]*)/", 1)
+
+    if lines:
+        key, body = F.get_json_object("value", f"$.{entity}"), F.get_json_object("value", "$.payload")
+    else:
+        of_file = F.regexp_extract(where, rf"/(?:{entity}=)?([^/]*)\.json$", 1)
+        folder = _unescaped(_unescaped(said(entity)))          # of a URI, then of a folder name
+        key = F.when(folder == "", _unescaped(of_file)).otherwise(folder)
+        key, body = F.when(key != "__HIVE_DEFAULT_PARTITION__", key), F.col("value")
+    number = F.coalesce(F.expr("try_cast(nullif(_landing, '') AS bigint)"), F.lit(0))
+    return (df.select(said("range").alias("range"), key.alias(entity), said("landing").alias("_landing"),
+                      body.alias("body"), F.col("_metadata.file_modification_time").alias("_file_time"))
+            .select("range", entity, number.alias("landing"), "body", "_file_time"))
 
 
 def read_raw(spark: SparkSession, path: str, start=None, end=None, *, entity: str = "city",
-             all_ranges: bool = False, layout: str = "folders", ranges=None) -> DataFrame:
-    """Payload rows ``(range, range_start, range_end, <entity>, landed_at, body)``; range and entity
-    are text as in the folder names (``007`` stays ``007``), landed_at is the file's time.
-
-    By default only the folder of exactly ``[start, end]`` is read (the filter on the
-    ``range`` partition column prunes folders). ``all_ranges=True`` reads every range that
-    overlaps the period; overlapping hours are then resolved by ``payload_order`` (the payload
-    that landed last wins). ``ranges``: read exactly these ``(start, end)``
-    ranges (e.g. the month chunks of a backfill), all in one scan. ``layout`` as in
-    ``sinks.lake.write_raw``.
+             all_ranges: bool = False, layout: str = "folders", ranges=None, history: bool = False) -> DataFrame:
+    """Payload rows ``(range, range_start, range_end, <entity>, landing, body)``, of every range and
+    entity the one that landed last (``history=True``: all).
+
+    By default only the folder of exactly ``[start, end]`` is listed and read. ``all_ranges=True``
+    reads every range that overlaps the period; overlapping hours are then resolved by
+    ``payload_order`` (the payload that landed last wins). ``ranges``: exactly these ``(start, end)``
+    ranges (e.g. the month chunks of a backfill), all in one scan. ``landing`` orders payloads: the
+    landing number, or for files without one their time, below every number.
     """
-    if layout == "lines":
-        with _text_partitions(spark):
-            df = spark.read.option("basePath", path).text(path)
-        df = df.select("range", F.col("_metadata.file_modification_time").alias("landed_at"), F.get_json_object("value", f"$.{entity}").alias(entity),
-                       F.get_json_object("value", "$.payload").alias("body"))
-    else:
-        with _text_partitions(spark):
-            df = spark.read.option("basePath", path).text(path, wholetext=True)
-        df = df.select("*", F.col("_metadata.file_modification_time").alias("landed_at"),
-                       F.col("_metadata.file_name").alias("_file")).withColumnRenamed("value", "body")
-    if entity not in df.columns:  # files named <key>.json or <entity>=<key>.json under range=
-        pattern = rf"^(?:{entity}=)?(.*)\.json$"
-        df = df.withColumn(entity, F.regexp_extract("_file", pattern, 1))
-    df = df.withColumn("range", F.col("range").cast("string"))
-    df = df.select(
+    files = raw_files(spark, _wanted_ranges(spark, path, start, end, all_ranges, ranges), entity=entity, layout=layout)
+    landings = read_landings(spark, path, entity)
+    if not is_empty(spark, f"{path}/{LOG}"):
+        # a landing that is not in the log has not been committed; the list of replaced payloads is
+        # short (corrections only), so the payloads themselves are not shuffled
+        done = landings.agg(F.max("landing")).first()[0] or 0
+        files = files.where(F.col("landing") <= done)
+        if not history:
+            files = files.join(superseded(landings, entity), ["range", entity, "landing"], "left_anti")
+    early = F.unix_micros("_file_time") - F.lit(1 << 62)
+    return files.select(
         "range",
         F.to_date(F.regexp_extract("range", RANGE_PATTERN, 1)).alias("range_start"),
         F.to_date(F.regexp_extract("range", RANGE_PATTERN, 2)).alias("range_end"),
-        F.col(entity).cast("string").alias(entity),
-        "landed_at", "body",
-    )
-    if ranges is not None:
-        df = df.where(F.col("range").isin([range_key(s, e) for s, e in ranges]))
-    elif start is not None or end is not None:
-        s, e = check_period(start, end)
-        if all_ranges:
-            df = df.where((F.col("range_start") <= F.lit(e)) & (F.col("range_end") >= F.lit(s)))
-        else:
-            df = df.where(F.col("range") == F.lit(range_key(s, e)))
-    return df
+        entity, F.when(F.col("landing") > 0, F.col("landing")).otherwise(early).alias("landing"), "body")
 
 
 def triage(landed: DataFrame, *, status: str = "status", body: str = "body") -> DataFrame:

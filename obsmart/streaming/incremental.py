@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmart.plans.runs import Layers, run_steps
+from obsmart.sinks.lake import next_landing
 from obsmart.sources.raw import RANGE_PATTERN
 
 RANGE_IN_PATH = r"range=(\d{4}-\d{2}-\d{2}_\d{4}-\d{2}-\d{2})"
 
 
 def raw_stream(spark: SparkSession, raw_path: str, *, max_files: int | None = None) -> DataFrame:
-    """Streaming frame of newly landed payload files: ``(range, range_start, range_end)``.
+    """Streaming frame of newly landed payload files: ``(range, range_start, range_end, landing)``.
 
     The range comes from the file path, so the stream does not depend on partition
     discovery of a folder that may still be empty when the query starts. Files are read
@@ -39,6 +40,7 @@ def raw_stream(spark: SparkSession, raw_path: str, *, max_files: int | None = No
         rng.alias("range"),
         F.to_date(F.regexp_extract(rng, RANGE_PATTERN, 1)).alias("range_start"),
         F.to_date(F.regexp_extract(rng, RANGE_PATTERN, 2)).alias("range_end"),
+        F.expr("try_cast(regexp_extract(_metadata.file_path, 'landing=([0-9]+)/', 1) AS bigint)").alias("landing"),
     ).where(F.col("range") != "")
 
 
@@ -68,8 +70,11 @@ def run_available(spark: SparkSession, layers: Layers, dim: DataFrame, checkpoin
     log: list[dict] = []
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        periods = [(r.range_start, r.range_end)
-                   for r in batch.select("range_start", "range_end").distinct().collect()]
+        found = batch.groupBy("range_start", "range_end").agg(F.max("landing").alias("landing")).collect()
+        newest, done = max((r.landing or 0 for r in found), default=0), next_landing(spark, layers.raw) - 1
+        if newest > done:       # the batch is taken again by the next call
+            raise RuntimeError(f"landing {newest} is not in the landing log yet")
+        periods = [(r.range_start, r.range_end) for r in found]
         log.extend(rerun_periods(batch.sparkSession, layers, dim, periods, load_ts=load_ts,
                                  layout=layout, propagate=propagate))
 

@@ -184,8 +184,6 @@ def test_fatal_responses_stop_the_chain(spark, places, scratch):
 
 def test_late_chunks_beat_an_earlier_whole_range(spark, places, scratch):
     """The whole period lands first, then both of its months with other values: the months win."""
-    import time
-
     from obsmart.plans.runs import transform_range
     from obsmart.sources.lake import read_days
 
@@ -195,7 +193,6 @@ def test_late_chunks_beat_an_earlier_whole_range(spark, places, scratch):
         shift = 0.0 if period == (START, END) else 2.0
         rows = [(f"{period[0]}_{period[1]}", c, payload(shift, *period)) for c in ("moscow", "london")]
         write_raw(spark.createDataFrame(rows, "range string, city string, body string"), layers.raw)
-        time.sleep(1.1)
     transform_range(spark, layers, places, START, END)
     late = read_days(spark, layers.staging).agg({"temperature_c": "avg"}).first()[0]
     temps = [t for m in months for t in json.loads(payload(2.0, *m))["hourly"]["temperature_2m"]]
