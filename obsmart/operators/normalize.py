@@ -85,20 +85,72 @@ def drop_null_keys(df: DataFrame, keys) -> DataFrame:
 
 _FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                 T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType, T.DecimalType)
-_LONG_MIN = -(1 << 63)
-
-
-def _order_as_long(c: Column, dtype) -> Column | None:
-    """An order column as a non-NULL LONG with the same ordering (NULL lowest), or None."""
-    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        v = c.cast("long")
-    elif isinstance(dtype, T.DateType):
-        v = F.unix_date(c).cast("long")
-    elif isinstance(dtype, T.TimestampType):
-        v = F.unix_micros(c)
-    else:
+# Order columns as non-negative integers below a fixed width, NULL as 0 (lowest): what a value is
+# added to, and how many values there are. Days and instants span the years 1 to 9999.
+_DAYS = (719162, 3652059)
+_MICROS = (719162 * 86_400_000_000, 3652059 * 86_400_000_000)
+_WIDTHS = {T.BooleanType: (0, 2), T.ByteType: (1 << 7, 1 << 8), T.ShortType: (1 << 15, 1 << 16), T.IntegerType: (1 << 31, 1 << 32),
+           T.LongType: (1 << 63, 1 << 64), T.DateType: _DAYS, T.TimestampType: _MICROS, T.TimestampNTZType: _MICROS}
+_LONG, _DECIMAL = 1 << 63, 10 ** 38
+
+
+def _as_integer(c: Column, dtype) -> Column:
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(c).cast("long")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(dtype, T.TimestampNTZType):       # a wall clock: its parts, without any time zone
+        clock = (F.extract(F.lit("HOUR"), c) * 3600 + F.extract(F.lit("MINUTE"), c) * 60) * F.lit(1_000_000).cast("long")
+        return F.unix_date(c.cast("date")) * F.lit(86_400_000_000) + clock + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    return c.cast("long")
+
+
+def packed_order(columns, dtypes) -> Column | None:
+    """Several fixed-width order columns as one value with the same ordering (left to right, NULL
+    lowest): a LONG if they fit into one, else a DECIMAL(38,0), else None. Nothing is lost: every
+    column has its own digits. Days and instants outside the years 1 to 9999 fail the job.
+
+    A single value lets ``max_by`` keep its state in fixed-width buffers (hash aggregate); a struct
+    of columns does not.
+    """
+    widths = [next((w for t, w in _WIDTHS.items() if type(d) is t), None) for d in dtypes]
+    if not columns or any(w is None for w in widths):
         return None
-    return F.coalesce(v, F.lit(_LONG_MIN))
+    if len(columns) == 1 and isinstance(dtypes[0], T.LongType):     # NULL as the least LONG
+        return F.coalesce(columns[0], F.lit(-_LONG))
+    total = 1
+    for _, n in widths:
+        total *= n + 1
+    if total >= _DECIMAL:
+        return None
+
+    def digits(c, dtype, low, n) -> Column:
+        v = _as_integer(c, dtype)
+        if n > _LONG:        # of a LONG, whose offset does not fit into one
+            return F.coalesce(v.cast("decimal(38,0)") + F.lit(str(low + 1)).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+        v = v + F.lit(low + 1)
+        if type(dtype) in (T.DateType, T.TimestampType, T.TimestampNTZType):
+            v = F.when((v < 1) | (v > n), F.raise_error(F.lit("an order column is outside the years 1 to 9999")).cast("long")).otherwise(v)
+        return F.coalesce(v, F.lit(0).cast("long"))
+
+    limbs: list[tuple[Column, int]] = []          # neighbours that fit into a LONG are put together there
+    for c, dtype, (low, n) in zip(columns, dtypes, widths, strict=True):
+        d = digits(c, dtype, low, n)
+        if limbs and n < _LONG and limbs[-1][1] * (n + 1) <= _LONG:
+            limbs[-1] = limbs[-1][0] * F.lit(n + 1) + d, limbs[-1][1] * (n + 1)
+        else:
+            limbs.append((d, n + 1))
+    if len(limbs) == 1:
+        return limbs[0][0]
+    out = limbs[0][0].cast("decimal(38,0)")
+    for limb, n in limbs[1:]:
+        out = (out * F.lit(str(n)).cast(f"decimal({len(str(n))},0)") + limb.cast("decimal(38,0)")).cast("decimal(38,0)")
+    return out
+
+
+def fixed_width(df: DataFrame, columns) -> bool:
+    """Whether all ``columns`` are of types that an aggregate buffer holds in place."""
+    return all(isinstance(df.schema[c].dataType, _FIXED_WIDTH) for c in columns)
 
 
 def keep_last(df: DataFrame, keys, order) -> DataFrame:
@@ -106,30 +158,29 @@ def keep_last(df: DataFrame, keys, order) -> DataFrame:
     to right; NULL lowest). Expressed as an aggregate, so rows are combined map-side before
     the shuffle and a key with very many duplicates never lands whole in one task.
 
-    With a single integral, date or timestamp ``order`` and fixed-width other columns, every
-    column is its own ``max_by`` over that same ordering (as a non-NULL LONG): all columns
-    take their value from the same row (the decisions are the same comparisons, ties
-    included), and the fixed-width buffers let Spark use the code-generated hash aggregate.
-    Otherwise the row is one struct (sort-based aggregate).
+    Order columns of fixed width are packed into one value (``packed_order``). If the other columns
+    have a fixed width as well, every one is its own ``max_by`` over it: all columns take their value
+    from the same row (the decisions are the same comparisons, ties included), and Spark uses the
+    code-generated hash aggregate. Otherwise the row is one struct (sort-based aggregate; Spark keeps
+    text in no hash buffer), and where the order holds the whole row, the greatest order is the row.
     """
     keys = list(keys)
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     others = [c for c in df.columns if c not in keys]
     if not others:                      # nothing but keys: one row per key
         return df.select(*keys).distinct()
-    if len(order_cols) == 1:
-        probe = df.select(order_cols[0].alias("_keep_order"))
-        as_long = _order_as_long(order_cols[0], probe.schema["_keep_order"].dataType)
-        types = {f.name: f.dataType for f in df.schema.fields}
-        if as_long is not None and all(isinstance(types[c], _FIXED_WIDTH) for c in others):
-            o = F.col("_keep_order")
-            picked = (df.select("*", as_long.alias("_keep_order")).groupBy(*keys)
-                      .agg(*[F.max_by(F.col(c), o).alias(c) for c in others]))
-            return picked.select(*df.columns)
-    picked = (df.groupBy(*keys)
-              .agg(F.max_by(F.struct(*others), F.struct(*order_cols)).alias("_r"))
-              .select(*keys, "_r.*"))
-    return picked.select(*df.columns)
+    probe = df.select(*[c.alias(f"_o{i}") for i, c in enumerate(order_cols)])
+    packed = packed_order(order_cols, [f.dataType for f in probe.schema.fields])
+    if packed is not None and fixed_width(df, others):
+        o = F.col("_keep_order")
+        picked = (df.select("*", packed.alias("_keep_order")).groupBy(*keys)
+                  .agg(*[F.max_by(F.col(c), o).alias(c) for c in others]))
+        return picked.select(*df.columns)
+    if all(isinstance(o, str) for o in order) and set(order) == set(others):
+        best = F.max(F.struct(*order))
+    else:
+        best = F.max_by(F.struct(*others), packed if packed is not None else F.struct(*order_cols))
+    return df.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*").select(*df.columns)
 
 
 def payload_order(columns) -> list[str]:

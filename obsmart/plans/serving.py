@@ -10,7 +10,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from obsmart.operators.normalize import fixed_width, packed_order
 from obsmart.operators.versions import conform, latest
 from obsmart.sinks.lake import append_months, rewrite_months
 from obsmart.sinks.tables import create_bucketed, write_bucketed
@@ -29,9 +31,15 @@ def load_range(spark: SparkSession, mart_path: str, serving_path: str, start, en
 
 
 def resolve(df: DataFrame, *, keys=("city", "dt"), version=VERSION_COLUMNS) -> DataFrame:
-    """Latest version per key; remaining columns break exact ties deterministically."""
+    """Latest version per key; the remaining columns break exact ties deterministically: by their
+    hash where all columns have a fixed width and the version leaves room for it in one packed value
+    (hash aggregate), else by their values."""
     version = [v for v in version if v in df.columns]
     rest = [c for c in df.columns if c not in keys and c not in version]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    tie = F.xxhash64(*rest) if rest else F.lit(0).cast("long")
+    if fixed_width(df, [*version, *rest]) and packed_order([*map(F.col, version), tie], [*[kinds[v] for v in version], T.LongType()]) is not None:
+        return latest(df, keys, [*version, tie])
     return latest(df, keys, [*version, *rest])
 
 
