@@ -22,13 +22,15 @@ from obsmart.operators.quality import (
 from obsmart.plans.mart import build_mart
 from obsmart.plans.serving import current, current_table, load_range, load_table
 from obsmart.schemas import (
-    NORM_WINDOW_DAYS, STAGING_COLUMNS, STAGING_SCHEMA, WEATHER_PERCENT_COLUMNS, WEATHER_RANGES,
+    NORM_WINDOW_DAYS, REQUEST_ATTEMPTS, STAGING_COLUMNS, STAGING_SCHEMA, WEATHER_PERCENT_COLUMNS, WEATHER_RANGES,
     WEATHER_VARIABLES,
 )
+from obsmart.session import cut_lineage
 from obsmart.sinks.lake import overwrite_days, write_raw
 from obsmart.sinks.tables import create_bucketed, write_bucketed
 from obsmart.sources.lake import read_days
-from obsmart.sources.raw import read_raw, triage
+from obsmart.sources.raw import fetch_plan, read_raw, triage
+from obsmart.sources.requests import next_requests, next_run, read_rejected, request_states, write_rejected
 
 DIM_ATTRS = {"name": "city_name", "country": "country", "lat": "latitude", "lon": "longitude"}
 
@@ -73,16 +75,26 @@ def write_staging(rows: DataFrame, layers: Layers, period=None) -> int:
 @dataclass
 class RunReport:
     steps: dict = field(default_factory=dict)
+    next_requests: DataFrame | None = None      # what is still to be requested (see ``sources.requests``)
+
+
+class OpenRequests(DataQualityError):
+    """Requests of the period have brought no payload yet; ``next_requests`` are to be sent next."""
+
+    def __init__(self, message: str, next_requests: DataFrame):
+        super().__init__(message)
+        self.next_requests = next_requests
 
 
 def extract_range(landed: DataFrame, raw_path: str, start, end, *, entity: str = "city",
-                  layout: str = "folders") -> dict:
+                  layout: str = "folders", run: int | None = None) -> dict:
     """Landed responses ``(status, <entity>, body[, range_start, range_end])`` -> raw layer.
 
-    Good payloads are written under their request's range (the chunk columns, e.g. joined
-    from ``sources.raw.fetch_plan``), else under the period's range; retryable and fatal
-    responses are returned as a frame for the caller to re-request or report, and the number of
-    fatal ones (``run_range`` stops on them)."""
+    Good payloads land under their request's range (the chunk columns, e.g. joined from
+    ``sources.raw.fetch_plan``), else under the period's range, as landing number ``run`` (by default
+    the next one). All other responses go to the layer's log of rejected ones under the same number;
+    they are returned as a frame too, with the numbers of retryable and fatal ones."""
+    spark = landed.sparkSession
     start, end = check_period(start, end)
     t = triage(landed)
     if "range_start" in landed.columns and "range_end" in landed.columns:   # per request chunk
@@ -90,10 +102,25 @@ def extract_range(landed: DataFrame, raw_path: str, start, end, *, entity: str =
                           F.date_format("range_end", "yyyy-MM-dd"))
     else:
         rng = F.lit(f"{start:%Y-%m-%d}_{end:%Y-%m-%d}")
-    good = t.where(F.col("outcome") == "good").select(rng.alias("range"), entity, "body")
-    written = write_raw(good, raw_path, entity=entity, layout=layout)
-    rejected = t.where(F.col("outcome") != "good").select(entity, "status", "outcome", "reason")
-    return {"written": written, "rejected": rejected, "fatal": rejected.where(F.col("outcome") == "fatal").count()}
+    t = t.withColumn("range", rng)
+    run = run if run is not None else next_run(spark, raw_path, entity)
+    good = t.where(F.col("outcome") == "good").select("range", entity, "body")
+    written = write_raw(good, raw_path, entity=entity, layout=layout, landing=run)
+    rejected = t.where(F.col("outcome") != "good").select("range", entity, "status", "outcome", "reason")
+    write_rejected(rejected, raw_path, run, entity)
+    logged = read_rejected(spark, raw_path, entity).where(F.col("run") == run)
+    n = logged.agg(F.count_if(F.col("outcome") == "retry"), F.count_if(F.col("outcome") == "fatal")).first()
+    return {"written": written, "run": run, "rejected": logged.select(entity, "status", "outcome", "reason", "range"),
+            "retry": n[0], "fatal": n[1]}
+
+
+def requests_of(landed: DataFrame, dim: DataFrame, start, end) -> DataFrame:
+    """The requests that a period needs: a place and month chunk each where the responses name their
+    chunks, else a place each."""
+    if "range_start" in landed.columns and "range_end" in landed.columns:
+        return fetch_plan(dim, start, end, WEATHER_VARIABLES)
+    start, end = check_period(start, end)
+    return dim.select("slug", F.lit(start).alias("chunk_start"), F.lit(end).alias("chunk_end"))
 
 
 def transform_payloads(payloads: DataFrame, dim: DataFrame, start, end, *,
@@ -185,20 +212,29 @@ def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int)
 def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
               load_ts: datetime, landed: DataFrame | None = None,
               layout: str = "folders", chunks: bool = True,
-              propagate: bool = False) -> RunReport:
-    """The whole chain for a period; the first failing step stops the rest. ``layout`` is
-    the raw layer's layout (see ``sinks.lake.write_raw``); ``chunks`` as in
+              propagate: bool = False, max_attempts: int = REQUEST_ATTEMPTS) -> RunReport:
+    """The whole chain for a period; the first failing step stops the rest. Responses in ``landed``
+    are landed first and the period's requests reconciled with all landings so far: while any is
+    without a payload the chain stops with ``OpenRequests``, which has the requests to send next.
+    ``layout`` is the raw layer's layout (see ``sinks.lake.write_raw``); ``chunks`` as in
     ``transform_range``; ``propagate=True`` also rebuilds and reloads the days after the
     period whose norms depend on it."""
     start, end = check_period(start, end)
     report = RunReport()
     if landed is not None:
         got = extract_range(landed, layers.raw, start, end, layout=layout)
-        report.steps["extract"] = got["written"]
+        report.steps |= {"extract": got["written"], "retry": got["retry"]}
         if got["fatal"]:
             first = got["rejected"].where(F.col("outcome") == "fatal").limit(10).collect()
             raise DataQualityError(f"extract: {got['fatal']} fatal responses, e.g. "
                                    + "; ".join(f"{r[0]}: {r['reason']}" for r in first))
+        states = cut_lineage(request_states(spark, layers.raw, requests_of(landed, dim, start, end), max_attempts=max_attempts))
+        counts = dict(states.groupBy("state").count().collect())
+        report.steps["requests"] = counts
+        report.next_requests = next_requests(states)
+        if counts.get("open") or counts.get("given_up"):
+            raise OpenRequests(f"extract: {counts.get('open', 0)} requests are still open, {counts.get('given_up', 0)} given up "
+                               f"after {max_attempts} attempts", report.next_requests)
     report.steps |= run_steps(spark, layers, dim, start, end, load_ts=load_ts, layout=layout,
                               chunks=chunks, propagate=propagate)
     return report

@@ -36,72 +36,59 @@ def read_months(spark: SparkSession, path: str, start=None, end=None, *, day: st
     return df.where(F.col(month).between(lo, hi) & F.col(day).between(F.lit(start), F.lit(end)))
 
 
-def _parquet_file(path: str):
-    """Open a Parquet file by the path Spark reports: local, or a remote filesystem pyarrow
-    knows (``s3a://`` is read as ``s3://``; credentials come from the executor environment)."""
-    import pyarrow.parquet as pq
-
-    if path.startswith("file:"):
-        return pq.ParquetFile(path[len("file:"):])
-    if "://" not in path:
-        return pq.ParquetFile(path)
-    from pyarrow import fs as pafs
-
-    uri = "s3://" + path[len("s3a://"):] if path.startswith("s3a://") else path
-    filesystem, inner = pafs.FileSystem.from_uri(uri)
-    return pq.ParquetFile(filesystem.open_input_file(inner))
-
-
-def _footer_sizes(batches):
-    """Per file: rows and uncompressed bytes from the Parquet footer (pyarrow, no data read)."""
-    import pandas as pd
-
-    for pdf in batches:
-        rows, sizes = [], []
-        for path in pdf["file"]:
-            meta = _parquet_file(path).metadata
-            rows.append(meta.num_rows)
-            sizes.append(sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)))
-        yield pd.DataFrame({"file": pdf["file"], "partition": pdf["partition"],
-                            "compressed": pdf["compressed"], "rows": rows, "uncompressed": sizes})
+def _per_file(df: DataFrame, partition) -> DataFrame:
+    """(partition, file, compressed, rows): counted by Spark, one group a file; no column is read."""
+    return (df.select(partition.cast("string").alias("partition"), F.col("_metadata.file_path").alias("file"),
+                      F.col("_metadata.file_size").alias("compressed"))
+            .groupBy("partition", "file", "compressed").agg(F.count(F.lit(1)).alias("rows")))
 
 
 def partition_inventory(spark: SparkSession, path: str, *, partition: str = "month",
-                        newest: int = 12) -> DataFrame:
-    """Per partition: rows, parts (files), compressed and uncompressed bytes, readable sizes;
-    newest ``newest`` partitions first.
-
-    The file list is a ``binaryFile`` listing with the content column pruned (one row per
-    file, no data read; partitions from the folder names); row counts and uncompressed sizes
-    come from the Parquet footers, read by a pandas function on the executors (local paths
-    and the remote filesystems pyarrow supports).
+                        newest: int = 12, uncompressed: bool = False) -> DataFrame:
+    """Per partition: rows, parts (files), compressed bytes and their readable size; the newest
+    ``newest`` partitions first.
+
+    Files and their sizes are the scan's hidden metadata columns, rows are counted by Spark from a
+    scan without columns, so any store that Spark reads will do. ``uncompressed``: also the bytes
+    before compression, which only the Parquet footers tell; they are read on the executors (local
+    paths and the stores that pyarrow knows). Files without rows are not counted.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .option("basePath", path).load(path)
-             .select(F.col(partition).cast("string").alias("partition"), F.col("path").alias("file"),
-                     F.col("length").alias("compressed")))
-    return _inventory(files, newest)
+    return _inventory(_per_file(spark.read.option("basePath", path).parquet(path), F.col(partition)), newest, uncompressed)
 
 
-def partition_inventory_of(spark: SparkSession, paths, *, newest: int = 12) -> DataFrame:
+def partition_inventory_of(spark: SparkSession, paths, *, newest: int = 12, uncompressed: bool = False) -> DataFrame:
     """Inventory of several tables; each table (its last path element) is one partition."""
     files = None
     for path in paths:
-        name = path.rstrip("/").rsplit("/", 1)[-1]
-        f = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-             .select(F.lit(name).alias("partition"), F.col("path").alias("file"),
-                     F.col("length").alias("compressed")))
+        f = _per_file(spark.read.parquet(path), F.lit(path.rstrip("/").rsplit("/", 1)[-1]))
         files = f if files is None else files.unionByName(f)
-    return _inventory(files, newest)
-
-
-def _inventory(files: DataFrame, newest: int) -> DataFrame:
-    per_file = files.mapInPandas(
-        _footer_sizes,
-        "file string, partition string, compressed long, rows long, uncompressed long")
-    per_part = per_file.groupBy("partition").agg(
-        F.sum("rows").alias("rows"), F.count("file").alias("parts"),
-        F.sum("compressed").alias("compressed_bytes"), F.sum("uncompressed").alias("uncompressed_bytes"))
-    return (per_part.orderBy(F.col("partition").desc()).limit(newest)
-            .withColumn("compressed", readable_size("compressed_bytes"))
-            .withColumn("uncompressed", readable_size("uncompressed_bytes")))
+    return _inventory(files, newest, uncompressed)
+
+
+def _inventory(files: DataFrame, newest: int, uncompressed: bool) -> DataFrame:
+    kinds = {"rows": F.sum("rows"), "parts": F.count("file"), "compressed_bytes": F.sum("compressed")}
+    if uncompressed:
+        files = files.mapInArrow(_footer_sizes, "partition string, file string, compressed long, rows long, uncompressed long")
+        kinds["uncompressed_bytes"] = F.sum("uncompressed")
+    out = (files.groupBy("partition").agg(*[v.alias(k) for k, v in kinds.items()])
+           .orderBy(F.col("partition").desc()).limit(newest))
+    return out.withColumns({k[:-len("_bytes")]: readable_size(k) for k in kinds if k.endswith("_bytes")})
+
+
+def _footer_sizes(batches):
+    """The files with the uncompressed bytes of their row groups (Parquet footers, no data read)."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+    from urllib.parse import unquote, urlsplit
+
+    for batch in batches:
+        sizes = []
+        for uri in batch.column("file").to_pylist():
+            if urlsplit(uri).scheme in ("", "file"):
+                meta = pq.ParquetFile(unquote(urlsplit(uri).path)).metadata
+            else:       # pyarrow knows s3a:// as s3://; credentials come from the executor's environment
+                store, name = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+                meta = pq.ParquetFile(store.open_input_file(name)).metadata
+            sizes.append(sum(meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(sizes, pa.int64())], names=[*batch.schema.names, "uncompressed"])

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from obsmart.functions.text import join_values
 from obsmart.operators.calendar import as_day, check_period, month_chunks_between
 from obsmart.operators.normalize import keep_last
-from obsmart.schemas import REQUEST_ATTEMPTS
 from obsmart.sinks.folders import folders, is_empty
 
 RANGE_PATTERN = r"^(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})$"

@@ -1,4 +1,6 @@
+import glob
 import json
+import os
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -83,12 +85,17 @@ def test_partition_inventory(spark, scratch):
     df = spark.range(1000).select((F.col("id") % 3 + 202501).cast("int").alias("month"), "id")
     scratch = f"{scratch}/serving"
     df.repartition(2).write.partitionBy("month").parquet(scratch)
-    rows = {r.partition: r for r in partition_inventory(spark, scratch).collect()}
+    rows = {r.partition: r for r in partition_inventory(spark, scratch, uncompressed=True).collect()}
     assert set(rows) == {"202501", "202502", "202503"}
     assert sum(r.rows for r in rows.values()) == 1000
     assert all(r.parts >= 1 and r.compressed_bytes > 0 and r.uncompressed_bytes > 0 for r in rows.values())
     assert rows["202501"].compressed.endswith(("B", "KiB"))
     assert [r.partition for r in partition_inventory(spark, scratch, newest=2).collect()] == ["202503", "202502"]
+    on_disk = {m: [os.path.getsize(f) for f in glob.glob(f"{scratch}/month={m}/*.parquet")] for m in rows}
+    plain = partition_inventory(spark, scratch)
+    assert plain.columns == ["partition", "rows", "parts", "compressed_bytes", "compressed"]
+    assert {r.partition: (r.parts, r.compressed_bytes) for r in plain.collect()} == {m: (len(x), sum(x)) for m, x in on_disk.items()}
+    assert "MapIn" not in plain._jdf.queryExecution().executedPlan().toString()
 
 
 def test_raw_lines_layout_round_trip(spark, sample_payload, scratch):
