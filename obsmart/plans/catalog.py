@@ -316,11 +316,15 @@ def q_triage(spark, sf_dir):
 
 
 def q_partition_inventory(spark, sf_dir):
-    return partition_inventory_of(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES], newest=len(TABLES))
+    """Rows and parts of the newest 12 partitions (by name; every table is one)."""
+    found = partition_inventory_of(spark, [f"{sf_dir}/{t}.parquet" for t in TABLES])
+    return found.select("partition", "rows", "parts")
 
 
 def queries():
-    return {
+    from obsmart.plans import catalog_layers
+
+    return catalog_layers.queries() | {
         "unpivot_arrays": q_unpivot_arrays,
         "keep_last": q_keep_last,
         "clip_columns": q_clip_columns,
@@ -395,8 +399,9 @@ def _r(x: str, digits: int = 2) -> str:
 
 
 def _mart_sql(src: str, entity: str, count_col: str, aggs, value: str, norm: str, anomaly: str,
-              where: str = "") -> str:
-    """CTE text: daily rollup of ``src`` (columns dt, entity, metrics) + trailing norm."""
+              where: str = "", suffix: str = "") -> str:
+    """CTE text: daily rollup of ``src`` (columns dt, entity, metrics) + trailing norm, as ``mart``
+    (every name with ``suffix``)."""
     daily_cols = [f"count(*) AS {count_col}"]
     final_cols = ["dt", entity, count_col]
     for out, fn, col in aggs:
@@ -412,13 +417,13 @@ def _mart_sql(src: str, entity: str, count_col: str, aggs, value: str, norm: str
             final_cols.append(f"{out}__r AS {out}")
     final_cols += [f"{_r(norm)} AS {norm}", f"{_r(f'{value} - {norm}')} AS {anomaly}"]
     return f"""
-daily AS (SELECT dt, {entity}, {", ".join(daily_cols)} FROM {src} GROUP BY dt, {entity}),
-normed AS (
+daily{suffix} AS (SELECT dt, {entity}, {", ".join(daily_cols)} FROM {src} GROUP BY dt, {entity}),
+normed{suffix} AS (
   SELECT *, CASE WHEN count({value}) OVER w >= 25 THEN avg({value}) OVER w END AS {norm}
-  FROM daily
+  FROM daily{suffix}
   WINDOW w AS (PARTITION BY {entity} ORDER BY date_diff('day', DATE '1970-01-01', dt)
                RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING)),
-mart AS (SELECT {", ".join(final_cols)} FROM normed {where})"""
+mart{suffix} AS (SELECT {", ".join(final_cols)} FROM normed{suffix} {where})"""
 
 
 _EV_HOURS = """
@@ -494,45 +499,14 @@ st AS (SELECT count(*) AS rows, count(DISTINCT event_type) AS entities, count(DI
        FROM mart WHERE dt BETWEEN (SELECT s FROM span) AND (SELECT e FROM span))"""
 
 
-def oracle_sql() -> dict[str, str]:
-    rs, re_ = RELOAD_PERIOD
+def oracle_reports() -> dict[str, str]:
+    """The reports over the mart of the line items."""
     sql = {}
-    sql["unpivot_arrays"] = "WITH " + _EV_HOURS.strip() + "\nSELECT event_type, ts, value FROM ev_rows"
-    sql["keep_last"] = """
-SELECT event_type, ts, event_id, value FROM (
-  SELECT event_type, date_trunc('hour', ts) AS ts, event_id, value,
-         row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id DESC) AS rn
-  FROM events) WHERE rn = 1"""
-    sql["clip_columns"] = """
-SELECT event_id, event_type,
-       CASE WHEN value < 0 THEN 0.0 WHEN value > 100 THEN 100.0 ELSE value END AS value FROM events"""
-    sql["repair_counts"] = "SELECT count(*) FILTER (WHERE value < 0 OR value > 100) AS value FROM events"
-    sql["enrich"] = """
-SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderdate, c.c_name, c.c_nationkey, c.c_mktsegment
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
-    daily_cols = ", ".join(
-        f"{fn}({col}) AS {out}" if fn in ("min", "max") else
-        f"{_exact_sum(col)} AS {out}" if fn == "sum" else f"{_exact_avg(col)} AS {out}"
-        for out, fn, col in LI_SPEC.aggs)
-    sql["daily_rollup"] = ("WITH " + _LI_SRC.strip() +
-                           f"\nSELECT dt, l_returnflag, count(*) AS rows_count, {daily_cols} "
-                           "FROM li GROUP BY dt, l_returnflag")
-    sql["lineitem_mart"] = _li_mart() + "\nSELECT * FROM mart"
-    sql["events_mart"] = _ev_mart() + "\nSELECT * FROM mart"
-    sql["orders_mart"] = ("WITH ord AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS dt, "
-                          "o_totalprice FROM orders)," + _mart_sql(
-                              "ord", "o_orderpriority", "orders_count", OR_SPEC.aggs, "price_avg",
-                              "price_norm_30d", "price_anomaly") + "\nSELECT * FROM mart")
     sql["top_anomalies"] = _li_mart() + """
 SELECT dt, l_returnflag, qty_avg, qty_norm_30d, qty_anomaly,
        CASE WHEN qty_anomaly > 0 THEN 'тепло' ELSE 'холод' END AS kind
 FROM mart WHERE qty_anomaly IS NOT NULL
 ORDER BY abs(qty_anomaly) DESC, dt, l_returnflag LIMIT 15"""
-    sql["events_top_anomalies"] = _ev_mart() + """
-SELECT dt, event_type, value_avg, value_norm_30d, value_anomaly,
-       CASE WHEN value_anomaly > 0 THEN 'тепло' ELSE 'холод' END AS kind
-FROM mart WHERE value_anomaly IS NOT NULL
-ORDER BY abs(value_anomaly) DESC, dt, event_type LIMIT 15"""
     years = ", ".join(
         f"count(*) FILTER (WHERE abs(qty_anomaly) > 5 AND year(dt) = {y}) AS y{y}" for y in YEARS)
     sql["anomaly_counts"] = _li_mart() + f"""
@@ -565,6 +539,49 @@ FROM m"""
     sql["overview"] = _li_mart() + """
 SELECT count(*) AS rows, count(DISTINCT l_returnflag) AS entities, min(dt) AS first_day,
        max(dt) AS last_day FROM mart"""
+    return sql
+
+
+def oracle_sql() -> dict[str, str]:
+    from obsmart.plans import catalog_layers
+
+    rs, re_ = RELOAD_PERIOD
+    sql = catalog_layers.oracle_sql()
+    sql["partition_inventory"] = " UNION ALL ".join(       # a table is one file
+        f"SELECT '{t}.parquet' AS partition, count(*) AS rows, CAST(1 AS BIGINT) AS parts FROM {t}" for t in TABLES
+    ) + " ORDER BY partition DESC LIMIT 12"
+    sql["unpivot_arrays"] = "WITH " + _EV_HOURS.strip() + "\nSELECT event_type, ts, value FROM ev_rows"
+    sql["keep_last"] = """
+SELECT event_type, ts, event_id, value FROM (
+  SELECT event_type, date_trunc('hour', ts) AS ts, event_id, value,
+         row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id DESC) AS rn
+  FROM events) WHERE rn = 1"""
+    sql["clip_columns"] = """
+SELECT event_id, event_type,
+       CASE WHEN value < 0 THEN 0.0 WHEN value > 100 THEN 100.0 ELSE value END AS value FROM events"""
+    sql["repair_counts"] = "SELECT count(*) FILTER (WHERE value < 0 OR value > 100) AS value FROM events"
+    sql["enrich"] = """
+SELECT o.o_orderkey, o.o_custkey, o.o_totalprice, o.o_orderdate, c.c_name, c.c_nationkey, c.c_mktsegment
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey"""
+    daily_cols = ", ".join(
+        f"{fn}({col}) AS {out}" if fn in ("min", "max") else
+        f"{_exact_sum(col)} AS {out}" if fn == "sum" else f"{_exact_avg(col)} AS {out}"
+        for out, fn, col in LI_SPEC.aggs)
+    sql["daily_rollup"] = ("WITH " + _LI_SRC.strip() +
+                           f"\nSELECT dt, l_returnflag, count(*) AS rows_count, {daily_cols} "
+                           "FROM li GROUP BY dt, l_returnflag")
+    sql["lineitem_mart"] = _li_mart() + "\nSELECT * FROM mart"
+    sql["events_mart"] = _ev_mart() + "\nSELECT * FROM mart"
+    sql["orders_mart"] = ("WITH ord AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS dt, "
+                          "o_totalprice FROM orders)," + _mart_sql(
+                              "ord", "o_orderpriority", "orders_count", OR_SPEC.aggs, "price_avg",
+                              "price_norm_30d", "price_anomaly") + "\nSELECT * FROM mart")
+    sql |= oracle_reports()
+    sql["events_top_anomalies"] = _ev_mart() + """
+SELECT dt, event_type, value_avg, value_norm_30d, value_anomaly,
+       CASE WHEN value_anomaly > 0 THEN 'тепло' ELSE 'холод' END AS kind
+FROM mart WHERE value_anomaly IS NOT NULL
+ORDER BY abs(value_anomaly) DESC, dt, event_type LIMIT 15"""
     sql["sql_overview"] = sql["overview"]
     sql["serving_reload"] = _li_mart() + f"""
 SELECT * REPLACE (CAST(rows_count AS INTEGER) AS rows_count), CASE WHEN dt BETWEEN DATE '{rs}' AND DATE '{re_}'

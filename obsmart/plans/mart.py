@@ -29,16 +29,35 @@ def build_mart(hourly: DataFrame, *, start=None, end=None, roles: Roles = WEATHE
     entity (daily rows only, ~1/24 of the hourly input) -> one Window -> period filter. On a
     staging table bucketed by the entity both shuffles disappear.
     """
+    d = rollup(hourly, roles=roles, spec=spec, scale=scale, exact_scale=exact_scale)
+    return mart_of_daily(d, start=start, end=end, roles=roles, spec=spec, window=window,
+                         min_periods=min_periods, scale=scale, exact_scale=exact_scale,
+                         processed_at=processed_at)
+
+
+def rollup(hourly: DataFrame, *, roles: Roles = WEATHER, spec: DailySpec = WEATHER_DAILY,
+           scale: int | None = 2, exact_scale: int | None = None) -> DataFrame:
+    """The unrounded daily rows (with the state of exact averages) that the norm is computed on."""
     if roles.day not in hourly.columns:
         hourly = assign_day(hourly, roles.ts, roles.day)
-    d = daily(hourly, entity=roles.entity, day=roles.day, attrs=roles.attrs, aggs=spec.aggs,
-              count_col=spec.count_col, exact_scale=exact_scale,
-              keep_state=exact_scale is not None and scale is not None)
+    return daily(hourly, entity=roles.entity, day=roles.day, attrs=roles.attrs, aggs=spec.aggs,
+                 count_col=spec.count_col, exact_scale=exact_scale,
+                 keep_state=exact_scale is not None and scale is not None)
+
+
+def mart_of_daily(d: DataFrame, *, start=None, end=None, roles: Roles = WEATHER,
+                  spec: DailySpec = WEATHER_DAILY, window: int = NORM_WINDOW_DAYS,
+                  min_periods: int = NORM_MIN_DAYS, scale: int | None = 2,
+                  exact_scale: int | None = None, processed_at=True, where=None) -> DataFrame:
+    """Daily rows -> mart rows of ``[start, end]`` (and of the condition ``where``): trailing norm and
+    anomaly on the unrounded values, then the period, then rounding."""
     out = trailing_norm(d, entity=roles.entity, day=roles.day, value=spec.value, norm=spec.norm,
                         anomaly=spec.anomaly, window=window, min_periods=min_periods)
     if start is not None or end is not None:
         s, e = check_period(start, end)
         out = out.where(F.col(roles.day).between(F.lit(s), F.lit(e)))
+    if where is not None:
+        out = out.where(where)
     if scale is not None:
         out = round_metrics(out, [*spec.outputs, spec.norm, spec.anomaly], scale,
                             exact_scale=exact_scale)

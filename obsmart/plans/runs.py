@@ -20,12 +20,14 @@ from obsmart.operators.quality import (
     DataQualityError, gate, mart_stats, mart_violations, profile_of, staging_violations,
 )
 from obsmart.plans.mart import build_mart
+from obsmart.plans.propagate import aggregate_changed, load_changed
 from obsmart.plans.serving import current, current_table, load_range, load_table
 from obsmart.schemas import (
     NORM_WINDOW_DAYS, REQUEST_ATTEMPTS, STAGING_COLUMNS, STAGING_SCHEMA, WEATHER_PERCENT_COLUMNS, WEATHER_RANGES,
     WEATHER_VARIABLES,
 )
 from obsmart.session import cut_lineage
+from obsmart.sinks.folders import is_empty
 from obsmart.sinks.lake import overwrite_days, write_raw
 from obsmart.sinks.tables import create_bucketed, write_bucketed
 from obsmart.sources.lake import read_days
@@ -43,6 +45,7 @@ class Layers:
     serving: str
     staging_table: str | None = None    # a bucketed catalog table instead of the staging path
     serving_table: str | None = None    # a bucketed catalog table instead of the serving path
+    daily: str | None = None            # unrounded daily rows, for re-runs of what changed
 
 
 def create_staging_table(spark: SparkSession, layers: Layers, *, buckets: int = 64) -> None:
@@ -212,13 +215,13 @@ def mart_gate(spark: SparkSession, layers: Layers, start, end, n_entities: int)
 def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
               load_ts: datetime, landed: DataFrame | None = None,
               layout: str = "folders", chunks: bool = True,
-              propagate: bool = False, max_attempts: int = REQUEST_ATTEMPTS) -> RunReport:
+              propagate: bool | str = False, max_attempts: int = REQUEST_ATTEMPTS) -> RunReport:
     """The whole chain for a period; the first failing step stops the rest. Responses in ``landed``
     are landed first and the period's requests reconciled with all landings so far: while any is
     without a payload the chain stops with ``OpenRequests``, which has the requests to send next.
     ``layout`` is the raw layer's layout (see ``sinks.lake.write_raw``); ``chunks`` as in
     ``transform_range``; ``propagate=True`` also rebuilds and reloads the days after the
-    period whose norms depend on it."""
+    period whose norms depend on it, ``"changed"`` only those that a change reaches (``run_steps``)."""
     start, end = check_period(start, end)
     report = RunReport()
     if landed is not None:
@@ -242,15 +245,26 @@ def run_range(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *
 
 def run_steps(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *,
               load_ts: datetime | None, layout: str = "folders", chunks: bool = True,
-              propagate: bool = False) -> dict:
-    """Everything after the landing, with both gates; ``load_ts=None`` stops before the load."""
+              propagate: bool | str = False) -> dict:
+    """Everything after the landing, with both gates; ``load_ts=None`` stops before the load.
+    ``propagate="changed"`` (with ``Layers.daily`` and path layers): only mart rows that a changed
+    daily row reaches are rebuilt, and only rows that differ are loaded."""
+    if propagate == "changed" and (not layers.daily or layers.serving_table):
+        raise ValueError('propagate="changed" needs Layers.daily and a serving path')
     steps = {"transform": transform_range(spark, layers, dim, start, end, layout=layout, chunks=chunks)}
     steps["staging_dq"] = staging_gate(spark, layers, dim, start, end)
-    steps["aggregate"] = aggregate_range(spark, layers, start, end, propagate=propagate)
+    if propagate == "changed":
+        done = aggregate_changed(spark, layers, read_staging(spark, layers, start, end), start, end)
+        steps |= {"aggregate": done["rebuilt"], "propagation": done}
+    else:
+        steps["aggregate"] = aggregate_range(spark, layers, start, end, propagate=propagate)
     if load_ts is None:
         return steps
     last = end + timedelta(days=NORM_WINDOW_DAYS) if propagate else end
-    if layers.serving_table:
+    if propagate == "changed":
+        served = None if is_empty(spark, layers.serving) else current(spark, layers.serving, start, last)
+        steps["load"] = load_changed(spark, layers.mart, served, layers.serving, start, last, load_ts=load_ts)
+    elif layers.serving_table:
         steps["load"] = load_table(spark, layers.mart, layers.serving_table, start, last, load_ts=load_ts)
     else:
         steps["load"] = load_range(spark, layers.mart, layers.serving, start, last, load_ts=load_ts)

@@ -61,6 +61,21 @@ def compact(spark: SparkSession, serving_path: str, start, end, *, keys=("city",
                           sort_within=tuple(keys))
 
 
+def retire(spark: SparkSession, serving_path: str, start, end, gone, *, keys=("city", "dt"), day: str = "dt",
+           month: str = "month") -> int:
+    """Take rows out of the serving table: those of the days ``[start, end]`` that ``gone`` (a
+    condition) holds for, in all their versions. Their months are rewritten to the latest versions of
+    what stays; a month that has no rows left is dropped. Returns the rows that stay in these months."""
+    from obsmart.operators.calendar import check_period
+
+    s, e = check_period(start, end)
+    lo, hi = int(f"{s:%Y%m}"), int(f"{e:%Y%m}")
+    rows = read_months(spark, serving_path, None, None, day=day, month=month).where(F.col(month).between(lo, hi))
+    there = [r[0] for r in rows.select(month).distinct().collect()]         # <= months of the period
+    stay = rows.where(~(F.col(day).between(F.lit(s), F.lit(e)) & F.coalesce(gone, F.lit(False))))
+    return rewrite_months(resolve(stay, keys=keys), serving_path, month=month, sort_within=tuple(keys), months=there)
+
+
 def _d(value):
     from obsmart.operators.calendar import as_day
 

@@ -1,0 +1,153 @@
+"""Re-runs of what changed give the mart of a full rebuild; emptied days and months go."""
+
+import json
+import os
+from datetime import date, datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from obsmart.plans.runs import Layers, aggregate_range, run_range, transform_range
+from obsmart.plans.serving import current, retire
+from obsmart.sinks.folders import folders
+from obsmart.sinks.lake import overwrite_days, write_raw
+from obsmart.sources.lake import read_days
+from tests.test_chain import END, START, payload
+
+CITIES = {"moscow": 0.0, "london": 8.0}
+
+
+def made(scratch, name):
+    return Layers(*(f"{scratch}/{name}/{n}" for n in ("raw", "staging", "mart", "serving")), daily=f"{scratch}/{name}/daily")
+
+
+def land(spark, layers, period, **shifts):
+    rows = [("_".join(map(str, period)), c, payload(s, *period)) for c, s in shifts.items()]
+    write_raw(spark.createDataFrame(rows, "range string, city string, body string"), layers.raw)
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select(*sorted(set(df.columns) - {"processed_at", "loaded_at"})).collect()), key=repr)
+
+
+def test_only_what_a_change_reaches_is_rebuilt(spark, places, scratch):
+    full, part = made(scratch, "full"), made(scratch, "part")
+    for layers in (full, part):
+        land(spark, layers, (START, END), **CITIES)
+    run_range(spark, full, places, START, END, load_ts=datetime(2026, 1, 1))
+    first = run_range(spark, part, places, START, END, load_ts=datetime(2026, 1, 1), propagate="changed")
+    assert first.steps["propagation"] == {"changed": 80, "rebuilt": 80, "carried": 0, "days": 40}
+    assert rows_of(read_days(spark, part.mart)) == rows_of(read_days(spark, full.mart))
+    files = {d: sorted(os.listdir(p)) for d, p in folders(spark, part.mart, "dt").items()}
+
+    day = date(2025, 1, 20)                             # moscow gets warmer, london lands again unchanged
+    for layers in (full, part):
+        land(spark, layers, (day, day), moscow=3.0, london=8.0)
+        # a payload of one day starts its hours anew: put london's own values of that day back
+    for layers in (full, part):
+        whole = json.loads(payload(8.0, START, END))["hourly"]
+        at = [i for i, t in enumerate(whole["time"]) if t.startswith(str(day))]
+        same = json.dumps({"hourly": {k: [v[i] for i in at] for k, v in whole.items()}})
+        write_raw(spark.createDataFrame([(f"{day}_{day}", "london", same)], "range string, city string, body string"), layers.raw)
+    all_rows = run_range(spark, full, places, day, day, load_ts=datetime(2026, 1, 2), propagate=True)
+    few = run_range(spark, part, places, day, day, load_ts=datetime(2026, 1, 2), propagate="changed")
+    assert rows_of(read_days(spark, part.mart)) == rows_of(read_days(spark, full.mart))
+    assert rows_of(current(spark, part.serving)) == rows_of(current(spark, full.serving))
+    assert few.steps["propagation"] == {"changed": 1, "rebuilt": 21, "carried": 21, "days": 21}     # to Feb 9
+    assert all_rows.steps["aggregate"] == 42 and all_rows.steps["load"] == 42
+    assert 1 <= few.steps["load"] <= 21
+    now = {d: sorted(os.listdir(p)) for d, p in folders(spark, part.mart, "dt").items()}
+    assert {d for d in now if now[d] != files[d]} == {str(day + timedelta(i)) for i in range(21)}
+    again = run_range(spark, part, places, day, day, load_ts=datetime(2026, 1, 3), propagate="changed")
+    assert again.steps["propagation"]["changed"] == 0 and again.steps["load"] == 0
+
+
+def test_history_comes_from_the_daily_layer(spark, places, scratch):
+    layers = made(scratch, "x")
+    land(spark, layers, (START, END), **CITIES)
+    transform_range(spark, layers, places, START, END)
+    from obsmart.plans.propagate import aggregate_changed
+    from obsmart.plans.runs import read_staging
+    middle = date(2025, 1, 15)
+    aggregate_changed(spark, layers, read_staging(spark, layers, START, END), START, middle)
+    aggregate_changed(spark, layers, read_staging(spark, layers, START, END), middle + timedelta(1), END)
+    whole = rows_of(read_days(spark, layers.mart))
+    aggregate_range(spark, layers, START, END)
+    assert whole == rows_of(read_days(spark, layers.mart))
+
+
+def test_changed_needs_its_layer(spark, places, scratch):
+    layers = Layers(*(f"{scratch}/{n}" for n in ("raw", "staging", "mart", "serving")))
+    land(spark, layers, (START, START), **CITIES)
+    with pytest.raises(ValueError, match="Layers.daily"):
+        run_range(spark, layers, places, START, START, load_ts=datetime(2026, 1, 1), propagate="changed")
+
+
+def test_a_day_that_loses_its_rows_loses_its_partition(spark, places, scratch):
+    layers = made(scratch, "x")
+    days = (START, START + timedelta(2))
+    land(spark, layers, days, **CITIES)
+    run_range(spark, layers, places, *days, load_ts=datetime(2026, 1, 1), propagate="changed")
+    gone = START + timedelta(1)
+    for city, shift in CITIES.items():                  # the same range lands again without its second day
+        hourly = json.loads(payload(shift, *days))["hourly"]
+        keep = [i for i, t in enumerate(hourly["time"]) if not t.startswith(str(gone))]
+        body = json.dumps({"hourly": {k: [v[i] for i in keep] for k, v in hourly.items()}})
+        write_raw(spark.createDataFrame([("_".join(map(str, days)), city, body)], "range string, city string, body string"), layers.raw)
+    transform_range(spark, layers, places, *days)
+    assert sorted(folders(spark, layers.staging, "dt")) == [str(days[0]), str(days[1])]
+    aggregate_range(spark, layers, *days)
+    assert sorted(folders(spark, layers.mart, "dt")) == [str(days[0]), str(days[1])]
+    assert not [d for d in os.listdir(layers.mart) if d.startswith("_dropped")]
+
+
+def test_changed_run_drops_vanished_days(spark, places, scratch):
+    from obsmart.plans.propagate import aggregate_changed
+
+    layers = made(scratch, "x")
+    land(spark, layers, (START, END), **CITIES)
+    transform_range(spark, layers, places, START, END)
+    staging = read_days(spark, layers.staging)
+    aggregate_changed(spark, layers, staging, START, END)
+    gone = START + timedelta(3)
+    done = aggregate_changed(spark, layers, staging.where(F.col("dt") != F.lit(gone)), START, END)
+    assert done["changed"] == 2 and str(gone) not in folders(spark, layers.mart, "dt") and str(gone) not in folders(spark, layers.daily, "dt")
+    from obsmart.plans.mart import build_mart
+    want = build_mart(staging.where(F.col("dt") != F.lit(gone)), processed_at=None)
+    assert rows_of(read_days(spark, layers.mart)) == rows_of(want)
+
+
+def test_an_empty_input_removes_nothing(spark, scratch):
+    df = spark.range(3).select(F.date_add(F.lit(START), F.col("id").cast("int")).alias("dt"), "id")
+    overwrite_days(df, scratch, period=(START, START + timedelta(2)))
+    assert overwrite_days(df.limit(0), scratch, period=(START, START + timedelta(2))) == 0
+    assert len(folders(spark, scratch, "dt")) == 3
+    overwrite_days(df.where("id = 0"), scratch, period=(START, START + timedelta(1)))
+    assert sorted(folders(spark, scratch, "dt")) == [str(START), str(START + timedelta(2))]
+
+
+def test_month_drop_and_reload(spark, places, scratch):
+    layers = made(scratch, "x")
+    land(spark, layers, (START, END), **CITIES)
+    run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1))
+    before = rows_of(current(spark, layers.serving))
+    assert retire(spark, layers.serving, "2025-02-01", "2025-02-28", F.lit(True)) == 0
+    assert sorted(folders(spark, layers.serving, "month")) == ["202501"]
+    assert retire(spark, layers.serving, "2025-01-10", "2025-01-12", F.col("city") == "london") == 62 - 3
+    assert current(spark, layers.serving).count() == 59
+    run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 2))
+    assert rows_of(current(spark, layers.serving)) == before
+
+
+def test_bucketed_staging_loses_emptied_days(spark, scratch):
+    from obsmart.sinks.tables import create_bucketed, write_bucketed
+
+    df = spark.range(8).select((F.col("id") % 2).cast("string").alias("city"), F.date_add(F.lit(START), (F.col("id") / 2).cast("int")).alias("dt"))
+    create_bucketed(spark, "emptied_days", scratch, df.schema, partition="dt", bucket="city", buckets=2)
+    try:
+        period = (START, START + timedelta(3))
+        assert write_bucketed(df, "emptied_days", overwrite=True, period=period) == 8
+        assert write_bucketed(df.where(F.col("dt") != F.lit(START + timedelta(1))), "emptied_days", overwrite=True, period=period) == 6
+        assert spark.table("emptied_days").count() == 6 and len(folders(spark, scratch, "dt")) == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS emptied_days")
