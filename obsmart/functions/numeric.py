@@ -50,9 +50,9 @@ def round_to(c, scale: int = 2, mode: str = "half_up") -> Column:
     raise ValueError(f"unknown rounding mode {mode!r}")
 
 
-def _scaled_long(c: Column, scale: int) -> Column:
+def scaled_long(c, scale: int) -> Column:
     """Integer units of 10^-scale; a value with more decimals fails the job (it would lose them)."""
-    x = c * F.lit(float(10 ** scale))
+    x = _col(c) * F.lit(float(10 ** scale))
     units = F.rint(x)
     finer = F.abs(x - units) > F.greatest(F.lit(1e-6), F.abs(x) * 1e-12)
     return F.when(finer, F.raise_error(F.lit(f"a value has more than {scale} decimals"))).otherwise(units).cast("long")
@@ -65,7 +65,7 @@ def exact_sum(c, scale: int) -> Column:
     same on every run and every cluster size (a double sum is not). Long accumulation keeps
     the aggregate in the fast fixed-width hash-aggregate path.
     """
-    return F.sum(_scaled_long(_col(c), scale)).cast("double") / F.lit(float(10 ** scale))
+    return F.sum(scaled_long(c, scale)).cast("double") / F.lit(float(10 ** scale))
 
 
 def exact_avg(c, scale: int) -> Column:
@@ -85,7 +85,7 @@ def div_half_up(num, den) -> Column:
 
 def scaled_sum(c, scale: int) -> Column:
     """Sum in integer units of 10^-scale (LONG)."""
-    return F.sum(_scaled_long(_col(c), scale))
+    return F.sum(scaled_long(c, scale))
 
 
 def rounded_units(units, count, scale: int, digits: int) -> Column:

@@ -22,6 +22,14 @@ def to_utc(c, strict: bool = False) -> Column:
     is its midnight. Junk gives NULL (``strict=True``: the job fails instead).
     """
     s = F.trim(_col(c).cast("string"))
+    # the plain form YYYY-MM-DDTHH:MM needs no pattern: its signs stand where they must, and the cast
+    # itself refuses anything but digits between them
+    sign = {5: "-", 8: "-", 14: ":"}
+    plain = F.length(s) == 16
+    for at, mark in sign.items():
+        plain = plain & (F.substring(s, at, 1) == mark)
+    plain = plain & F.substring(s, 11, 1).isin("T", " ")
+    quick = F.concat(s, F.lit(":00Z")).try_cast("timestamp")
 
     def part(n: int, otherwise: str) -> Column:
         found = F.regexp_extract(s, _ISO, n)
@@ -32,8 +40,8 @@ def to_utc(c, strict: bool = False) -> Column:
     text = F.concat(F.regexp_extract(s, _ISO, 1), F.lit("T"), part(2, "00:00"), part(3, ":00"), zone)
     if strict:
         junk = F.raise_error(F.concat(F.lit("no ISO time: "), s)).cast("timestamp")
-        return F.when(s.rlike(_ISO), text.cast("timestamp")).when(s.isNotNull(), junk)
-    return F.when(s.rlike(_ISO), text.try_cast("timestamp"))
+        return F.when(plain & quick.isNotNull(), quick).when(s.rlike(_ISO), text.cast("timestamp")).when(s.isNotNull(), junk)
+    return F.when(plain, quick).when(s.rlike(_ISO), text.try_cast("timestamp"))
 
 
 def utc_day(c, dtype: T.DataType | None = None) -> Column:

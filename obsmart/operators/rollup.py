@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsmart.functions.numeric import exact_avg, exact_sum, round_to, rounded_ratio, scaled_sum
+from obsmart.functions.numeric import exact_avg, exact_sum, round_to, rounded_ratio, scaled_long
 
 _PLAIN = {"min": F.min, "max": F.max, "avg": F.avg, "sum": F.sum, "count": F.count}
 # Hidden per-row state of exact averages (integer sum and count), used for exact rounding.
 _SUM, _CNT = "_exact_sum__", "_exact_cnt__"
+_UNITS = "_units__"
 
 
 def aggregate(fn: str, column, exact_scale: int | None = None) -> Column:
@@ -39,12 +40,20 @@ def daily(df: DataFrame, *, entity: str, day: str = "dt", attrs=(), aggs,
     """
     exprs = [F.count(F.lit(1)).alias(count_col)]
     state = []
+    present = set(df.columns)
+    if exact_scale is not None:      # every value is turned into units, and checked, once
+        df = df.withColumns({_UNITS + c: scaled_long(c, exact_scale) for c in dict.fromkeys(
+            c for _, fn, c in aggs if fn in ("sum", "avg") and c in present)})
     for out, fn, column in aggs:
-        if column in df.columns:
-            exprs.append(aggregate(fn, column, exact_scale).alias(out))
-            if keep_state and exact_scale is not None and fn == "avg":
-                state += [scaled_sum(column, exact_scale).alias(_SUM + out),
-                          F.count(F.col(column)).alias(_CNT + out)]
+        if column in present:
+            if exact_scale is not None and fn in ("sum", "avg"):
+                total, n = F.sum(_UNITS + column), F.count(column)
+                value = total.cast("double") / F.lit(float(10 ** exact_scale))
+                exprs.append((value if fn == "sum" else F.try_divide(value, n.cast("double"))).alias(out))
+                if keep_state and fn == "avg":
+                    state += [total.alias(_SUM + out), n.alias(_CNT + out)]
+            else:
+                exprs.append(aggregate(fn, column).alias(out))
         else:  # a metric missing from the input gives a NULL aggregate (the gate reports it)
             exprs.append(F.lit(None).cast("double").alias(out))
     return df.groupBy(day, entity, *attrs).agg(*exprs, *state)

@@ -21,19 +21,19 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmart.operators.calendar import expected_grid, month_chunks_between
+from obsmart.operators.calendar import as_day, expected_grid, lookback_start, month_chunks_between
 from obsmart.operators.normalize import (
     assign_day, clean, clip_columns, enrich, keep_last, repair_counts, to_ntz, unpivot_arrays,
 )
 from obsmart.operators.quality import (
-    first_violations, mart_stats, mart_violations, staging_violations,
+    first_violations, mart_stats, mart_violations, profile_entities, profile_of, profile_span, staging_violations,
 )
 from obsmart.operators.rollup import daily
 from obsmart.operators.versions import conform
 from obsmart.plans import reports
 from obsmart.plans.mart import build_mart
 from obsmart.plans.serving import resolve
-from obsmart.schemas import DailySpec, Roles
+from obsmart.schemas import NORM_WINDOW_DAYS, DailySpec, Roles
 from obsmart.sources.lake import partition_inventory_of
 from obsmart.sources.raw import fetch_plan, land_payloads, triage
 
@@ -43,7 +43,6 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 # Parameters of the registered queries.
 EMPTY_TAIL_DAYS = 3          # the checked period runs this many days past the data: empty days
 EVENTS_RANGES = {"value": (0.0, 400.0)}
-EVENTS_N_TYPES = 5
 RELOAD_PERIOD = (date(1997, 1, 1), date(1997, 12, 31))     # a re-run of one year
 LOAD_TS_1 = datetime(2026, 1, 1, 0, 0, 0)
 LOAD_TS_2 = datetime(2026, 1, 2, 0, 0, 0)
@@ -83,12 +82,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Shared Spark building blocks
 # --------------------------------------------------------------------------------------------
 
-def events_period(spark, sf_dir) -> tuple[date, date]:
-    """The checked period: first day of the events to ``EMPTY_TAIL_DAYS`` past the last day
-    (one-row statistic, so the checks cover the whole table at any scale)."""
-    r = table(spark, sf_dir, "events").agg(F.min(F.to_date("ts")).alias("s"),
-                                           F.max(F.to_date("ts")).alias("e")).first()
-    return r.s, r.e + timedelta(days=EMPTY_TAIL_DAYS)
+def events_shape(spark, sf_dir) -> tuple[date, date, int]:
+    """The checked period, first day of the events to ``EMPTY_TAIL_DAYS`` past the last day, and the
+    number of types (one-row statistic, so the checks cover the whole table at any scale)."""
+    r = table(spark, sf_dir, "events").agg(F.min(F.to_date("ts")).alias("s"), F.max(F.to_date("ts")).alias("e"),
+                                           F.count_distinct("event_type").alias("n")).first()
+    return r.s, r.e + timedelta(days=EMPTY_TAIL_DAYS), r.n
+
+
+def checks_of(hours: DataFrame, metrics=("value",)) -> DataFrame:
+    """All staging checks of hourly rows by type. Period and types come from the profile, so the rows
+    are read once."""
+    how = dict(entity="event_type", ts="ts", day="dt", metrics=list(metrics), ranges=EVENTS_RANGES)
+    profile = profile_of(hours, **how)
+    first, last = profile_span(profile)
+    return staging_violations(None, start=first, end=last + timedelta(days=EMPTY_TAIL_DAYS), profile=profile,
+                              expected=profile_entities(profile, "event_type"), **how)
 
 
 def events_hourly(spark, sf_dir) -> DataFrame:
@@ -129,7 +138,7 @@ def lineitem_obs(spark, sf_dir) -> DataFrame:
 def lineitem_mart(spark, sf_dir, start=None, end=None) -> DataFrame:
     obs = lineitem_obs(spark, sf_dir)
     if start is not None:  # a re-run reads its period plus the norm's history only
-        obs = obs.where(F.col("dt").between(F.date_sub(F.lit(start), 30), F.lit(end)))
+        obs = obs.where(F.col("dt").between(F.lit(lookback_start(as_day(start), NORM_WINDOW_DAYS)), F.lit(end)))
     return build_mart(obs, start=start, end=end, roles=LI_ROLES, spec=LI_SPEC,
                       exact_scale=SCALE, processed_at=None)
 
@@ -244,36 +253,25 @@ def q_latest_version(spark, sf_dir):
 
 
 def q_staging_checks(spark, sf_dir):
-    h = events_hourly(spark, sf_dir)
-    types = table(spark, sf_dir, "events").select("event_type")
-    start, end = events_period(spark, sf_dir)
-    return staging_violations(h, start=start, end=end, expected=types,
-                              entity="event_type", ts="ts", day="dt", metrics=["value"],
-                              ranges=EVENTS_RANGES)
+    return checks_of(events_hourly(spark, sf_dir))
 
 
 def q_parsed_checks(spark, sf_dir):
-    s = events_staging(spark, sf_dir)
-    types = table(spark, sf_dir, "events").select("event_type")
-    start, end = events_period(spark, sf_dir)
-    return staging_violations(s, start=start, end=end, expected=types,
-                              entity="event_type", ts="ts", day="dt", metrics=["value"],
-                              ranges=EVENTS_RANGES)
+    return checks_of(events_staging(spark, sf_dir))
 
 
 def q_gate_preview(spark, sf_dir):
     return first_violations(q_staging_checks(spark, sf_dir), 50)
 
 
-def _events_stats(spark, sf_dir):
-    start, end = events_period(spark, sf_dir)
+def _events_stats(spark, sf_dir, start, end):
     return mart_stats(events_mart(spark, sf_dir), start=start, end=end,
                       entity="event_type", count_col="hours_count", expected_count=24,
                       low="value_min", mid="value_avg", high="value_max")
 
 
 def q_mart_stats(spark, sf_dir):
-    return _events_stats(spark, sf_dir)
+    return _events_stats(spark, sf_dir, *events_shape(spark, sf_dir)[:2])
 
 
 def q_lineitem_mart_stats(spark, sf_dir):
@@ -282,14 +280,13 @@ def q_lineitem_mart_stats(spark, sf_dir):
 
 
 def q_mart_checks(spark, sf_dir):
-    start, end = events_period(spark, sf_dir)
-    n_days = (end - start).days + 1
-    return mart_violations(_events_stats(spark, sf_dir), n_entities=EVENTS_N_TYPES, n_days=n_days)
+    start, end, types = events_shape(spark, sf_dir)
+    return mart_violations(_events_stats(spark, sf_dir, start, end), n_entities=types, n_days=(end - start).days + 1)
 
 
 def q_expected_grid(spark, sf_dir):
     types = table(spark, sf_dir, "events").select("event_type")
-    return expected_grid(types, "event_type", *events_period(spark, sf_dir))
+    return expected_grid(types, "event_type", *events_shape(spark, sf_dir)[:2])
 
 
 def q_month_chunks(spark, sf_dir):
@@ -600,12 +597,11 @@ SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice, o_orderdate, o_orderp
     sql["gate_preview"] = f"""SELECT * FROM ({sql["staging_checks"]})
 ORDER BY dt NULLS FIRST, rule NULLS FIRST, field NULLS FIRST, entity NULLS FIRST LIMIT 50"""
     sql["mart_stats"] = _ev_stats() + "\nSELECT * FROM st"
-    sql["mart_checks"] = _ev_stats() + f""",
-n AS (SELECT CAST(e - s + 1 AS DOUBLE) AS n_days FROM span),
+    sql["mart_checks"] = _ev_stats() + """,
+n AS (SELECT CAST(e - s + 1 AS DOUBLE) AS n_days, (SELECT CAST(count(DISTINCT event_type) AS DOUBLE) FROM events) AS t FROM span),
 c AS (
-  SELECT 'rows' AS rule, rows AS observed, {EVENTS_N_TYPES} * n_days AS lo,
-         {EVENTS_N_TYPES} * n_days AS hi FROM st, n
-  UNION ALL SELECT 'entities', entities, {EVENTS_N_TYPES}.0, {EVENTS_N_TYPES}.0 FROM st
+  SELECT 'rows' AS rule, rows AS observed, t * n_days AS lo, t * n_days AS hi FROM st, n
+  UNION ALL SELECT 'entities', entities, t, t FROM st, n
   UNION ALL SELECT 'days', days, n_days, n_days FROM st, n
   UNION ALL SELECT 'incomplete_days', incomplete_days, 0.0, 0.0 FROM st
   UNION ALL SELECT 'bad_order', bad_order, 0.0, 0.0 FROM st

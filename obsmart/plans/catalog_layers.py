@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from obsmart.functions.text import readable_size
 from obsmart.operators.calendar import month_chunks_between
 from obsmart.operators.normalize import assign_day, clean, to_ntz, unpivot_arrays
-from obsmart.operators.quality import mart_stats, mart_violations, staging_violations
+from obsmart.operators.quality import mart_stats, mart_violations
 from obsmart.operators.rollup import daily
 from obsmart.operators.versions import conform
 from obsmart.plans import catalog as base
@@ -145,20 +145,19 @@ def q_plain_mart(spark, sf_dir) -> DataFrame:
 # --------------------------------------------------------------------------------------------
 
 def dirty_hours(spark, sf_dir) -> DataFrame:
-    """Events by hour with missing types and times, NaN values, and a type that is absent on some days."""
+    """Events by hour with missing types and times, missing, NaN and too large values, and a type that is
+    absent on some days."""
     h = base.events_hourly(spark, sf_dir)
     k = F.col("event_id")
     h = h.where(~((F.col("event_type") == LATE_TYPES[0]) & (F.dayofmonth("dt") % 5 == 0)))
     return h.withColumns({
         "event_type": F.when(k % 97 != 0, F.col("event_type")), "ts": F.when(k % 89 != 0, F.col("ts")),
-        "value": F.when(k % 11 == 0, F.lit(float("nan"))).when(k % 13 != 0, F.col("value"))})
+        "value": F.when(k % 11 == 0, F.lit(float("nan"))).when(k % 13 == 0, None)
+                  .when(k % 17 == 0, F.col("value") + 1000).otherwise(F.col("value"))})
 
 
 def q_dirty_checks(spark, sf_dir) -> DataFrame:
-    types = base.table(spark, sf_dir, "events").select("event_type")
-    start, end = base.events_period(spark, sf_dir)
-    return staging_violations(dirty_hours(spark, sf_dir), start=start, end=end, expected=types, entity="event_type",
-                              ts="ts", day="dt", metrics=["value", "weight"], ranges=base.EVENTS_RANGES)
+    return base.checks_of(dirty_hours(spark, sf_dir), metrics=("value", "weight"))
 
 
 def q_dirty_clean(spark, sf_dir) -> DataFrame:
@@ -169,14 +168,14 @@ def q_dirty_clean(spark, sf_dir) -> DataFrame:
 
 def q_dirty_mart_checks(spark, sf_dir) -> DataFrame:
     """The checks of a mart whose averages are missing, not a number or out of order on some days."""
-    start, end = base.events_period(spark, sf_dir)
+    start, end, types = base.events_shape(spark, sf_dir)
     d = F.dayofmonth("dt")
     mart = base.events_mart(spark, sf_dir).where(F.col("event_type") != LATE_TYPES[1])
     mart = mart.withColumn("value_avg", F.when(d % 7 == 0, F.lit(None)).when(d % 7 == 1, F.lit(float("nan")))
                            .when(d % 7 == 2, F.col("value_max") + 1).otherwise(F.col("value_avg")))
     stats = mart_stats(mart, start=start, end=end, entity="event_type", count_col="hours_count", expected_count=23,
                        low="value_min", mid="value_avg", high="value_max")
-    return mart_violations(stats, n_entities=5, n_days=(end - start).days + 1)
+    return mart_violations(stats, n_entities=types, n_days=(end - start).days + 1)
 
 
 def queries():
@@ -206,7 +205,8 @@ def _over_served(report: str) -> str:
 _DIRTY = f"""dh AS (
   SELECT CASE WHEN event_id % 97 <> 0 THEN event_type END AS event_type,
          CASE WHEN event_id % 89 <> 0 THEN date_trunc('hour', ts) END AS ts, CAST(ts AS DATE) AS dt,
-         CASE WHEN event_id % 11 = 0 THEN CAST('nan' AS DOUBLE) WHEN event_id % 13 <> 0 THEN value END AS value, event_id
+         CASE WHEN event_id % 11 = 0 THEN CAST('nan' AS DOUBLE) WHEN event_id % 13 = 0 THEN NULL
+              WHEN event_id % 17 = 0 THEN value + 1000 ELSE value END AS value, event_id
   FROM events WHERE NOT (event_type = '{LATE_TYPES[0]}' AND extract(day FROM ts) % 5 = 0))"""
 
 
@@ -281,10 +281,10 @@ FROM last WHERE rn = 1"""
 m AS (SELECT * REPLACE (CASE extract(day FROM dt) % 7 WHEN 0 THEN NULL WHEN 1 THEN CAST('nan' AS DOUBLE)
                              WHEN 2 THEN value_max + 1 ELSE value_avg END AS value_avg)
       FROM mart WHERE event_type <> '{LATE_TYPES[1]}'),
-n AS (SELECT CAST(e - s + 1 AS DOUBLE) AS n FROM span),
+n AS (SELECT CAST(e - s + 1 AS DOUBLE) AS n, (SELECT CAST(count(DISTINCT event_type) AS DOUBLE) FROM events) AS t FROM span),
 c AS (
-  SELECT 'rows' AS rule, CAST(count(*) AS DOUBLE) AS observed, 5 * any_value(n) AS lo, 5 * any_value(n) AS hi FROM m, n
-  UNION ALL SELECT 'entities', count(DISTINCT event_type), 5, 5 FROM m
+  SELECT 'rows' AS rule, CAST(count(*) AS DOUBLE) AS observed, any_value(t * n) AS lo, any_value(t * n) AS hi FROM m, n
+  UNION ALL SELECT 'entities', count(DISTINCT event_type), any_value(t), any_value(t) FROM m, n
   UNION ALL SELECT 'days', count(DISTINCT dt), any_value(n), any_value(n) FROM m, n
   UNION ALL SELECT 'incomplete_days', count(*) FILTER (WHERE hours_count <> 23), 0, 0 FROM m
   UNION ALL SELECT 'bad_order', count(*) FILTER (WHERE value_avg > value_max AND NOT isnan(value_avg)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from obsmart.operators.calendar import check_period, month_chunk_bounds
 from obsmart.operators.normalize import assign_day, clean, enrich, unpivot_arrays
 from obsmart.operators.quality import (
-    DataQualityError, gate, mart_stats, mart_violations, profile_of, staging_violations,
+    DataQualityError, gate, mart_stats, mart_violations, profile_of, refresh_profile, staging_violations,
 )
 from obsmart.plans.mart import build_mart
 from obsmart.plans.propagate import aggregate_changed, load_changed
@@ -46,6 +46,7 @@ class Layers:
     staging_table: str | None = None    # a bucketed catalog table instead of the staging path
     serving_table: str | None = None    # a bucketed catalog table instead of the serving path
     daily: str | None = None            # unrounded daily rows, for re-runs of what changed
+    profile: str | None = None          # the stored quality profile (per entity and day)
 
 
 def create_staging_table(spark: SparkSession, layers: Layers, *, buckets: int = 64) -> None:
@@ -174,13 +175,19 @@ def transform_range(spark: SparkSession, layers: Layers, dim: DataFrame, start,
     return {"rows": n, "repaired": dict(repairs.get), "dropped": dict(dropped.get) | dict(unmatched.get)}
 
 
-def staging_gate(spark: SparkSession, layers: Layers, dim: DataFrame, start, end) -> int:
-    """Raise on any staging violation in ``[start, end]``; else return the rows checked."""
-    staging = read_staging(spark, layers, start, end)
-    how = dict(start=start, end=end, entity="city", ts="ts", day="dt",
-               metrics=list(WEATHER_VARIABLES.values()), ranges=WEATHER_RANGES)
-    profile = profile_of(staging, **how)
-    gate(staging_violations(staging, expected=dim.select(F.col("slug").alias("city")), profile=profile, **how), name="staging")
+def staging_gate(spark: SparkSession, layers: Layers, dim: DataFrame, start, end, *, touched=None) -> int:
+    """Raise on any staging violation in ``[start, end]``; else return the rows checked.
+
+    With ``Layers.profile`` the checks read the stored profile, of which only the days ``touched``
+    (a period; by default the whole one) are made anew from the staging."""
+    how = dict(entity="city", ts="ts", day="dt", metrics=list(WEATHER_VARIABLES.values()), ranges=WEATHER_RANGES)
+    if layers.profile:
+        first, last = check_period(*(touched or (start, end)))
+        refresh_profile(spark, read_staging(spark, layers, first, last), layers.profile, first, last, **how)
+        profile = read_days(spark, layers.profile, start, end)
+    else:
+        profile = profile_of(read_staging(spark, layers, start, end), start=start, end=end, **how)
+    gate(staging_violations(None, start=start, end=end, expected=dim.select(F.col("slug").alias("city")), profile=profile, **how), name="staging")
     return profile.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
 
