@@ -83,32 +83,59 @@ def div_half_up(num, den) -> Column:
     return F.when(d > 0, F.when(n < 0, -q).otherwise(q))
 
 
+def div_half_even(num, den) -> Column:
+    """Half-to-even(num / den) for integral ``num`` and ``den`` > 0, exact, as LONG (NULL when ``den``
+    <= 0): the quotient, and one more if the rest is over half, or half and the quotient odd."""
+    n = _col(num).cast("decimal(38,0)")
+    d = _col(den).cast("decimal(38,0)")
+    q = F.call_function("div", F.abs(n), d)
+    twice = (F.abs(n) - q.cast("decimal(38,0)") * d) * 2
+    up = (twice > d) | ((twice == d) & (q % 2 == 1))
+    q = q + F.when(up, F.lit(1)).otherwise(F.lit(0))
+    return F.when(d > 0, F.when(n < 0, -q).otherwise(q))
+
+
+DIVISIONS = {"half_up": div_half_up, "half_even": div_half_even}
+
+
+def exact_stddev(c, scale: int) -> Column:
+    """Population standard deviation of values with at most ``scale`` decimals: integer sums of values
+    and squares (DECIMAL(38,0)), n * squares - sum^2 exact, one root and one division at the end. The
+    result does not depend on partitioning, and nothing cancels. Sums up to 10^38 units squared."""
+    u = scaled_long(c, scale).cast("decimal(38,0)")
+    n = F.count(_col(c))
+    total, squares = F.sum(u), F.sum((u * u).cast("decimal(38,0)"))
+    spread = n.cast("decimal(38,0)") * squares.cast("decimal(38,0)") - total.cast("decimal(38,0)") * total.cast("decimal(38,0)")
+    return F.try_divide(F.sqrt(spread.cast("double")), n.cast("double")) / F.lit(float(10 ** scale))
+
+
 def scaled_sum(c, scale: int) -> Column:
     """Sum in integer units of 10^-scale (LONG)."""
     return F.sum(scaled_long(c, scale))
 
 
-def rounded_units(units, count, scale: int, digits: int) -> Column:
-    """HALF_UP((units / 10^scale) / count) in integer units of 10^-digits (LONG), exact."""
+def rounded_units(units, count, scale: int, digits: int, mode: str = "half_up") -> Column:
+    """(units / 10^scale) / count rounded to integer units of 10^-digits (LONG), exact; ``mode``:
+    ``half_up`` or ``half_even``."""
     units, count = _col(units), _col(count)
     if digits >= scale:
         num, den = units.cast("decimal(38,0)") * F.lit(10 ** (digits - scale)), count
     else:
         num, den = units, count.cast("decimal(38,0)") * F.lit(10 ** (scale - digits))
-    return div_half_up(num, den)
+    return DIVISIONS[mode](num, den)
 
 
-def rounded_ratio(units, count, scale: int, digits: int) -> Column:
-    """HALF_UP((units / 10^scale) / count, digits) as DOUBLE, computed exactly.
+def rounded_ratio(units, count, scale: int, digits: int, mode: str = "half_up") -> Column:
+    """(units / 10^scale) / count rounded to ``digits`` as DOUBLE, computed exactly.
 
     Rounding the double quotient instead can differ at exact ties (an average of values with
     ``scale`` decimals often is one), and the result would depend on float formatting.
     """
-    return rounded_units(units, count, scale, digits).cast("double") / F.lit(float(10 ** digits))
+    return rounded_units(units, count, scale, digits, mode).cast("double") / F.lit(float(10 ** digits))
 
 
-def exact_avg_rounded(c, scale: int, digits: int) -> Column:
-    """Average of values with at most ``scale`` decimals, rounded HALF_UP to ``digits``
-    exactly (sum of integers, one integer division)."""
+def exact_avg_rounded(c, scale: int, digits: int, mode: str = "half_up") -> Column:
+    """Average of values with at most ``scale`` decimals, rounded to ``digits`` exactly (sum of
+    integers, one integer division)."""
     c = _col(c)
-    return rounded_ratio(scaled_sum(c, scale), F.count(c), scale, digits)
+    return rounded_ratio(scaled_sum(c, scale), F.count(c), scale, digits, mode)

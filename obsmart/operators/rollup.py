@@ -62,13 +62,13 @@ def daily(df: DataFrame, *, entity: str, day: str = "dt", attrs=(), aggs,
 def round_metrics(df: DataFrame, columns, scale: int = 2, mode: str = "half_up",
                   exact_scale: int | None = None) -> DataFrame:
     """Round ``columns`` in one projection. Exact averages with kept state are rounded from
-    their integer sum and count (HALF_UP of the true average); the state is dropped."""
+    their integer sum and count (the true average, half up or half to even); the state is dropped."""
     out = {}
     for c in columns:
         if c not in df.columns:
             continue
-        if exact_scale is not None and mode == "half_up" and _SUM + c in df.columns:
-            out[c] = rounded_ratio(F.col(_SUM + c), F.col(_CNT + c), exact_scale, scale)
+        if exact_scale is not None and _SUM + c in df.columns:
+            out[c] = rounded_ratio(F.col(_SUM + c), F.col(_CNT + c), exact_scale, scale, mode)
         else:
             out[c] = round_to(c, scale, mode)
     df = df.withColumns(out)

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from obsmart.functions.numeric import exact_avg_rounded, exact_stddev
 from obsmart.functions.text import readable_size
 from obsmart.operators.calendar import month_chunks_between
 from obsmart.operators.normalize import assign_day, clean, to_ntz, unpivot_arrays
@@ -140,6 +141,22 @@ def q_plain_mart(spark, sf_dir) -> DataFrame:
                       spec=PLAIN_SPEC, processed_at=None)
 
 
+def q_half_even(spark, sf_dir) -> DataFrame:
+    """Daily averages rounded half to even, exactly: beside the half-up ones, where both differ."""
+    li = base.lineitem_obs(spark, sf_dir)
+    up, even = (exact_avg_rounded("l_extendedprice", base.SCALE, 2, mode) for mode in ("half_up", "half_even"))
+    found = li.groupBy("dt", "l_returnflag").agg(F.count("l_extendedprice").alias("n"), up.alias("half_up"), even.alias("half_even"))
+    return found.where("half_up <> half_even OR n % 2 = 1")
+
+
+def q_exact_spread(spark, sf_dir) -> DataFrame:
+    """Exact standard deviations of prices and quantities per flag and line status."""
+    li = base.table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_returnflag", "l_linestatus").agg(*[
+        F.round(exact_stddev(c, base.SCALE), 6).alias(name)
+        for c, name in (("l_extendedprice", "price_spread"), ("l_quantity", "qty_spread"), ("l_discount", "disc_spread"))])
+
+
 # --------------------------------------------------------------------------------------------
 # Checks that fire: every rule has at least one violation
 # --------------------------------------------------------------------------------------------
@@ -267,6 +284,18 @@ n AS (SELECT *, CASE WHEN count(mid) OVER w >= 25 THEN avg(mid) OVER w END AS no
       WINDOW w AS (PARTITION BY l_returnflag ORDER BY date_diff('day', DATE '1970-01-01', dt) RANGE BETWEEN 30 PRECEDING AND 1 PRECEDING))
 SELECT dt, l_returnflag, rows_count, round(lo, 2) AS root_min, round(hi, 2) AS root_max, round(mid, 2) AS root_avg,
        round(total, 2) AS root_sum, round(norm, 2) AS root_norm_30d, round(mid - norm, 2) + 0.0 AS root_anomaly FROM n"""
+    u = base._units("l_extendedprice")
+    sql["half_even"] = f"""
+WITH d AS (SELECT CAST(l_shipdate AS DATE) AS dt, l_returnflag, count(l_extendedprice) AS n, CAST(sum({u}) AS HUGEINT) AS s
+           FROM lineitem GROUP BY ALL),
+q AS (SELECT *, s // n AS lower, 2 * (s % n) AS rest FROM d),
+r AS (SELECT dt, l_returnflag, n, CAST(lower + CASE WHEN rest >= n THEN 1 ELSE 0 END AS DOUBLE) / 100.0 AS half_up,
+             CAST(lower + CASE WHEN rest > n OR rest = n AND lower % 2 = 1 THEN 1 ELSE 0 END AS DOUBLE) / 100.0 AS half_even FROM q)
+SELECT * FROM r WHERE half_up <> half_even OR n % 2 = 1"""
+    spreads = ", ".join(f"round(sqrt(CAST(count({c}) * sum(CAST({base._units(c)} AS HUGEINT) * {base._units(c)}) "
+                        f"- sum(CAST({base._units(c)} AS HUGEINT)) * sum(CAST({base._units(c)} AS HUGEINT)) AS DOUBLE)) / count({c}) / 100.0, 6) AS {name}"
+                        for c, name in (("l_extendedprice", "price_spread"), ("l_quantity", "qty_spread"), ("l_discount", "disc_spread")))
+    sql["exact_spread"] = f"SELECT l_returnflag, l_linestatus, {spreads} FROM lineitem GROUP BY ALL"
     checks = base._checks_sql(_DIRTY, "dh")
     absent = "  UNION ALL SELECT dt, 'column_missing', 'weight', NULL, NULL, NULL, NULL FROM l3"
     sql["dirty_checks"] = checks.replace("  UNION ALL SELECT dt, 'duplicates'", absent + "\n  UNION ALL SELECT dt, 'duplicates'", 1)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsmart.functions.numeric import (
-    div_half_up, exact_avg_rounded, round_to, rounded_units, scaled_sum,
+    div_half_up, exact_avg_rounded, exact_stddev, round_to, rounded_units, scaled_sum,
 )
 from obsmart.functions.temporal import month_start
 from obsmart.operators.rollup import aggregate
@@ -113,12 +113,13 @@ def top_anomalies(daily: DataFrame, *, n: int = 15, entity: str = "city", name:
 
 def anomaly_counts(daily: DataFrame, *, years=(2024, 2025), threshold: float = 5.0,
                    name: str = "city_name", day: str = "dt", anomaly: str = "temp_anomaly",
-                   digits: int = 2, mode: str = "half_up") -> DataFrame:
+                   digits: int = 2, mode: str = "half_up", exact_scale: int | None = None) -> DataFrame:
     """Per name: days with |anomaly| > threshold in each listed year (``y<year>``), in total,
-    and the population standard deviation of the anomaly. Ordered by total descending."""
+    and the population standard deviation of the anomaly (with ``exact_scale`` from exact sums, the
+    same on every partitioning). Ordered by total descending."""
     a = F.col(anomaly)
     big = F.abs(a) > F.lit(threshold)
     cols = [F.count_if(big & (F.year(day) == F.lit(y))).alias(f"y{y}") for y in years]
     cols += [F.count_if(big).alias("total"),
-             round_to(F.stddev_pop(a), digits, mode).alias("anomaly_stddev")]
+             round_to(F.stddev_pop(a) if exact_scale is None else exact_stddev(a, exact_scale), digits, mode).alias("anomaly_stddev")]
     return daily.groupBy(name).agg(*cols).orderBy(F.col("total").desc(), name)
