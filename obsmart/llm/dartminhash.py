@@ -15,19 +15,24 @@ cluster) and with a pivot that differs by band. These steps only merge what is e
 exact step then settles every bucket that still holds several groups: up to ``SMALL`` members all
 pairs of different groups are looked at, and the members of larger buckets are joined by the rarest
 shingles of their sets (prefix filter: two sets of the wanted similarity share one of their first
-n - ceil(threshold n) + 1 elements in any common order). So each pair that shares a band is checked
+n - ceil(threshold n) + 1 elements in any common order, and the smaller set one of its first
+n - ceil(2 threshold / (1 + threshold) n) + 1, so a shingle that a large template shares is looked up
+by sets but posted by few). So each pair that shares a band is checked
 on whole shingle sets, lies in one group already, or cannot reach the threshold; the result does not
 depend on the number of merging rounds. The links' connected components are the groups.
 
-Equal texts form one class first; its least doc_id stands for it. With 24 bands of 4, a pair of
+Equal texts form one class first, a node with a number of its own; one row of its least doc_id
+brings its text where it is needed. With 24 bands of 4, a pair of
 similarity 0.8 misses all bands with probability 3e-6.
 
 Defined results
     null text counts as empty. Texts without a word are alike only if equal; texts of one to four
-    words are one shingle. A null doc_id is known by a negative number made from its text.
-    Different texts under one doc_id share its class. Repeated rows are each returned, in the same
-    class. Long texts count whole. An empty table gives an empty result. Further columns are not
-    carried by :func:`near_duplicates`; :func:`keep_first` returns all columns of its input.
+    words are one shingle. A doc_id may be any number or null, and several texts may have the same
+    one: classes are made of texts, not of ids. A class is named by its least doc_id (null only if all
+    of its rows have none); unlike classes whose least doc_id is the same one have equal names and
+    different ``class_node``. Repeated rows are each returned, in the same class. Long texts count
+    whole. An empty table gives an empty result. Further columns are not carried by
+    :func:`near_duplicates`; :func:`keep_first` returns all columns of its input.
 """
 
 from __future__ import annotations
@@ -40,6 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsmart.llm.components import components
+from obsmart.llm.sift import sifted
 from obsmart.llm.storage import alone, stored
 from obsmart.llm.text import hash128, whole
 
@@ -50,8 +56,7 @@ COORDS = BANDS * ROWS
 LOWEST = 12                # ranks below 2 ** -LOWEST are one cell
 ROUNDS = 1                 # merging rounds of neighbours and pivots; the exact step follows
 SMALL = 16                 # members of a bucket up to which all pairs of different groups are made
-SIFT_BITS = 26
-ORDER_BITS = 18            # counters by which shingles are put in order (any order gives the same pairs)
+ORDER_BITS = (14, 20)      # counters by which shingles are put in order: 2 ** of these, by their number
 _WORDS_KEPT = 300_000      # word hashes kept per Python worker
 
 
@@ -191,14 +196,19 @@ class Shingles:
         return distinct, counts.astype(np.float64)
 
 
-def _identity(doc_id: Column, text: Column) -> Column:
-    """The number a document is known by: its doc_id, or a negative one made from its text."""
-    return F.coalesce(doc_id, -F.shiftrightunsigned(F.xxhash64(F.lit(4), text), 2) - F.lit(2).cast("long"))
+def _hashed(docs: DataFrame) -> DataFrame:
+    """doc_id, h1, h2 (hash of the text), text; null as empty."""
+    text = whole(F.col("text"))
+    h1, h2 = hash128(text)
+    return docs.select("doc_id", h1.alias("h1"), h2.alias("h2"), text.alias("text"))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """node, h1, h2 (hash of the text), bands, size (number of shingles): one row per document; no
-    band without a word."""
+    """doc_id, h1, h2, bands, size (number of shingles): one row per document; no band without a
+    word."""
+    rows = _hashed(docs)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
     def sign(batches: Iterator) -> Iterator:
         import numpy as np
 
@@ -209,13 +219,10 @@ def signatures(docs: DataFrame) -> DataFrame:
                 elements, weights = shingles.of(text.as_py())
                 sizes.append(int(weights.sum()))
                 out.append(darts.bands(darts.signature(elements, weights)).view(np.int64) if len(elements) else np.empty(0, np.int64))
-            yield pa.RecordBatch.from_arrays([batch["node"], batch["h1"], batch["h2"], pa.array(out, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
-                                             ["node", "h1", "h2", "bands", "size"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["h1"], batch["h2"], pa.array(out, pa.list_(pa.int64())), pa.array(sizes, pa.int64())],
+                                             ["doc_id", "h1", "h2", "bands", "size"])
 
-    text = whole(F.col("text"))
-    h1, h2 = hash128(text)
-    return (docs.select(_identity(F.col("doc_id"), text).alias("node"), h1.alias("h1"), h2.alias("h2"), text.alias("text"))
-            .mapInArrow(sign, "node bigint, h1 bigint, h2 bigint, bands array<bigint>, size bigint"))
+    return rows.mapInArrow(sign, f"doc_id {kind}, h1 bigint, h2 bigint, bands array<bigint>, size bigint")
 
 
 def _elements(docs: DataFrame) -> DataFrame:
@@ -237,25 +244,15 @@ def _elements(docs: DataFrame) -> DataFrame:
     return docs.select("node", "text").mapInArrow(spread, "node bigint, elements array<bigint>")
 
 
-def _sifted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``rows`` without most of those whose node is not wanted, before they are shuffled: a bitmap
-    of 2 ** SIFT_BITS bits (8 MB at most, in pieces of 4 KB) over the hashes of the wanted nodes.
-    With very many wanted nodes it fills up and lets all rows pass; the join after it decides."""
-    spot = F.pmod(F.xxhash64("node"), F.lit(1 << SIFT_BITS))
-    piece, bit = F.floor(spot / 32768), F.pmod(spot, F.lit(32768))
-    pieces = (wanted.select(piece.alias("__piece"), bit.alias("__bit")).groupBy("__piece")
-              .agg(F.bitmap_construct_agg("__bit").alias("__map")))
-    rows = rows.withColumns({"__piece": piece, "__bit": bit}).join(F.broadcast(pieces), "__piece")
-    byte = F.conv(F.hex(F.substring("__map", (F.floor(F.col("__bit") / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return rows.where(F.getbit(byte.cast("long"), (F.col("__bit") % 8).cast("int")) == 1).drop("__piece", "__bit", "__map")
-
-
-def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """node, elements of the wanted nodes (distinct)."""
-    text = whole(F.col("text"))
-    own = docs.select(_identity(F.col("doc_id"), text).alias("node"), text.alias("text"))
-    own = _sifted(own, wanted).join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    return _elements(own)
+def _sets(wanted: DataFrame, docs: DataFrame, heads: DataFrame) -> DataFrame:
+    """node, elements of the wanted nodes (distinct). A text is taken from rows of its least doc_id,
+    so copies of it do not move; the rows that are not wanted are sifted out before the shuffle."""
+    who = stored(heads.join(wanted.hint("merge"), "node", "left_semi").select("node", "h1", "h2", F.col("least_doc").alias("doc_id")))
+    own = sifted(_hashed(docs), who, "h1", "doc_id")
+    own = own.join(who.withColumnRenamed("doc_id", "least"), ["h1", "h2"])
+    # not as a join key: one shuffle by the text's hash then serves the next line as well
+    own = own.where(F.when(F.col("doc_id").isNull(), F.col("least").isNull()).otherwise(F.col("doc_id") == F.col("least")))
+    return _elements(own.dropDuplicates(["h1", "h2"]))
 
 
 def _agree(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -270,8 +267,8 @@ def _nodes(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
 
 
-def _checked(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    return _agree(pairs, stored(_sets(stored(_nodes(pairs)), docs)), threshold)
+def _checked(pairs: DataFrame, docs: DataFrame, heads: DataFrame, threshold: float) -> DataFrame:
+    return _agree(pairs, stored(_sets(stored(_nodes(pairs)), docs, heads)), threshold)
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -303,27 +300,37 @@ def _neighbours(rows: DataFrame, threshold: float) -> DataFrame:
             .mapInArrow(follow, "u bigint, v bigint"))
 
 
-def _slot(np, elements):
-    return (elements.view(np.uint64) >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+def _slot(np, elements, bits: int):
+    return (elements.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _prefix(n: int, threshold: float) -> tuple[int, int]:
+    """Of a set of n elements in order: how many are looked up, and how many are posted. The first
+    common element of two sets of the wanted similarity is within the former of both, and within the
+    latter of the smaller one."""
+    return n - math.ceil(threshold * n - 1e-9) + 1, n - math.ceil(2 * threshold / (1 + threshold) * n - 1e-9) + 1
 
 
 def _by_rare_elements(sets: DataFrame, threshold: float) -> DataFrame:
     """Pairs of nodes of different groups that can reach the threshold: of all pairs of ``sets``
     (node, comp, elements), those that share one of their rarest elements and whose sizes and places
     of that element allow it. Rare is what hashed counters say; the order alone does not lose pairs."""
+    n_elements = sets.agg(F.sum(F.size("elements"))).first()[0] or 0
+    bits = min(max(int(n_elements).bit_length(), ORDER_BITS[0]), ORDER_BITS[1])
+
     def count(batches: Iterator) -> Iterator:
         import numpy as np
 
-        seen = np.zeros(1 << ORDER_BITS, np.int64)
+        seen = np.zeros(1 << bits, np.int64)
         for batch in batches:
             elements = batch["elements"].flatten().to_numpy(zero_copy_only=False)
-            seen += np.bincount(_slot(np, elements), minlength=1 << ORDER_BITS)
+            seen += np.bincount(_slot(np, elements, bits), minlength=1 << bits)
         slot = np.nonzero(seen)[0]
         yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])], ["slot", "n"])
 
     import numpy as np
 
-    often = np.zeros(1 << ORDER_BITS, np.int64)
+    often = np.zeros(1 << bits, np.int64)
     for batch in (sets.select("elements").mapInArrow(count, "slot bigint, n bigint")
                   .groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_batches()):
         often[batch["slot"].to_numpy()] = batch["n"].to_numpy()
@@ -335,34 +342,39 @@ def _by_rare_elements(sets: DataFrame, threshold: float) -> DataFrame:
             out = []
             for node, comp, elements in zip(batch["node"].to_pylist(), batch["comp"].to_pylist(), batch["elements"]):
                 e = elements.values.to_numpy(zero_copy_only=False)
-                n, c = len(e), often[_slot(np, e)]
-                first = np.lexsort((e, c))[:n - math.ceil(threshold * n - 1e-9) + 1]
+                n, c = len(e), often[_slot(np, e, bits)]
+                first = np.lexsort((e, c))[:_prefix(n, threshold)[0]]
                 at = np.nonzero(c[first] > 1)[0]            # the others are in one set only
-                out.append((np.full(len(at), node), np.full(len(at), comp), np.full(len(at), n), at, e[first[at]]))
-            cols = [np.concatenate(x).astype(np.int64) for x in zip(*out)] if out else [np.empty(0, np.int64)] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["node", "comp", "n", "at", "e"])
-
-    posted = stored(sets.select("node", "comp", "elements").mapInArrow(rarest, "node bigint, comp bigint, n bigint, at bigint, e bigint"))
-    mixed = stored(posted.groupBy("e").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("e"))
-    posted = stored(posted.join(mixed, "e", "left_semi"))
-    a, b = (posted.select("e", *[F.col(x).alias(x + side) for x in ("node", "comp", "n", "at")]) for side in "ab")
+                posted = (at < _prefix(n, threshold)[1]).astype(np.int64)
+                out.append((np.full(len(at), node), np.full(len(at), comp), np.full(len(at), n), at, e[first[at]], posted))
+            cols = [np.concatenate(x).astype(np.int64) for x in zip(*out)] if out else [np.empty(0, np.int64)] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], ["node", "comp", "n", "at", "e", "posted"])
+
+    looked = stored(sets.select("node", "comp", "elements")
+                    .mapInArrow(rarest, "node bigint, comp bigint, n bigint, at bigint, e bigint, posted bigint"))
+    mixed = (looked.groupBy("e").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("posted").alias("some"))
+             .where("lo <> hi AND some = 1").select("e"))
+    looked = stored(looked.join(stored(mixed), "e", "left_semi"))
+    a, b = (rows.select("e", *[F.col(x).alias(x + side) for x in ("node", "comp", "n", "at")])
+            for rows, side in ((looked, "a"), (looked.where("posted = 1"), "b")))
     most = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))    # at the first element in common
-    return (a.join(b, "e").where("nodea > nodeb and compa <> compb").where(_fits(F.col("na"), F.col("nb"), threshold))
+    return (a.join(b, "e").where("compa <> compb AND (na > nb OR na = nb AND nodea > nodeb)")
+            .where(_fits(F.col("na"), F.col("nb"), threshold))
             .where(most >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-6)
-            .select(F.col("nodea").alias("u"), F.col("nodeb").alias("v")).distinct())
+            .select(*_ordered(F.col("nodea"), F.col("nodeb"))).distinct())
 
 
-def near_links(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
-    """(members: node, class_id, n_rows - one row per document and text;
-    groups: class_id, group_id - for classes that have a link)."""
+def near_links(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members: doc_id, h1, h2 - one row per document; heads: node, h1, h2, least_doc, ... - one row
+    per text; groups: node, group - for texts that have a link)."""
     signed = stored(signatures(docs))
-    # a text's bands are the same in all of its rows
-    heads = stored(signed.groupBy("h1", "h2").agg(F.min("node").alias("class_id"), F.first("bands").alias("bands"), F.first("size").alias("size")))
-    members = stored(signed.groupBy("node", "h1", "h2").agg(F.count(F.lit(1)).alias("n_rows"))
-                     .join(heads.select("h1", "h2", "class_id"), ["h1", "h2"]).select("node", "class_id", "n_rows"))
+    # a text's bands are the same in all of its rows; the texts are numbered as they are stored
+    heads = stored(signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("least_doc"), F.first("bands").alias("bands"), F.first("size").alias("size"))
+                   .withColumn("node", F.monotonically_increasing_id()))
+    members = signed.select("doc_id", "h1", "h2")
 
     def bucket_rows() -> DataFrame:
-        banded = (heads.select(F.col("class_id").alias("node"), "size", "bands", F.posexplode("bands").alias("band", "key"))
+        banded = (heads.select("node", "size", "bands", F.posexplode("bands").alias("band", "key"))
                   .select("key", "node", "size", F.get("bands", F.pmod(F.col("band") + 1, F.lit(BANDS))).alias("next1"),
                           F.get("bands", F.pmod(F.col("band") + 2, F.lit(BANDS))).alias("next2")))
         shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("pivot"),
@@ -373,13 +385,13 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUN
     pairs = (rows.where("node <> pivot.node").where(_fits(F.col("size"), F.col("pivot.size"), threshold))
              .select(*_ordered(F.col("node"), F.col("pivot.node"))).distinct())
     seen = stored(pairs)
-    links = alone(lambda: _checked(seen, docs, threshold))
+    links = alone(lambda: _checked(seen, docs, heads, threshold))
     groups = alone(lambda: components(links))
 
     def still_open(large_only: bool) -> DataFrame:
         """The rows of buckets that hold several groups; buckets of two are settled by their pivot."""
         g = groups.select("node", F.col("component").alias("comp"))
-        now = rows.where(F.col("n") > (SMALL if large_only else 2)).join(g, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        now = rows.where(F.col("n") > (SMALL if large_only else 2)).join(g.hint("merge"), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         now = stored(now)
         keys = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
         return now.join(stored(keys), "key", "left_semi")
@@ -388,12 +400,12 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUN
         now = alone(lambda: still_open(True))
         g = groups.select(F.col("node").alias("p"), F.col("component").alias("p_comp"))
         pivot = (now.where(_fits(F.col("size"), F.col("other.size"), threshold))
-                 .select("node", "comp", F.col("other.mixed").bitwiseXOR(F.col("key")).alias("p")).join(g, "p", "left")
+                 .select("node", "comp", F.col("other.mixed").bitwiseXOR(F.col("key")).alias("p")).join(g.hint("merge"), "p", "left")
                  .where(F.col("comp") != F.coalesce("p_comp", "p")).select(*_ordered(F.col("node"), F.col("p"))))
         new = stored(_neighbours(now, threshold).unionByName(pivot).distinct().join(seen, ["u", "v"], "left_anti"))
         if new.isEmpty():
             break
-        more = alone(lambda: _checked(new, docs, threshold))
+        more = alone(lambda: _checked(new, docs, heads, threshold))
         seen, links = seen.unionByName(new), links.unionByName(more)
         if more.isEmpty():
             break
@@ -408,34 +420,46 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUN
                .select(F.col("nodea").alias("u"), F.col("nodeb").alias("v")).distinct().join(seen, ["u", "v"], "left_anti"))
         few = stored(few)
         many = stored(now.where(F.col("n") > SMALL).select("node", "comp").distinct())
-        sets = stored(_sets(stored(_nodes(few).union(many.select("node")).distinct()), docs))
+        sets = stored(_sets(stored(_nodes(few).union(many.select("node")).distinct()), docs, heads))
         rare = _by_rare_elements(sets.join(many, "node"), threshold).join(seen, ["u", "v"], "left_anti")
         return _agree(stored(few.union(rare).distinct()), sets, threshold)
 
     more = alone(exactly)
     if not more.isEmpty():
         groups = alone(lambda: components(links.unionByName(more)))
-    return members, groups.select(F.col("node").alias("class_id"), F.col("component").alias("group_id"))
+    return members, heads.drop("bands"), groups.select("node", F.col("component").alias("group"))
+
+
+def _classes(docs: DataFrame, threshold: float, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """(members, texts: h1, h2, node, least_doc, class_node, class_id)."""
+    members, heads, groups = near_links(docs, threshold, rounds)
+    texts = stored(heads.join(groups.hint("merge"), "node", "left").withColumn("class_node", F.coalesce("group", "node")))
+    named = texts.groupBy("class_node").agg(F.min("least_doc").alias("class_id"))
+    return members, texts.join(named.hint("merge"), "class_node").select("h1", "h2", "node", "least_doc", "class_node", "class_id")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: doc_id, text_class (least doc_id with the same text), class_id (least
-    doc_id of its near-duplicate group)."""
-    members, groups = near_links(docs, threshold, rounds)
-    rows = members.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_rows")))).drop("row", "n_rows")
-    return (rows.join(groups, "class_id", "left")
-            .select(F.when(F.col("node") > -2, F.col("node")).alias("doc_id"), F.col("class_id").alias("text_class"),
-                    F.coalesce("group_id", "class_id").alias("class_id")))
+    doc_id of its near-duplicate group), class_node (a number of the group that no other has)."""
+    members, texts = _classes(docs, threshold, rounds)
+    return (members.join(texts.hint("merge"), ["h1", "h2"])
+            .select("doc_id", F.col("least_doc").alias("text_class"), "class_id", "class_node"))
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD, rounds: int = ROUNDS) -> DataFrame:
-    """The documents with one of each near-duplicate group: the least doc_id's."""
-    members, groups = near_links(docs, threshold, rounds)
-    first = (members.join(groups, "class_id", "left")
-             .where(F.col("node") == F.coalesce("group_id", "class_id")).groupBy("node").agg(F.sum("n_rows").alias("n_rows")))
-    first = stored(first)
-    kept = (docs.withColumn("__node", _identity(F.col("doc_id"), whole(F.col("text"))))
-            .join(first.select(F.col("node").alias("__node")), "__node", "left_semi"))
-    if not first.where("n_rows > 1").isEmpty():      # rows repeated under the kept id
-        kept = kept.dropDuplicates(["__node"])
-    return kept.select(*docs.columns)
+    """The documents with one of each near-duplicate group: a row of its least doc_id. Other rows are
+    sifted out before texts are shuffled."""
+    members, texts = _classes(docs, threshold, rounds)
+    order = F.struct(F.col("least_doc").isNull().alias("no_id"), "least_doc", "node")        # no id after every id
+    first = stored(texts.groupBy("class_node").agg(F.min(F.struct(order.alias("o"), "h1", "h2", "least_doc")).alias("f"))
+                   .select(F.col("class_node").alias("__class"), F.col("f.h1").alias("__h1"), F.col("f.h2").alias("__h2"),
+                           F.col("f.least_doc").alias("__doc")))
+
+    def of(rows: DataFrame, a: str, b: str) -> DataFrame:
+        return rows.join(first.hint("merge"), (F.col(a) == F.col("__h1")) & (F.col(b) == F.col("__h2")) & F.col("doc_id").eqNullSafe(F.col("__doc")))
+
+    again = not of(members, "h1", "h2").groupBy("__class").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    h1, h2 = hash128(whole(F.col("text")))
+    rows = sifted(docs.withColumns({"__r1": h1, "__r2": h2}), first.select(F.col("__h1").alias("__r1"), F.col("__doc").alias("doc_id")), "__r1", "doc_id")
+    kept = of(rows, "__r1", "__r2")
+    return (kept.dropDuplicates(["__class"]) if again else kept).select(*docs.columns)

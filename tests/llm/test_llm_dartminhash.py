@@ -77,6 +77,51 @@ def test_awkward_rows(spark):
     assert near_duplicates(awkward(spark, [])).count() == 0 and keep_first(awkward(spark, [])).count() == 0
 
 
+def test_ids_do_not_matter(spark):
+    """Any doc_id comes back, and unlike texts under one id stay apart: none is lost."""
+    rng = random.Random(21)
+    a, b = (" ".join(f"{x}{rng.randint(0, 10**6)}" for _ in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, a), (3, b + " more"), (-5, "five words are in here"), (-7, "seven"), (None, "no id"), (-2**63, "least"), (2**63 - 1, "most"), (None, a)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = near_duplicates(df)
+    assert sorted(map(str, (r.doc_id for r in out.collect()))) == sorted(str(r[0]) for r in rows)
+    named = out.groupBy("class_node").agg({"doc_id": "count", "class_id": "min"}).collect()
+    assert len(named) == 7 and {r["min(class_id)"] for r in named} == {1, -5, -7, None, -2**63, 2**63 - 1}
+    kept = sorted((str(r.doc_id), r.text) for r in keep_first(df).collect())
+    assert kept == sorted((str(i), t) for i, t in [rows[0], rows[1], *rows[4:9]])
+
+
+def test_templates_do_not_meet(spark):
+    """Texts that share a long template but are not alike: no pair is joined, whatever their number."""
+    rng = random.Random(9)
+    word = lambda: rng.randint(-2**62, 2**62)
+    template = [word() for _ in range(196)]
+    joined = []
+    for n in (50, 100, 200):
+        sets = [(i, i, template + [word() for _ in range(34)]) for i in range(n)]
+        df = spark.createDataFrame(sets, "node bigint, comp bigint, elements array<bigint>")
+        pairs = _by_rare_elements(df, 0.8)
+        assert pairs.count() == 0
+        plan = pairs._jdf.queryExecution().executedPlan()
+        joined.append(rows_joined(plan))
+    assert max(joined) == 0
+
+
+def rows_joined(plan):
+    """Output rows of the joins in an executed plan."""
+    while plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.executedPlan()
+    total, todo = 0, [plan]
+    while todo:
+        p = todo.pop()
+        if "QueryStage" in p.nodeName():
+            p = p.plan()
+        if "Join" in p.nodeName():
+            total += p.metrics().apply("numOutputRows").value()
+        todo += [p.children().apply(i) for i in range(p.children().size())]
+    return total
+
+
 def template_pairs():
     """Variants of one template, all just under the threshold to each other, each with one partner
     over it that stands far off in doc_id: every bucket is large and mixed."""
