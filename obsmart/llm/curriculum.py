@@ -6,7 +6,9 @@ sources). Curriculum: a source's weight may change over training time t in [0, 1
 line from ``start`` to ``end``. Its integral, scaled to the target, is the source's cumulative
 token demand; a document that covers the words [a, b) of its source's supply is trained at the
 time at which demand reaches a. The supply repeats the source's documents, in a fixed pseudo-random
-order, until the target is met; the last copy is cut so that the target is met to the word.
+order, until the target is met. The plan takes part of the last copy, so that it meets the target to
+the word; :func:`mix`, which returns texts, takes that copy whole or not at all, whichever comes
+nearer to the target: no text is cut.
 
 DataFrame functions only. The running sum inside a source is made in two steps (sums of hash
 buckets, then inside each bucket), so a source that holds a third of all rows is spread over many
@@ -123,15 +125,17 @@ def _planned(d: DataFrame, own: list[str], weights, slopes, max_repeats, rows_pe
 def mix(docs: DataFrame, weights=WEIGHTS, slopes=SLOPES, max_repeats: int = MAX_REPEATS,
         rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """The training order itself: a row per copy that is taken, with the columns of ``docs``, range
-    sorted by position. A copy that meets its source's target midway keeps its first words."""
+    sorted by position. The copy that meets its source's target midway is whole in it if the plan
+    takes at least half of its words, else left out."""
     own = ["doc_id", "source"]
     d = stored(docs.select(*own, size_of(F.col("text")).alias("size"),
                            F.xxhash64(F.lit(3), "doc_id").alias("__key"), F.xxhash64("text").alias("__text")))
     plan = _planned(d, own, weights, slopes, max_repeats, rows_per_bucket)
     key = ["__doc", "__text", "__source"]
+    plan = plan.withColumn("copies", F.filter("copies", lambda c: 2 * c["words"] >= F.col("size")))
     plan = stored(plan.where(F.size("copies") > 0)
-                  .select(F.col("doc_id").alias("__doc"), "__text", F.col("source").alias("__source"), "size", "copies")
-                  .groupBy(*key).agg(F.first("size").alias("__size"), F.flatten(F.collect_list("copies")).alias("__copies"),
+                  .select(F.col("doc_id").alias("__doc"), "__text", F.col("source").alias("__source"), "copies")
+                  .groupBy(*key).agg(F.flatten(F.collect_list("copies")).alias("__copies"),
                                      F.count(F.lit(1)).alias("__rows")))
     if not plan.where("__rows > 1").isEmpty():
         docs = docs.dropDuplicates(["doc_id", "source", "text"])
@@ -144,11 +148,6 @@ def _copies(docs: DataFrame, plan: DataFrame) -> DataFrame:
     d = docs.select("*", F.xxhash64("text").alias("__hash"))
     d = d.join(plan, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__text"))
                & F.col("source").eqNullSafe(F.col("__source")))
-    d = d.select(*docs.columns, "__size", F.explode("__copies").alias("__copy"))
-    words_in_front = F.slice(F.regexp_extract_all(whole(F.col("text")), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), 1,
-                             F.col("__copy.words").cast("int"))
-    text = F.when(F.col("__copy.words") < F.col("__size"), F.array_join(words_in_front, "")).otherwise(F.col("text"))
-    d = d.withColumn("__cut", text)
-    return (d.select(*[F.col("__cut").alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                     F.col("__copy.position").alias("__position"))
+    d = d.select(*docs.columns, F.explode("__copies").alias("__copy"))
+    return (d.select(*docs.columns, F.col("__copy.position").alias("__position"))
             .repartitionByRange("__position", "doc_id").sortWithinPartitions("__position", "doc_id").drop("__position"))
