@@ -29,11 +29,11 @@ from obsmart.llm.text import ascii_lower, whole
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"),
          ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 OUT = ["host", "path", "rule", "verdict"]
-# What a link element, a refresh element or a social tag names as the page's own address.
-LINKS = (r"(?is)<link\b[^>]*?\brel\s*=\s*[\"']?canonical\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)",
-         r"(?is)<link\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)[\"']?[^>]*?\brel\s*=\s*[\"']?canonical\b",
-         r"(?is)<meta\b[^>]*?http-equiv\s*=\s*[\"']?refresh\b[^>]*?url\s*=\s*([^\"'\s>]+)",
-         r"(?is)<meta\b[^>]*?property\s*=\s*[\"']?og:url\b[^>]*?content\s*=\s*[\"']?([^\"'\s>]+)")
+# Elements that name the page's own address: (element, pattern it must hold, pattern of the address).
+# Their attributes may stand in any order.
+LINKS = ((r"(?is)<link\b[^>]*>", r"(?is)\brel\s*=\s*[\"']?\s*canonical\b", r"(?is)\bhref\s*=\s*[\"']?\s*([^\"'\s>]+)"),
+         (r"(?is)<meta\b[^>]*>", r"(?is)\bhttp-equiv\s*=\s*[\"']?\s*refresh\b", r"(?is)\bcontent\s*=\s*[\"']?[^\"'>]*?\burl\s*=\s*['\"]?\s*([^\"'\s>]+)"),
+         (r"(?is)<meta\b[^>]*>", r"(?is)\b(?:property|name)\s*=\s*[\"']?\s*og:url\b", r"(?is)\bcontent\s*=\s*[\"']?\s*([^\"'\s>]+)"))
 TRACKING = r"(?i)^(utm_[a-z]+|ref|gclid|fbclid)="
 
 
@@ -55,16 +55,45 @@ def shortest_form(url: Column) -> Column:
     return F.when(host != "", F.concat(F.lit("//"), host, path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(F.lit(""))))
 
 
+def _collapsed_path(path: Column) -> Column:
+    """A path (from its first slash) without "." and ".." segments; ".." above the top is dropped."""
+    segments = F.slice(F.split(path, "/", -1), F.lit(2), F.greatest(F.size(F.split(path, "/", -1)) - 1, F.lit(0)))
+    none = F.array().cast("array<string>")
+    left = F.aggregate(segments, none, lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
+                       .when(x == ".", done).otherwise(F.concat(done, F.array(x))))
+    ends = F.when(path.rlike(r"/\.\.?$") & (F.size(left) > 0), F.lit("/")).otherwise(F.lit(""))
+    return F.concat(F.lit("/"), F.array_join(left, "/"), ends)
+
+
+def resolved(to: Column, url: Column) -> Column:
+    """A link ``to`` as it stands in a page at ``url``, as an absolute url: with a scheme as it is, else
+    against the page's scheme, host, path or directory. Null for other schemes (mailto: and such)."""
+    to = F.replace(F.replace(F.replace(to, F.lit("&amp;"), F.lit("&")), F.lit("&#38;"), F.lit("&")), F.lit("&#x26;"), F.lit("&"))
+    site = F.regexp_extract(url, r"^([^:/?#]+://[^/?#]*)", 1)
+    path = F.regexp_extract(url, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1)
+    query = F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_replace(path, r"[^/]*$", ""))
+    rest = F.regexp_extract(to, r"^[^?#]*(.*)$", 1)
+    own = F.regexp_extract(to, r"^([^?#]*)", 1)
+    return (F.when(site == "", F.when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to))
+            .when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), to)
+            .when(to.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+            .when(to.startswith("//"), F.concat(F.regexp_extract(url, r"^([^:/?#]+:)", 1), to))
+            .when(to.startswith("#"), F.concat(site, path, query))
+            .when(to.startswith("?"), F.concat(site, path, to))
+            .when(to.startswith("/"), F.concat(site, _collapsed_path(own), rest))
+            .otherwise(F.concat(site, _collapsed_path(F.concat(folder, own)), rest)))
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """u, v: canonical and refresh targets that a page's html names; relative ones are resolved
-    against the page's host."""
-    found = F.filter(F.array(*[F.regexp_extract(whole(F.col("html")), p, 1) for p in LINKS]), lambda x: x != "")
-    to = (pages.where("url IS NOT NULL").select("url", F.explode(found).alias("to")))
-    base = F.regexp_extract("url", r"^([^:/?#]+://[^/?#]*)", 1)
-    to = to.withColumn("v", F.when(F.col("to").startswith("//"), F.concat(F.regexp_extract("url", r"^([^:/?#]+:)", 1), F.col("to")))
-                       .when(F.col("to").startswith("/"), F.concat(base, F.col("to")))
-                       .when(F.col("to").contains("://"), F.col("to")))
-    return to.select(F.col("url").alias("u"), "v").where("v IS NOT NULL")
+    """u, v: canonical, refresh and og:url targets that a page's html names, resolved against its url."""
+    def named(element: str, mark: str, address: str) -> Column:
+        elements = F.regexp_extract_all(whole(F.col("html")), F.lit(element), F.lit(0))
+        return F.transform(F.filter(elements, lambda x: x.rlike(mark)), lambda x: F.regexp_extract(x, address, 1))
+
+    found = F.concat(*[named(*link) for link in LINKS])
+    to = pages.where("url IS NOT NULL").select(F.col("url").alias("u"), F.explode(F.array_distinct(found)).alias("to")).where("to <> ''")
+    return to.select("u", resolved(F.col("to"), F.col("u")).alias("v")).where("v IS NOT NULL")
 
 
 def rule_table(spark, rules=RULES) -> DataFrame:

@@ -4,7 +4,9 @@ import random
 import re
 
 from obsmart.llm.components import components
-from obsmart.llm.redirects import RULES, judge_urls, page_links, shortest_form
+from urllib.parse import urljoin
+
+from obsmart.llm.redirects import RULES, judge_urls, page_links, resolved, shortest_form
 
 
 def split(url):
@@ -46,6 +48,35 @@ def test_decisions_reach_aliases(spark):
     assert page_links(df).count() == 3
 
 
+def test_links_resolve_as_urls_do(spark):
+    bases = ["http://a.org", "http://a.org/", "https://a.org/x/y/z.html?q=1#f", "http://a.org/x/y/"]
+    links = ["z.html", "../q", "../../../up", "./here", ".", "..", "a/./b/../c/", "/abs/../p", "//b.org/k", "?s=2", "#top", "ftp://c.net/d", "q/r?x=/../y#z", "http://d.org"]
+    rows = [(b, x) for b in bases for x in links]
+    df = spark.createDataFrame(rows, "url string, link string")
+    for r in df.select("url", "link", resolved(df.link, df.url).alias("v")).collect():
+        want = urljoin(r.url if r.url != "http://a.org" else "http://a.org/", r.link)
+        if r.link == "#top":
+            want = re.sub("#.*", "", r.url)
+        elif r.link == "?s=2":
+            want = re.sub("[?#].*", "", r.url) + r.link
+        assert r.v == want, (r.url, r.link)
+    odd = spark.createDataFrame([("http://a.org/", "mailto:x@y.z"), ("http://a.org/", "a?b=1&amp;c=2"), ("nothing", "z.html")], "url string, link string")
+    assert [r.v for r in odd.select(resolved(odd.link, odd.url).alias("v")).collect()] == [None, "http://a.org/a?b=1&c=2", None]
+
+
+def test_links_in_any_form(spark):
+    forms = {'<link rel="canonical" href="z.html">': "http://a.org/d/z.html", "<LINK href='../q' REL='canonical'>": "http://a.org/q",
+             '<meta content="0; url=/r" http-equiv="refresh">': "http://a.org/r", "<meta http-equiv=refresh content='5;URL=http://b.net/'>": "http://b.net/",
+             '<meta content="http://c.org/" property="og:url">': "http://c.org/", '<meta name="og:url" content="/o?a=1&amp;b=2">': "http://a.org/o?a=1&b=2",
+             '<link rel="stylesheet" href="s.css"><a href="canonical">': None, '<meta http-equiv="refresh" content="30">': None}
+    rows = [(i, "http://a.org/d/page", f"<html><head>{x}</head>", e) for i, (x, e) in enumerate(forms.items())]
+    for i, url, html, want in rows:
+        got = page_links(spark.createDataFrame([(i, url, html)], "page_id bigint, url string, html string")).collect()
+        assert [r.v for r in got] == ([want] if want else []), html
+    both = '<link rel=canonical href=/one><meta property="og:url" content="/two">'
+    assert page_links(spark.createDataFrame([(1, "http://a.org/d", both)], "page_id bigint, url string, html string")).count() == 2
+
+
 def test_shortest_form(spark):
     df = spark.createDataFrame([("HTTPS://www.A.org/x/index.html?b=1&utm_a=2#f",), ("http://m.a.org/x/?b=1",), ("bad",)], "url string")
     got = [r[0] for r in df.select(shortest_form(df.url)).collect()]
