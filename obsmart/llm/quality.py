@@ -7,13 +7,13 @@ language, at most ``top_words`` of them). A document is compared by the Jensen-S
 comparison, because the distance of a short text is mostly noise.
 
 DataFrame functions only. Texts are never shuffled: all counts of a document are made in its row,
-and only (language, word) counts move, combined before the shuffle. The references are broadcast;
-their number is bounded by 1 / ``least_language`` and each holds ``top_words`` words at most.
+and only (language, word) counts move, combined before the shuffle. There is one reference a
+language, of ``top_words`` words at most; Spark broadcasts them if their bytes are few.
 
 Defined results
-    null or empty text: no words, base_failed. A language that is null, or holds less than
-    ``least_language`` of all documents, has no reference: its documents are judged by the base
-    rules alone. A word-less text has no repeated words. Rows are judged one by one, so repeated
+    null or empty text: no words, base_failed. A language that is null, or has less than
+    ``least_bytes`` of text, has no reference: its documents are judged by the base rules alone. What
+    other languages hold makes no difference. A word-less text has no repeated words. Rows are judged one by one, so repeated
     rows and ties get equal verdicts; an empty table gives an empty result. Further columns are
     passed through, except those named like an output column, which are replaced.
 """
@@ -33,7 +33,7 @@ WINDOW = 3
 
 TOP_WORDS = 32
 COMMON_SHARE = 0.002
-LEAST_LANGUAGE = 0.001
+LEAST_BYTES = 10_000          # of text in a language: less is no reference
 MIN_CHARS_JUDGED = 400         # guard of the character histogram (bytes)
 MIN_WORDS_JUDGED = 150         # guard of the word histogram
 MAX_CHAR_DISTANCE = 0.30
@@ -117,25 +117,24 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def references(docs: DataFrame, top_words: int = TOP_WORDS, common_share: float = COMMON_SHARE,
-               least_language: float = LEAST_LANGUAGE) -> DataFrame:
+               least_bytes: int = LEAST_BYTES) -> DataFrame:
     """lang, common (words), common_p (their shares, then the rest's), char_p: one row per
-    language with at least ``least_language`` of the documents; at most 1 / least_language rows."""
+    language with at least ``least_bytes`` of text."""
     text = whole(F.col("text"))
     spaces = F.length(F.regexp_replace(text, WORD, ""))
     chars = (docs.where("lang IS NOT NULL")
              .select("lang", F.octet_length(text).cast("long").alias("n"), _classes(text, chars_of(text, SYMBOLS), spaces).alias("c"))
-             .groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("n"),
+             .groupBy("lang").agg(F.sum("n").alias("n"),
                                   *[F.sum(F.get("c", F.lit(i))).alias(f"c{i}") for i in range(N_CLASSES)]))
     chars = stored(chars)
-    total = chars.agg(F.sum("docs")).first()[0] or 0
     parts = F.array(*[F.col(f"c{i}") for i in range(N_CLASSES)])
-    chars = (chars.where((F.col("docs") >= total * least_language) & (F.col("n") > 0))
+    chars = (chars.where((F.col("n") >= least_bytes) & (F.col("n") > 0))
              .select("lang", _histogram(parts, F.col("n")).alias("char_p")))
     counts = (docs.where("lang IS NOT NULL").select("lang", F.explode(words(text)).alias("w"))
               .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c")))
     # a capital at the start of a sentence is no other word; merged here, over distinct words
     counts = stored(counts.groupBy("lang", F.lower("w").alias("w")).agg(F.sum("c").alias("c")))
-    sizes = F.broadcast(counts.groupBy("lang").agg(F.sum("c").alias("n")).join(F.broadcast(chars), "lang", "left_semi"))
+    sizes = counts.groupBy("lang").agg(F.sum("c").alias("n")).join(chars, "lang", "left_semi")
     common = (counts.join(sizes, "lang").where(F.col("c") >= F.col("n") * common_share)
               .groupBy("lang", "n")
               .agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("c", "w")))), 1, top_words).alias("top")))
@@ -154,7 +153,7 @@ def judge(docs: DataFrame, refs: DataFrame | None = None, max_char: float = MAX_
     r = refs.select(F.col("lang").alias("__lang"), "common", "common_p", "char_p")
     r = r.select("__lang", *[F.col(c).alias(f"__{c}") for c in ("common", "common_p", "char_p")])
     d = counted(docs)
-    d = d.join(F.broadcast(r), d["lang"] == r["__lang"], "left")
+    d = d.join(r, d["lang"] == r["__lang"], "left")
     common = F.col("__common")
     # a null common (no reference) leaves __hits null
     hits = F.filter(F.transform("__words", lambda w: F.array_position(common, F.lower(w))), lambda i: i > 0)

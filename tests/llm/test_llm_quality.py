@@ -59,6 +59,21 @@ def test_verdict_finds_what_is_unlike_its_language(spark):
     assert got[1004].char_distance is None
 
 
+def test_verdict_does_not_depend_on_other_languages(spark):
+    rng = random.Random(6)
+    common = ["el", "de", "que", "la", "los"]
+    prose = lambda n, c: " ".join(rng.choice(c) if rng.random() < 0.5 else "w" + "".join(rng.choices("abcdefgh", k=6)) for _ in range(n))
+    rare = [(i, prose(300, common), "es") for i in range(20)] + [(99, "%$ " * 300, "es")]
+    verdicts = []
+    for others in (0, 3000):
+        rows = rare + [(1000 + i, "the of and to in is that it on as " * 3, "en") for i in range(others)]
+        got = {r.doc_id: (r.kept, r.char_distance, r.word_distance) for r in judge(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).where("doc_id < 1000").collect()}
+        verdicts.append(got)
+    assert verdicts[0] == verdicts[1] and not verdicts[0][99][0] and all(verdicts[0][i][0] for i in range(20))
+    few = spark.createDataFrame([(1, "short " * 100, "xx")], "doc_id bigint, text string, lang string")
+    assert judge(few).first().char_distance is None                               # under the least amount of text
+
+
 def test_filter_above_does_not_change_rows_and_awkward_rows_pass(spark):
     out = judge(awkward(spark))
     assert out.count() == 13 and out.where("n_repeat_words >= 0 AND kept IS NOT NULL").count() == 13
