@@ -12,9 +12,12 @@ heaviest counts. The sum of weights, and the sum per square root of the number o
 logistic score that is fitted on at most ``FIT_ROWS`` training rows (the ones with the least hash
 of doc_id); everything else is counted over all training rows.
 
-Bounds: the lexicon holds at most ``MAX_TERMS`` terms (the heaviest by evidence) and
-``MAX_EXCEPTIONS`` exceptions; they travel with the tasks. Word counts are combined per task before
-the shuffle, in tables of at most ``FLUSH`` words.
+Only labelled texts are moved: a bitmap of the labelled ids sifts the others out before the join,
+which is the same shuffle at every size (labels grow with the documents and are not broadcast).
+The lexicon and its exceptions travel with the tasks. Every term over the evidence thresholds is in
+them, so they grow with the words that at least ``MIN_DOCS`` toxic training documents share and
+others hardly hold, not with the documents. Word counts are combined per task before the shuffle,
+in tables of at most ``FLUSH`` words.
 
 Defined results
     null or empty text: the score of no match. Without positive labels in the training rows no
@@ -33,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsmart.llm.sift import sifted
 from obsmart.llm.storage import stored
 from obsmart.llm.text import whole
 
@@ -40,8 +44,6 @@ FOLDS = 5
 MIN_DOCS = 8               # toxic training documents that hold a term
 MIN_LOG_ODDS = 2.5
 BEGINNINGS = (4, 7)        # lengths of word beginnings that may become terms
-MAX_TERMS = 20_000
-MAX_EXCEPTIONS = 20_000
 FIT_ROWS = 20_000
 FLUSH = 200_000
 
@@ -147,8 +149,7 @@ def learn_terms(train: DataFrame, n_toxic: int, n_other: int) -> dict[str, float
     terms = words.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("term"), "pos", "neg").unionByName(beginnings)
     odds = F.log((F.col("pos") + 0.5) / (n_toxic + 1)) - F.log((F.col("neg") + 0.5) / (n_other + 1))
     terms = terms.where(F.col("pos") >= MIN_DOCS).withColumn("weight", odds).where(F.col("weight") >= MIN_LOG_ODDS)
-    top = terms.orderBy(F.desc(F.col("weight") * F.sqrt("pos")), "term").limit(MAX_TERMS)
-    return {r["term"]: r["weight"] for r in top.collect()}
+    return {r["term"]: r["weight"] for r in terms.select("term", "weight").collect()}
 
 
 def learn_exceptions(train: DataFrame, terms: dict[str, float]) -> list[str]:
@@ -172,7 +173,7 @@ def learn_exceptions(train: DataFrame, terms: dict[str, float]) -> list[str]:
 
     found = (train.select("text", "toxic").mapInArrow(around, "phrase string, pos bigint, neg bigint").groupBy("phrase")
              .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where((F.col("neg") >= MIN_DOCS) & (F.col("neg") >= 19 * F.col("pos"))))
-    return [r["phrase"] for r in found.orderBy(F.desc("neg"), "phrase").limit(MAX_EXCEPTIONS).collect()]
+    return sorted(r["phrase"] for r in found.select("phrase").collect())
 
 
 def _features(total: float, n_words: int) -> tuple[float, float, float]:
@@ -199,14 +200,22 @@ def _matched(df: DataFrame, terms: dict[str, float], exceptions: list[str], keep
     return df.select(keep, "text").mapInArrow(match, f"{keep} {kind}, hits bigint, weight double, n_words bigint")
 
 
-def fit(train: DataFrame, terms: dict[str, float], exceptions: list[str]) -> tuple[float, float, float]:
-    """Logistic coefficients on at most FIT_ROWS rows, by Newton steps with a small ridge."""
+def fit_sample(train: DataFrame, n: int, rows: int) -> DataFrame:
+    """About ``rows`` of the ``n`` training rows, chosen by the hash of doc_id: a filter, so no task
+    gathers them."""
+    if n <= rows:
+        return train
+    return train.where(F.xxhash64("doc_id") < F.lit(int(-2 ** 63 + 2 ** 64 * (rows / n))))
+
+
+def fit(train: DataFrame, n: int, terms: dict[str, float], exceptions: list[str]) -> tuple[float, float, float]:
+    """Logistic coefficients on at most FIT_ROWS of the ``n`` rows, by Newton steps with a small ridge."""
     import numpy as np
 
-    sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS)
-    rows = _matched(sample, terms, exceptions, "toxic").collect()
+    sample = fit_sample(train, n, FIT_ROWS).withColumn("at", F.struct(F.xxhash64("doc_id").alias("h"), "doc_id", "toxic"))
+    rows = sorted(_matched(sample, terms, exceptions, "at").collect(), key=lambda r: (r["at"][:2], r["at"][2], r["weight"], r["n_words"]))[:FIT_ROWS]
     x = np.array([_features(r["weight"], r["n_words"]) for r in rows])
-    y = np.array([1.0 if r["toxic"] else 0.0 for r in rows])
+    y = np.array([1.0 if r["at"]["toxic"] else 0.0 for r in rows])
     b = np.zeros(3)
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ b, -30, 30)))
@@ -224,14 +233,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, exceptions: tuple[str, ...] = (
     docs = docs.select("doc_id", text.alias("text"))
     said = (labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    train = stored(docs.where(~held_out(F.col("doc_id"))).join(said, "doc_id").select("doc_id", "toxic", "text"))
+    said = stored(said)
+    labelled = sifted(docs.where(~held_out(F.col("doc_id"))), said, "doc_id")
+    train = stored(labelled.join(said.hint("merge"), "doc_id").select("doc_id", "toxic", "text"))
     sizes = {bool(r["toxic"]): r["n"] for r in train.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_other = sizes.get(True, 0), sizes.get(False, 0)
     terms, harmless, b = {}, [], None
     if n_toxic:
         terms = learn_terms(train, n_toxic, n_other)
         harmless = learn_exceptions(train, terms) + [folded(p) for p in exceptions]
-        b = fit(train, terms, harmless)
+        b = fit(train, n_toxic + n_other, terms, harmless)
     out = _matched(docs, terms, harmless, "doc_id")
     total, n = F.col("weight"), F.greatest(F.lit(1), F.col("n_words"))
     score = F.lit(0.0) if b is None else 1 / (1 + F.exp(-(b[0] + b[1] * F.log1p(total) + b[2] * F.log1p(total / F.sqrt(n)))))
