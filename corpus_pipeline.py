@@ -20,32 +20,44 @@ from obsmart.llm.quality import judge
 from obsmart.llm.storage import stored
 
 
+DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _apart(docs: DataFrame) -> DataFrame:
+    """Further columns under names that no operator gives to its own."""
+    return docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c not in DOCUMENTS})
+
+
+def _as_before(done: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs``, under their names."""
+    return done.select(*[c if c in DOCUMENTS else F.col(f"__own_{c}").alias(c) for c in docs.columns])
+
+
 def _recounted(docs: DataFrame, like: DataFrame) -> DataFrame:
-    """The columns of ``like``, with n_chars as the text now has it."""
+    """``docs`` with n_chars as the text now has it."""
     if "n_chars" in like.columns:
         docs = docs.withColumn("n_chars", F.length("text").cast(like.schema["n_chars"].dataType))
-    return docs.select(*like.columns)
+    return docs
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the divergence rule."""
-    return judge(docs).where("kept").select(*docs.columns)
+    return _as_before(judge(_apart(docs)).where("kept"), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that a document of larger doc_id keeps."""
-    return _recounted(dedup_lines(docs), docs)
+    return _as_before(_recounted(dedup_lines(_apart(docs)), docs), docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    return keep_first(docs)
+    return _as_before(keep_first(_apart(docs)), docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row per copy that the mix takes, in training order; the copy that meets its source's
-    target midway keeps its first words."""
-    return _recounted(mix(docs), docs)
+    """A row per copy that the mix takes, in training order; every copy is whole."""
+    return _as_before(_recounted(mix(_apart(docs)), docs), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
