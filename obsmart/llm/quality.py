@@ -8,7 +8,8 @@ comparison, because the distance of a short text is mostly noise.
 
 DataFrame functions only. Texts are never shuffled: all counts of a document are made in its row,
 and only (language, word) counts move, combined before the shuffle. There is one reference a
-language, of ``top_words`` words at most; Spark broadcasts them if their bytes are few.
+language, of ``top_words`` words at most; they are broadcast if the languages number at most
+``BROADCAST_LANGUAGES`` (about 1 KB each), else joined by a shuffle.
 
 Defined results
     null or empty text: no words, base_failed. A language that is null, or has less than
@@ -34,6 +35,7 @@ WINDOW = 3
 TOP_WORDS = 32
 COMMON_SHARE = 0.002
 LEAST_BYTES = 10_000          # of text in a language: less is no reference
+BROADCAST_LANGUAGES = 10_000
 MIN_CHARS_JUDGED = 400         # guard of the character histogram (bytes)
 MIN_WORDS_JUDGED = 150         # guard of the word histogram
 MAX_CHAR_DISTANCE = 0.30
@@ -134,7 +136,8 @@ def references(docs: DataFrame, top_words: int = TOP_WORDS, common_share: float
               .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("c")))
     # a capital at the start of a sentence is no other word; merged here, over distinct words
     counts = stored(counts.groupBy("lang", F.lower("w").alias("w")).agg(F.sum("c").alias("c")))
-    sizes = counts.groupBy("lang").agg(F.sum("c").alias("n")).join(chars, "lang", "left_semi")
+    chars = stored(chars)
+    sizes = _small(counts.groupBy("lang").agg(F.sum("c").alias("n")).join(_small(chars, chars), "lang", "left_semi"), chars)
     common = (counts.join(sizes, "lang").where(F.col("c") >= F.col("n") * common_share)
               .groupBy("lang", "n")
               .agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("c", "w")))), 1, top_words).alias("top")))
@@ -143,6 +146,11 @@ def references(docs: DataFrame, top_words: int = TOP_WORDS, common_share: float
     return chars.join(common, "lang", "left")
 
 
+def _small(df: DataFrame, languages: DataFrame) -> DataFrame:
+    """``df`` (a row a language) marked for broadcast if there are few ``languages``."""
+    return F.broadcast(df) if languages.count() <= BROADCAST_LANGUAGES else df
+
+
 def judge(docs: DataFrame, refs: DataFrame | None = None, max_char: float = MAX_CHAR_DISTANCE,
           max_word: float = MAX_WORD_DISTANCE, min_chars_judged: int = MIN_CHARS_JUDGED,
           min_words_judged: int = MIN_WORDS_JUDGED) -> DataFrame:
@@ -153,18 +161,22 @@ def judge(docs: DataFrame, refs: DataFrame | None = None, max_char: float = MAX_
     r = refs.select(F.col("lang").alias("__lang"), "common", "common_p", "char_p")
     r = r.select("__lang", *[F.col(c).alias(f"__{c}") for c in ("common", "common_p", "char_p")])
     d = counted(docs)
-    d = d.join(r, d["lang"] == r["__lang"], "left")
+    d = d.join(_small(r, refs), d["lang"] == r["__lang"], "left")
     common = F.col("__common")
-    # a null common (no reference) leaves __hits null
-    hits = F.filter(F.transform("__words", lambda w: F.array_position(common, F.lower(w))), lambda i: i > 0)
-    d = d.withColumn("__hits", held(F.when(F.col("n_words") >= min_words_judged, hits)))
-    h = F.col("__hits")
-    per_word = F.transform(common, lambda w, i: (F.size(h) - F.size(F.array_remove(h, (i + 1).cast("long")))).cast("long"))
-    d = d.withColumn("__word_p", F.when(h.isNotNull(), _histogram(per_word, F.col("n_words"))))
-    d = d.withColumn("__own_p", F.when(F.col("__n") >= min_chars_judged,
-                                       _histogram(F.col("__classes"), F.col("__n"))))
-    d = d.withColumns({"char_distance": js_distance(F.col("__own_p"), F.col("__char_p")),
-                       "word_distance": js_distance(F.col("__word_p"), F.col("__common_p")),
+    # only words that are short enough to be common ones are lower-cased and compared; a null common
+    # (no reference) leaves __short null
+    longest = F.array_max(F.transform(common, lambda w: F.length(w)))
+    d = d.withColumn("__longest", held(longest))
+    short = F.transform(F.filter("__words", lambda w: F.length(w) <= F.col("__longest")), lambda w: F.lower(w))
+    d = d.withColumn("__short", held(F.when((F.col("n_words") >= min_words_judged) & F.col("__longest").isNotNull(), short)))
+    h = F.col("__short")
+    per_word = F.transform(common, lambda w: (F.size(h) - F.size(F.array_remove(h, w))).cast("long"))
+    d = d.withColumn("__hits", held(F.when(h.isNotNull(), per_word)))
+    # every histogram and distance is pinned: each is used more than once below
+    d = d.withColumns({"__word_p": held(_histogram(F.col("__hits"), F.col("n_words"))),
+                       "__own_p": held(F.when(F.col("__n") >= min_chars_judged, _histogram(F.col("__classes"), F.col("__n"))))})
+    d = d.withColumns({"char_distance": held(js_distance(F.col("__own_p"), F.col("__char_p"))),
+                       "word_distance": held(js_distance(F.col("__word_p"), F.col("__common_p"))),
                        "base_failed": base_failed()})
     far = (F.coalesce(F.col("char_distance") > max_char, F.lit(False))
            | F.coalesce(F.col("word_distance") > max_word, F.lit(False)))
