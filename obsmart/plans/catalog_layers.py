@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsmart.functions.numeric import exact_avg_rounded, exact_stddev
+from obsmart.functions.temporal import year_month
 from obsmart.functions.text import readable_size
 from obsmart.operators.calendar import month_chunks_between
 from obsmart.operators.normalize import assign_day, clean, to_ntz, unpivot_arrays
@@ -18,7 +19,7 @@ from obsmart.plans import catalog as base
 from obsmart.plans import reports
 from obsmart.plans.mart import build_mart
 from obsmart.plans.propagate import changed_days, rebuilt_rows
-from obsmart.plans.serving import resolve
+from obsmart.plans.serving import resolve, version_stats
 from obsmart.schemas import DailySpec, Roles
 from obsmart.sources.raw import fetch_plan, land_payloads
 from obsmart.sources.requests import reconcile, tries_of
@@ -108,6 +109,12 @@ def served(spark, sf_dir) -> DataFrame:
     return resolve(first.unionByName(second), keys=("l_returnflag", "dt"))
 
 
+def q_version_stats(spark, sf_dir) -> DataFrame:
+    """Orders as versions of their customer and month: rows, keys and superseded rows a month."""
+    orders = base.table(spark, sf_dir, "orders").select("o_custkey", year_month(F.to_date("o_orderdate")).alias("month"))
+    return version_stats(orders, keys=("o_custkey",))
+
+
 def q_served_overview(spark, sf_dir) -> DataFrame:
     return reports.overview(served(spark, sf_dir), entity="l_returnflag")
 
@@ -265,6 +272,9 @@ SELECT source, count(*) AS rows, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
             WHEN sum(strlen(text)) >= 1024 THEN printf('%.2f KiB', sum(strlen(text)) / 1024.0)
             ELSE printf('%.2f B', CAST(sum(strlen(text)) AS DOUBLE)) END AS size
 FROM documents GROUP BY source"""
+    sql["version_stats"] = """
+WITH k AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month, o_custkey, count(*) AS n FROM orders GROUP BY ALL)
+SELECT month, CAST(sum(n) AS BIGINT) AS rows, count(*) AS keys, CAST(sum(n - 1) AS BIGINT) AS superseded FROM k GROUP BY month"""
     days = ", ".join(f"DATE '{d}'" for d in CORRECTED_DAYS)
     own = ("l_returnflag", "rows_count", base.LI_SPEC.aggs, "qty_avg", "qty_norm_30d", "qty_anomaly")
     sql["changed_norms"] = ("WITH " + base._LI_SRC.strip() + f""",

@@ -50,15 +50,28 @@ def current(spark: SparkSession, serving_path: str, start=None, end=None, *,
     return resolve(read_months(spark, serving_path, start, end, day=day), keys=keys)
 
 
+def version_stats(rows: DataFrame, *, keys=("city", "dt"), month: str = "month") -> DataFrame:
+    """Per month: rows, keys and superseded rows (all but one of every key). Two shrinking counts, of
+    which the first combines map-side; only key columns are read."""
+    per_key = rows.groupBy(month, *[k for k in keys if k != month]).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.groupBy(month).agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("keys"),
+                                      F.sum(F.col("_n") - 1).alias("superseded"))
+
+
 def compact(spark: SparkSession, serving_path: str, start, end, *, keys=("city", "dt"),
-            day: str = "dt", month: str = "month") -> int:
-    """Rewrite the whole months touching ``[start, end]`` to their latest versions."""
-    df = read_months(spark, serving_path, None, None, day=day, month=month)
-    lo = int(f"{_d(start):%Y%m}")
-    hi = int(f"{_d(end):%Y%m}")
-    months = df.where(F.col(month).between(lo, hi))
-    return rewrite_months(resolve(months, keys=keys), serving_path, month=month,
-                          sort_within=tuple(keys))
+            day: str = "dt", month: str = "month", min_share: float = 0.0) -> int:
+    """Rewrite months touching ``[start, end]`` to their latest versions: those in which more than
+    ``min_share`` of the rows are superseded (by default: any row). Other months keep their files.
+    Returns the rows written."""
+    rows = read_months(spark, serving_path, None, None, day=day, month=month)
+    lo, hi = int(f"{_d(start):%Y%m}"), int(f"{_d(end):%Y%m}")
+    rows = rows.where(F.col(month).between(lo, hi))
+    stats = version_stats(rows, keys=keys, month=month).where(F.col("superseded") > F.col("rows") * min_share)
+    months = [r[0] for r in stats.select(month).collect()]                  # <= months of the period
+    if not months:
+        return 0
+    return rewrite_months(resolve(rows.where(F.col(month).isin(months)), keys=keys), serving_path, month=month,
+                          sort_within=tuple(keys), months=months)
 
 
 def retire(spark: SparkSession, serving_path: str, start, end, gone, *, keys=("city", "dt"), day: str = "dt",

@@ -151,3 +151,20 @@ def test_bucketed_staging_loses_emptied_days(spark, scratch):
         assert spark.table("emptied_days").count() == 6 and len(folders(spark, scratch, "dt")) == 3
     finally:
         spark.sql("DROP TABLE IF EXISTS emptied_days")
+
+
+def test_compaction_rewrites_months_with_superseded_rows(spark, places, scratch):
+    from obsmart.plans.serving import compact, load_range
+
+    layers = made(scratch, "x")
+    land(spark, layers, (START, END), **CITIES)
+    run_range(spark, layers, places, START, END, load_ts=datetime(2026, 1, 1))
+    load_range(spark, layers.mart, layers.serving, "2025-01-01", "2025-01-05", load_ts=datetime(2026, 1, 2))
+    before = rows_of(current(spark, layers.serving))
+    files = {m: sorted(os.listdir(p)) for m, p in folders(spark, layers.serving, "month").items()}
+    assert compact(spark, layers.serving, START, END, min_share=0.5) == 0          # 10 of 72 rows of January
+    assert compact(spark, layers.serving, START, END) == 62
+    now = {m: sorted(os.listdir(p)) for m, p in folders(spark, layers.serving, "month").items()}
+    assert now["202502"] == files["202502"] and now["202501"] != files["202501"]
+    assert rows_of(current(spark, layers.serving)) == before
+    assert spark.read.parquet(layers.serving).count() == 80 and compact(spark, layers.serving, START, END) == 0
