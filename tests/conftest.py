@@ -49,6 +49,7 @@ SAMPLE_HOURLY = {
                     13, 8, 9, 28, 0, 0, 0, 0, 0, 0, 0, 0],
 }
 SAMPLE_GRID_POINT = (55.7817, 37.570797)     # the payload's own coordinates (not the place's)
+SAMPLE_PLACES = [("moscow", "Москва", "RU", 55.7558, 37.6173), ("london", "Лондон", "GB", 51.5074, -0.1278)]
 # ---------------------------------------------------------------------------------------------
 
 
@@ -66,8 +67,7 @@ def sample_payload() -> dict:
 def places(spark):
     from obsmart.schemas import DIMENSION_SCHEMA
 
-    rows = [("moscow", "Москва", "RU", 55.7558, 37.6173), ("london", "Лондон", "GB", 51.5074, -0.1278)]
-    return spark.createDataFrame(rows, DIMENSION_SCHEMA)
+    return spark.createDataFrame(SAMPLE_PLACES, DIMENSION_SCHEMA)
 
 
 def payload_frame(spark, items, start="2026-10-07", end="2026-10-07"):
