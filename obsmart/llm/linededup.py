@@ -1,10 +1,11 @@
 """Line de-duplication over levelled sorted runs of line hashes.
 
-Each batch of documents becomes one *run*: its distinct line hashes, sorted, with the number of
-documents that hold the line and the greatest doc_id among them. Runs lie on levels; when a level
-has ``fanout`` runs they are merged into one run of the next level, so a line hash is rewritten
-only log(batches) times. A new batch is anti-joined against the runs (:meth:`LineRuns.fresh`) and
-then adds its own run (:meth:`LineRuns.add`). The runs store hashes and two numbers, never text.
+Each batch of documents is reduced to its distinct line hashes, with the number of documents that
+hold the line and the greatest doc_id among them, and merge-anti-joined with the runs
+(:meth:`LineRuns.fresh`). The hashes that no run holds become a *run* of their own, sorted; so every
+hash lies in one run. Of the others, counts and doc_ids are kept as updates to the runs. Runs lie on
+levels; when a level has ``fanout`` runs they are compacted into one run of the next level, so a hash
+is rewritten only log(batches) times. Runs and updates store hashes and two numbers, never text.
 
 Defined results
     null or empty text: one empty line, never dropped. Lines whose key is shorter than
@@ -16,6 +17,8 @@ Defined results
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +41,11 @@ def line_key(line: Column) -> Column:
 
 
 class LineRuns:
-    """The levelled runs. ``levels[i]`` holds fewer than ``fanout`` runs after each ``add``."""
+    """The levelled runs. ``levels[i]`` holds fewer than ``fanout`` runs after each ``add``;
+    ``updates`` what later batches brought of hashes that a run already holds."""
 
     def __init__(self, fanout: int = FANOUT):
-        self.fanout, self.levels = fanout, []
+        self.fanout, self.levels, self.updates = fanout, [], []
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
@@ -49,33 +53,36 @@ class LineRuns:
     def fresh(self, lines: DataFrame) -> DataFrame:
         """The lines (rows with h1, h2) whose hash no earlier batch has brought."""
         for run in self.runs():
-            lines = lines.join(run.select(*KEY), KEY, "left_anti")
+            lines = lines.join(run.select(*KEY).hint("merge"), KEY, "left_anti")
         return lines
 
+    def known(self, lines: DataFrame) -> DataFrame:
+        """The other lines. No hash lies in two runs, so each line is found once."""
+        found = [lines.join(run.select(*KEY).hint("merge"), KEY, "left_semi") for run in self.runs()]
+        return reduce(DataFrame.unionByName, found) if found else lines.limit(0)
+
     def add(self, lines: DataFrame) -> None:
-        """Add a batch (rows with h1, h2, doc_id; no document in two batches) as a sorted run."""
-        run = (lines.select(*KEY, "doc_id").distinct().groupBy(*KEY)
-               .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("max_doc")))
-        self._place(run, 0)
+        """Add a batch (rows with h1, h2, doc_id; no document in two batches): its fresh hashes as a
+        sorted run, the known ones as updates; both are written at once."""
+        batch = (lines.select(*KEY, "doc_id").distinct().groupBy(*KEY)
+                 .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("max_doc")))
+        parted = self.fresh(batch).withColumn("fresh", F.lit(True)).unionByName(self.known(batch).withColumn("fresh", F.lit(False)))
+        parted = stored(parted.sortWithinPartitions(*KEY))
+        self.updates.append(parted.where(~F.col("fresh")).drop("fresh"))
+        self._place(parted.where("fresh").drop("fresh"), 0)
 
     def _place(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
-        self.levels[level].append(stored(run.sortWithinPartitions(*KEY)))
+        self.levels[level].append(run)
         if len(self.levels[level]) >= self.fanout:
-            merged, self.levels[level] = _merge(self.levels[level]), []
-            self._place(merged, level + 1)
+            runs, self.levels[level] = reduce(DataFrame.unionByName, self.levels[level]), []
+            self._place(stored(runs.repartition(*KEY).sortWithinPartitions(*KEY)), level + 1)
 
     def settled(self) -> DataFrame:
-        """All runs as one: h1, h2, n_docs, max_doc."""
-        return _merge(self.runs())
-
-
-def _merge(runs: list[DataFrame]) -> DataFrame:
-    out = runs[0]
-    for run in runs[1:]:
-        out = out.unionByName(run)
-    return out.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
+        """All runs with their updates as one: h1, h2, n_docs, max_doc."""
+        rows = reduce(DataFrame.unionByName, self.runs() + self.updates)
+        return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.max("max_doc").alias("max_doc"))
 
 
 def hashed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -93,7 +100,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     """``docs`` with ``text`` reduced to its kept lines, plus n_lines and n_dropped.
 
     A line found in ``min_docs`` documents or more stays only in the largest doc_id that holds it.
-    Lines are hashed once; per batch one run is added; the settled runs give the repeated lines;
+    Lines are hashed once; every batch is anti-joined with the runs and adds its own; the settled
+    runs give the repeated lines;
     only positions of dropped lines travel back to the documents.
     """
     lines = stored(hashed_lines(docs, min_chars)

@@ -52,6 +52,10 @@ def test_levels_and_fresh_lines(spark):
         assert runs.fresh(lines).count() == (3 if b == 0 else 1)
         runs.add(lines)
     assert [len(x) for x in runs.levels] == [1, 0, 1]
+    # every hash lies in one run, and the batches' known lines are the updates
+    held = [(r.h1, r.h2) for run in runs.runs() for r in run.collect()]
+    assert len(held) == len(set(held)) == 6
+    assert [u.count() for u in runs.updates] == [0, 1, 1, 1, 1] and runs.known(lines).count() == 3
     settled = sorted((r.n_docs, r.max_doc) for r in runs.settled().collect())
     assert settled == [(1, 0), (1, 10), (1, 20), (1, 30), (1, 40), (10, 42)]
 
