@@ -4,6 +4,8 @@ the latest versions. Each with its SQL oracle, like ``plans.catalog``, whose dat
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from obsmart.functions.numeric import exact_avg_rounded, exact_stddev
 from obsmart.functions.temporal import year_month
 from obsmart.functions.text import readable_size
 from obsmart.operators.calendar import month_chunks_between
+from obsmart.operators.distinct import distinct_count, distinct_states, merged_states
 from obsmart.operators.normalize import assign_day, clean, to_ntz, unpivot_arrays
 from obsmart.operators.quality import mart_stats, mart_violations
 from obsmart.operators.rollup import daily
@@ -115,6 +118,21 @@ def q_version_stats(spark, sf_dir) -> DataFrame:
     return version_stats(orders, keys=("o_custkey",))
 
 
+def q_distinct_merged(spark, sf_dir) -> DataFrame:
+    """Distinct parts, suppliers, orders and days of every month, every year and all time: states are
+    made per month, and the longer periods come from these alone (year as yyyy00, all time as 0)."""
+    lineitem = base.table(spark, sf_dir, "lineitem")
+    day = F.col("l_shipdate").cast("date")
+    counts = []
+    for name, number in (("parts", F.col("l_partkey")), ("suppliers", F.col("l_suppkey")),
+                         ("orders", F.col("l_orderkey")), ("days", F.unix_date(day))):
+        months = distinct_states(lineitem, year_month(day), number)
+        years = merged_states(months, F.col("period") - F.col("period") % 100)
+        ever = merged_states(years, F.lit(0))
+        counts.append(distinct_count(months.unionByName(years).unionByName(ever), name=name))
+    return reduce(lambda a, b: a.join(b, "period"), counts)
+
+
 def q_served_overview(spark, sf_dir) -> DataFrame:
     return reports.overview(served(spark, sf_dir), entity="l_returnflag")
 
@@ -272,6 +290,11 @@ SELECT source, count(*) AS rows, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
             WHEN sum(strlen(text)) >= 1024 THEN printf('%.2f KiB', sum(strlen(text)) / 1024.0)
             ELSE printf('%.2f B', CAST(sum(strlen(text)) AS DOUBLE)) END AS size
 FROM documents GROUP BY source"""
+    sql["distinct_merged"] = """
+WITH l AS (SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS m, CAST(l_shipdate AS DATE) AS dt, * FROM lineitem),
+p AS (SELECT m AS period, * FROM l UNION ALL SELECT m - m % 100, * FROM l UNION ALL SELECT 0, * FROM l)
+SELECT period, count(DISTINCT l_partkey) AS parts, count(DISTINCT l_suppkey) AS suppliers,
+       count(DISTINCT l_orderkey) AS orders, count(DISTINCT dt) AS days FROM p GROUP BY period"""
     sql["version_stats"] = """
 WITH k AS (SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month, o_custkey, count(*) AS n FROM orders GROUP BY ALL)
 SELECT month, CAST(sum(n) AS BIGINT) AS rows, count(*) AS keys, CAST(sum(n - 1) AS BIGINT) AS superseded FROM k GROUP BY month"""
