@@ -67,3 +67,37 @@ def test_every_text_with_a_word_has_an_anchor(spark):
     assert len(set(rows.values())) == len(texts) - 1
     out = {r.doc_id: r for r in edited_fingerprints(df).collect()}
     assert all(out[i].near_next == (1 if i == len(texts) - 1 else 0) for i in out)
+
+
+def test_chosen_windows_are_those_of_the_definition(spark):
+    """Every window of K words is judged by itself in plain code: it is an anchor if its least inner
+    piece of S words is its first or its last; few distinct words, so that pieces also tie."""
+    rng = random.Random(12)
+    texts = [[f"w{rng.randint(0, top)}" for _ in range(rng.randint(K, 120))] for top in (1, 3, 40, 10**6) for _ in range(6)]
+    word = {r.w: r.h for r in spark.createDataFrame([(w,) for w in {w for t in texts for w in t}], "w string")
+            .select("w", F.xxhash64("w").alias("h")).collect()}
+
+    def hashes(tuples):
+        """Spark's hash of tuples of word hashes."""
+        cols = [f"c{i}" for i in range(len(next(iter(tuples))))]
+        df = spark.createDataFrame(list(tuples), ", ".join(f"{c} bigint" for c in cols))
+        return {tuple(r[c] for c in cols): r.h for r in df.select(*cols, F.xxhash64(*cols).alias("h")).collect()}
+
+    coded = [[word[w] for w in t] for t in texts]
+    windows = [[tuple(t[i:i + K]) for i in range(len(t) - K + 1)] for t in coded]
+    whole = hashes({w for ws in windows for w in ws})
+    piece = hashes({tuple(t[i:i + S]) for t in coded for i in range(len(t) - S + 1)})
+
+    def chosen(window):
+        inner = [piece[window[i:i + S]] for i in range(K - S + 1)]
+        return min(inner) in (inner[0], inner[-1])
+
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    got = {r.doc_id: r.fingerprint for r in fingerprints(df).collect()}
+    judged = 0
+    for i, ws in enumerate(windows):
+        want = [f"{whole[w] & 0x7FFFFFFF:08X}" for w in ws if chosen(w)]
+        if want:                      # a text without a chosen window has one anchor, tested above
+            judged += 1
+            assert got[i] == "".join(want)
+    assert judged > 20
