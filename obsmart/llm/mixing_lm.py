@@ -1,26 +1,29 @@
 """Scoring texts by online logistic context mixing.
 
-A token (a lower-cased word, or the end of the text) is written as bits: the path to its symbol in
-a Huffman tree. The ``TOP`` most frequent tokens are symbols of their own; every other word belongs
-to one of ``CLASSES`` symbols by the hash of its first two bytes, and then has its share of the
-class by its training count (plus one; one more share stands for all unknown words). For every bit
-four predictors are mixed: training counts of the tree node alone, with the symbol before it, with
-the two symbols before it (hashed tables), and an adaptive count of the text itself. The mixing
-weights are gated (a set for each of the two last symbols' kinds and the depth in the tree), start
-equal, and are learnt online along each text; the mix is refined by a second adaptive stage, and
-both are averaged. Since every bit's two chances add to one, the result is a probability of the
-token sequence, with all unknown words of a class as one event.
-
-The counts cover all training documents: word counts, then counts of three symbols in a row, made
-per task and added in Spark, whose bits fill the context tables. Texts are read twice: for the word
-counts, and to write them down as symbols and word hashes (:func:`encode`), from which the bit counts
-and the scores come. The tables of bit counts have a fixed number of slots (``SLOTS`` for each
-order), so what travels to the tasks is bounded, and contexts that share a slot are simply mixed.
-Word counts are never gathered: words outside the top are joined to their counts.
+A token (a lower-cased word, or the end of the text) is written as bits. First comes the path to its
+symbol in a Huffman tree: the ``TOP`` most frequent tokens are symbols of their own, every other word
+belongs to one of ``CLASSES`` symbols by the hash of its first two bytes. Such a word's own bits
+follow (:mod:`obsmart.llm.word_bits`): its path among the dictionary's words of the class, or the way
+out of it and then its letters. For every bit four predictors are mixed: training counts of the tree
+node alone and in two contexts (of the symbol: the symbol before it, the two before it; of a word: the
+symbol before it, the word before it; of a letter: bytes before it in the word; all in hashed tables),
+and an adaptive count of the text itself. The mixing weights are gated (a set for each kind of what
+came before or of the bit, and the depth in the tree), start equal, and are learnt online along each
+text; the mix is refined by a second adaptive stage, and both are averaged (:class:`Mixer`). Since
+every bit's two chances add to one, the result is a probability of the token sequence, word by word.
+
+The counts cover all training documents: word counts, counts of three symbols in a row, whose bits
+fill the symbols' context tables, and counts of the words' bits; all are made per task and added in
+Spark. Texts are read twice: for the word counts, and to write them down as symbols, dictionary
+places, letters and word hashes (:func:`encode`), from which the bit counts and the scores come. The
+tables of bit counts have a fixed number of slots (``SLOTS`` and ``WORD_SLOTS`` for each order) and
+the dictionary ``KNOWN`` words at most, so what travels to the tasks is bounded, and contexts that
+share a slot are simply mixed. Words outside the dictionary are spelled bit by bit, so none is left
+out; for the base score they are joined to their counts.
 
 Texts are scored in lockstep, many at a time, so numpy does the work. A text starts from fresh
-weights, and again after every ``SEGMENT`` tokens (the symbols before it are still its context), so
-scores do not depend on the partitioning and a very long text is many lanes, not many steps. Nodes,
+weights, and again after every ``SEGMENT`` tokens or ``EVENTS`` bits of its words (what stands before
+is still the context), so scores do not depend on the partitioning and a very long text is many lanes, not many steps. Nodes,
 bits and table entries, which no learning changes, are looked up for some steps of all lanes at once.
 
 Defined results
@@ -32,9 +35,9 @@ Defined results
 from __future__ import annotations
 
 import heapq
-from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 from itertools import chain
 
 import pyarrow as pa
@@ -42,8 +45,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsmart.llm.mixer import Mixer
 from obsmart.llm.storage import stored
 from obsmart.llm.text import whole
+from obsmart.llm.word_bits import WORD_SLOTS, WordModel
 
 FOLDS, HELD_OUT = 7, 2
 TOP = 31                  # symbols of their own, besides the end of text
@@ -54,7 +59,10 @@ FLUSH = 300_000           # words counted in a task before they are sent on
 SEGMENT = 1024            # tokens over which weights and adaptive counts are learnt
 LANES = 2048              # segments scored at a time
 STEPS = 16                # tokens of each segment whose table entries are looked up at once
-KNOWN = 8192              # most frequent words whose counts travel with the tasks
+WORD_TEXTS = 1024         # texts whose words' bits are scored at a time
+KNOWN = 1 << 18           # most frequent words (the dictionary), whose counts travel with the tasks
+FEW = 8192                # least size of the dictionary, if there are as many words
+BLOCK = 4096              # slots of a table that are added up at once
 END = b""                 # the end of a text as a token (no word is empty)
 
 
@@ -71,6 +79,11 @@ def _class_of(word: bytes) -> int:
     return xxhash.xxh32_intdigest(word[:2]) % CLASSES
 
 
+def _symbol(symbols: dict, n_top: int, word: bytes) -> int:
+    s = symbols.get(word)
+    return n_top + _class_of(word) if s is None else s
+
+
 def _hash(word: bytes) -> int:
     h = xxhash.xxh3_64_intdigest(word)
     return h - (1 << 64) if h >> 63 else h
@@ -133,10 +146,10 @@ class BitModel:
         self.length = np.array([len(c) for c in codes])
         self.n_nodes, self.n_symbols, self.n_top = len(number), len(codes), len(top)
         self.tables: list | None = None       # per order: stretched chance of a 1
+        self.words: WordModel | None = None   # bits of the words within the classes
 
     def symbol(self, word: bytes) -> int:
-        s = self.symbols.get(word)
-        return self.n_top + _class_of(word) if s is None else s
+        return _symbol(self.symbols, self.n_top, word)
 
     def slots(self, sym, last, last2):
         """Table places (order, ...) for the first node of each token; a node is added to them."""
@@ -240,10 +253,7 @@ class BitModel:
         for i, s in enumerate(symbols):
             sym[2:len(s) + 2, i] = s
         gates = 3 * self.depth
-        weights = np.full((n * gates, 4), f(0.34))
-        own = np.zeros(n * self.n_nodes, f)         # stretched chance in this text so far
-        seen = np.full(n * self.n_nodes, f(1.5))
-        refine = np.tile(np.linspace(-8, 8, 33).astype(f), n)
+        mixer = Mixer(n, gates, self.n_nodes)
         total = np.zeros(n)
         side = self.n_symbols + 1
         deep = np.arange(self.depth)[None, :, None]
@@ -270,110 +280,64 @@ class BitModel:
                     continue
                 on = slice(lo, hi)
                 lo = hi
-                xs, bit, g, h = x[on], bits[on], gate[on], here[on]
-                mine = own.take(h)
-                xs[:, 3] = mine
-                w = weights.take(g, axis=0)
-                chances = np.empty((3, hi - on.start), f)
-                mix = np.einsum("ij,ij->i", w, xs, out=chances[0])
-                np.maximum(mix, f(-8), out=mix)
-                np.minimum(mix, f(8), out=mix)
-                cell = (mix * f(2) + f(16)).astype(np.int64)
-                cell += row[on]
-                told = refine.take(cell)
-                chances[1], chances[2] = told, mine
-                np.negative(chances, out=chances)
-                np.exp(chances, out=chances)
-                chances += f(1)
-                np.reciprocal(chances, out=chances)
-                p, refined, chance = chances
-                finals[on] = f(0.75) * p + f(0.25) * refined
-                xs *= (f(0.02) * (bit - p))[:, None]
-                w += xs
-                weights[g] = w
-                refine[cell] = told + f(0.08) * (bit - refined)
-                k = seen.take(h)
-                k += f(1)
-                seen[h] = k
-                chance += (bit - chance) / np.minimum(k, f(255))
-                np.maximum(chance, f(0.003), out=chance)
-                np.minimum(chance, f(0.997), out=chance)
-                own[h] = np.log(chance / (f(1) - chance))
+                finals[on] = mixer.step(x[on], bits[on], gate[on], here[on], row[on])
             total[:live] += np.bincount(lane, np.log(np.where(bits > 0, finals, f(1) - finals)), live)
         return total / np.log(10)
 
 
-class WordIds(dict):
-    """Numbers of words as a worker meets them, with each word's symbol, hash and place among the
-    frequent words (-1: none)."""
-
-    def __init__(self, model: BitModel, place: dict):
-        self.model, self.place = model, place
-        self.symbol, self.hash, self.frequent = array("B"), array("q"), array("q")
+class Places(dict):
+    """Places of the dictionary's words; -1 for any other word."""
 
     def __missing__(self, word: bytes) -> int:
-        self.symbol.append(self.model.symbol(word))
-        self.hash.append(_hash(word))
-        self.frequent.append(self.place.get(word, -1))
-        self[word] = number = len(self)
-        return number
-
-    def facts(self) -> tuple:
-        """Arrays (symbol, hash, frequent) by number."""
-        import numpy as np
+        return -1
 
-        return tuple(np.array(a) for a in (self.symbol, self.hash, self.frequent))
 
-
-ENCODED = """row bigint, doc_id bigint, bytes bigint, tokens bigint, known bigint, base double, inner double,
-             symbols binary, words array<bigint>, counts array<bigint>"""
+ENCODED = """row bigint, doc_id bigint, bytes bigint, tokens bigint, known bigint, base double,
+             symbols binary, places binary, spelled binary, words array<bigint>, counts array<bigint>"""
 
 
 def encode(docs: DataFrame, model: BitModel, facts: dict) -> DataFrame:
-    """Every text read and parted once, stored: its symbols (a byte each, the end included); for the
-    frequent words, whose counts travel with the tasks, the number of known tokens, their base score
-    and the part of it that is a share of a class; the hashes of the other words with their counts."""
-    import math
+    """Every text read and parted once, stored: its symbols (a byte each, the end included), the
+    tokens' places in the dictionary (four bytes each, -1: outside) and the words outside, each with a
+    space; for the dictionary's words the number of known tokens and their base score; the hashes of
+    the other words with their counts."""
+    import numpy as np
 
-    mass = [math.log10(cn + cv + 1) for cn, cv in facts["classes"]]
-    words = list(facts["counts"])
-    place = {w: i for i, w in enumerate(words)}
+    words, seen = list(facts["counts"]), np.array(list(facts["counts"].values()))
+    symbol = np.array([model.symbol(w) for w in words], np.uint8)
+    symbol_of = partial(_symbol, model.symbols, model.n_top)
 
     def read(batches: Iterator) -> Iterator:
-        import numpy as np
-
-        seen = np.array([facts["counts"][w] for w in words])
+        place = Places(zip(words, range(len(words))))
         log_of = np.log10(seen + 1.0)
-        in_class = np.array([w not in model.symbols for w in words])
-        ids = WordIds(model, place)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                if len(ids) > FLUSH:
-                    ids = WordIds(model, place)
                 texts = [_words(t.as_py()) for t in part["text"]]
                 for t in texts:
                     t.append(END)
                 m, sizes = len(texts), np.array([len(t) for t in texts])
-                number = np.fromiter(map(ids.__getitem__, chain.from_iterable(texts)), np.int64, int(sizes.sum()))
-                symbol, hashes, frequent = ids.facts()
-                doc, symbols = np.repeat(np.arange(m), sizes), symbol[number]
-                # each text's distinct words with their counts
-                pairs, k = np.unique(doc * len(ids) + number, return_counts=True)
-                doc_of, number = np.divmod(pairs, len(ids))
-                f = frequent[number]
-                other = f < 0
-                o_doc, o_hash, o_count = doc_of[other], hashes[number[other]], k[other]
-                doc_of, f, k = doc_of[~other], f[~other], k[~other]
-                share = k * log_of[f]
-                of_class = np.bincount(doc * model.n_symbols + symbols, minlength=m * model.n_symbols).reshape(m, -1)[:, model.n_top:]
-                ends, list_ends = (np.append(0, np.cumsum(n)).astype(np.int32) for n in (sizes, np.bincount(o_doc, minlength=m)))
+                tokens = list(chain.from_iterable(texts))
+                places = np.fromiter(map(place.__getitem__, tokens), np.int32, len(tokens))
+                doc, symbols = np.repeat(np.arange(m), sizes), symbol[places]
+                inside, outside = places >= 0, np.nonzero(places < 0)[0]
+                spelled = [tokens[i] for i in outside.tolist()]
+                symbols[outside] = [symbol_of(w) for w in spelled]
+                letters = np.bincount(doc[outside], [len(w) + 1 for w in spelled], m)
+                # each text's distinct words outside the dictionary with their counts
+                hashes, number = np.unique(np.array([_hash(w) for w in spelled], np.int64), return_inverse=True)
+                pairs, o_count = np.unique(doc[outside] * (len(hashes) + 1) + number, return_counts=True)
+                o_doc, number = np.divmod(pairs, len(hashes) + 1)
+                ends, letter_ends, list_ends = (np.append(0, np.cumsum(n)).astype(np.int32) for n in (sizes, letters, np.bincount(o_doc, minlength=m)))
+                doc, f = doc[inside], places[inside]
                 yield pa.RecordBatch.from_arrays([
-                    part["row"], part["doc_id"], part["bytes"], pa.array(sizes), pa.array(np.bincount(doc_of, k * (seen[f] > 0), m).astype(np.int64)),
-                    pa.array(np.bincount(doc_of, share, m)), pa.array(np.bincount(doc_of, share * in_class[f], m) - of_class @ mass),
+                    part["row"], part["doc_id"], part["bytes"], pa.array(sizes), pa.array(np.bincount(doc, seen[f] > 0, m).astype(np.int64)),
+                    pa.array(np.bincount(doc, log_of[f], m)),
                     pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(ends), pa.py_buffer(symbols)]),
-                    pa.ListArray.from_arrays(list_ends, pa.array(o_hash)), pa.ListArray.from_arrays(list_ends, pa.array(o_count))],
-                    ["row", "doc_id", "bytes", "tokens", "known", "base", "inner", "symbols", "words", "counts"])
+                    pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(4 * ends), pa.py_buffer(places)]),
+                    pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(letter_ends), pa.py_buffer(b" ".join([*spelled, b""]))]),
+                    pa.ListArray.from_arrays(list_ends, pa.array(hashes[number])), pa.ListArray.from_arrays(list_ends, pa.array(o_count))],
+                    ["row", "doc_id", "bytes", "tokens", "known", "base", "symbols", "places", "spelled", "words", "counts"])
 
     text = whole(F.col("text"))
     return stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("bytes"),
@@ -386,9 +350,55 @@ def _unpacked(column) -> list:
     return [np.frombuffer(x.as_buffer(), np.uint8).astype(np.int64) for x in column]
 
 
+def _items(part, model: BitModel) -> tuple:
+    """Items of the words (:class:`WordModel`) of some encoded texts."""
+    import numpy as np
+
+    symbols = _unpacked(part["symbols"])
+    sym, last, _ = model.histories(symbols)
+    starts = np.cumsum([0] + [len(s) for s in symbols[:-1]])
+    places = np.frombuffer(b"".join(part["places"].to_pylist()), np.int32).astype(np.int64)
+    spelled = np.frombuffer(b"".join(part["spelled"].to_pylist()), np.uint8)
+    return model.words.items(sym, last, starts, places, spelled)
+
+
+def learn_words(encoded: DataFrame, model: BitModel) -> None:
+    """Fill the tables of the words' bits from all encoded texts: counted per task, added in Spark a
+    block of slots at a time."""
+    import numpy as np
+
+    words = model.words
+
+    def count(batches: Iterator) -> Iterator:
+        seen = np.zeros((3, 2 * WORD_SLOTS), np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                words.count(_items(batch.slice(at, 512), model), seen)
+        cells = seen.astype(np.int32).reshape(-1, BLOCK)
+        block = np.nonzero(cells.any(axis=1))[0]
+        for at in range(0, len(block), 256):
+            part = block[at:at + 256]
+            # the low bytes of all cells first: the others are mostly zero
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([cells[b].view(np.uint8).reshape(-1, 4).T.tobytes() for b in part])], ["block", "cells"])
+
+    def added(table: pa.Table) -> pa.Table:
+        total = np.zeros(BLOCK, np.int64)
+        for cells in table["cells"]:
+            total += np.frombuffer(cells.as_py(), np.uint8).reshape(4, -1).T.copy().view(np.int32)[:, 0]
+        return pa.table({"block": table["block"][:1], "cells": pa.array([total.tobytes()])})
+
+    counted = (encoded.select("symbols", "places", "spelled").mapInArrow(count, "block bigint, cells binary")
+               .groupBy("block").applyInArrow(added, "block bigint, cells binary"))
+    seen = np.zeros((3 * 2 * WORD_SLOTS // BLOCK, BLOCK), np.int64)
+    for batch in counted.toArrow().to_batches():
+        for block, cells in zip(batch["block"].to_pylist(), batch["cells"]):
+            seen[block] = np.frombuffer(cells.as_py(), np.int64)
+    words.learnt(seen.reshape(3, -1))
+
+
 def learn_bits(encoded: DataFrame, model: BitModel) -> None:
     """Fill the model's tables from all encoded texts: triples of symbols are counted per task and
-    added in Spark (at most 65 ** 3 of them), their bits then go to the tables."""
+    added in Spark (at most 65 ** 3 of them), their bits then go to the tables; then the words' bits."""
     import numpy as np
 
     side = model.n_symbols + 1
@@ -408,23 +418,45 @@ def learn_bits(encoded: DataFrame, model: BitModel) -> None:
     ones, zeros = np.zeros((3, SLOTS), np.int64), np.zeros((3, SLOTS), np.int64)
     model.count_triples(seen, ones, zeros)
     model.learnt(ones, zeros)
+    learn_words(encoded, model)
+
+
+def dictionary(vocabulary: DataFrame) -> dict[bytes, int]:
+    """The most frequent words with their counts, by count, then word: all from some count on, as far
+    as ``KNOWN`` words go; where that leaves few, also words of the next count."""
+    # words that were cut for the table (64 bytes) are no candidates
+    words = vocabulary.where(F.length("word") < 64).select("word", "c")
+    least, size = None, 0
+    for c, n in words.groupBy("c").count().orderBy(F.desc("c")).toLocalIterator():
+        if size + n > KNOWN:
+            break
+        least, size = c, size + n
+    found = words.where(F.col("c") >= least).toArrow().to_pylist() if least is not None else []
+    if size < FEW:
+        found += (words if least is None else words.where(F.col("c") < least)).orderBy(F.desc("c"), "word").limit(FEW - size).toArrow().to_pylist()
+    return {w["word"]: w["c"] for w in sorted(found, key=lambda w: (-w["c"], w["word"]))}
 
 
 def vocabulary_of(train: DataFrame):
     """(model without its tables, vocabulary: h, c; facts). The model is bounded: TOP words."""
     vocabulary = stored(word_counts(train))
     n, v = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    # words that were cut for the table (64 bytes) are no candidates
-    top = vocabulary.where(F.length("word") < 64).orderBy(F.desc("c"), "word").limit(KNOWN).collect()
-    counts = {bytes(r["word"]): r["c"] for r in top}
+    counts = dictionary(vocabulary)
     ends = vocabulary.where(F.length("word") == 0).agg(F.sum("c")).first()[0] or 0
     counts[END] = ends
     words = [END] + [w for w in counts if w != END][:TOP]
     tail = vocabulary.where(~F.col("h").isin([_hash(w) for w in words]))
-    classes = {r["class"]: (r["n"], r["v"]) for r in tail.groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
-    sizes = [counts[w] + 1.0 for w in words] + [classes.get(k, (0, 0))[0] + 1.0 for k in range(CLASSES)]
-    facts = {"n": int(n), "v": int(v), "counts": counts, "classes": [classes.get(k, (0, 0)) for k in range(CLASSES)]}
-    return BitModel(words, sizes), vocabulary.select("h", "c"), facts
+    classes = {r["class"]: r["n"] for r in tail.groupBy("class").agg(F.sum("c").alias("n")).collect()}
+    sizes = [counts[w] + 1.0 for w in words] + [classes.get(k, 0) + 1.0 for k in range(CLASSES)]
+    model = BitModel(words, sizes)
+    known = list(counts)
+    of = [-1 if w in model.symbols else _class_of(w) for w in known]
+    rest = [classes.get(k, 0) for k in range(CLASSES)]
+    for w, k in zip(known, of):
+        if k >= 0:
+            rest[k] -= counts[w]
+    model.words = WordModel(known, list(counts.values()), of, rest, model.n_top, model.n_symbols)
+    return model, vocabulary.select("h", "c"), {"n": int(n), "v": int(v), "counts": counts}
 
 
 def train_model(train: DataFrame):
@@ -447,21 +479,22 @@ def score_encoded(encoded: DataFrame, model: BitModel, vocabulary: DataFrame, fa
             for at in range(0, batch.num_rows, LANES):
                 part = batch.slice(at, LANES)
                 bits = model.log10(_unpacked(part["symbols"]))
+                for first in range(0, len(part), WORD_TEXTS):
+                    bits[first:first + WORD_TEXTS] += model.words.log10(_items(part.slice(first, WORD_TEXTS), model))
                 yield pa.RecordBatch.from_arrays([part["row"], pa.array(np.asarray(bits, float))], ["row", "bits"])
 
-    bits = encoded.select("row", "symbols").mapInArrow(score, "row bigint, bits double")
-    heads = encoded.select("row", "doc_id", "bytes", "tokens", "known", "base", "inner", F.lit(None).cast("double").alias("bits"))
-    # one row per text and distinct word outside the frequent ones, joined to the word's count
+    bits = encoded.select("row", "symbols", "places", "spelled").mapInArrow(score, "row bigint, bits double")
+    heads = encoded.select("row", "doc_id", "bytes", "tokens", "known", "base", F.lit(None).cast("double").alias("bits"))
+    # one row per text and distinct word outside the dictionary, joined to the word's count
     parts = encoded.select("row", F.inline(F.arrays_zip("words", "counts"))).toDF("row", "__h", "__n")
     c = F.coalesce("c", F.lit(0))
     others = parts.join(vocabulary, F.col("__h") == F.col("h"), "left").select(
         "row", F.when(c > 0, F.col("__n")).otherwise(0).alias("known"), (F.col("__n") * F.log10(c + 1)).alias("base"))
-    others = others.withColumn("inner", F.col("base"))
     rows = heads.unionByName(bits, allowMissingColumns=True).unionByName(others, allowMissingColumns=True)
     out = rows.groupBy("row").agg(
         F.max("doc_id").alias("doc_id"), F.max("tokens").alias("n_tokens"), F.sum("known").alias("n_known"),
         (F.sum("base") - whole_mass * F.max("tokens")).alias("base_score"),
-        (F.max("bits") + F.sum("inner")).alias("score"), F.max("bytes").alias("__bytes"))
+        F.max("bits").alias("score"), F.max("bytes").alias("__bytes"))
     per_byte = F.when(F.col("__bytes") > 0, -F.col("score") * F.log2(F.lit(10.0)) / F.col("__bytes"))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
                       F.lit(facts["n"]).cast("long").alias("train_tokens"), "base_score", "score", per_byte.alias("bits_per_byte"))
