@@ -21,10 +21,9 @@ the dictionary ``KNOWN`` words at most, so what travels to the tasks is bounded,
 share a slot are simply mixed. Words outside the dictionary are spelled bit by bit, so none is left
 out; for the base score they are joined to their counts.
 
-Texts are scored in lockstep, many at a time, so numpy does the work. A text starts from fresh
+Many texts are scored at a time, so numpy does the work (:mod:`obsmart.llm.mixer`). A text starts from fresh
 weights, and again after every ``SEGMENT`` tokens or ``EVENTS`` bits of its words (what stands before
-is still the context), so scores do not depend on the partitioning and a very long text is many lanes, not many steps. Nodes,
-bits and table entries, which no learning changes, are looked up for some steps of all lanes at once.
+is still the context), so scores do not depend on the partitioning and a very long text is many lanes, not many steps.
 
 Defined results
     null or empty text: one token, the end, and no bits per byte (null). Without training documents every count is 0. A null
@@ -37,7 +36,6 @@ from __future__ import annotations
 import heapq
 from collections import Counter
 from collections.abc import Iterator
-from functools import partial
 from itertools import chain
 
 import pyarrow as pa
@@ -45,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsmart.llm.mixer import Mixer
+from obsmart.llm import mixer
 from obsmart.llm.storage import stored
 from obsmart.llm.text import whole
 from obsmart.llm.word_bits import WORD_SLOTS, WordModel
@@ -57,8 +55,7 @@ SLOT_BITS = 16
 SLOTS = 1 << SLOT_BITS    # per order
 FLUSH = 300_000           # words counted in a task before they are sent on
 SEGMENT = 1024            # tokens over which weights and adaptive counts are learnt
-LANES = 2048              # segments scored at a time
-STEPS = 16                # tokens of each segment whose table entries are looked up at once
+LANES = 2048              # texts whose symbols are scored at a time
 WORD_TEXTS = 1024         # texts whose words' bits are scored at a time
 KNOWN = 1 << 18           # most frequent words (the dictionary), whose counts travel with the tasks
 FEW = 8192                # least size of the dictionary, if there are as many words
@@ -70,9 +67,9 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.coalesce(F.crc32(doc_id.cast("string")), F.lit(0)), F.lit(FOLDS)) == HELD_OUT
 
 
-def _words(text: str) -> list[bytes]:
+def _words(text: bytes) -> list[bytes]:
     """Words between white space, A-Z lower-cased."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+    return text.lower().split()
 
 
 def _class_of(word: bytes) -> int:
@@ -89,15 +86,22 @@ def _hash(word: bytes) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
+def _hashes(words):
+    """:func:`_hash` of many words."""
+    import numpy as np
+
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64).view(np.int64)
+
+
 def word_counts(train: DataFrame) -> DataFrame:
-    """h (hash of the token), class, c: every token of the training texts with its count."""
+    """h (hash of the token), word (its first 64 bytes), c: every token of the training texts with its count."""
     def count(batches: Iterator) -> Iterator:
         seen: Counter = Counter()
 
         def out():
             return pa.RecordBatch.from_arrays([
-                pa.array([_hash(w) for w in seen], pa.int64()), pa.array([_class_of(w) for w in seen], pa.int64()),
-                pa.array(seen.values(), pa.int64()), pa.array([w[:64] for w in seen], pa.binary())], ["h", "class", "c", "word"])
+                pa.array(_hashes(seen)), pa.array(seen.values(), pa.int64()),
+                pa.array([w[:64] for w in seen], pa.binary())], ["h", "c", "word"])
 
         for batch in batches:
             for text in batch["text"]:
@@ -108,8 +112,8 @@ def word_counts(train: DataFrame) -> DataFrame:
                     seen.clear()
         yield out()
 
-    return (train.select("text").mapInArrow(count, "h bigint, class bigint, c bigint, word binary")
-            .groupBy("h", "class").agg(F.sum("c").alias("c"), F.first("word").alias("word")))
+    return (train.select(F.col("text").cast("binary")).mapInArrow(count, "h bigint, c bigint, word binary")
+            .groupBy("h", "word").agg(F.sum("c").alias("c")))
 
 
 def huffman(counts: list[float]) -> list[list[int]]:
@@ -228,61 +232,36 @@ class BitModel:
         return [t[self.places(c[:, None], node[None, :])].reshape(-1) for t, c in zip(self.tables, contexts)]
 
     def log10(self, symbols: list):
-        """log10 probability of each text's symbols, in lockstep over segments of texts."""
-        np = self._np()
-        cuts = [(i, at) for i, s in enumerate(symbols) for at in range(0, len(s), SEGMENT)]
-        cuts.sort(key=lambda c: -min(SEGMENT, len(symbols[c[0]]) - c[1]))
-        out = np.zeros(len(symbols))
-        for first in range(0, len(cuts), LANES):
-            lanes = cuts[first:first + LANES]
-            before = [[symbols[i][at - back] if at else self.n_symbols for i, at in lanes] for back in (1, 2)]
-            got = self._lockstep([symbols[i][at:at + SEGMENT] for i, at in lanes], np.array(before[0]), np.array(before[1]))
-            np.add.at(out, [i for i, _ in lanes], got)
-        return out
-
-    def _lockstep(self, symbols: list, last, last2):
-        """log of each segment's probability, base 10; what does not depend on the learning (nodes,
-        bits, table entries) is looked up for ``STEPS`` steps of all segments at once."""
+        """log10 probability of each text's symbols; a text has a lane for every ``SEGMENT`` tokens."""
         np = self._np()
-        f = np.float32
-        n = len(symbols)                            # longest first
-        lengths = np.array([len(s) for s in symbols])
-        most = int(lengths[0])
-        sym = np.full((most + 2, n), -1, np.int16)  # two steps of history come first
-        sym[0], sym[1] = last2, last
-        for i, s in enumerate(symbols):
-            sym[2:len(s) + 2, i] = s
-        gates = 3 * self.depth
-        mixer = Mixer(n, gates, self.n_nodes)
-        total = np.zeros(n)
+        sym, last, last2 = self.histories(symbols)
+        sizes = np.array([len(s) for s in symbols])
+        lanes = -(-sizes // SEGMENT)
+        text = np.repeat(np.arange(len(sizes)), lanes)
+        long = np.minimum(SEGMENT, sizes[text] - SEGMENT * (np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)))
+        ends = np.append(0, np.cumsum(long))            # tokens before each lane
+        length = self.length[sym]
         side = self.n_symbols + 1
-        deep = np.arange(self.depth)[None, :, None]
-        long = np.append(self.length, 0)            # a step without a symbol has no bits
-        for first in range(0, most, STEPS):
-            live = int(np.searchsorted(-lengths, -first))        # texts longer than step come first
-            s = sym[first + 2:first + 2 + STEPS, :live]
-            last, last2 = (sym[first + back:first + back + len(s), :live].reshape(-1).astype(np.int64) for back in (1, 0))
-            step, d, lane = np.nonzero(long[s][:, None, :] > deep)    # by step, then by depth
-            at = (step * live + lane)
-            of = s.reshape(-1)[at]
-            node, bits = self.node[of, d], self.bit[of, d]
-            x = np.empty((len(at), 4), f)
-            for order, context in enumerate((last * 0, last, last2 * side + last)):
-                x[:, order] = self.direct[order].take((context * self.n_nodes).take(at) + node)
-            kind = np.where(last < self.n_top, 0, np.where(last < self.n_symbols, 1, 2))
-            gate = lane * gates + kind.take(at) * self.depth + d
-            here, row = lane * self.n_nodes + node, lane * 33
-            finals = np.empty(len(at), f)
-            ends = np.cumsum(np.bincount(step * self.depth + d))
-            lo = 0
-            for hi in ends.tolist():
-                if hi == lo:
-                    continue
-                on = slice(lo, hi)
-                lo = hi
-                finals[on] = mixer.step(x[on], bits[on], gate[on], here[on], row[on])
-            total[:live] += np.bincount(lane, np.log(np.where(bits > 0, finals, f(1) - finals)), live)
-        return total / np.log(10)
+        kind = np.where(last < self.n_top, 0, np.where(last < self.n_symbols, 1, 2))
+
+        def bits_of(a: int, b: int) -> tuple:
+            own = slice(ends[a], ends[b])
+            times = length[own]
+            d = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            at = np.repeat(sym[own] * self.depth, times)
+            at += d
+            node, bit = self.node.reshape(-1).take(at), self.bit.reshape(-1).take(at)
+            x = np.empty((3, len(at)), np.float32)
+            for table, context, row in zip(self.direct, (last[own] * 0, last[own], last2[own] * side + last[own]), x):
+                at = np.repeat(context * self.n_nodes, times)
+                at += node
+                table.take(at, 0, row, "clip")
+            gate = np.repeat(kind[own] * self.depth, times)
+            gate += d
+            return x, bit.astype(np.int64), gate, node
+
+        bits = np.add.reduceat(length, ends[:-1]) if len(long) else long
+        return np.bincount(text, mixer.log10(bits, bits_of), len(sizes))
 
 
 class Places(dict):
@@ -292,6 +271,14 @@ class Places(dict):
         return -1
 
 
+class Classes(dict):
+    """Classes by a word's first two bytes."""
+
+    def __missing__(self, two: bytes) -> int:
+        self[two] = _class_of(two)
+        return self[two]
+
+
 ENCODED = """row bigint, doc_id bigint, bytes bigint, tokens bigint, known bigint, base double,
              symbols binary, places binary, spelled binary, words array<bigint>, counts array<bigint>"""
 
@@ -305,10 +292,10 @@ def encode(docs: DataFrame, model: BitModel, facts: dict) -> DataFrame:
 
     words, seen = list(facts["counts"]), np.array(list(facts["counts"].values()))
     symbol = np.array([model.symbol(w) for w in words], np.uint8)
-    symbol_of = partial(_symbol, model.symbols, model.n_top)
+    n_top = model.n_top
 
     def read(batches: Iterator) -> Iterator:
-        place = Places(zip(words, range(len(words))))
+        place, classes = Places(zip(words, range(len(words)))), Classes()
         log_of = np.log10(seen + 1.0)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -322,10 +309,10 @@ def encode(docs: DataFrame, model: BitModel, facts: dict) -> DataFrame:
                 doc, symbols = np.repeat(np.arange(m), sizes), symbol[places]
                 inside, outside = places >= 0, np.nonzero(places < 0)[0]
                 spelled = [tokens[i] for i in outside.tolist()]
-                symbols[outside] = [symbol_of(w) for w in spelled]
+                symbols[outside] = [n_top + classes[w[:2]] for w in spelled]       # a symbol is in the dictionary
                 letters = np.bincount(doc[outside], [len(w) + 1 for w in spelled], m)
                 # each text's distinct words outside the dictionary with their counts
-                hashes, number = np.unique(np.array([_hash(w) for w in spelled], np.int64), return_inverse=True)
+                hashes, number = np.unique(_hashes(spelled), return_inverse=True)
                 pairs, o_count = np.unique(doc[outside] * (len(hashes) + 1) + number, return_counts=True)
                 o_doc, number = np.divmod(pairs, len(hashes) + 1)
                 ends, letter_ends, list_ends = (np.append(0, np.cumsum(n)).astype(np.int32) for n in (sizes, letters, np.bincount(o_doc, minlength=m)))
@@ -341,7 +328,7 @@ def encode(docs: DataFrame, model: BitModel, facts: dict) -> DataFrame:
 
     text = whole(F.col("text"))
     return stored(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("bytes"),
-                              text.alias("text")).mapInArrow(read, ENCODED))
+                              text.cast("binary").alias("text")).mapInArrow(read, ENCODED))
 
 
 def _unpacked(column) -> list:
@@ -370,11 +357,11 @@ def learn_words(encoded: DataFrame, model: BitModel) -> None:
     words = model.words
 
     def count(batches: Iterator) -> Iterator:
-        seen = np.zeros((3, 2 * WORD_SLOTS), np.int64)
+        seen = np.zeros((3, 2 * WORD_SLOTS), np.int32)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 words.count(_items(batch.slice(at, 512), model), seen)
-        cells = seen.astype(np.int32).reshape(-1, BLOCK)
+        cells = seen.reshape(-1, BLOCK)
         block = np.nonzero(cells.any(axis=1))[0]
         for at in range(0, len(block), 256):
             part = block[at:at + 256]
@@ -446,7 +433,9 @@ def vocabulary_of(train: DataFrame):
     counts[END] = ends
     words = [END] + [w for w in counts if w != END][:TOP]
     tail = vocabulary.where(~F.col("h").isin([_hash(w) for w in words]))
-    classes = {r["class"]: r["n"] for r in tail.groupBy("class").agg(F.sum("c").alias("n")).collect()}
+    classes: Counter = Counter()
+    for r in tail.groupBy(F.substring("word", 1, 2).alias("two")).agg(F.sum("c").alias("n")).collect():    # <= 65,793 rows
+        classes[_class_of(bytes(r["two"]))] += r["n"]
     sizes = [counts[w] + 1.0 for w in words] + [classes.get(k, 0) + 1.0 for k in range(CLASSES)]
     model = BitModel(words, sizes)
     known = list(counts)

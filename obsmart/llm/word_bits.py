@@ -16,7 +16,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 
-from obsmart.llm.mixer import Mixer
+from obsmart.llm import mixer
 
 WORD_BITS = 20
 WORD_SLOTS = 1 << WORD_BITS   # per order
@@ -24,7 +24,6 @@ OWN = 2048                # adaptive counts of a text
 DEEP = 16                 # depths in a tree with weights of their own
 KINDS = 3                 # a path, a word's first letter, another letter
 EVENTS = 4096             # bits over which weights and adaptive counts are learnt
-STEPS = 8                 # bits of each text that are looked up at once
 PIECE = 1 << 20           # items of which the lanes work at once
 RUN = 1 << 12             # items whose bits are counted at once
 A, B, C = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD
@@ -162,21 +161,21 @@ class WordModel:
             first = last
 
     @staticmethod
-    def bits(items: tuple, first, item, at) -> tuple:
-        """(depth, bit, slots by order) of some bits: ``item`` of each, ``at`` its place among all
-        bits, ``first`` the place of each item's first bit."""
+    def bits(items: tuple, own: slice, times, depth) -> tuple:
+        """(depth, bit, slots by order) of some bits of the items ``own``: ``times`` of each."""
         import numpy as np
 
         length, code, contexts = items[:3]
-        depth = at - first.take(item)
-        path = code.take(item) >> (length.take(item) - 1 - depth).astype(np.uint64)
+        item = np.repeat(np.arange(len(times)), times)
+        # the code behind a 1: what lies above a bit is the path to it
+        path = (code[own] | np.uint64(1) << length[own].astype(np.uint64)).take(item, mode="clip")
+        path >>= ((length[own] - 1).take(item, mode="clip") - depth).view(np.uint64)
         bit = path & np.uint64(1)
         path >>= np.uint64(1)
-        path |= np.uint64(1) << depth.astype(np.uint64)
         path *= np.uint64(A)
         slots = []
         for c in contexts:
-            h = c.take(item)
+            h = c[own].take(item, mode="clip")
             h ^= path
             h *= np.uint64(C)
             h >>= np.uint64(64 - WORD_BITS)
@@ -187,15 +186,16 @@ class WordModel:
         """Add the items' bits to ``seen`` (order, twice the slot and the bit)."""
         import numpy as np
 
-        first = np.cumsum(items[0]) - items[0]
-        for lo in range(0, len(first), RUN):
+        one = seen.dtype.type(1)
+        for lo in range(0, len(items[0]), RUN):
             length = items[0][lo:lo + RUN]
-            item = np.repeat(np.arange(lo, lo + len(length)), length)
-            _, bit, slots = self.bits(items, first, item, np.arange(first[lo], first[lo] + len(item)))
+            first = np.cumsum(length) - length
+            depth = np.arange(length.sum()) - np.repeat(first, length)
+            _, bit, slots = self.bits(items, slice(lo, lo + RUN), length, depth)
             for order, slot in enumerate(slots):
                 slot *= 2
                 slot += bit
-                np.add.at(seen[order], slot, 1)
+                np.add.at(seen[order], slot, one)
 
     def learnt(self, seen) -> None:
         import numpy as np
@@ -210,44 +210,33 @@ class WordModel:
 
         out = np.zeros(len(items[4]))
         for lo, hi, cuts in self.pieces(items):
-            got = self._lockstep(items, lo, hi, cuts)
+            got = self._mixed(items, lo, hi, cuts)
             np.add.at(out, np.searchsorted(items[4], cuts[:-1], "right") - 1, got)
         return out
 
-    def _lockstep(self, items: tuple, lo: int, hi: int, cuts):
+    def _mixed(self, items: tuple, lo: int, hi: int, cuts):
         """log10 probability of the items between every two cuts; each has a lane for every ``EVENTS`` bits."""
         import numpy as np
 
-        f = np.float32
         items = (items[0][lo:hi], items[1][lo:hi], [c[lo:hi] for c in items[2]], items[3][lo:hi])
-        ends = np.append(0, np.cumsum(items[0]))
-        first, item_of = ends[:-1], np.repeat(np.arange(hi - lo, dtype=np.int32), items[0])
-        ends = ends[cuts - lo]                                         # bits before each cut
-        sizes = np.diff(ends)
-        lanes = -(-sizes // EVENTS)                                    # of each part
+        last = np.cumsum(items[0])
+        first = last - items[0]
+        sizes = np.diff(np.append(0, last)[cuts - lo])                 # bits between the cuts
+        lanes = -(-sizes // EVENTS)
         part = np.repeat(np.arange(len(sizes)), lanes)
-        start = EVENTS * (np.arange(len(part)) - np.repeat(np.cumsum(lanes) - lanes, lanes))
-        long = np.minimum(EVENTS, sizes[part] - start)
-        order = np.argsort(-long, kind="stable")                       # longest first
-        part, start, long = part[order], (start + ends[part])[order], long[order]
-        mixer, rows = Mixer(len(long), KINDS * DEEP, OWN), np.arange(len(long)) * 33
-        total = np.zeros(len(long))
-        for a in range(0, int(long.max(initial=0)), STEPS):
-            live = int(np.searchsorted(-long, -a))                     # lanes longer than a come first
-            steps = np.arange(a, min(a + STEPS, int(long[0])))[:, None]
-            there = steps < long[:live]
-            at, lane = (start[:live] + steps)[there], np.nonzero(there)[1]
-            item = item_of.take(at)
-            depth, bit, slots = self.bits(items, first, item, at)
-            x, bits = np.empty((len(at), 4), f), bit.astype(f)
-            for k, slot in enumerate(slots):
-                x[:, k] = self.tables[k].take(slot)
-            gate = lane * (KINDS * DEEP) + items[3].take(item) * DEEP + np.minimum(depth, DEEP - 1)
-            here, row = lane * OWN + (slots[0] & (OWN - 1)), rows.take(lane)
-            finals, lo = np.empty(len(at), f), 0
-            for hi in np.cumsum(there.sum(axis=1)).tolist():
-                on = slice(lo, hi)
-                finals[on] = mixer.step(x[on], bits[on], gate[on], here[on], row[on])
-                lo = hi
-            total[:live] += np.bincount(lane, np.log10(np.where(bits > 0, finals, f(1) - finals)), live)
-        return np.bincount(part, total, len(sizes))
+        long = np.minimum(EVENTS, sizes[part] - EVENTS * (np.arange(len(part)) - np.repeat(np.cumsum(lanes) - lanes, lanes)))
+        ends = np.append(0, np.cumsum(long))                           # bits before each lane
+
+        def bits_of(a: int, b: int) -> tuple:
+            a, b = ends[a], ends[b]
+            own = slice(int(np.searchsorted(last, a, "right")), int(np.searchsorted(first, b)))
+            times = np.minimum(last[own], b) - np.maximum(first[own], a)      # a lane may end within an item
+            depth, bit, slots = self.bits(items, own, times, np.arange(a, b) - np.repeat(first[own], times))
+            x = np.empty((3, len(bit)), np.float32)
+            for table, slot, row in zip(self.tables, slots, x):
+                table.take(slot, 0, row, "clip")
+            gate = np.repeat(items[3][own] * DEEP, times)
+            gate += np.minimum(depth, DEEP - 1)
+            return x, bit, gate, slots[0] & (OWN - 1)
+
+        return np.bincount(part, mixer.log10(long, bits_of), len(sizes))

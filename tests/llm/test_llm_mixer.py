@@ -1,0 +1,99 @@
+"""Bits of many lanes at once, against one bit after the other; the sizes of runs change nothing."""
+
+import math
+import random
+from collections import Counter
+
+import numpy as np
+
+from obsmart.llm import mixer
+
+
+def made(rng, sizes):
+    """Rows of chances, bits, gates and nodes of some lanes; node 0 is met most often, mostly with ones."""
+    n = sum(sizes)
+    node = np.array([0 if rng.random() < 0.6 else rng.randrange(1, 9) for _ in range(n)])
+    bit = np.array([int(rng.random() < (0.999 if k == 0 else 0.4)) for k in node])
+    x = np.array([[rng.uniform(-9, 9) if rng.random() < 0.1 else rng.uniform(-2, 2) for _ in range(n)] for _ in range(3)], np.float32)
+    return x, bit, np.array([rng.randrange(5) for _ in range(n)]), node
+
+
+def plain(x, bit, gate, node, sizes):
+    """log10 of each lane's chance, and every bit's own chance (stretched) by the counts of its node."""
+    squash = lambda v: 1 / (1 + math.exp(-v))
+    out, own_of, at = [], [], 0
+    for size in sizes:
+        weights, refine, own, seen, total = {}, {}, {}, Counter(), 0.0
+        for i in range(at, at + size):
+            b, g, k = int(bit[i]), int(gate[i]), int(node[i])
+            xs = [*map(float, x[:, i]), own.get(k, 0.0)]
+            own_of.append(xs[3])
+            w = weights.setdefault(g, [0.34] * 4)
+            mix = min(8, max(-8, sum(p * q for p, q in zip(w, xs))))
+            cell = int(mix * 2 + 16)
+            told = refine.get(cell, cell / 2 - 8)
+            p, second, chance = squash(mix), squash(told), squash(xs[3])
+            final = 0.75 * p + 0.25 * second
+            total += math.log10(final if b else 1 - final)
+            weights[g] = [v + 0.02 * q * (b - p) for v, q in zip(w, xs)]
+            refine[cell] = told + 0.08 * (b - second)
+            seen[k] += 1
+            chance = min(0.997, max(0.003, chance + (b - chance) / min(seen[k] + 1.5, 255)))
+            own[k] = math.log(chance / (1 - chance))
+        out.append(total)
+        at += size
+    return out, own_of
+
+
+def test_a_node_met_more_often_than_the_plain_share_holds():
+    """Over 248 bits of a node the chance meets its bounds and the rate stays; ones only, then a zero."""
+    rng = random.Random(2)
+    sizes = np.array([1200, 0, 3, 700])
+    x, bit, gate, node = made(rng, sizes)
+    assert max(Counter(node[:1200]).values()) > 2 * mixer.PLAIN
+    got = np.empty(len(bit), np.float32)
+    mixer.adapted(node, bit, sizes, got)
+    assert np.allclose(got, plain(x, bit, gate, node, sizes)[1], atol=2e-3)
+
+
+def test_any_runs_are_the_plain_mixer(monkeypatch):
+    rng = random.Random(3)
+    sizes = np.array([0, 1, 900, 2, 0, 65, 64, 63, 300, 0])
+    x, bit, gate, node = made(rng, sizes)
+    ends = np.append(0, np.cumsum(sizes))
+
+    def bits_of(a, b):
+        on = slice(ends[a], ends[b])
+        return x[:, on], bit[on], gate[on], node[on]
+
+    want = plain(x, bit, gate, node, sizes)[0]
+    assert np.allclose(mixer.log10(sizes, bits_of), want, rtol=2e-4)
+    for lanes, block, part, steps in ((2, 1 << 18, 1 << 15, 64), (100, 100, 70, 7), (3, 1, 1, 1)):
+        for name, value in (("LANES", lanes), ("BLOCK", block), ("PART", part), ("STEPS", steps)):
+            monkeypatch.setattr(mixer, name, value)
+        assert np.allclose(mixer.log10(sizes, bits_of), want, rtol=2e-4)
+    assert len(mixer.log10(np.array([], np.int64), bits_of)) == 0 and (mixer.log10(np.zeros(3, np.int64), bits_of) == 0).all()
+
+
+def test_large_numbers_of_nodes_are_sorted_too():
+    """Node numbers that do not fit 32 bits together with the places."""
+    sizes = np.array([5, 4])
+    node = np.array([1 << 30, 7, 1 << 30, 7, 7, 7, 1 << 30, 7, 7])
+    at, low, starts, counts = mixer.grouped(node, sizes, np.array([1, 0, 0, 1, 1, 0, 1, 1, 0]))
+    assert at.tolist() == [1, 3, 4, 0, 2, 5, 7, 8, 6] and low.tolist() == [0, 1, 1, 1, 0, 0, 1, 0, 1]
+    assert starts.tolist() == [0, 3, 5, 8] and counts.tolist() == [3, 2, 3, 1]
+
+
+def test_weights_of_all_gates_move_at_once():
+    """As many steps as the longest gate has bits, however many lanes and gates there are."""
+    class Row(np.ndarray):
+        takes = 0
+
+        def take(self, *a, **b):
+            Row.takes += 1
+            return np.asarray(self).take(*a, **b)
+
+    sizes = np.full(300, 12)
+    x = np.zeros((4, sizes.sum()), np.float32).view(Row)
+    mixer.mixed(x, np.cumsum(sizes) - sizes, sizes)
+    assert Row.takes == 4 * 12
